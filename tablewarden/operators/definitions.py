@@ -265,12 +265,9 @@ def definition_stats(
         )
     )
     errors = F.col("_doc") + F.col("_type") + F.col("_test")
-    relation = F.struct("schema_name", "relation_name")
-    counted = flagged.withColumn("_relation", relation).groupingSets(
-        [["schema_name", "relation_name"], []], "schema_name", "relation_name"
-    ).agg(
+    per_relation = flagged.groupBy("schema_name", "relation_name").agg(
+        F.lit(1).cast("bigint").alias("relation_count"),
         F.count("*").alias("column_count"),
-        F.countDistinct("_relation").alias("relation_count"),
         F.sum("_over").alias("overwrite_count"),
         F.count_if(errors == 0).alias("ok_count"),
         F.sum(errors).alias("error_count"),
@@ -278,12 +275,15 @@ def definition_stats(
         F.sum("_doc").alias("documentation_error_count"),
         F.sum("_test").alias("test_error_count"),
     )
+    names = [F.lit(None).cast("string").alias(c) for c in ("schema_name", "relation_name")]
+    sums = [F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c) for c in per_relation.columns[2:]]
+    counted = per_relation.unionByName(per_relation.agg(*sums).select(*names, "*"))
 
     def share(count: str) -> Column:
         return F.coalesce(percentage(F.col(count), F.col("column_count"), 2), F.lit(0.0))
 
     kinds = ("overwrite", "ok", "error", "type_error", "documentation_error", "test_error")
-    measures = [c for k in kinds for c in (F.coalesce(F.col(f"{k}_count"), F.lit(0)).alias(f"{k}_count"), share(f"{k}_count").alias(f"{k}_percentage"))]
+    measures = [c for k in kinds for c in (F.col(f"{k}_count"), share(f"{k}_count").alias(f"{k}_percentage"))]
     return counted.select("schema_name", "relation_name", "relation_count", "column_count", *measures).orderBy(
         "schema_name", "relation_name"
     )

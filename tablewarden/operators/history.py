@@ -7,6 +7,7 @@ whole directory.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -334,6 +335,17 @@ def backfill_log(table: str, added: DataFrame, date_column: str, logged_at: Colu
     )
 
 
+@contextmanager
+def _session_setting(spark: SparkSession, key: str, value: str):
+    """A setting for the duration of one statement; inserts into catalog tables take this one from nowhere else."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def backfill_run(
     spark: SparkSession, source: DataFrame, target: str, date_column: str, log: str, logged_at: Column
 ) -> None:
@@ -346,7 +358,8 @@ def backfill_run(
     present = [row[0] for row in spark.table(target).select(date_column).distinct().collect()]
     is_new = ~F.col(date_column).isin(present) if present else F.lit(True)
     missing = source.filter(is_new).select(*spark.table(target).columns)
-    missing.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(target)
+    with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        missing.write.insertInto(target, overwrite=True)
     added = spark.table(target).filter(is_new)
     backfill_log(target, added, date_column, logged_at).write.mode("append").saveAsTable(log)
 

@@ -97,7 +97,7 @@ MANIFEST_SQL = """
 
 @query("check_log_results", LOG_SQL)
 def _(t: Tables):
-    return run_files.check_log_results(run_files.parse_check_log(run_texts.check_log(t)))
+    return run_files.check_log_results(run_texts.check_log(t))
 
 
 @query(
@@ -106,7 +106,7 @@ def _(t: Tables):
          'run-' || cast(l_orderkey as varchar) as invocation_id from lineitem where l_linenumber = 1""",
 )
 def _(t: Tables):
-    return run_files.check_log_header(run_files.parse_check_log(run_texts.check_log(t)))
+    return run_files.check_log_header(run_texts.check_log(t))
 
 
 @query("manifest_tests", MANIFEST_SQL)
@@ -175,7 +175,7 @@ ATTRIBUTED_SQL = f"""
 
 
 def _attributed(t: Tables):
-    log = run_files.check_log_results(run_files.parse_check_log(run_texts.check_log(t)))
+    log = run_files.check_log_results(run_texts.check_log(t))
     return health.attribute_tests(log, run_files.parse_manifest_tests(run_texts.manifest(t)))
 
 

@@ -53,16 +53,24 @@ def _parsed(texts: DataFrame, schema: str, *keep: str) -> DataFrame:
     return texts.select(*keep, F.from_json("value", schema).alias("j"))
 
 
-def parse_check_log(texts: DataFrame) -> DataFrame:
-    """Log entries from texts of concatenated JSON objects (line breaks inside a text do not matter)."""
-    flat = F.regexp_replace("value", "[\r\n]", "")
-    entries = texts.select(F.explode(F.split(flat, r"(?<=\})(?=\{)")).alias("value"))
-    return _parsed(entries, LOG_SCHEMA).select("j.info", "j.data")
+def parse_check_log(texts: DataFrame, entry_name: str | None = None) -> DataFrame:
+    """Log entries from texts of concatenated JSON objects (line breaks inside a text do not matter).
 
-
-def check_log_results(log: DataFrame) -> DataFrame:
-    """The check outcomes among the log entries."""
-    return log.filter(F.col("info.name") == TEST_RESULT_ENTRY).select(
+    With ``entry_name`` only entries of that name: a text search drops most others before anything is parsed, and
+    each remaining entry is parsed once.
+    """
+    marked = F.regexp_replace("value", r"\}\s*\{", "}\u0001{")
+    entries = texts.select(F.explode(F.split(marked, "\u0001")).alias("value"))
+    if entry_name is None:
+        return _parsed(entries, LOG_SCHEMA).select("j.info", "j.data")
+    parsed = F.array(F.from_json("value", LOG_SCHEMA))
+    named = F.filter(parsed, lambda e: e["info"]["name"] == entry_name)
+    return entries.filter(F.col("value").contains(entry_name)).select(F.inline(named))
+
+
+def check_log_results(texts: DataFrame) -> DataFrame:
+    """The check outcomes in a log."""
+    return parse_check_log(texts, TEST_RESULT_ENTRY).select(
         F.col("data.node_info.node_name").alias("test_name"),
         F.col("data.node_info.unique_id").alias("unique_id"),
         F.col("data.node_info.node_path").alias("sql_filename"),
@@ -71,9 +79,9 @@ def check_log_results(log: DataFrame) -> DataFrame:
     )
 
 
-def check_log_header(log: DataFrame) -> DataFrame:
+def check_log_header(texts: DataFrame) -> DataFrame:
     """Report header: runner version, time and id of the run."""
-    return log.filter(F.col("info.name") == VERSION_ENTRY).select(
+    return parse_check_log(texts, VERSION_ENTRY).select(
         F.replace(F.col("data.version"), F.lit("="), F.lit("")).alias("version"),
         F.col("info.ts").alias("executed_at"),
         F.col("info.invocation_id").alias("invocation_id"),
