@@ -181,35 +181,28 @@ def daily_cardinality_variance(df: DataFrame, date_column: str, ok_to: int, ok_f
 # Checks against another table.
 
 
-def not_in(df: DataFrame, column: str, keys: DataFrame, key_column: str) -> DataFrame:
+def not_in(df: DataFrame, column: str, keys: DataFrame, has_null: Column, is_empty: Column) -> DataFrame:
     """``column NOT IN (keys)`` with SQL's NULL rules, as a plain shuffled anti join.
 
-    The null-aware anti join that Spark plans for ``NOT IN`` can only broadcast its keys. Here two facts about the
-    keys decide instead: a NULL among them empties the result, and a NULL on the left survives only if there are
-    no keys at all. The join itself treats NULL as absent.
+    The null-aware anti join that Spark plans for ``NOT IN`` can only broadcast its keys. Here two scalars decide
+    instead: a NULL among the keys empties the result, and a NULL on the left survives only without any key.
+    ``keys`` holds the distinct non-null keys as ``_key``.
     """
-    facts = keys.agg(
-        F.struct(F.count("*").alias("n"), F.count_if(F.col(key_column).isNull()).alias("nulls")).alias("facts")
-    ).scalar()
-    distinct_keys = keys.select(F.col(key_column).alias("_key")).filter("_key is not null").distinct()
-    return df.filter((facts["nulls"] == 0) & (F.col(column).isNotNull() | (facts["n"] == 0))).join(
-        distinct_keys, F.col(column) == F.col("_key"), "left_anti"
-    )
-
-
-def _existence(df: DataFrame, column: str, keys: DataFrame, key_column: str, negated: bool) -> DataFrame:
-    if negated:
-        return not_in(df, column, keys, key_column)
-    return df.join(
-        keys.select(F.col(key_column).alias("_key")).distinct(), F.col(column) == F.col("_key"), "left_semi"
-    )
+    alive = ~has_null & (F.col(column).isNotNull() | is_empty)
+    return df.filter(alive).join(keys, F.col(column) == F.col("_key"), "left_anti")
 
 
 def relationship_defined(
     df: DataFrame, column: str, to: DataFrame, to_column: str, existence: str = "NOT"
 ) -> DataFrame:
     """Rows whose value is not among the target's keys; with ``existence=''`` rows whose value is."""
-    return _existence(df, column, to.select(to_column), to_column, existence.upper() == "NOT")
+    key = F.col(to_column)
+    keys = to.filter(key.isNotNull()).select(key.alias("_key")).distinct()
+    if existence.upper() != "NOT":
+        return df.join(keys, F.col(column) == F.col("_key"), "left_semi")
+    has_null = to.filter(key.isNull()).agg((F.count("*") > 0).alias("x")).scalar()
+    is_empty = to.agg((F.count("*") == 0).alias("x")).scalar()
+    return not_in(df, column, keys, has_null, is_empty)
 
 
 def relationship_cardinality(
@@ -223,14 +216,21 @@ def relationship_cardinality(
     existence: str = "NOT",
 ) -> DataFrame:
     """Rows whose key does not have between ``low`` and ``high`` target rows."""
-    counted = (
-        to.filter(target_predicate)
-        .groupBy(to_column)
+    key = F.col(to_column)
+    counted = to.filter(target_predicate)
+    keys = (
+        counted.filter(key.isNotNull())
+        .groupBy(key.alias("_key"))
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n").between(low, high))
-        .select(to_column)
+        .select("_key")
     )
-    return _existence(df, column, counted, to_column, existence.upper() == "NOT")
+    if existence.upper() != "NOT":
+        return df.join(keys, F.col(column) == F.col("_key"), "left_semi")
+    null_rows = counted.filter(key.isNull()).agg(F.count("*").alias("n"))
+    has_null = null_rows.select((F.col("n") > 0) & F.col("n").between(low, high)).scalar()
+    no_keys = keys.agg((F.count("*") == 0).alias("x")).scalar()
+    return not_in(df, column, keys, has_null, no_keys & ~has_null)
 
 
 def _code_starts(codes: DataFrame, code_column: str, digits: int) -> DataFrame:

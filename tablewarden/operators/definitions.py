@@ -105,7 +105,8 @@ def glossary_best_match(concepts: DataFrame, inventory: DataFrame) -> DataFrame:
     three and more characters). The lowest type wins, then the longest concept, then alphabetical order.
 
     A concept is compared literally. Every affix of a distinct column name becomes a row, so all five rules are one
-    equi-join instead of a comparison of all columns with all concepts.
+    equi-join instead of a comparison of all columns with all concepts. The merge hint keeps the exploded rows from
+    being broadcast on the size they had before.
     """
     name = F.col("column_name")
     size = F.length(name)
@@ -140,7 +141,7 @@ def glossary_best_match(concepts: DataFrame, inventory: DataFrame) -> DataFrame:
         "match_type_id", -F.length("matched_column_name"), "matched_column_name", "concept_name"
     )
     best = (
-        probed.join(known, F.col("probe") == F.col("matched_column_name"))
+        probed.hint("merge").join(known, F.col("probe") == F.col("matched_column_name"))
         .groupBy("column_name")
         .agg(
             F.min_by(

@@ -73,7 +73,8 @@ def error_list(errors: DataFrame, cardinality: DataFrame | None = None) -> DataF
         errors = errors.drop("rows_in_relation").join(counted, list(LEVELS), "left")
         errors = errors.withColumn("rows_in_relation", F.coalesce("rows_in_relation", F.lit(-1).cast("bigint")))
     rows = F.col("rows_in_relation")
-    return errors.select(
+    # Sorting samples its input first; the rebalance keeps that from running the checks' plans twice.
+    return errors.hint("rebalance").select(
         *LEVELS,
         "test_name",
         "unique_id",
@@ -115,37 +116,54 @@ def attributed_errors(attributed: DataFrame, cardinality: DataFrame) -> DataFram
 
 
 def _summary() -> Column:
-    """The four count and percentage pairs of a report level."""
+    """The four count and percentage pairs of a report level, from its counts."""
+    total = F.col("ok_count") + F.col("warning_count") + F.col("fail_count")
 
-    def pair(count: str, share: Column) -> Column:
-        return F.struct(F.col(count).alias("count"), share.alias("percentage"))
+    def pair(count: str) -> Column:
+        return F.struct(F.col(count).alias("count"), percentage(F.col(count), total, 2).alias("percentage"))
 
     return F.struct(
-        pair("ok_count", F.col("ok_percentage")).alias("ok"),
-        pair("warning_count", F.col("warning_percentage")).alias("warning"),
-        pair("fail_count", F.col("fail_percentage")).alias("error"),
-        pair("total_count", F.lit(100.0)).alias("total"),
+        pair("ok_count").alias("ok"),
+        pair("warning_count").alias("warning"),
+        pair("fail_count").alias("error"),
+        F.struct(total.alias("count"), F.lit(100.0).alias("percentage")).alias("total"),
     )
 
 
+def _lift(level: DataFrame, keys: list[str], name: str, children: list[str], into: str) -> DataFrame:
+    """The next level up: sums, and a sorted list of this level's entries."""
+    entry = F.struct(F.col(name).alias("name"), _summary().alias("summary"), *children)
+    sums = [F.sum(c).alias(c) for c in ("ok_count", "warning_count", "fail_count")]
+    return level.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias(into), *sums)
+
+
+def _databases(results: DataFrame) -> DataFrame:
+    relations = results.groupBy(*LEVELS).agg(*_counts())
+    schemas = _lift(relations, ["database_name", "schema_name"], "relation_name", [], "relations")
+    return _lift(schemas, ["database_name"], "schema_name", ["relations"], "schemas")
+
+
 def health_report(results: DataFrame) -> DataFrame:
     """One row per database: its summary, and its schemas with their relations as nested lists.
 
-    Lists hold aggregated rows (one per relation), never table rows.
+    Each level sums the one below it, so the results are read once. Lists hold one entry per relation, never table
+    rows.
     """
-    rolled = health_rollup(results).withColumn("summary", _summary())
-    relations = (
-        rolled.filter("level = 'relation'")
-        .groupBy("database_name", "schema_name")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("relation_name").alias("name"), "summary"))).alias("relations"))
-    )
-    schemas = (
-        rolled.filter("level = 'schema'")
-        .select("database_name", "schema_name", "summary")
-        .join(relations, ["database_name", "schema_name"])
-        .groupBy("database_name")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("schema_name").alias("name"), "summary", "relations"))).alias("schemas"))
-    )
-    return (
-        rolled.filter("level = 'database'").select("database_name", "summary").join(schemas, "database_name")
+    return _databases(results).select("database_name", _summary().alias("summary"), "schemas")
+
+
+def health_document(api_name: str, results: DataFrame, errors: DataFrame, header: DataFrame) -> DataFrame:
+    """The whole report as one nested row: header of the newest run, statistics of all levels, failed checks.
+
+    It holds one entry per relation and per failed check.
+    """
+    everything = _lift(_databases(results), [], "database_name", ["schemas"], "databases")
+    failed = error_list(errors).drop("sql")
+    listed = failed.agg(F.sort_array(F.collect_list(F.struct(*failed.columns))).alias("errors")).scalar()
+    run = header.agg(F.max_by(F.struct("version", "executed_at", "invocation_id"), F.struct("executed_at", "invocation_id")))
+    return everything.select(
+        F.lit(api_name).alias("api_name"),
+        run.scalar().alias("header"),
+        F.struct(_summary().alias("summary"), "databases").alias("stats"),
+        listed.alias("errors"),
     )

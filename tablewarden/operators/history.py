@@ -144,8 +144,8 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 
 def scd2_start(source: DataFrame, key: str, tracked: Sequence[str], run_date: date) -> DataFrame:
-    """The first load: every source row is an open version."""
-    return source.select(
+    """The first load: every source row is an open version. Rows without a key cannot be followed and are left out."""
+    return source.filter(F.col(key).isNotNull()).select(
         key,
         *tracked,
         F.lit(run_date).alias("valid_from"),
@@ -163,8 +163,9 @@ def scd2_merge(
     Unchanged keys keep their open version; changed keys give a closed and a new open one; new keys an open one;
     keys gone from the source are closed (or kept open). One full outer join on the key; a key's one or two
     versions are emitted from the joined row, so nothing is shuffled twice. Already closed versions are not needed.
+    Rows without a key are left out, as in the snapshots.
     """
-    hashed = source.select(F.struct(key, *tracked).alias("s"), F.col(key).alias("_sk"), row_hash(tracked).alias("_sh"))
+    hashed = source.filter(F.col(key).isNotNull()).select(F.struct(key, *tracked).alias("s"), F.col(key).alias("_sk"), row_hash(tracked).alias("_sh"))
     held = current.select(F.struct(key, *tracked, "valid_from", "row_hash").alias("c"), F.col(key).alias("_ck"))
     joined = held.join(hashed, F.col("_ck") == F.col("_sk"), "full_outer")
 
@@ -314,17 +315,21 @@ def backfill_before(source: DataFrame, target: DataFrame, date_column: str, toda
     return source.filter(F.col(date_column) < first)
 
 
-def _days(history: DataFrame, date_column: str) -> Column:
-    """The distinct days of a history as an array scalar: one element per calendar day."""
-    return history.agg(F.collect_set(date_column)).scalar()
-
-
-def backfill_missing_days(source: DataFrame, target: DataFrame, date_column: str) -> DataFrame:
+def backfill_missing_days(
+    source: DataFrame, target: DataFrame, date_column: str, partitioned: bool = True
+) -> DataFrame:
     """Source rows of the days the target lacks, in the target's columns.
 
-    The target's days arrive as a scalar, so on a partitioned source the missing days are selected by partition.
+    On a source partitioned by the date the target's days arrive as a scalar list and select whole partitions, so
+    days the target has are never read. On any other source they are a broadcast hash table. Either way there is
+    one element per calendar day.
     """
-    missing = source.filter(~F.array_contains(_days(target, date_column), F.col(date_column)))
+    days = target.select(F.to_date(date_column).alias("_day")).distinct()
+    if partitioned:
+        present = days.agg(F.collect_set("_day")).scalar()
+        missing = source.filter(~F.array_contains(present, F.col(date_column)))
+    else:
+        missing = source.join(F.broadcast(days), F.col(date_column) == F.col("_day"), "left_anti")
     return missing.select(*target.columns)
 
 
@@ -377,33 +382,30 @@ def history_day_reconcile(source: DataFrame, target: DataFrame, date_column: str
 
 
 def backfill_log_timing(
-    log: DataFrame, table_column: str, time_column: str, now: Column, tie_break: str, cuts: int = 200
+    log: DataFrame, table_column: str, time_column: str, now: Column, tie_break: str, cuts: int = 100
 ) -> DataFrame:
     """Per log row: the table's previous log time, seconds since it, and seconds from the row to ``now``.
 
-    A table may own most of the log, so a table's times are not sorted in one task. They are cut into ranges at
-    approximate quantiles, neighbours are found inside a range, and a range's first time takes the last time of
-    the nearest earlier range. Equal times of a table are one entry during this; the lowest ``tie_break`` among
-    them gets the earlier time and the others the same time.
+    A table may own most of the log, so a table's times are not sorted in one task. Times are cut into ranges at
+    approximate quantiles of the whole log, which bounds every range whatever table its rows belong to. Neighbours
+    are found inside a table's range; a range's first time takes the last time of the table's nearest earlier
+    range. Equal times of a table are one entry meanwhile: the lowest ``tie_break`` among them gets the earlier
+    time, the others the same time.
     """
     t, x = table_column, time_column
     shares = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-    times = log.filter(F.col(x).isNotNull()).groupBy(t, x).agg(F.min(tie_break).alias("_first"))
-    bounds = log.groupBy(F.col(t).alias("_t")).agg(F.percentile_approx(x, shares, 1000).alias("_bounds"))
-    ranged = times.join(bounds, F.col(t).eqNullSafe(F.col("_t"))).select(
-        t, x, "_first", F.size(F.filter("_bounds", lambda b: b < F.col(x))).alias("_range")
-    )
-    inside = Window.partitionBy(t, "_range").orderBy(x)
-    near = ranged.withColumn("_near", F.lag(x).over(inside))
-    # At most ``cuts`` rows per table from here on.
-    ends = ranged.groupBy(t, "_range").agg(F.max(x).alias("_end"))
-    earlier = ends.select(
-        F.col(t).alias("_t"), F.col("_range").alias("_r"), F.lag("_end").over(Window.partitionBy(t).orderBy("_range")).alias("_far")
-    )
-    previous = near.join(earlier, F.col(t).eqNullSafe(F.col("_t")) & (F.col("_range") == F.col("_r"))).select(
-        F.col(t).alias("_pt"), F.col(x).alias("_px"), "_first", F.coalesce("_near", "_far").alias("_prev")
+    bounds = log.agg(F.percentile_approx(x, shares, 10_000)).scalar()
+    table = F.struct(t)  # unlike a bare NULL, a struct holding NULL equals itself in a join
+    times = log.filter(F.col(x).isNotNull()).groupBy(table.alias("_t"), F.col(x).alias("_x")).agg(F.min(tie_break).alias("_first"))
+    ranged = times.withColumn("_bounds", bounds).select(
+        "_t", "_x", "_first", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col("_x"))), F.lit(0)).alias("_range")
     )
-    joined = log.join(previous, F.col(t).eqNullSafe(F.col("_pt")) & (F.col(x) == F.col("_px")), "left")
+    near = ranged.withColumn("_near", F.lag("_x").over(Window.partitionBy("_t", "_range").orderBy("_x")))
+    # At most ``cuts`` rows per table.
+    ends = ranged.groupBy("_t", "_range").agg(F.max("_x").alias("_end"))
+    earlier = ends.withColumn("_far", F.lag("_end").over(Window.partitionBy("_t").orderBy("_range"))).drop("_end")
+    previous = near.join(earlier, ["_t", "_range"]).select("_t", "_x", "_first", F.coalesce("_near", "_far").alias("_prev"))
+    joined = log.join(previous, (table == F.col("_t")) & (F.col(x) == F.col("_x")), "left")
 
     def whole_seconds(time: Column) -> Column:
         micros = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), time.cast("timestamp_ntz"))
@@ -414,7 +416,7 @@ def backfill_log_timing(
         joined.withColumn("previous_time", last)
         .withColumn("seconds_since_previous", whole_seconds(F.col(x)) - whole_seconds(F.col("previous_time")))
         .withColumn("seconds_until_now", whole_seconds(now) - whole_seconds(F.col(x)))
-        .drop("_pt", "_px", "_first", "_prev")
+        .drop("_t", "_x", "_first", "_prev")
     )
 
 

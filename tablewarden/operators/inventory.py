@@ -62,25 +62,15 @@ def column_inventory(
 
 def _measured(schema: str, relation: str, df: DataFrame) -> DataFrame:
     """Per column of one relation: filled rows and longest text, from one scan."""
-    names = df.columns
-    counters = [F.count(F.col(f"`{n}`")).alias(f"f{i}") for i, n in enumerate(names)]
-    for i, field in enumerate(df.schema.fields):
-        if isinstance(field.dataType, T.StringType):
-            counters.append(F.max(F.length(F.col(f"`{field.name}`"))).alias(f"l{i}"))
-        else:
-            counters.append(F.lit(None).cast("int").alias(f"l{i}"))
-    rows = [
-        F.struct(
-            F.lit(schema).alias("schema_name"),
-            F.lit(relation).alias("relation_name"),
-            F.lit(n).alias("column_name"),
-            F.col("n").alias("row_count"),
-            F.col(f"f{i}").alias("filled_rows"),
-            F.col(f"l{i}").alias("longest_text"),
-        )
-        for i, n in enumerate(names)
-    ]
-    return df.agg(F.count("*").alias("n"), *counters).select(F.inline(F.array(*rows)))
+    measures = []
+    for field in df.schema.fields:
+        name = "`" + field.name.replace("`", "``") + "`"
+        longest = f"max(length({name}))" if isinstance(field.dataType, T.StringType) else "cast(null as int)"
+        measures.append(F.expr(f"struct(count(*) as row_count, count({name}) as filled_rows, {longest} as longest_text) as {name}"))
+    wide = df.agg(*measures)
+    return wide.unpivot([], [F.col("`" + c.replace("`", "``") + "`") for c in wide.columns], "column_name", "m").select(
+        F.lit(schema).alias("schema_name"), F.lit(relation).alias("relation_name"), "column_name", "m.*"
+    )
 
 
 def measured_inventory(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:

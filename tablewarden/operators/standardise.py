@@ -154,7 +154,8 @@ def fuzzy_match(
     Copies of a value are one candidate, however many there are. Candidates share a deletion variant: every pair
     within the limit does, so none is missed, and values farther apart than twice the limit never meet, so there
     is no block of unrelated values to compare. A value of n characters has on the order of n ** maximum variants;
-    they travel as 64-bit hashes, and the distance is checked on the texts.
+    they travel as 64-bit hashes, and the distance is checked on the texts. The merge hint keeps the exploded side
+    from being broadcast on the size it had before.
     """
     if maximum is None or maximum < 0:
         raise ValueError("matching needs a maximum distance; edit_distance takes any pair")
@@ -170,7 +171,7 @@ def fuzzy_match(
     distance = edit_distance("left_value", "right_value", maximum, fold_case=False)
     return (
         variants(left, left_column, "left")
-        .join(variants(right, right_column, "right"), "variant")
+        .join(variants(right, right_column, "right").hint("merge"), "variant")
         .select("left_value", "right_value", distance.alias("distance"), "left_rows", "right_rows")
         .filter("distance is not null")
         .distinct()

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import checks as C
 
@@ -133,19 +133,10 @@ def phone_ok(relation: str, column: str, codes: str, code_column: str, **kw) ->
                  rows=lambda t: C.phone_ok(t[relation], column, t[codes], code_column), **kw)
 
 
-def _described(relation: Relation, check: Check, failures: Column, n_rows: Column) -> Column:
-    return F.struct(
-        F.lit(relation.database).alias("database_name"),
-        F.lit(relation.schema).alias("schema_name"),
-        F.lit(relation.name).alias("relation_name"),
-        F.lit(check.test).alias("test_name"),
-        F.lit(check.column).cast("string").alias("column_name"),
-        F.lit(check.unique_id).alias("unique_id"),
-        F.lit(check.severity).alias("severity"),
-        F.lit(check.text).alias("sql"),
-        failures.cast("bigint").alias("rows_on_error"),
-        n_rows.cast("bigint").alias("rows_in_relation"),
-    )
+DESCRIPTION_SCHEMA = (
+    "_check int, database_name string, schema_name string, relation_name string, test_name string, "
+    "column_name string, unique_id string, severity string, sql string"
+)
 
 
 def run_suite(relations: Iterable[Relation], suite: Iterable[Check]) -> DataFrame:
@@ -156,36 +147,42 @@ def run_suite(relations: Iterable[Relation], suite: Iterable[Check]) -> DataFram
     """
     by_name = {r.name: r for r in relations}
     tables = {name: r.df for name, r in by_name.items()}
-    suite = list(suite)
-    parts = []
+    numbered = list(enumerate(suite))
+    described, counted = [], []
     for name, relation in by_name.items():
-        own = [c for c in suite if c.relation == name]
+        own = [(i, c) for i, c in numbered if c.relation == name]
         if not own:
             continue
-        fused = [c for c in own if c.rows is None]
-        counters = [F.count("*").alias("n")]
-        for i, check in enumerate(fused):
+        size = -1 - len(counted)  # stands for the relation's row count among the check numbers
+        counters = [F.count("*").alias(str(size))]
+        for i, check in own:
             if check.predicate is not None:
-                counters.append(F.count_if(check.predicate()).alias(f"c{i}"))
+                counters.append(F.count_if(check.predicate()).alias(str(i)))
+            elif check.always is not None:
+                counters.append((F.count_if(check.always()) == F.count("*")).cast("bigint").alias(str(i)))
             else:
-                counters.append((F.count_if(check.always()) == F.count("*")).cast("bigint").alias(f"c{i}"))
+                failing = check.rows(tables).agg(F.count("*").alias("rows_on_error"))
+                counted.append(failing.select(F.lit(str(i)).alias("_check"), "rows_on_error"))
         counts = relation.df.agg(*counters)
-        described = [_described(relation, c, F.col(f"c{i}"), F.col("n")) for i, c in enumerate(fused)]
-        if described:
-            parts.append(counts.select(F.inline(F.array(*described))))
-        for check in own:
-            if check.rows is not None:
-                failing = check.rows(tables).agg(F.count("*").alias("c"))
-                total = relation.df.agg(F.count("*").alias("n")).scalar()
-                parts.append(failing.select(F.inline(F.array(_described(relation, check, F.col("c"), total)))))
-    outcomes = reduce(DataFrame.unionByName, parts)
-    return outcomes.withColumn(
-        "result", F.when(F.col("rows_on_error") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+        counted.append(counts.unpivot([], [f"`{c}`" for c in counts.columns], "_check", "rows_on_error"))
+        place = (relation.database, relation.schema, relation.name)
+        described.append((size, *place, None, None, None, None, None))
+        described += [(i, *place, c.test, c.column, c.unique_id, c.severity, c.text) for i, c in own]
+    outcomes = reduce(DataFrame.unionByName, counted).withColumn("_check", F.col("_check").cast("int"))
+    # One description per check the caller listed: small enough to broadcast by construction.
+    descriptions = outcomes.sparkSession.createDataFrame(described, DESCRIPTION_SCHEMA)
+    same_relation = Window.partitionBy("database_name", "schema_name", "relation_name")
+    row_count = F.max(F.when(F.col("_check") < 0, F.col("rows_on_error"))).over(same_relation)
+    result = F.when(F.col("rows_on_error") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+    return (
+        outcomes.join(F.broadcast(descriptions), "_check")
+        .withColumn("rows_in_relation", row_count)
+        .filter("_check >= 0")
+        .withColumn("result", result)
+        .drop("_check")
     )
 
 
-
-
 def test_results(outcomes: DataFrame) -> DataFrame:
     """The check-result table."""
     return outcomes.select("database_name", "schema_name", "relation_name", "test_name", "unique_id", "result")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from ..operators import checks, health, suite
+from ..sources import run_files
+from . import run_texts
 from .registry import Tables, query
 
 DIRTY = ("customer_dirty",)
@@ -89,17 +91,19 @@ def _(t: Tables):
 ALWAYS_SQL = """
     select * from (
       select cast(sum(cast({condition} as int)) as bigint) as empty_rows, count(*) as all_rows
-      from (select case when c_nationkey = 3 then '' end as remark from customer) c
+      from (select case when c_nationkey = 3 then '' end as remark, case when c_nationkey > 99 then '' end as note from customer) c
     ) n where empty_rows = all_rows"""
 
 
 def _remarks(t: Tables):
-    return t.customer.selectExpr("case when c_nationkey = 3 then '' end as remark")
+    return t.customer.selectExpr(
+        "case when c_nationkey = 3 then '' end as remark", "case when c_nationkey > 99 then '' end as note"
+    )
 
 
-@query("chk_not_always_null", ALWAYS_SQL.format(condition="remark is null"))
+@query("chk_not_always_null", ALWAYS_SQL.format(condition="note is null"))
 def _(t: Tables):
-    return checks.not_always_null(_remarks(t), "remark")
+    return checks.not_always_null(_remarks(t), "note")
 
 
 @query("chk_not_always_empty", ALWAYS_SQL.format(condition="remark is null or remark = ''"))
@@ -366,3 +370,10 @@ def _(t: Tables):
 @query("health_nested")
 def _(t: Tables):
     return health.health_report(suite.test_results(outcomes(t)))
+
+
+@query("health_document")
+def _(t: Tables):
+    found = outcomes(t)
+    header = run_files.check_log_header(run_texts.check_log(t))
+    return health.health_document("warehouse", suite.test_results(found), suite.test_errors(found), header)

@@ -180,7 +180,7 @@ def _(t: Tables):
     ("user_state_history", "gappy_history"),
 )
 def _(t: Tables):
-    return history.backfill_missing_days(t.user_state_history, t.gappy_history, "snap_date")
+    return history.backfill_missing_days(t.user_state_history, t.gappy_history, "snap_date", partitioned=False)
 
 
 @query(
@@ -191,7 +191,7 @@ def _(t: Tables):
     ("user_state_history", "gappy_history"),
 )
 def _(t: Tables):
-    missing = history.backfill_missing_days(t.user_state_history, t.gappy_history, "snap_date")
+    missing = history.backfill_missing_days(t.user_state_history, t.gappy_history, "snap_date", partitioned=False)
     return history.backfill_log("user_state", missing, "snap_date", F.to_timestamp_ntz(F.lit(NOW)))
 
 

@@ -169,12 +169,16 @@ DERIVED = {
 }
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table or derived relation."""
-    if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    derived = DERIVED[name]
-    return spark.sql(derived.sql, **{need: frame(spark, sf_dir, need) for need in derived.needs})
+def frame(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A supplied table or derived relation; ``known`` keeps the ones already resolved."""
+    known = {} if known is None else known
+    if name not in known:
+        if name in TABLES:
+            known[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            derived = DERIVED[name]
+            known[name] = spark.sql(derived.sql, **{need: frame(spark, sf_dir, need, known) for need in derived.needs})
+    return known[name]
 
 
 def _ordered(names: tuple[str, ...]) -> list[str]:

@@ -19,9 +19,10 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._known: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return frame(self.spark, self.sf_dir, name)
+        return frame(self.spark, self.sf_dir, name, self._known)
 
 
 def query(name: str, sql: str | None = None, inputs: tuple[str, ...] = ()):

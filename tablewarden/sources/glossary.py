@@ -56,7 +56,7 @@ def glossary_from_tables(concepts: DataFrame, implementations: DataFrame, data_f
 
     ``concepts``: id, name, description. ``implementations``: concept_id, column_name, type_id, max_length, data_form.
     """
-    used = implementations.filter(F.col("data_form") == data_form)
-    return used.join(concepts, used["concept_id"] == concepts["id"]).select(
-        concepts["name"].alias("concept_name"), "description", "column_name", "type_id", "max_length"
+    used = implementations.filter(F.col("data_form") == data_form).alias("i")
+    return used.join(concepts.alias("c"), F.col("i.concept_id") == F.col("c.id")).select(
+        F.col("c.name").alias("concept_name"), "c.description", "i.column_name", "i.type_id", "i.max_length"
     )

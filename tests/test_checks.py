@@ -173,3 +173,27 @@ def test_error_list_without_row_count(spark):
     assert [r.error_percentage for r in health.error_list(errors).collect()] == [None, 12.5]
     sizes = spark.createDataFrame([("d", "s", "r", 50)], "database_name string, schema_name string, relation_name string, row_count bigint")
     assert [r.error_percentage for r in health.error_list(errors, sizes).collect()] == [10.0, 10.0]
+
+
+def test_daily_job_is_repeatable(spark):
+    from datetime import date
+
+    from tablewarden.operators import history
+    from tablewarden.plans.check_queries import SUITE, _suite_relations
+    from tablewarden.plans.daily_job import run_daily
+    from tablewarden.plans.registry import Tables
+    from tablewarden.session import new_shared_path
+
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    relations, root = _suite_relations(tables), new_shared_path(spark, "daily")
+    picked = [c for c in SUITE if c.relation in ("customer", "nation")]
+    for _ in range(2):
+        paths = run_daily(
+            spark, relations, picked, root, date(2024, 1, 1), {"nation_v1": tables.nation}, "daily_snapshot", "daily_history"
+        )
+    outcomes = spark.read.parquet(paths["outcome"])
+    assert outcomes.count() == len(picked)
+    for row in outcomes.filter("result = 'fail'").collect():
+        assert spark.read.parquet(paths[f"violations/{row.unique_id}"]).count() == row.rows_on_error
+    assert spark.table("daily_history.nation").count() == 25
+    assert spark.read.parquet(paths["health"]).filter("level = 'overall'").first().total_count == len(picked)

@@ -153,10 +153,23 @@ def test_backfill(spark):
     assert history.backfill_before(source, empty, "day", D3).count() == 3
     assert {r.day.day for r in history.backfill_missing_days(source, target, "day").collect()} == {1, 3, 5, 6}
     assert history.backfill_missing_days(source, empty, "day").count() == 6
+    assert {r.day.day for r in history.backfill_missing_days(source, target, "day", partitioned=False).collect()} == {1, 3, 5, 6}
     lacking = history.history_day_reconcile(source, target, "day").collect()
     assert [(r.day.day, r.source_count, r.target_count) for r in lacking] == [(1, 1, 0), (3, 1, 0), (5, 1, 0), (6, 1, 0)]
 
 
+def test_backfill_reads_missing_partitions_only(spark, table):
+    source = spark.range(3).toDF("id")
+    history.snapshot_bootstrap(spark, source, table, "day", new_shared_path(spark, table))
+    for day in (D1, D2, D3):
+        history.snapshot_append(spark, source, table, "id", "day", day)
+    target = spark.table(table).filter(F.col("day") != D2)
+    missing = history.backfill_missing_days(spark.table(table), target, "day")
+    assert missing.count() == 3
+    filters = [line for line in missing._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line]
+    assert any("array_contains" in line.split("PartitionFilters")[1] for line in filters)
+
+
 def test_backfill_run_is_repeatable(spark, table):
     source = spark.sql("select id as x, date_add(date'2024-01-01', cast(id % 5 as int)) as day from range(50)")
     history.snapshot_bootstrap(spark, source.select("x"), table, "day", new_shared_path(spark, table))
