@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from .common import as_column
@@ -36,53 +38,52 @@ def conform_date(text: Column | str, mask: str) -> Column:
     return F.when(usable, F.try_to_date(iso, "yyyy-MM-dd"))
 
 
-def date_reason(text: Column | str, mask: str) -> Column:
-    """Why :func:`conform_date` gave NULL: ``missing``, ``too short`` or ``invalid``; NULL for a good date."""
+def date_reason(text: Column | str, mask: str, conformed: Column | str | None = None) -> Column:
+    """Why :func:`conform_date` gave NULL: ``missing``, ``too short`` or ``invalid``; NULL for a good date.
+
+    ``conformed`` is the date if it has been computed already.
+    """
     text = as_column(text)
-    size = F.length(F.trim(text))
+    result = conform_date(text, mask) if conformed is None else as_column(conformed)
     return (
         F.when(text.isNull(), F.lit("missing"))
-        .when(size < len(mask), F.lit("too short"))
-        .when(conform_date(text, mask).isNull(), F.lit("invalid"))
+        .when(F.length(F.trim(text)) < len(mask), F.lit("too short"))
+        .when(result.isNull(), F.lit("invalid"))
     )
 
 
-def _time_text(text: Column, separator: str) -> Column:
-    """Text with padding and separators filled in; an inserted separator is always a colon."""
-    padded = F.when(F.length(text) < 3, F.lpad(text, 4, "0")).when(
-        F.length(text) == 3, F.concat(F.lit("0"), text)
-    ).otherwise(text)
+VALID_TIME = r"^([01]\d|2[0-3]):[0-5]\d(:[0-5]\d)?$"
 
-    def with_colon(value: Column, at: int) -> Column:
-        return F.concat(F.substring(value, 1, at - 1), F.lit(":"), F.substring(value, at, 1 << 20))
 
-    hours = F.when(
-        (F.length(padded) >= 4) & (F.instr(padded, separator) != 3), with_colon(padded, 3)
-    ).otherwise(padded)
-    return F.when(
-        (F.length(hours) > 5) & (F.instr(F.reverse(hours), separator) != 3), with_colon(hours, 6)
-    ).otherwise(hours)
+def read_time(text: Column | str, separator: str = ":") -> Column:
+    """``HH:mm:ss`` from text such as ``5`` (minutes), ``930``, ``1230``, ``123015`` or ``12:30``; NULL if unreadable.
 
-
-def _valid_time(value: Column) -> Column:
-    """``HH:mm:ss`` of a well-formed time of day, else NULL."""
-    shape = r"^([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d)?$"
-    full = F.when(F.length(value) - F.length(F.replace(value, F.lit(":"))) == 1, F.concat(value, F.lit(":00"))).otherwise(value)
-    return F.when(value.rlike(shape), F.lpad(full, 8, "0"))
+    Short text is padded with zeros to four characters. A colon is inserted before the third character unless a
+    separator stands there, and before the sixth unless one stands third from the end. Each step is a replacement
+    of the one before, so the expression does not repeat its input.
+    """
+    value = as_column(text)
+    mark = re.escape(separator)
+    padded = F.lpad(value, F.greatest(F.length(value), F.lit(4)), F.lit("0"))
+    minutes = F.regexp_replace(padded, f"^(..)(?!{mark})", "$1:")
+    seconds = F.regexp_replace(minutes, f"^(?!.*{mark}[^{mark}]{{2}}$)(.{{5}})(.+)$", "$1:$2")
+    return F.when(seconds.rlike(VALID_TIME), F.rpad(seconds, 8, ":00"))
 
 
 def conform_time(text: Column | str, default: str | None = None, separator: str = ":") -> Column:
     """Time of day as ``HH:mm:ss`` text; NULL or unreadable text gives the default (NULL if that is unreadable)."""
-    fallback = _valid_time(F.lit(default).cast("string"))
-    return F.coalesce(_valid_time(_time_text(as_column(text), separator)), fallback)
+    return F.coalesce(read_time(text, separator), default_time(default))
 
 
-def time_reason(text: Column | str, separator: str = ":") -> Column:
-    """Why the default was used: ``missing`` or ``invalid``; NULL for a readable time."""
-    text = as_column(text)
-    return F.when(text.isNull(), F.lit("missing")).when(
-        _valid_time(_time_text(text, separator)).isNull(), F.lit("invalid")
-    )
+def default_time(default: str | None) -> Column:
+    """The default as ``HH:mm:ss`` text, NULL if it is no time."""
+    value = F.lit(default).cast("string")
+    return F.when(value.rlike(VALID_TIME), F.rpad(value, 8, ":00"))
+
+
+def time_reason(text: Column | str, read: Column | str) -> Column:
+    """Why the default was used: ``missing`` or ``invalid``; NULL where ``read`` holds a time."""
+    return F.when(as_column(text).isNull(), F.lit("missing")).when(as_column(read).isNull(), F.lit("invalid"))
 
 
 def second_of_day(time_text: Column | str) -> Column:

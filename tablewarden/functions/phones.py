@@ -10,14 +10,16 @@ DEFAULT_COUNTRY_CODE = "354"
 
 
 def e164_digits(phone: Column | str, country_code: str = DEFAULT_COUNTRY_CODE) -> Column:
-    """Digits of an E.164 number: separators and a leading ``00`` dropped, short numbers get the country code."""
+    """Digits of an E.164 number: separators and a leading ``00`` dropped, short numbers get the country code.
+
+    Each step is a replacement of the one before, so the expression does not repeat its input.
+    """
     bare = F.regexp_replace(as_column(phone), "[-+ ]", "")
-    without_exit = F.when((F.length(bare) > 2) & bare.startswith("00"), F.substring(bare, 3, 1 << 20)).otherwise(bare)
-    return F.when(F.length(without_exit) < 10, F.concat(F.lit(country_code), without_exit)).otherwise(without_exit)
+    international = F.regexp_replace(bare, "^00(?=.)", "")
+    return F.regexp_replace(international, "^(.{0,9})$", f"{country_code}$1")
 
 
 def msisdn(phone: Column | str, country_code: str = DEFAULT_COUNTRY_CODE) -> Column:
     """MSISDN with its plus sign: seven-digit numbers get the country code."""
     bare = F.regexp_replace(as_column(phone), "[- ]", "")
-    national = F.when(F.length(bare) == 7, F.concat(F.lit(country_code), bare)).otherwise(bare)
-    return F.when(national.startswith("+"), national).otherwise(F.concat(F.lit("+"), national))
+    return F.regexp_replace(F.regexp_replace(bare, "^(.{7})$", f"{country_code}$1"), r"^(?!\+)", "+")

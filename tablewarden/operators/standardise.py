@@ -69,15 +69,17 @@ def standardise_phones(
 
 def conform_dates(df: DataFrame, column: str, mask: str) -> DataFrame:
     return df.withColumn("conformed_date", dates.conform_date(column, mask)).withColumn(
-        "reason", dates.date_reason(column, mask)
+        "reason", dates.date_reason(column, mask, "conformed_date")
     )
 
 
 def conform_times(df: DataFrame, column: str, default: str | None = None, separator: str = ":") -> DataFrame:
+    read = df.withColumn("_read", dates.read_time(column, separator))
     return (
-        df.withColumn("conformed_time", dates.conform_time(column, default, separator))
+        read.withColumn("conformed_time", F.coalesce("_read", dates.default_time(default)))
         .withColumn("second_of_day", dates.second_of_day("conformed_time"))
-        .withColumn("reason", dates.time_reason(column, separator))
+        .withColumn("reason", dates.time_reason(column, "_read"))
+        .drop("_read")
     )
 
 

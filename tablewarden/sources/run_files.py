@@ -50,7 +50,12 @@ def read_texts(spark: SparkSession, path: str, whole_files: bool = False) -> Dat
 
 
 def _parsed(texts: DataFrame, schema: str, *keep: str) -> DataFrame:
-    return texts.select(*keep, F.from_json("value", schema).alias("j"))
+    """The fields of the JSON texts as columns.
+
+    As the only element of an inlined array a text is parsed once; as a struct column it would be parsed again for
+    every field that is used.
+    """
+    return texts.select(*keep, F.inline(F.array(F.from_json("value", schema))))
 
 
 def parse_check_log(texts: DataFrame, entry_name: str | None = None) -> DataFrame:
@@ -62,10 +67,9 @@ def parse_check_log(texts: DataFrame, entry_name: str | None = None) -> DataFram
     marked = F.regexp_replace("value", r"\}\s*\{", "}\u0001{")
     entries = texts.select(F.explode(F.split(marked, "\u0001")).alias("value"))
     if entry_name is None:
-        return _parsed(entries, LOG_SCHEMA).select("j.info", "j.data")
-    parsed = F.array(F.from_json("value", LOG_SCHEMA))
-    named = F.filter(parsed, lambda e: e["info"]["name"] == entry_name)
-    return entries.filter(F.col("value").contains(entry_name)).select(F.inline(named))
+        return _parsed(entries, LOG_SCHEMA)
+    likely = entries.filter(F.col("value").contains(entry_name))
+    return _parsed(likely, LOG_SCHEMA).filter(F.col("info.name") == entry_name)
 
 
 def check_log_results(texts: DataFrame) -> DataFrame:
@@ -91,7 +95,7 @@ def check_log_header(texts: DataFrame) -> DataFrame:
 def manifest_nodes(texts: DataFrame) -> DataFrame:
     """One row per manifest node: its key and its fields. ``doc`` numbers the manifests if the texts have it."""
     keep = ["doc"] if "doc" in texts.columns else []
-    return _parsed(texts, MANIFEST_SCHEMA, *keep).select(*keep, F.explode("j.nodes").alias("node_key", "node"))
+    return _parsed(texts, MANIFEST_SCHEMA, *keep).select(*keep, F.explode("nodes").alias("node_key", "node"))
 
 
 def parse_manifest_tests(texts: DataFrame) -> DataFrame:
@@ -102,7 +106,7 @@ def parse_manifest_tests(texts: DataFrame) -> DataFrame:
     value, so there is no join and no copy of the node map per test.
     """
     keep = ["doc"] if "doc" in texts.columns else []
-    nodes = F.col("j.nodes")
+    nodes = F.col("nodes")
 
     def test_row(entry):
         node = entry["value"]
@@ -126,7 +130,7 @@ def parse_manifest_tests(texts: DataFrame) -> DataFrame:
 
 def parse_catalog(texts: DataFrame) -> DataFrame:
     """One row per relation and column of the catalogs."""
-    relations = _parsed(texts, CATALOG_SCHEMA).select(F.explode("j.nodes").alias("node_key", "node"))
+    relations = _parsed(texts, CATALOG_SCHEMA).select(F.explode("nodes").alias("node_key", "node"))
     return relations.select("node_key", "node.metadata", F.explode("node.columns").alias("column_key", "column")).select(
         "node_key",
         F.col("metadata.database").alias("database_name"),
@@ -141,7 +145,7 @@ def parse_catalog(texts: DataFrame) -> DataFrame:
 def parse_run_results(texts: DataFrame) -> DataFrame:
     """Run-result documents; columns other than ``value`` (run id, operation, status, start) are kept."""
     keep = [c for c in texts.columns if c != "value"]
-    return _parsed(texts, RUN_RESULTS_SCHEMA, *keep).select(*keep, "j.*")
+    return _parsed(texts, RUN_RESULTS_SCHEMA, *keep)
 
 
 def parse_manifest_targets(texts: DataFrame) -> DataFrame:
@@ -150,7 +154,7 @@ def parse_manifest_targets(texts: DataFrame) -> DataFrame:
     The relation is a single reference, or the reference whose name comes first in the test's id; its schema is
     that of the model node of that name in the same manifest. A test without references has neither.
     """
-    nodes = F.col("j.nodes")
+    nodes = F.col("nodes")
     entries = F.map_entries(nodes)
 
     def target(entry):

@@ -61,7 +61,7 @@ def test_conform_time(values):
     assert values(dates.conform_time("v"), ["99:99", None]) == [None, None]
     assert values(dates.conform_time("v", "nonsense"), ["x"]) == [None]
     assert values(dates.second_of_day("v"), ["00:00:00", "23:59:59", None]) == [0, 86399, None]
-    assert values(dates.time_reason("v"), ["930", None, "zz"]) == [None, "missing", "invalid"]
+    assert values(dates.time_reason("v", dates.read_time("v")), ["930", None, "zz"]) == [None, "missing", "invalid"]
 
 
 def test_birthday(values):
