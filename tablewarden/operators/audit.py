@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.common import percentage
+from ..functions.common import own_shuffle, percentage
 from ..sources.run_files import parse_run_results
 
 
@@ -27,9 +27,11 @@ def audit_invocations(texts: DataFrame) -> DataFrame:
 
 def audit_actions(texts: DataFrame, manifest_nodes: DataFrame) -> DataFrame:
     """One row per action of the runs, with the relation its model writes ('' when the manifest does not say)."""
-    relations = manifest_nodes.filter("node.relation_name is not null").groupBy(
-        F.col("node.unique_id").alias("unique_id")
-    ).agg(F.max(F.replace(F.col("node.relation_name"), F.lit('"'), F.lit(""))).alias("relation_name"))
+    named = manifest_nodes.filter("node.relation_name is not null").select(
+        F.col("node.unique_id").alias("unique_id"),
+        F.replace(F.col("node.relation_name"), F.lit('"'), F.lit("")).alias("relation_name"),
+    )
+    relations = named.groupBy("unique_id", own_shuffle("unique_id")).agg(F.max("relation_name").alias("relation_name")).drop("_spread")
     actions = parse_run_results(texts.select("value")).select(
         F.col("metadata.invocation_id").alias("invocation_id"), F.inline("results")
     )

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.common import own_shuffle
 from ..functions.persons import (
     computed_check_digit,
     national_id_digits,
@@ -197,7 +198,7 @@ def relationship_defined(
 ) -> DataFrame:
     """Rows whose value is not among the target's keys; with ``existence=''`` rows whose value is."""
     key = F.col(to_column)
-    keys = to.filter(key.isNotNull()).select(key.alias("_key")).distinct()
+    keys = to.filter(key.isNotNull()).groupBy(key.alias("_key"), own_shuffle(key)).agg(F.lit(1)).select("_key")
     if existence.upper() != "NOT":
         return df.join(keys, F.col(column) == F.col("_key"), "left_semi")
     has_null = to.filter(key.isNull()).agg((F.count("*") > 0).alias("x")).scalar()
@@ -220,7 +221,7 @@ def relationship_cardinality(
     counted = to.filter(target_predicate)
     keys = (
         counted.filter(key.isNotNull())
-        .groupBy(key.alias("_key"))
+        .groupBy(key.alias("_key"), own_shuffle(key))
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n").between(low, high))
         .select("_key")

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.common import own_shuffle
+
 MAX_TEXT = 8000
 TEXT_TYPES = ("string", "char", "varchar")
 PRECISE_TYPES = ("decimal",)
@@ -37,7 +39,8 @@ def compare_summary(first: DataFrame, second: DataFrame, keys: Sequence[str]) ->
 
 def only_in_first(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the first side whose key the second lacks; a NULL key is never matched."""
-    other = second.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)]).distinct()
+    named = [F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)]
+    other = second.groupBy(*named, own_shuffle(*keys)).agg(F.lit(1)).select(*[f"_s{i}" for i in range(len(keys))])
     same = _all([F.col(k) == F.col(f"_s{i}") for i, k in enumerate(keys)])
     return first.join(other, same, "left_anti")
 
