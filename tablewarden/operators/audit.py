@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.common import own_shuffle, percentage
-from ..sources.run_files import parse_run_results
+from ..sources.run_files import manifest_nodes, parse_run_results, read_texts
 
 
 def audit_invocations(texts: DataFrame) -> DataFrame:
@@ -25,9 +27,9 @@ def audit_invocations(texts: DataFrame) -> DataFrame:
     )
 
 
-def audit_actions(texts: DataFrame, manifest_nodes: DataFrame) -> DataFrame:
+def audit_actions(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """One row per action of the runs, with the relation its model writes ('' when the manifest does not say)."""
-    named = manifest_nodes.filter("node.relation_name is not null").select(
+    named = nodes.filter("node.relation_name is not null").select(
         F.col("node.unique_id").alias("unique_id"),
         F.replace(F.col("node.relation_name"), F.lit('"'), F.lit("")).alias("relation_name"),
     )
@@ -46,6 +48,27 @@ def audit_actions(texts: DataFrame, manifest_nodes: DataFrame) -> DataFrame:
     )
 
 
+def ingest_run_results(
+    spark: SparkSession,
+    path: str,
+    manifest_path: str,
+    parent_run_id: str,
+    operation: str,
+    status: str,
+    start_time: datetime,
+) -> tuple[DataFrame, DataFrame]:
+    """Invocation and action rows of the run-result files below a path, all of one operation of one run."""
+    known = {
+        "parent_run_id": F.lit(parent_run_id),
+        "operation": F.lit(operation),
+        "status": F.lit(status),
+        "start_time": F.lit(start_time),
+    }
+    texts = read_texts(spark, path, whole_files=True).withColumns(known)
+    nodes = manifest_nodes(read_texts(spark, manifest_path, whole_files=True))
+    return audit_invocations(texts), audit_actions(texts, nodes)
+
+
 def append_audit(df: DataFrame, path: str, start_column: str = "start_time") -> None:
     """Append audit rows, partitioned by the day of the run."""
     df.withColumn("run_day", F.to_date(start_column)).write.mode("append").partitionBy("run_day").parquet(path)

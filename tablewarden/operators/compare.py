@@ -84,8 +84,12 @@ def data_difference(
     return pairs.filter("differing_columns <> ''").select("differing_columns", *shown, *counted)
 
 
+# History hash and creation date, which say nothing when versions are compared; ours, then Icelandic names.
+VERSION_BOOKKEEPING = ("row_hash", "valid_from", "saga_taetigildi", "stofndagur")
+
+
 def version_difference(
-    first: DataFrame, second: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ("row_hash", "valid_from")
+    first: DataFrame, second: DataFrame, keys: Sequence[str], ignore: Sequence[str] = VERSION_BOOKKEEPING
 ) -> DataFrame:
     """:func:`data_difference` between two versions of a relation, without their bookkeeping columns."""
     return data_difference(first, second, keys, ignore)

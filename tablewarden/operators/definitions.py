@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.common import percentage
+from ..functions.common import own_shuffle, percentage
 
 COLUMN_KEY = ("schema_name", "relation_name", "column_name")
 
@@ -142,13 +142,14 @@ def glossary_best_match(concepts: DataFrame, inventory: DataFrame) -> DataFrame:
     )
     best = (
         probed.hint("merge").join(known, F.col("probe") == F.col("matched_column_name"))
-        .groupBy("column_name")
+        .groupBy("column_name", own_shuffle("column_name"))
         .agg(
             F.min_by(
                 F.struct("concept_name", "description", "data_type", "max_length", "match_type_id", "matched_column_name"),
                 preference,
             ).alias("b")
         )
+        .drop("_spread")
     )
     return inventory.select(*COLUMN_KEY).join(best, "column_name", "left").select(
         *COLUMN_KEY,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.common import percentage
+from ..functions.common import own_shuffle, percentage
 
 LEVELS = ("database_name", "schema_name", "relation_name")
 
@@ -62,6 +62,12 @@ def health_rollup(results: DataFrame) -> DataFrame:
     return _with_percentages(rolled, ["level", *LEVELS])
 
 
+def _row_counts(cardinality: DataFrame) -> DataFrame:
+    """One row count per relation, free to be joined by shuffle when a relation has most of the entries."""
+    counts = cardinality.groupBy(*LEVELS, own_shuffle(*LEVELS)).agg(F.max("row_count").alias("rows_in_relation"))
+    return counts.drop("_spread")
+
+
 def error_list(errors: DataFrame, cardinality: DataFrame | None = None) -> DataFrame:
     """Failed checks with the share of violating rows.
 
@@ -69,8 +75,7 @@ def error_list(errors: DataFrame, cardinality: DataFrame | None = None) -> DataF
     count, kept as -1, gives a NULL share.
     """
     if cardinality is not None:
-        counted = cardinality.select(*LEVELS, F.col("row_count").alias("rows_in_relation"))
-        errors = errors.drop("rows_in_relation").join(counted, list(LEVELS), "left")
+        errors = errors.drop("rows_in_relation").join(_row_counts(cardinality), list(LEVELS), "left")
         errors = errors.withColumn("rows_in_relation", F.coalesce("rows_in_relation", F.lit(-1).cast("bigint")))
     rows = F.col("rows_in_relation")
     # Sorting samples its input first; the rebalance keeps that from running the checks' plans twice.
@@ -101,9 +106,8 @@ def attributed_results(attributed: DataFrame) -> DataFrame:
 
 def attributed_errors(attributed: DataFrame, cardinality: DataFrame) -> DataFrame:
     """Failed entries in the shape :func:`error_list` reads; a relation without a row count gets -1."""
-    counted = cardinality.select(*LEVELS, F.col("row_count").alias("rows_in_relation"))
     failed = attributed.filter("status = 'fail'")
-    return failed.join(counted, list(LEVELS), "left").select(
+    return failed.join(_row_counts(cardinality), list(LEVELS), "left").select(
         *LEVELS,
         "test_name",
         "unique_id",

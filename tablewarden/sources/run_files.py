@@ -177,3 +177,32 @@ def parse_manifest_targets(texts: DataFrame) -> DataFrame:
 
     tests = F.filter(entries, lambda e: e["value"]["resource_type"] == "test")
     return _parsed(texts, MANIFEST_SCHEMA).select(F.inline(F.transform(tests, target)))
+
+
+# Readers of files; a run file is one document, a check log may hold one entry per line.
+
+
+def read_check_log(spark: SparkSession, path: str, whole_files: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Outcomes and headers of the check logs below a path."""
+    texts = read_texts(spark, path, whole_files)
+    return check_log_results(texts), check_log_header(texts)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The tests of the manifests below a path, as :func:`parse_manifest_tests` gives them."""
+    return parse_manifest_tests(read_texts(spark, path, whole_files=True))
+
+
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of the catalogs below a path."""
+    return parse_catalog(read_texts(spark, path, whole_files=True))
+
+
+def manifest_models(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Relation descriptions (node_key, description) and column descriptions (node_key, column_name, description)."""
+    nodes = manifest_nodes(texts)
+    models = nodes.select("node_key", F.col("node.description").alias("description"))
+    columns = nodes.select("node_key", F.explode("node.columns").alias("column_name", "column")).select(
+        "node_key", "column_name", F.col("column.description").alias("description")
+    )
+    return models, columns

@@ -265,3 +265,47 @@ def test_top_actions_limit_and_share(spark):
         as t(id, operation, status, parameters, execution_time_in_seconds, start_time)""")
     actions = spark.sql("select * from values ('r2', 'a', 50.0D, 'success'), ('r2', 'b', 100.0D, 'success'), ('r1', 'c', 1.0D, 'success') as t(invocation_id, unique_id, execution_time_in_seconds, status)")
     assert [tuple(r)[:3] for r in audit.top_expensive_actions(runs, actions, "refresh", n=1).collect()] == [("b", 100.0, 50.0)]
+
+
+def test_run_files_from_disk(spark, tmp_path):
+    manifest = {"nodes": {
+        "model.p.orders": {"resource_type": "model", "unique_id": "model.p.orders", "name": "orders", "schema": "sales",
+                           "relation_name": '"db"."sales"."orders"', "description": "All orders",
+                           "columns": {"id": {"name": "id", "description": "Key"}, "n": {"name": "n"}}},
+        "test.p.t1": {"resource_type": "test", "unique_id": "test.p.t1", "database": "db", "path": "t1.sql", "compiled_path": "c/t1.sql",
+                      "file_key_name": "models.orders", "depends_on": {"nodes": ["source.x.orders", "model.p.orders"]}},
+        "test.p.t2": {"resource_type": "test", "unique_id": "test.p.t2", "database": "db", "path": "t2.sql", "compiled_path": "c/t2.sql",
+                      "compiled_code": "select 1", "file_key_name": "models.other", "depends_on": {"nodes": ["model.p.orders"]}},
+    }}
+    catalog = {"nodes": {"model.p.orders": {"metadata": {"database": "db", "schema": "sales", "name": "orders"},
+                                            "columns": {"id": {"name": "id", "index": 1}, "n": {"name": "n", "index": 2}}}}}
+    results = {"metadata": {"dbt_version": "1.5", "invocation_id": "run"}, "elapsed_time": 3.5, "args": {"which": "run"},
+               "results": [{"unique_id": "model.p.orders", "status": "success", "execution_time": 2.0, "thread_id": "T1",
+                            "adapter_response": {"rows_affected": 7}},
+                           {"unique_id": "model.p.gone", "status": "error", "execution_time": 0.1, "thread_id": "T2", "adapter_response": {}}]}
+    for name, content in (("manifest", manifest), ("catalog", catalog), ("results", results)):
+        (tmp_path / f"{name}.json").write_text(json.dumps(content, indent=2))
+
+    def path(name):
+        return str(tmp_path / f"{name}.json")
+
+    tests = {r.unique_id: (r.schema_name, r.relation_name, r.sql) for r in run_files.read_manifest(spark, path("manifest")).collect()}
+    assert tests == {"test.p.t1": ("sales", "orders", "Not found!"), "test.p.t2": ("UNKNOWN", "UNKNOWN", "select 1")}
+    columns = run_files.read_catalog(spark, path("catalog"))
+    assert {(r.schema_name, r.relation_name, r.column_name, r.ordinal) for r in columns.collect()} == {
+        ("sales", "orders", "id", 1), ("sales", "orders", "n", 2),
+    }
+    models, described = run_files.manifest_models(run_files.read_texts(spark, path("manifest"), whole_files=True))
+    inv = spark.createDataFrame([("sales", "orders", "id", "bigint", 0, 19, 0)], "schema_name string, relation_name string, "
+                                "column_name string, data_type string, char_length int, numeric_precision int, numeric_scale int")
+    enriched = definitions.enrich_catalog(columns, models, described, inv, definitions.empty_glossary(columns))
+    read = {r.column_name: (r.relation_description, r.column_description, r.type_name, r.glossary_name) for r in enriched.collect()}
+    assert read == {"id": ("All orders", "Key", "bigint", ""), "n": ("All orders", "", None, "")}
+    from datetime import datetime
+
+    runs, actions = audit.ingest_run_results(spark, path("results"), path("manifest"), "parent", "refresh", "success", datetime(2024, 1, 1))
+    run = runs.first()
+    assert (run.id, run.parent_run_id, run.execution_time_in_seconds, run.parameters) == ("run", "parent", 3.5, '{"which":"run"}')
+    assert {tuple(r) for r in actions.collect()} == {
+        ("run", "model.p.orders", "db.sales.orders", "success", 2.0, 7, "T1"), ("run", "model.p.gone", "", "error", 0.1, 0, "T2"),
+    }
