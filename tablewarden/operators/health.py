@@ -77,9 +77,13 @@ def error_list(errors: DataFrame, cardinality: DataFrame | None = None) -> DataF
     if cardinality is not None:
         errors = errors.drop("rows_in_relation").join(_row_counts(cardinality), list(LEVELS), "left")
         errors = errors.withColumn("rows_in_relation", F.coalesce("rows_in_relation", F.lit(-1).cast("bigint")))
-    rows = F.col("rows_in_relation")
     # Sorting samples its input first; the rebalance keeps that from running the checks' plans twice.
-    return errors.hint("rebalance").select(
+    return _error_rows(errors.hint("rebalance")).orderBy(*LEVELS, "test_name", "unique_id")
+
+
+def _error_rows(errors: DataFrame) -> DataFrame:
+    rows = F.col("rows_in_relation")
+    return errors.select(
         *LEVELS,
         "test_name",
         "unique_id",
@@ -89,7 +93,7 @@ def error_list(errors: DataFrame, cardinality: DataFrame | None = None) -> DataF
         "rows_in_relation",
         "query_path",
         "sql",
-    ).orderBy(*LEVELS, "test_name", "unique_id")
+    )
 
 
 def attribute_tests(log: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -162,7 +166,7 @@ def health_document(api_name: str, results: DataFrame, errors: DataFrame, header
     It holds one entry per relation and per failed check.
     """
     everything = _lift(_databases(results), [], "database_name", ["schemas"], "databases")
-    failed = error_list(errors).drop("sql")
+    failed = _error_rows(errors)
     listed = failed.agg(F.sort_array(F.collect_list(F.struct(*failed.columns))).alias("errors")).scalar()
     run = header.agg(F.max_by(F.struct("version", "executed_at", "invocation_id"), F.struct("executed_at", "invocation_id")))
     return everything.select(

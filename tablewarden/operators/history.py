@@ -264,8 +264,33 @@ def create_scd2_view(
 # Latest state and unified dimensions.
 
 
+def partition_days(spark: SparkSession, table: str, date_column: str) -> list[date]:
+    """The days a history table has partitions for, oldest first, from the catalog: no file is opened."""
+    marker = f"{date_column}="
+    named = [part for row in spark.sql(f"SHOW PARTITIONS {_identifier(table)}").collect() for part in row[0].split("/")]
+    days = {part[len(marker):] for part in named if part.startswith(marker)}
+    return sorted(date.fromisoformat(day) for day in days if not day.startswith("__"))
+
+
+def newest_day(spark: SparkSession, table: str, date_column: str) -> date | None:
+    """The newest day with rows. A day cleared by an empty source keeps an empty partition and is passed over."""
+    for day in reversed(partition_days(spark, table, date_column)):
+        if not spark.table(table).filter(F.col(date_column) == F.lit(day)).isEmpty():
+            return day
+    return None
+
+
+def latest_rows_of(spark: SparkSession, table: str, date_column: str) -> DataFrame:
+    """:func:`latest_rows` of a history table. The day comes from the catalog, so only its own files are opened."""
+    day = F.lit(newest_day(spark, table, date_column)).cast("date")
+    return spark.table(table).filter(F.col(date_column) == day).drop(date_column)
+
+
 def latest_rows(history: DataFrame, date_column: str) -> DataFrame:
-    """Rows of the newest date without the date column; on a partitioned history only that partition is read."""
+    """Rows of the newest date without the date column; on a partitioned history only that partition's data is read.
+
+    Finding the date opens every file of the history; for a history table use :func:`latest_rows_of`.
+    """
     newest = history.agg(F.max(date_column)).scalar()
     return history.filter(F.col(date_column) == newest).drop(date_column)
 
@@ -351,6 +376,12 @@ def _session_setting(spark: SparkSession, key: str, value: str):
         spark.conf.set(key, before)
 
 
+def backfill_into(spark: SparkSession, rows: DataFrame, table: str) -> None:
+    """Write whole days into a history table; days not among the rows stay as they are."""
+    with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+
+
 def backfill_run(
     spark: SparkSession, source: DataFrame, target: str, date_column: str, log: str, logged_at: Column
 ) -> None:
@@ -362,9 +393,7 @@ def backfill_run(
     """
     present = [row[0] for row in spark.table(target).select(date_column).distinct().collect()]
     is_new = ~F.col(date_column).isin(present) if present else F.lit(True)
-    missing = source.filter(is_new).select(*spark.table(target).columns)
-    with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        missing.write.insertInto(target, overwrite=True)
+    backfill_into(spark, source.filter(is_new), target)
     added = spark.table(target).filter(is_new)
     backfill_log(target, added, date_column, logged_at).write.mode("append").saveAsTable(log)
 

@@ -132,6 +132,21 @@ def _(t: Tables):
     return history.latest_rows(t.user_state_history, "snap_date")
 
 
+@query(
+    "latest_metric_table",
+    "select user_id, event_type, value from user_state_history where snap_date = (select max(snap_date) from user_state_history)",
+    HISTORY,
+)
+def _(t: Tables):
+    """The same from a table partitioned by day, whose newest day is found in the catalog."""
+    table, path = _new_table(t, "metric")
+    source = t.user_state_history
+    history.snapshot_bootstrap(t.spark, source.drop("snap_date"), table, "snap_date", path)
+    target = t.spark.table(table)
+    history.backfill_into(t.spark, history.backfill_missing_days(source, target, "snap_date", partitioned=False), table)
+    return history.latest_rows_of(t.spark, table, "snap_date")
+
+
 UNIFIED_SQL = """
     select snap_date, user_id, event_type, value from (
       select *, row_number() over (partition by user_id order by snap_date desc) as rn from user_state_history) r

@@ -60,6 +60,31 @@ def test_latest_rows_reads_one_partition(spark, table):
     assert "PartitionFilters: [isnotnull(day" in latest._jdf.queryExecution().executedPlan().toString()
 
 
+def test_latest_rows_of_table(spark, table):
+    source = spark.range(3).toDF("id")
+    history.snapshot_bootstrap(spark, source, table, "day", new_shared_path(spark, table))
+    assert history.newest_day(spark, table, "day") is None
+    assert history.latest_rows_of(spark, table, "day").count() == 0
+    for day in (D1, D2):
+        history.snapshot_append(spark, source, table, "id", "day", day)
+    history.snapshot_append(spark, source.limit(0), table, "id", "day", D3)
+    assert history.newest_day(spark, table, "day") == D2
+    assert rows(history.latest_rows_of(spark, table, "day")) == [(0,), (1,), (2,)]
+    assert rows(history.latest_rows(spark.table(table), "day")) == [(0,), (1,), (2,)]
+
+
+def test_incremental_reads_new_partitions_only(spark, table):
+    source = spark.range(3).toDF("id")
+    history.snapshot_bootstrap(spark, source, table, "day", new_shared_path(spark, table))
+    for day in (D1, D2, D3):
+        history.snapshot_append(spark, source, table, "id", "day", day)
+    target = history.unified_dimension(spark.table(table).filter(F.col("day") <= D2), "id", "day")
+    result = history.unified_dimension_incremental(target, spark.table(table), "id", "day")
+    assert {(r.id, r.day) for r in result.collect()} == {(0, D3), (1, D3), (2, D3)}
+    filters = [line.split("PartitionFilters")[1] for line in result._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line]
+    assert any("> coalesce(Subquery" in f for f in filters)
+
+
 def test_take_snapshots(spark):
     run = uuid.uuid4().hex
     sources = {"person_v1": spark.sql("select 1 as id, 'x' as name"), "plain": spark.sql("select 2 as id")}
