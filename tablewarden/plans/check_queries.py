@@ -372,6 +372,28 @@ def _(t: Tables):
     return health.health_report(suite.test_results(outcomes(t)))
 
 
+@query(
+    "health_nested_rows",
+    OUTCOME_SQL + f""", sums as (select database_name, schema_name, relation_name, {SUMS} from outcome group by all)
+    select database_name, schema_name, relation_name, ok_count, warning_count, fail_count,
+      cast(sum(ok_count + warning_count + fail_count) over (partition by database_name, schema_name) as bigint) as schema_total,
+      cast(sum(ok_count + warning_count + fail_count) over (partition by database_name) as bigint) as database_total
+    from sums""",
+    SUITE_INPUTS,
+)
+def _(t: Tables):
+    """The nested report unfolded again, one row per relation."""
+    report = health.health_report(suite.test_results(outcomes(t)))
+    schemas = report.selectExpr("database_name", "summary.total.count as database_total", "explode(schemas) as s")
+    relations = schemas.selectExpr(
+        "database_name", "database_total", "s.name as schema_name", "s.summary.total.count as schema_total", "explode(s.relations) as r"
+    )
+    return relations.selectExpr(
+        "database_name", "schema_name", "r.name as relation_name", "r.summary.ok.count as ok_count",
+        "r.summary.warning.count as warning_count", "r.summary.error.count as fail_count", "schema_total", "database_total",
+    )
+
+
 @query("health_document")
 def _(t: Tables):
     found = outcomes(t)

@@ -64,7 +64,12 @@ def parse_check_log(texts: DataFrame, entry_name: str | None = None) -> DataFram
     With ``entry_name`` only entries of that name: a text search drops most others before anything is parsed, and
     each remaining entry is parsed once.
     """
-    marked = F.regexp_replace("value", r"\}\s*\{", "}\u0001{")
+    value, boundary = F.col("value"), "}\u0001{"
+    # Only a text of several lines needs the slower pattern.
+    lines = value.contains("\n") | value.contains("\r")
+    marked = F.when(lines, F.regexp_replace(value, r"\}[\r\n]*\{", boundary)).otherwise(
+        F.replace(value, F.lit("}{"), F.lit(boundary))
+    )
     entries = texts.select(F.explode(F.split(marked, "\u0001")).alias("value"))
     if entry_name is None:
         return _parsed(entries, LOG_SCHEMA)

@@ -309,3 +309,19 @@ def test_run_files_from_disk(spark, tmp_path):
     assert {tuple(r) for r in actions.collect()} == {
         ("run", "model.p.orders", "db.sales.orders", "success", 2.0, 7, "T1"), ("run", "model.p.gone", "", "error", 0.1, 0, "T2"),
     }
+
+
+def test_approximate_profile_is_close(spark):
+    df = spark.range(20000).selectExpr("id", "id % 100 as few")
+    read = {r.column_name: r.distinct_values for r in profile.distinct_profile(df, approximate=True).collect()}
+    assert abs(read["id"] - 20000) < 2000 and abs(read["few"] - 100) < 10
+
+
+def test_footprint(spark):
+    path = new_shared_path(spark, "footprint")
+    spark.range(1000).selectExpr("id", "id % 3 as p").repartition(2).write.partitionBy("p").parquet(path)
+    tables = {("s", "t"): spark.read.parquet(path)}
+    row = profile.footprint(tables, minimum_mb=0).first()
+    assert (row.schema_name, row.relation_name, row.partition_count, row.file_count, row.row_count) == ("s", "t", 3, 6, 1000)
+    assert row.total_bytes > 0 and row.rows_per_mb > 0
+    assert profile.footprint(tables, minimum_mb=100).count() == 0
