@@ -49,25 +49,24 @@ def only_in_second(first: DataFrame, second: DataFrame, keys: Sequence[str]) ->
     return only_in_first(second, first, keys)
 
 
+def _common(first: DataFrame, second: DataFrame, ignore: Sequence[str]) -> list[str]:
+    return [c for c in first.columns if c in second.columns and c not in ignore]
+
+
 def data_difference(
-    first: DataFrame, second: DataFrame, keys: Sequence[str], ignore: Sequence[str] = (), keyed: bool = True
+    first: DataFrame, second: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()
 ) -> DataFrame:
     """Rows with equal keys whose common columns differ: names of the differing columns and both values.
 
-    Comparison is null-safe; columns of different types are compared as text. ``keyed`` says that the key
-    identifies a row on each side. If it does not, pass False: equal rows of a side are then counted once with
-    their number, and ``pair_count`` says how many row pairs each result row stands for, so copies do not multiply.
+    Comparison is null-safe; columns of different types are compared as text. The key must identify a row on each
+    side: where it does not, every row meets every row of its key, and :func:`row_difference` is the better tool.
     """
-    theirs = dict(second.dtypes)
-    mine = dict(first.dtypes)
-    common = [c for c in first.columns if c in theirs and c not in ignore]
+    theirs, mine = dict(second.dtypes), dict(first.dtypes)
+    common = _common(first, second, ignore)
     used = list(dict.fromkeys([*keys, *common]))
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        rows = df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in used])
-        if keyed:
-            return rows
-        return rows.groupBy(*rows.columns).agg(F.count("*").alias(f"_{prefix}_n"))
+        return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in used])
 
     def differs(column: str) -> Column:
         a, b = F.col(f"f_{column}"), F.col(f"s_{column}")
@@ -80,8 +79,28 @@ def data_difference(
     same = _all([F.col(f"f_{k}") == F.col(f"s_{k}") for k in keys])
     pairs = side(first, "f").join(side(second, "s"), same).withColumn("differing_columns", names)
     shown = [F.col(f"{p}_{c}") for c in common for p in ("f", "s")]
-    counted = [] if keyed else [(F.col("_f_n") * F.col("_s_n")).alias("pair_count")]
-    return pairs.filter("differing_columns <> ''").select("differing_columns", *shown, *counted)
+    return pairs.filter("differing_columns <> ''").select("differing_columns", *shown)
+
+
+def row_difference(first: DataFrame, second: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
+    """Rows that one side holds more often than the other, with both counts; needs no key.
+
+    Rows are counted, never paired: copies of a row shrink to one per task before the shuffle, however many there
+    are. Columns of different types are compared as text.
+    """
+    theirs, mine = dict(second.dtypes), dict(first.dtypes)
+
+    def side(df: DataFrame, in_first: int) -> DataFrame:
+        columns = [
+            F.col(c) if mine[c] == theirs[c] else F.col(c).cast("string").alias(c) for c in _common(first, second, ignore)
+        ]
+        return df.select(*columns, F.lit(in_first).alias("_first"))
+
+    rows = side(first, 1).unionByName(side(second, 0))
+    counted = rows.groupBy(*[c for c in rows.columns if c != "_first"]).agg(
+        F.sum("_first").alias("first_count"), F.sum(1 - F.col("_first")).alias("second_count")
+    )
+    return counted.filter("first_count <> second_count")
 
 
 # History hash and creation date, which say nothing when versions are compared; ours, then Icelandic names.

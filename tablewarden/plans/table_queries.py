@@ -46,18 +46,22 @@ def _(t: Tables):
 
 
 @query(
-    "data_difference_copies",
-    """with pairs as (
-         select concat_ws(' ', case when f.l_quantity is distinct from s.l_quantity then 'l_quantity' end,
-             case when f.l_returnflag is distinct from s.l_returnflag then 'l_returnflag' end) as differing_columns,
-           f.l_orderkey as f_l_orderkey, s.l_orderkey as s_l_orderkey, f.l_linenumber as f_l_linenumber, s.l_linenumber as s_l_linenumber,
-           f.l_quantity as f_l_quantity, s.l_quantity as s_l_quantity, f.l_returnflag as f_l_returnflag, s.l_returnflag as s_l_returnflag
-         from lineitem f join lineitem s on s.l_orderkey = f.l_orderkey and s.l_linenumber = f.l_linenumber)
-       select *, count(*) as pair_count from pairs where differing_columns <> '' group by all""",
+    "row_difference",
+    """with f as (select l_orderkey, l_linenumber, l_returnflag, count(*) as n from lineitem group by all),
+         s as (select l_orderkey, l_linenumber, case when l_shipdate >= timestamp '2001-01-01' then 'X' else l_returnflag end as l_returnflag,
+           count(*) as n from lineitem group by all)
+       select coalesce(f.l_orderkey, s.l_orderkey) as l_orderkey, coalesce(f.l_linenumber, s.l_linenumber) as l_linenumber,
+         coalesce(f.l_returnflag, s.l_returnflag) as l_returnflag, coalesce(f.n, 0) as first_count, coalesce(s.n, 0) as second_count
+       from f full join s on f.l_orderkey = s.l_orderkey and f.l_linenumber = s.l_linenumber and f.l_returnflag = s.l_returnflag
+       where coalesce(f.n, 0) <> coalesce(s.n, 0)""",
 )
 def _(t: Tables):
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    return compare.data_difference(lines, lines, ["l_orderkey", "l_linenumber"], keyed=False)
+    before = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
+    after = t.lineitem.selectExpr(
+        "l_orderkey", "l_linenumber",
+        "case when l_shipdate >= timestamp_ntz '2001-01-01' then 'X' else l_returnflag end as l_returnflag",
+    )
+    return compare.row_difference(before, after)
 
 
 @query(
