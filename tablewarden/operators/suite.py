@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from . import checks as C
 
@@ -37,10 +37,12 @@ class Check:
     always: Callable[[], Column] | None = None
     rows: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None
     severity: str = "fail"
+    variant: str | None = None
 
     @property
     def unique_id(self) -> str:
-        return f"test.{self.relation}.{self.test}" + (f".{self.column}" if self.column else "")
+        """Relation, test and column; ``variant`` tells apart two such checks with different parameters."""
+        return ".".join(["test", self.relation, self.test, *filter(None, (self.column, self.variant))])
 
     def violations(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """The violating rows, for writing out when the check fails."""
@@ -148,6 +150,13 @@ def run_suite(relations: Iterable[Relation], suite: Iterable[Check]) -> DataFram
     by_name = {r.name: r for r in relations}
     tables = {name: r.df for name, r in by_name.items()}
     numbered = list(enumerate(suite))
+    seen: set[str] = set()
+    for _, check in numbered:
+        if check.relation not in by_name:
+            raise ValueError(f"{check.unique_id} checks a relation that is not given")
+        if check.unique_id in seen:
+            raise ValueError(f"{check.unique_id} occurs twice: give one of them a variant")
+        seen.add(check.unique_id)
     described, counted = [], []
     for name, relation in by_name.items():
         own = [(i, c) for i, c in numbered if c.relation == name]
@@ -183,6 +192,13 @@ def run_suite(relations: Iterable[Relation], suite: Iterable[Check]) -> DataFram
     )
 
 
+def registered_tests(spark: SparkSession, relations: Iterable[Relation], suite: Iterable[Check]) -> DataFrame:
+    """The checks of a suite as the tests that definition health counts, one row per check."""
+    places = {r.name: (r.database, r.schema, r.name) for r in relations}
+    rows = [(*places[c.relation], c.column) for c in suite]
+    return spark.createDataFrame(rows, "database_name string, schema_name string, relation_name string, column_name string")
+
+
 def test_results(outcomes: DataFrame) -> DataFrame:
     """The check-result table."""
     return outcomes.select("database_name", "schema_name", "relation_name", "test_name", "unique_id", "result")

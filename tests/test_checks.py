@@ -134,6 +134,30 @@ def test_row_checks_of_a_relation_share_one_scan(spark):
     assert len(fused) > 8 and plan.count("FileScan") == 1
 
 
+def test_suite_covers_columns(spark):
+    from tablewarden.operators import definitions
+
+    relation = suite.Relation("d", "s", "r", spark.range(1))
+    picked = [suite.not_null("r", "a"), suite.value_range("r", "a"), suite.unique_combination("r", ["a", "b"])]
+    tests = suite.registered_tests(spark, [relation], picked)
+    assert [tuple(r) for r in definitions.column_test_coverage(tests).collect()] == [("d", "s", "r", "a", 2)]
+    assert definitions.relation_test_coverage(tests).first().test_count == 3
+
+
+def test_checks_of_one_kind_and_column_stay_apart(spark):
+    df = spark.range(10).toDF("n")
+    with pytest.raises(ValueError, match="variant"):
+        suite.run_suite([suite.Relation("d", "s", "r", df)], [suite.value_range("r", "n")] * 2)
+    with pytest.raises(ValueError, match="not given"):
+        suite.run_suite([suite.Relation("d", "s", "r", df)], [suite.value_range("other", "n")])
+    twice = [suite.value_range("r", "n", 0, 4), suite.value_range("r", "n", 0, 7, variant="wide")]
+    outcomes = suite.run_suite([suite.Relation("d", "s", "r", df)], twice).collect()
+    assert sorted((r.rows_on_error, r.rows_in_relation) for r in outcomes) == [(2, 10), (5, 10)]
+    only_grouped = [suite.unique_combination("r", ["n"])]
+    row = suite.run_suite([suite.Relation("d", "s", "r", df)], only_grouped).first()
+    assert (row.rows_on_error, row.rows_in_relation, row.result) == (0, 10, "pass")
+
+
 RESULTS = [
     ("d1", "s1", "r1", "pass"), ("d1", "s1", "r1", "fail"), ("d1", "s1", "r2", "warn"), ("d1", "s2", "r1", "pass"),
     ("d2", "s1", "r1", "skipped"), ("d2", "s1", "r1", "error"),
