@@ -1,9 +1,10 @@
 """Main text of web pages by two passes of block rules.
 
-A page is cut into blocks at block-level tags. Pass one decides a block by its markup (menus, asides, forms, notices,
-adverts and comments are dropped; paragraphs of a marked article stay), then by link density, length and the share of
-stop words. Pass two gives each undecided short block the label of its nearest decided neighbour; between a good and
-a bad one at the same distance, bad wins.
+A page is cut into blocks at block-level tags. Blocks inside menus, asides, forms, notices, adverts and comments are
+taken out by their markup. Pass one decides the others: where a page marks its article, all of the article but link
+lists is good and the rest bad; elsewhere link density, length and the share of stop words decide. Pass two gives each
+undecided short block the label of its nearest decided neighbour; between a good and a bad one at the same distance,
+bad wins.
 
 Defined results: NULL, empty and tag-free pages are handled as pages (text without tags is one undecided block, kept
 when no neighbour decides). Entities are decoded once, white space becomes one space. Repeated rows give repeated
@@ -138,8 +139,6 @@ def blocks_of(page: str) -> list[Block]:
             add("\n") if current is not None else None
             continue
         if tag not in BLOCK_TAGS:
-            if not closing and tag not in VOID_TAGS and tag == "span" and _unwanted(tag, attrs, state()[1]):
-                pass
             continue
         current, linked = None, False
         if closing:
@@ -160,17 +159,17 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def first_pass(block: Block, text: str, has_article: bool) -> int:
-    if block.dropped:
-        return BAD
     links = block.linked / max(1, len(text))
     if links > MANY_LINKS:
         return BAD
     if has_article:
         if not block.article:
             return BAD
-        return UNDECIDED if block.heading else GOOD
+        return GOOD
     if text.startswith(("©", "(c) ")):
         return BAD
+    if block.heading and links <= 0.2:
+        return UNDECIDED
     words = text.split()
     stops = sum(w.strip(".,;:!?\"'()*#$%&").lower() in STOP_WORDS for w in words) / max(1, len(words))
     if len(text) < SHORT:
@@ -210,8 +209,8 @@ def main_text(page: str | None) -> str:
     """The article of a page: kept blocks in page order, joined by one space."""
     if not page:
         return ""
-    found = [(b, t) for b in blocks_of(page) if (t := b.text)]
-    has_article = any(b.article and not b.dropped for b, _ in found)
+    found = [(b, t) for b in blocks_of(page) if not b.dropped and (t := b.text)]
+    has_article = any(b.article for b, _ in found)
     kept = second_pass([first_pass(b, t, has_article) for b, t in found])
     return " ".join(t for (_, t), keep in zip(found, kept) if keep)
 
