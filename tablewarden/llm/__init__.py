@@ -1 +1,10 @@
-"""Operators for preparing training text; nothing else in the library imports this package."""
+"""Operators for preparing training text; nothing else in the library imports this package.
+
+Functions of this package travel to the executors by value, so the package need not be installed there.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
