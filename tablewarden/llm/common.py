@@ -30,11 +30,12 @@ def map_texts(
     text: str,
     make: Callable[[], Callable[[list[str | None]], dict[str, list]]],
     fields: dict[str, pa.DataType],
+    rows: int = 512,
 ) -> DataFrame:
     """The columns ``keep`` and the result columns ``fields`` for every row of ``df``.
 
-    ``make`` is called once per task and returns a function from a list of texts to lists of results. Rows are
-    neither moved nor gathered. Only ``keep`` and ``text`` are read, so other columns may have any name.
+    ``make`` is called once per task and returns a function from a list of up to ``rows`` texts to lists of results. Rows
+    are neither moved nor gathered. Only ``keep`` and ``text`` are read, so other columns may have any name.
     """
     clash = set(keep) & set(fields)
     if clash:
@@ -55,8 +56,8 @@ def map_texts(
         for batch in batches:
             at = 0
             while at < batch.num_rows:  # a few MB of text at a time, however long the texts are
-                part = batch.slice(at, 512)
-                at += 512
+                part = batch.slice(at, rows)
+                at += rows
                 found = score(part.column(len(slots)).to_pylist())
                 columns = [part.column(i) for i in range(len(slots))]
                 columns += [pa.array(found[k], type=v) for k, v in fields.items()]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, html_extract, quality_rules, secret_scan
+from . import bpe_codec, html_extract, language_spans, quality_rules, secret_scan, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,33 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fold(parts: int) -> Column:
+    """Which of ``parts`` folds a document belongs to."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of four folds of five."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs.where(fold(5) != 0), table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main language of every document, learned from three folds of four, with the language spans."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_spans.train(docs.where(fold(4) != 2))
+    return language_spans.label_languages(docs, model).select(
+        "doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score",
+        F.size("spans").alias("n_spans"),
+    )
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, tokenizer measures and verdict of every document."""
