@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, html_extract, language_spans, quality_rules, secret_scan, toxicity
+from . import bpe_codec, decontaminate, html_extract, language_spans, quality_rules, secret_scan, sql, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,14 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def oracle(statement: str):
+    def register(build):
+        ORACLES[build.__name__] = statement
+        return query(build)
+
+    return register
+
+
 @query
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
@@ -58,6 +66,16 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@oracle(sql.DECONTAMINATION)
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items, and those items."""
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main language of every document, learned from three folds of four, with the language spans."""
