@@ -12,7 +12,7 @@ Copies are stored by reference: a state keeps the state it copies, an arc the ar
 number of the gadget that made them, and each state its removed arcs. Compilation is therefore linear in the merges,
 and a transition table caches the composed arcs that texts use. A merge whose arc is already gone never applies and
 is left out. Because the automaton is deterministic, each prefix of a word has one last token, so a word is encoded
-in one pass: at each symbol the longest token is taken whose arc leaves the state at the token's start. Decoding
+along its one path, longest arcs first. Decoding
 emits the labels of the arcs.
 
 Defined results: NULL and empty texts give no token and an empty decoded text. Repeated rows give repeated results,
@@ -59,8 +59,10 @@ class TokenAutomaton:
         for step, pair in enumerate(merges):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self._gadget(step, left, right)
-        self.longest = max(map(len, self.born), default=1)
-        self.ends = frozenset(self.born)
+        self.reach: dict[str, int] = {}  # symbols of the longest token by its first two symbols
+        for token in self.born:
+            length = len(token) - (len(end) if token.endswith(end) else 0)
+            self.reach[token[:2]] = max(length, self.reach.get(token[:2], 1))
 
     def _base(self, token: str) -> bool:
         return len(token) == 1 or token.endswith(self.end) and len(token) == len(self.end) + 1
@@ -100,23 +102,45 @@ class TokenAutomaton:
         return found
 
     def encode_word(self, symbols: str) -> list[str]:
-        """Tokens of a word given as visible bytes; its last symbol carries the word end."""
-        size = len(symbols)
-        last: list[str] = [""] * (size + 1)
-        longest, born = self.longest, self.born
-        for stop in range(1, size + 1):
-            tail = self.end if stop == size else ""
-            for start in range(max(0, stop - longest), stop):
-                token = symbols[start:stop] + tail
-                if (start + 1 == stop or token in born) and (start == 0 or self.follows(last[start], token)):
-                    last[stop] = token
-                    break
-        tokens, stop = [], size
-        while stop:
-            token = last[stop]
-            tokens.append(token)
-            stop -= len(token) - (len(self.end) if token.endswith(self.end) and stop == size else 0)
-        return tokens[::-1]
+        """Tokens of a word given as visible bytes; its last symbol carries the word end.
+
+        The accepting path is unique, and so is the last token at each position. Longest arcs are tried first; a
+        position from which the word's end can't be reached is not entered again.
+        """
+        size, born, table = len(symbols), self.born, self.table
+        whole = symbols + self.end
+        if whole in born:
+            return [whole]
+        tokens: list[str] = []
+        starts: list[int] = []
+        dead: set[int] = set()
+        at, length = 0, min(size, self.reach.get(symbols[:2], 1))
+        while at < size:
+            state = tokens[-1] if tokens else None
+            while length:
+                stop = at + length
+                if stop not in dead:
+                    token = symbols[at:stop] if stop < size else symbols[at:] + self.end
+                    if length == 1 or token in born:
+                        if state is None:
+                            break
+                        allowed = table.get((state, token))
+                        if allowed is None:
+                            allowed = self.follows(state, token)
+                        if allowed:
+                            break
+                length -= 1
+            if length:
+                tokens.append(token)
+                starts.append(at)
+                at = stop
+                length = min(size - at, self.reach.get(symbols[at:at + 2], 1))
+            else:
+                dead.add(at)
+                tokens.pop()
+                length = at - starts[-1] - 1
+                at = starts.pop()
+        return tokens
 
 
 class WordCodec:
@@ -133,13 +157,28 @@ class WordCodec:
         self.bytes = visible_bytes()
         self._split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self._known: dict[str, tuple[int, ...]] = {}
+        self._words: dict[str, tuple[int, ...]] = {}
+        self._plain = {b: c for b, c in enumerate(self.bytes)}
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        """Ids of one pre-split word."""
+        found = self._words.get(word)
+        if found is None:
+            symbols = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._plain)
+            found = tuple([self.vocab[t] for t in self.automaton.encode_word(symbols)])
+            if len(word) <= 32:
+                self._words[word] = found
+        return found
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         """Ids of a text without white space."""
+        if chunk.isalpha():
+            return self._word(chunk)
+        if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+            return self._word(chunk[:-1]) + self._word(chunk[-1])
         ids: list[int] = []
         for word in _WORD.findall(chunk):
-            symbols = "".join(self.bytes[b] for b in word.encode("utf-8", "surrogatepass"))
-            ids += [self.vocab[t] for t in self.automaton.encode_word(symbols)]
+            ids += self._word(word)
         return tuple(ids)
 
     def encode(self, text: str | None) -> list[int]:
@@ -160,6 +199,7 @@ class WordCodec:
                 if found is None:
                     if len(known) >= CACHE_WORDS:
                         known.clear()
+                        self._words.clear()
                     found = self._chunk(chunk)
                     if len(chunk) <= 64:
                         known[chunk] = found
