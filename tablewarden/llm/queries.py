@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontaminate, html_extract, language_spans, quality_rules, secret_scan, sql, toxicity
+from . import bpe_codec, decontaminate, html_extract, language_spans, ngram_join, quality_rules, secret_scan, sql, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@oracle(sql.NGRAM_CLASSES)
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle set sizes and connected classes of near-duplicate documents."""
+    found = ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, tokenizer measures and verdict of every document."""

@@ -28,3 +28,26 @@ select w.doc_id, cast(len(w.words) as bigint) as n_words, coalesce(pos.n_hit, 0)
   coalesce(pos.n_hit, 0) > 0 as contaminated
 from w left join pos using (r) left join it using (r)
 """
+
+NGRAM_CLASSES = rf"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') as words
+  from documents),
+s as (
+  select doc_id, case when len(words) = 0 then []
+    when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_distinct(list_transform(range(len(words) - 4), lambda i: array_to_string(words[i + 1:i + 5], ' '))) end as set
+  from w),
+sized as (select doc_id, len(set) as n, set from s),
+one as (select doc_id, n, unnest(set) as g from sized),
+pairs as (
+  select a.doc_id as x, b.doc_id as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as common
+  from one a join one b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+link as (select x, y from pairs where 100 * common >= 75 * (nx + ny - common)),
+reach(x, y) as (select x, y from link union select r.x, l.y from reach r join link l on r.y = l.x),
+least as (select x, min(y) as y from reach group by x)
+select sized.doc_id, cast(sized.n as bigint) as n_shingles,
+  least(sized.doc_id, coalesce(least.y, sized.doc_id)) as component_id
+from sized left join least on least.x = sized.doc_id
+"""
