@@ -70,9 +70,15 @@ def item_windows(items: DataFrame, item_key: str, text: str, window: int, shingl
 
 def find_contamination(
     docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text",
-    item_key: str = "item_id", window: int = 10, shingle: int = 5,
+    item_key: str = "item_id", window: int = 10, shingle: int = 5, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``key``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings) and ``contaminated`` for every document."""
+    """``key``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings), ``contaminated`` and the columns ``carry``
+    for every document."""
+    clash = {"n_words", "n_hit", "items", "contaminated", key} & set(carry)
+    if clash:
+        raise ValueError(f"carried columns {sorted(clash)} have names of results; rename them first")
+    carried = [F.col(f"`{c}`").alias(f"carried_{i}") for i, c in enumerate(carry)]
+    restored = [F.col(f"carried_{i}").alias(c) for i, c in enumerate(carry)]
     windows = written(
         item_windows(items, item_key, item_text, window, shingle).select(
             "*", F.element_at("hashes", 1).alias("head"), F.element_at("hashes", -1).alias("tail")
@@ -97,7 +103,7 @@ def find_contamination(
         return docs.select(
             F.col(f"`{key}`"), F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("n_words"),
             F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"),
-            F.lit(False).alias("contaminated"),
+            F.lit(False).alias("contaminated"), *[F.col(f"`{c}`") for c in carry],
         )
     occurrences = found[0]
     for more in found[1:]:
@@ -144,7 +150,7 @@ def find_contamination(
     )
     every = docs.select(
         F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"),
-        F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("n_words"),
+        F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("n_words"), *carried,
     )
     for part in (hits, named):
         right = part.withColumnsRenamed({"key": "key_2", "mark": "mark_2"})
@@ -154,5 +160,5 @@ def find_contamination(
     return every.select(
         F.col("key").alias(key), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
+        F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), *restored,
     )

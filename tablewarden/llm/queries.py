@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontaminate, html_extract, language_spans, ngram_join, quality_rules, repeats, secret_scan, sql, toxicity
+from . import bpe_codec, decontaminate, html_extract, language_spans, line_dedup, ngram_join, quality_rules, repeats, secret_scan, sql, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@oracle(sql.LINE_DEDUP)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, those removed as near copies of earlier ones, and a digest of the others."""
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: token counts and digests of ids and of the decoded text."""

@@ -51,3 +51,33 @@ select sized.doc_id, cast(sized.n as bigint) as n_shingles,
   least(sized.doc_id, coalesce(least.y, sized.doc_id)) as component_id
 from sized left join least on least.x = sized.doc_id
 """
+
+LINE_DEDUP = r"""
+with l as (
+  select doc_id, line, content, list_filter(regexp_split_to_array(content, '[\x20\x09-\x0D]+'), lambda x: x <> '') as words
+  from (select doc_id, unnest(range(len(lines))) as line, unnest(lines) as content
+    from (select doc_id, string_split(text, chr(10)) as lines from documents where text is not null))),
+t as (
+  select doc_id, line, row_number() over (order by doc_id, line) as r,
+    case when len(words) < 5 then [array_to_string(words, ' ')]
+      else list_distinct(list_transform(range(len(words) - 4), lambda i: array_to_string(words[i + 1:i + 5], ' '))) end
+      as tokens
+  from l where len(words) > 0),
+u as (select min(r) as r, any_value(tokens) as tokens from (select r, tokens, list_sort(tokens) as k from t) group by k),
+g as (select r, len(tokens) as n, unnest(tokens) as token from u),
+m as (
+  select b.r, a.r as before, any_value(a.n) as na, any_value(b.n) as nb, count(*) as common
+  from g a join g b on a.token = b.token and a.r < b.r group by 1, 2),
+near as (select distinct r from m where 100 * common >= 75 * (na + nb - common)),
+gone as (
+  select doc_id, line from t join near using (r)
+  union select doc_id, line from t where r not in (select r from u)),
+kept as (
+  select l.doc_id, string_agg(content, chr(10) order by l.line) as kept
+  from l left join gone using (doc_id, line) where gone.line is null group by l.doc_id),
+n as (select doc_id, count(*) as n_lines from t group by 1),
+x as (select doc_id, count(*) as n_removed from gone group by 1)
+select d.doc_id, coalesce(n.n_lines, 0) as n_lines, coalesce(x.n_removed, 0) as n_removed,
+  sha256(coalesce(kept.kept, '')) as kept_sha256
+from documents d left join n using (doc_id) left join x using (doc_id) left join kept using (doc_id)
+"""
