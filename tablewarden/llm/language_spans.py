@@ -1,7 +1,7 @@
 """Language identification of mixed-language text: script ranges, word scores, Viterbi spans.
 
 The script of a word's letters leaves the languages that are written in it. Each remaining language scores the word by
-its letter n-grams (one to three letters, with word ends) and by the word itself. Viterbi then labels every word of
+its pairs and triples of letters, with the word's ends, and by the word itself. Viterbi then labels every word of
 the text, paying a penalty for each switch of language, so single words of another language do not break a span.
 
 Training uses a sample of labelled texts bounded by ``rows_per_language``; scoring covers every whole text.
@@ -52,9 +52,10 @@ def letters_of(chunk: str) -> str:
 
 
 def grams(word: str) -> list[str]:
+    """Pairs and triples of letters with the word's ends, and the word itself."""
     padded = f"^{word}$"
-    found = [padded[i:i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1)]
-    return [*found, f"={word}"]
+    last = len(padded)
+    return [padded[i:i + 2] for i in range(last - 1)] + [padded[i:i + 3] for i in range(last - 2)] + ["=" + word]
 
 
 class LanguageModel:
@@ -89,19 +90,28 @@ class LanguageModel:
         table[-1] = 0.0
         self.table = table.astype(np.float32)
 
-    def word(self, chunk: str) -> tuple[np.ndarray, int]:
-        """Scores of a word per language, and its number of letters."""
-        word = letters_of(unicodedata.normalize("NFC", chunk))
+    def words(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of words per language, and their numbers of letters."""
+        plain = [letters_of(c) for c in chunks]
         width = self.table.shape[1]
-        if not word:
-            return np.zeros(width, np.float32), 0
-        rows = [self.index.get(g, -1) for g in grams(word)]
-        scores = self.table[rows].sum(axis=0) / 3  # a letter lies in three n-grams
-        scores = scores - scores.max()
-        candidates = [script_of(word[0]) in self.scripts[lang] for lang in self.languages]
-        if any(candidates):
-            scores[~np.array(candidates)] = -2 * WORD_LIMIT
-        return np.maximum(scores, -2 * WORD_LIMIT).astype(np.float32), len(word)
+        get, unseen = self.index.get, len(self.index)
+        rows: list[int] = []
+        ends = []
+        for word in plain:
+            rows += [get(g, unseen) for g in grams(word)]
+            ends.append(len(rows))
+        starts = np.concatenate(([0], np.array(ends[:-1], np.int64))).astype(np.int64)
+        scores = np.add.reduceat(self.table[np.array(rows, np.int64)], starts, axis=0) / 2  # a letter is in about
+        scores -= scores.max(axis=1, keepdims=True)                                         # two pairs or triples each
+        script = [script_of(w[0]) if w else "" for w in plain]
+        kinds = sorted(set(script))
+        fits = np.array([[s in self.scripts[lang] for lang in self.languages] for s in kinds]).reshape(len(kinds), width)
+        fits[~fits.any(axis=1)] = True  # no language of this script: all may be it
+        place = {s: i for i, s in enumerate(kinds)}
+        scores[~fits[[place[s] for s in script]]] = -2 * WORD_LIMIT
+        sizes = np.array([len(w) for w in plain])
+        scores[sizes == 0] = 0.0
+        return np.maximum(scores, -2 * WORD_LIMIT).astype(np.float32), sizes
 
 
 def viterbi(texts: list[np.ndarray], scores: np.ndarray, penalty: float) -> list[np.ndarray]:
@@ -154,25 +164,25 @@ class SpanLabeller:
 
     def _reset(self) -> None:
         self.number: dict[str, int] = {}
-        self.rows: list[np.ndarray] = []
-        self.letters: list[int] = []
+        self.scores = np.zeros((0, max(1, len(self.model.languages))), np.float32)
+        self.letters = np.zeros(0, np.int64)
 
     def __call__(self, texts: list[str | None]) -> dict[str, list]:
         if len(self.number) > CACHE_WORDS:
             self._reset()
-        split = [(t or "").split() for t in texts]
+        split = [(t if unicodedata.is_normalized("NFC", t) else unicodedata.normalize("NFC", t)).split()
+                 for t in (t or "" for t in texts)]
         number = self.number
-        for chunks in split:
-            for chunk in set(chunks).difference(number):
-                row, size = self.model.word(chunk)
-                number[chunk] = len(self.rows)
-                self.rows.append(row)
-                self.letters.append(size)
-        found = {"lang_pred": [], "score": [], "spans": []}
+        fresh = sorted(set().union(*split).difference(number))
         languages = self.model.languages
-        if not languages or not self.rows:
+        if fresh and languages:
+            number.update(zip(fresh, range(len(number), len(number) + len(fresh))))
+            scores, letters = self.model.words(fresh)
+            self.scores, self.letters = np.concatenate((self.scores, scores)), np.concatenate((self.letters, letters))
+        found = {"lang_pred": [], "score": [], "spans": []}
+        if not languages or not number:
             return {"lang_pred": [UNKNOWN] * len(texts), "score": [0.0] * len(texts), "spans": [[]] * len(texts)}
-        scores, letters = np.stack(self.rows), np.array(self.letters)
+        scores, letters = self.scores, self.letters
         ids = [np.fromiter(map(number.__getitem__, c), np.int64, len(c)) for c in split]
         for words, labels in zip(ids, viterbi(ids, scores, self.penalty)):
             sizes = letters[words] if len(words) else np.zeros(0)

@@ -31,5 +31,6 @@ def labelled_sample(
         .groupBy("label", F.pmod("mark", F.lit(rows_per_label)).alias("bucket"))
         .agg(F.min("mark").alias("mark")).drop("bucket")
     )
-    found = texts.join(chosen, "mark").groupBy("label", "mark").agg(F.min("text").alias("text"))
+    # One row per label and bucket, all of which come to the driver below: small enough to broadcast.
+    found = texts.join(F.broadcast(chosen), "mark").groupBy("label", "mark").agg(F.min("text").alias("text"))
     return [(r.label, r.text) for r in sorted(found.collect(), key=lambda r: (str(r.label), r.mark))]
