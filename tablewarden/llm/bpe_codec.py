@@ -36,6 +36,21 @@ WHITE = "\t-\r \x85\xa0  -     　"
 _WHITE_RUN = re.compile(f"[{WHITE}]+")
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+# Code points without a character in the standard that the vocabulary's library follows (version 16), and
+# the capitals added since version 15, with their small letters.
+LATER_CODES = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD-A7EF A7F1 AB6C-AB6D 107BB-107BF 10940-1095F "
+    "10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DEF 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EDF 16FF2-16FF6 "
+    "187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DFF 18E00-191DF 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF96 "
+    "1DFCD-1DFFF 1E6C0-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+LATE_CAPITALS = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5,
+                 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+LATE_CAPITALS |= {c: c + 32 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
+_LATER = re.compile("[" + "".join(
+    "-".join(chr(int(end, 16)) for end in codes.split("-")) for codes in LATER_CODES.split()
+) + "]")
+_LATE_CAPITAL = re.compile("[" + "".join(map(chr, LATE_CAPITALS)) + "]")
 CACHE_WORDS = 400_000  # words whose encoding a task remembers; no effect on results
 
 
@@ -177,8 +192,9 @@ class WordCodec:
         if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
             return self._word(chunk[:-1]) + self._word(chunk[-1])
         ids: list[int] = []
-        for word in _WORD.findall(chunk):
-            ids += self._word(word)
+        shape = chunk if chunk.isprintable() else _LATER.sub("\ue000", chunk)
+        for word in _WORD.finditer(shape):
+            ids += self._word(chunk[word.start():word.end()])
         return tuple(ids)
 
     def encode(self, text: str | None) -> list[int]:
@@ -194,6 +210,8 @@ class WordCodec:
             if not unicodedata.is_normalized("NFC", part):
                 part = unicodedata.normalize("NFC", part)
             part = part.replace("Σ", "σ").lower()  # letter by letter: no final form of sigma
+            if not part.isascii() and _LATE_CAPITAL.search(part):
+                part = part.translate(LATE_CAPITALS)
             for chunk in _WHITE_RUN.split(part) if _ODD_SPACE.search(part) else part.split():
                 found = known.get(chunk)
                 if found is None:
