@@ -16,23 +16,3 @@ def edit_distance(left: Column | str, right: Column | str, maximum: int | None =
         return F.levenshtein(left, right)
     return F.nullif(F.levenshtein(left, right, maximum), F.lit(-1))
 
-
-def deletion_variants(text: Column, edits: int) -> Column:
-    """Every text that up to ``edits`` single-character deletions leave, the text itself included.
-
-    Two texts within ``edits`` edits of each other always share a variant, so an equi-join on variants finds
-    every such pair without comparing all texts with all texts.
-    """
-    variants = F.array(text)
-    for _ in range(edits):
-        shorter = F.flatten(
-            F.transform(
-                variants,
-                lambda v: F.transform(
-                    F.when(F.length(v) > 0, F.sequence(F.lit(1), F.length(v))).otherwise(F.array().cast("array<int>")),
-                    lambda i: F.concat(F.substr(v, F.lit(1), i - 1), F.substr(v, i + 1)),
-                ),
-            )
-        )
-        variants = F.array_distinct(F.concat(variants, shorter))
-    return variants

@@ -28,8 +28,6 @@ EMAIL_SHAPE = r"^.+@.+\..+$"
 
 # A number that starts with a known country code, 10 to 15 digits and nothing else.
 PHONE_SHAPE = r"^\d{10,15}$"
-# Country codes are matched on the first four digits, so at most 10,000 starts exist.
-COUNTRY_CODE_DIGITS = 4
 
 
 # Predicates: true marks a violating row.
@@ -234,32 +232,26 @@ def relationship_cardinality(
     return not_in(df, column, keys, has_null, no_keys & ~has_null)
 
 
-def _code_starts(codes: DataFrame, code_column: str, digits: int) -> DataFrame:
-    """Every ``digits``-digit start that a code covers: with 4 digits, code 47 covers 4700 to 4799.
+def coded_values(values: DataFrame, column: str, codes: DataFrame, code_column: str) -> DataFrame:
+    """The distinct values of ``column`` that start with one of the codes, as ``_coded``.
 
-    A code that is not all digits can start no valid number and is left out; one with more digits is an error
-    rather than a silent miss. At most 10 ** ``digits`` rows.
+    A value is cut at every length that a code has, and the cuts are joined with the codes by equality: no prefix is
+    compared with every code, and codes may have any length. A usable number has at most 15 digits, so a value has at
+    most 15 cuts. Codes that are not all digits can start no number and are left out.
     """
-    code = F.col("code")
-    listed = codes.select(F.col(code_column).cast("string").alias("code")).filter(code.rlike(r"^\d+$"))
-    checked = F.when(F.length(code) <= digits, code).otherwise(
-        F.raise_error(F.concat(F.lit(f"country code longer than {digits} digits, raise code_digits: "), code))
+    code = F.col(code_column).cast("string")
+    listed = codes.filter(code.rlike(r"^\d{1,15}$")).select(code.alias("_code")).distinct()
+    lengths = listed.agg(F.sort_array(F.collect_set(F.length("_code")))).scalar()
+    distinct = values.select(F.col(column).cast("string").alias("_coded")).filter(F.col("_coded").isNotNull()).distinct()
+    cuts = distinct.select("_coded", F.explode(lengths).alias("_length")).select(
+        "_coded", F.expr("left(_coded, _length)").alias("_code")
     )
-    starts = F.sequence(F.rpad(checked, digits, "0").cast("int"), F.rpad(checked, digits, "9").cast("int"))
-    return listed.select(F.explode(starts).alias("start")).select(
-        F.lpad(F.col("start").cast("string"), digits, "0").alias("_start")
-    ).distinct()
+    found = cuts.join(listed, "_code")
+    return found.groupBy("_coded", own_shuffle("_coded")).agg(F.lit(1)).select("_coded")
 
 
-def phone_ok(
-    df: DataFrame, column: str, codes: DataFrame, code_column: str, code_digits: int = COUNTRY_CODE_DIGITS
-) -> DataFrame:
-    """Distinct rows whose value is not a bare E.164 number with a known country code.
-
-    Codes become fixed-length starts, so one hash join on the first digits replaces a prefix comparison of every
-    row with every code. There are at most 10,000 starts, which bounds the broadcast.
-    """
+def phone_ok(df: DataFrame, column: str, codes: DataFrame, code_column: str) -> DataFrame:
+    """Distinct rows whose value is not a bare E.164 number with a known country code."""
     value = F.col(column).cast("string")
-    starts = F.broadcast(_code_starts(codes, code_column, code_digits))
-    start = F.when(value.rlike(PHONE_SHAPE), F.substring(value, 1, code_digits))
-    return df.join(starts, start == F.col("_start"), "left_anti").distinct()
+    good = coded_values(df.filter(value.rlike(PHONE_SHAPE)), column, codes, code_column)
+    return df.join(good, value == F.col("_coded"), "left_anti").distinct()

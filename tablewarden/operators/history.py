@@ -347,14 +347,15 @@ def backfill_missing_days(
 
     On a source partitioned by the date the target's days arrive as a scalar list and select whole partitions, so
     days the target has are never read. On any other source they are a broadcast hash table. Either way there is
-    one element per calendar day.
+    one element per calendar day. Rows without a day are of no missing day and are never copied.
     """
     days = target.select(F.to_date(date_column).alias("_day")).distinct()
     if partitioned:
-        present = days.agg(F.collect_set("_day")).scalar()
+        present = days.agg(F.collect_set("_day")).scalar()  # leaves out NULL
         missing = source.filter(~F.array_contains(present, F.col(date_column)))
     else:
-        missing = source.join(F.broadcast(days), F.col(date_column) == F.col("_day"), "left_anti")
+        dated = source.filter(F.col(date_column).isNotNull())
+        missing = dated.join(F.broadcast(days), F.col(date_column) == F.col("_day"), "left_anti")
     return missing.select(*target.columns)
 
 
@@ -387,12 +388,14 @@ def backfill_run(
 ) -> None:
     """Add the missing days to a catalog table and log them, without touching the days it has.
 
-    The days present (one per calendar day, from the partitions) are fixed first. All missing days are written by
+    The days present are fixed first, from the catalog's partitions: no row is read for them, and rows without a day,
+    on either side, play no part. All missing days are written by
     one dynamic partition overwrite, so a repeated run after a crash replaces what the first one left. The log is
     counted from the written table and cannot disagree with it.
     """
-    present = [row[0] for row in spark.table(target).select(date_column).distinct().collect()]
-    is_new = ~F.col(date_column).isin(present) if present else F.lit(True)
+    present = partition_days(spark, target, date_column)
+    day = F.col(date_column)
+    is_new = day.isNotNull() & ~day.isin(present) if present else day.isNotNull()
     backfill_into(spark, source.filter(is_new), target)
     added = spark.table(target).filter(is_new)
     backfill_log(target, added, date_column, logged_at).write.mode("append").saveAsTable(log)
@@ -411,19 +414,21 @@ def history_day_reconcile(source: DataFrame, target: DataFrame, date_column: str
 
 
 def backfill_log_timing(
-    log: DataFrame, table_column: str, time_column: str, now: Column, tie_break: str, cuts: int = 100
+    log: DataFrame, table_column: str, time_column: str, now: Column, tie_break: str, rows_per_range: int = 1_000_000
 ) -> DataFrame:
     """Per log row: the table's previous log time, seconds since it, and seconds from the row to ``now``.
 
     A table may own most of the log, so a table's times are not sorted in one task. Times are cut into ranges at
-    approximate quantiles of the whole log, which bounds every range whatever table its rows belong to. Neighbours
+    approximate quantiles of the whole log, as many as its size asks for, which bounds every range whatever table its
+    rows belong to. Neighbours
     are found inside a table's range; a range's first time takes the last time of the table's nearest earlier
     range. Equal times of a table are one entry meanwhile: the lowest ``tie_break`` among them gets the earlier
     time, the others the same time.
     """
     t, x = table_column, time_column
+    cuts = max(2, -(-log.count() // rows_per_range))
     shares = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-    bounds = log.agg(F.percentile_approx(x, shares, 10_000)).scalar()
+    bounds = log.agg(F.percentile_approx(x, shares, max(10_000, 10 * cuts))).scalar()
     table = F.struct(t)  # unlike a bare NULL, a struct holding NULL equals itself in a join
     times = log.filter(F.col(x).isNotNull()).groupBy(table.alias("_t"), F.col(x).alias("_x")).agg(F.min(tie_break).alias("_first"))
     ranged = times.withColumn("_bounds", bounds).select(

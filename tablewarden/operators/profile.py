@@ -42,9 +42,10 @@ def storage_order(profile: DataFrame) -> DataFrame:
     return profile.agg(F.array_join(names, ", ").alias("order_clause"))
 
 
-def cluster_by_cardinality(df: DataFrame, path: str, partitions: int | None = None, approximate: bool = True) -> list[str]:
+def cluster_by_cardinality(df: DataFrame, path: str, partitions: int | None = None, approximate: bool = False) -> list[str]:
     """Rewrite the table sorted by its columns, fewest distinct values first, which packs best; returns the order.
 
+    Counts are exact; ``approximate`` takes one scan with sketches, and columns of close counts may change places.
     Range partitioning samples all sort columns, so a frequent value of the first ones is spread over partitions.
     """
     order = [row["column_name"] for row in distinct_profile(df, approximate).collect()]

@@ -8,8 +8,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import dates, keys, persons, phones
-from ..functions.distance import deletion_variants, edit_distance
-from .checks import COUNTRY_CODE_DIGITS, PHONE_SHAPE, _code_starts
+from ..functions.common import own_shuffle
+from ..functions.distance import edit_distance
+from .checks import PHONE_SHAPE, coded_values
 
 # Postal codes of this length are domestic, and the home country.
 HOME_POSTAL_LENGTH = 3
@@ -45,26 +46,21 @@ def surrogate_keys(df: DataFrame, fields: Sequence[str], name: str = "surrogate_
 
 
 def standardise_phones(
-    df: DataFrame,
-    column: str,
-    codes: DataFrame,
-    code_column: str,
-    country_code: str = phones.DEFAULT_COUNTRY_CODE,
-    code_digits: int = COUNTRY_CODE_DIGITS,
+    df: DataFrame, column: str, codes: DataFrame, code_column: str, country_code: str = phones.DEFAULT_COUNTRY_CODE
 ) -> DataFrame:
     """E.164 digits, MSISDN, and why the number is not usable: ``missing``, ``shape`` or ``country code``."""
     e164 = F.col("e164")
-    starts = F.broadcast(_code_starts(codes, code_column, code_digits))  # at most 10 ** code_digits rows
     with_numbers = df.withColumn("e164", phones.e164_digits(column, country_code)).withColumn(
         "msisdn", phones.msisdn(column, country_code)
     )
-    joined = with_numbers.join(starts, F.substring(e164, 1, code_digits) == F.col("_start"), "left")
+    known = coded_values(with_numbers.filter(e164.rlike(PHONE_SHAPE)), "e164", codes, code_column)
+    joined = with_numbers.join(known, e164 == F.col("_coded"), "left")
     reason = (
         F.when(e164.isNull(), F.lit("missing"))
         .when(~e164.rlike(PHONE_SHAPE), F.lit("shape"))
-        .when(F.col("_start").isNull(), F.lit("country code"))
+        .when(F.col("_coded").isNull(), F.lit("country code"))
     )
-    return joined.withColumn("reason", reason).drop("_start")
+    return joined.withColumn("reason", reason).drop("_coded")
 
 
 def conform_dates(df: DataFrame, column: str, mask: str) -> DataFrame:
@@ -124,19 +120,13 @@ def resolve_country(
 ) -> DataFrame:
     """Country id: a domestic postal code decides, then characters 3 and 4 of the community code, then the address.
 
-    ``countries``: id, alpha_2_code, name. Countries are cut to one per two-letter code, so at most 676 rows are
-    broadcast.
+    ``countries``: id, alpha_2_code, name. A code or a name may have several countries, and a country no code; the
+    smallest id of a code, and of a name, stands.
     """
-    code = F.lower("alpha_2_code")
-    listed = (
-        countries.filter(code.rlike("^[a-z]{2}$"))
-        .groupBy(code.alias("alpha2"))
-        .agg(F.min_by(F.struct("id", "name"), "id").alias("c"))
-        .select("alpha2", "c.id", F.lower("c.name").alias("name"))
-    )
-    home = listed.filter(F.col("alpha2") == HOME_ALPHA2).select("id").scalar()
-    by_code = F.broadcast(listed.select(F.col("alpha2").alias("_alpha2"), F.col("id").alias("_code_id")))
-    by_name = F.broadcast(listed.groupBy(F.col("name").alias("_name")).agg(F.min("id").alias("_name_id")))
+    listed = countries.select("id", F.lower("alpha_2_code").alias("_alpha2"), F.lower("name").alias("_name"))
+    by_code = listed.groupBy("_alpha2", own_shuffle("_alpha2")).agg(F.min("id").alias("_code_id")).drop("_spread")
+    by_name = listed.groupBy("_name", own_shuffle("_name")).agg(F.min("id").alias("_name_id")).drop("_spread")
+    home = listed.filter(F.col("_alpha2") == HOME_ALPHA2).agg(F.min("id")).scalar()
     resolved = F.when(F.length(F.rtrim(postal_code)) == HOME_POSTAL_LENGTH, home).otherwise(
         F.coalesce("_code_id", "_name_id")
     )
@@ -153,27 +143,52 @@ def fuzzy_match(
 ) -> DataFrame:
     """Pairs of distinct values within ``maximum`` edits, with their distance and how many rows carry each.
 
-    Copies of a value are one candidate, however many there are. Candidates share a deletion variant: every pair
-    within the limit does, so none is missed, and values farther apart than twice the limit never meet, so there
-    is no block of unrelated values to compare. A value of n characters has on the order of n ** maximum variants;
-    they travel as 64-bit hashes, and the distance is checked on the texts. The merge hint keeps the exploded side
-    from being broadcast on the size it had before.
+    Copies of a value are one candidate, however many there are. A value is cut into ``maximum`` + 1 pieces of even
+    length. Of two values within the limit one piece of the one stands unchanged in the other, moved by at most
+    ``maximum`` characters, so pieces are joined with the other side's texts at those places, for the lengths that
+    the other value may have. A value gives some 2 * ``maximum`` rows per piece and length, however long it is. The
+    distance is checked on the texts.
     """
     if maximum is None or maximum < 0:
         raise ValueError("matching needs a maximum distance; edit_distance takes any pair")
 
-    def variants(df: DataFrame, column: str, prefix: str) -> DataFrame:
+    def values(df: DataFrame, column: str, prefix: str) -> DataFrame:
         value: Column = F.lower(column) if fold_case else F.col(column)
-        values = df.filter(F.col(column).isNotNull()).groupBy(value.alias(f"{prefix}_value")).agg(
+        return df.filter(F.col(column).isNotNull()).groupBy(value.alias(f"{prefix}_value")).agg(
             F.count("*").alias(f"{prefix}_rows")
-        )
-        hashes = F.transform(deletion_variants(F.col(f"{prefix}_value"), maximum), lambda v: F.xxhash64(v))
-        return values.select("*", F.explode(F.array_distinct(hashes)).alias("variant"))
-
+        ).withColumn("size", F.length(f"{prefix}_value"))
+
+    pieces = maximum + 1
+
+    def cut(size: str, number: str) -> tuple[Column, Column]:
+        """Start (from 0) and length of a piece: the longer pieces come last."""
+        short = F.expr(f"{size} div {pieces}")
+        longer = F.greatest(F.col(number) - (F.lit(pieces) - F.expr(f"{size} % {pieces}")), F.lit(0))
+        return F.col(number) * short + longer, short + F.when(
+            F.col(number) >= F.lit(pieces) - F.expr(f"{size} % {pieces}"), 1
+        ).otherwise(0)
+
+    numbers = F.sequence(F.lit(0), F.lit(maximum))
+    start, length = cut("size", "number")
+    whole = values(left, left_column, "left").select("*", F.explode(numbers).alias("number")).select(
+        "left_value", "left_rows", "size", "number",
+        F.xxhash64(F.substr("left_value", start + 1, length)).alias("piece"),
+    )
+    lengths = F.sequence(F.greatest(F.col("own_size") - maximum, F.lit(0)), F.col("own_size") + maximum)
+    other = (
+        values(right, right_column, "right").withColumnRenamed("size", "own_size")
+        .select("*", F.explode(lengths).alias("size")).select("*", F.explode(numbers).alias("number"))
+    )
+    first = F.greatest(start - maximum, F.lit(0))
+    last = F.least(start + maximum, F.col("own_size") - length)
+    shifts = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    moved = other.select("right_value", "right_rows", "size", "number", length.alias("length"), F.explode(shifts).alias("at")).select(
+        "right_value", "right_rows", "size", "number",
+        F.xxhash64(F.substr("right_value", F.col("at") + 1, F.col("length"))).alias("piece"),
+    ).distinct()
     distance = edit_distance("left_value", "right_value", maximum, fold_case=False)
     return (
-        variants(left, left_column, "left")
-        .join(variants(right, right_column, "right").hint("merge"), "variant")
+        whole.join(moved.hint("merge"), ["size", "number", "piece"])
         .select("left_value", "right_value", distance.alias("distance"), "left_rows", "right_rows")
         .filter("distance is not null")
         .distinct()

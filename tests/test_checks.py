@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tablewarden.operators import checks, health, suite
+from tablewarden.operators import checks, standardise, health, suite
 
 
 @pytest.fixture
@@ -97,12 +97,14 @@ def test_phone_codes(spark):
     assert bad == [None, "354555123", "3545551234567890", "35455512x4", "4712345678"]
 
 
-def test_long_phone_code_is_an_error_not_a_miss(spark):
-    codes = spark.createDataFrame([("35455",)], "code string")
-    df = spark.createDataFrame([("3545551234",)], "p string")
-    with pytest.raises(Exception, match="code_digits"):
-        checks.phone_ok(df, "p", codes, "code").collect()
-    assert checks.phone_ok(df, "p", codes, "code", code_digits=5).count() == 0
+def test_phone_codes_of_any_length(spark):
+    codes = spark.createDataFrame([("35455",), ("354551",), ("1",)], "code string")
+    numbers = ["3545551234", "3545651234", "3545512345", "15551234567"]
+    df = spark.createDataFrame([(n,) for n in numbers], "p string")
+    assert found(checks.phone_ok(df, "p", codes, "code")) == ["3545651234"]
+    assert checks.phone_ok(df, "p", codes.limit(0), "code").count() == 4
+    read = {r.p: r.reason for r in standardise.standardise_phones(df, "p", codes, "code").collect()}
+    assert read == {"3545551234": None, "3545651234": "country code", "3545512345": None, "15551234567": None}
 
 
 def test_national_id_sets_one_flag(spark):

@@ -123,9 +123,3 @@ def test_edit_distance(spark):
     assert between("KITTEN", "kitten", 0) == 0
     assert between("KITTEN", "kitten", 0, fold_case=False) is None
     assert between(None, "x", 3) is None
-
-
-def test_deletion_variants(values):
-    assert sorted(values(distance.deletion_variants(F.col("v"), 1), ["abc"])[0]) == ["ab", "abc", "ac", "bc"]
-    assert sorted(values(distance.deletion_variants(F.col("v"), 2), ["abc"])[0]) == ["a", "ab", "abc", "ac", "b", "bc", "c"]
-    assert values(distance.deletion_variants(F.col("v"), 2), ["a", ""]) == [["a", ""], [""]]

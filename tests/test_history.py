@@ -195,6 +195,22 @@ def test_backfill_reads_missing_partitions_only(spark, table):
     assert any("array_contains" in line.split("PartitionFilters")[1] for line in filters)
 
 
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_rows_without_a_day_are_never_copied(spark, partitioned):
+    days = spark.sql("select * from values (1, date'2024-01-01'), (2, null), (3, date'2024-01-03') as t(x, day)")
+    target = days.filter("x < 3")
+    assert [r.x for r in history.backfill_missing_days(days, target, "day", partitioned).collect()] == [3]
+
+
+def test_backfill_run_with_a_null_day_in_the_target(spark, table):
+    source = spark.sql("select * from values (1, date'2024-01-01'), (2, date'2024-01-02'), (3, null) as t(x, day)")
+    history.snapshot_bootstrap(spark, source.select("x"), table, "day", new_shared_path(spark, table))
+    history.backfill_into(spark, source.filter("x <> 2"), table)
+    history.backfill_run(spark, source, table, "day", f"log_{table}", F.lit(datetime(2024, 2, 1)))
+    assert sorted(r.x for r in spark.table(table).collect()) == [1, 2, 3]
+    assert [(r.history_date.day, r.row_count) for r in spark.table(f"log_{table}").collect()] == [(2, 1)]
+
+
 def test_backfill_run_is_repeatable(spark, table):
     source = spark.sql("select id as x, date_add(date'2024-01-01', cast(id % 5 as int)) as day from range(50)")
     history.snapshot_bootstrap(spark, source.select("x"), table, "day", new_shared_path(spark, table))
@@ -208,14 +224,14 @@ def test_backfill_run_is_repeatable(spark, table):
     ]
 
 
-@pytest.mark.parametrize("cuts", [2, 5, 50])
-def test_log_timing_equals_lead(spark, cuts):
+@pytest.mark.parametrize("rows_per_range", [1_000_000, 100, 10])
+def test_log_timing_equals_lead(spark, rows_per_range):
     log = spark.range(500).selectExpr(
         "id", "if(id % 3 = 0, 'hot', if(id % 50 = 1, null, 'cold')) as t",
         "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(pmod(id * 7919, 83) as int)) as x",
     )
     now = F.to_timestamp_ntz(F.lit("2024-02-01 00:00:00"))
-    ours = history.backfill_log_timing(log, "t", "x", now, "id", cuts=cuts)
+    ours = history.backfill_log_timing(log, "t", "x", now, "id", rows_per_range)
     expected = spark.sql("select *, lead(x) over (partition by t order by x desc, id desc) as p from {log}", log=log)
     assert sorted(map(str, ours.select("id", "previous_time").collect())) == sorted(
         map(str, expected.selectExpr("id", "p as previous_time").collect())

@@ -133,6 +133,37 @@ def test_resolve_country(spark):
     assert read == {1: "i", 2: "n", 3: "n", 4: "i", 5: None}
 
 
+def test_countries_without_a_code_or_with_two_names(spark):
+    countries = spark.sql("""select * from values (1, 'is', 'Ísland'), (2, null, 'Kosovo'), (3, 'gb', 'United Kingdom'),
+        (4, 'gb', 'England'), (5, '', 'Nowhere'), (6, 'xyz', 'Long code') as t(id, alpha_2_code, name)""")
+    people = spark.sql("""select * from values (1, null, null, 'kosovo'), (2, null, '00gb', 'x'), (3, null, null, 'England'),
+        (4, null, null, 'long code') as t(k, p, c, a)""")
+    read = {r.k: r.country_id for r in standardise.resolve_country(people, countries, "p", "c", "a").collect()}
+    assert read == {1: 2, 2: 3, 3: 4, 4: 6}
+
+
+@pytest.mark.parametrize("maximum", [0, 1, 2, 3])
+def test_fuzzy_match_finds_every_pair(spark, maximum):
+    import random
+    dice = random.Random(maximum)
+    words = {"".join(dice.choice("abc") for _ in range(dice.randint(0, 9))) for _ in range(70)} | {"x" * 300, "x" * 298 + "y"}
+    left, right = sorted(words)[::2], sorted(words)[1::2] + ["x" * 299]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            row, before = [i], row
+            for j, d in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (c != d)))
+        return row[-1]
+
+    found = standardise.fuzzy_match(
+        spark.createDataFrame([(w,) for w in left], "v string"), "v",
+        spark.createDataFrame([(w,) for w in right], "w string"), "w", maximum)
+    expected = {(a, b, d) for a in left for b in right if (d := distance(a, b)) <= maximum}
+    assert {(r.left_value, r.right_value, r.distance) for r in found.collect()} == expected
+
+
 def test_best_match_ranks(spark):
     concepts = spark.sql("""select * from values ('Name', 'd', 'name', 'VARCHAR', 50), ('Ten', 'd', 'ten', 'INT', -1),
         ('Id', 'd', 'id', 'BIGINT', -1), ('N me', 'd', 'n_me', 'INT', -1) as t(concept_name, description, column_name, type_id, max_length)""")
