@@ -30,7 +30,10 @@ UNKNOWN_TYPE = "UNKNOWN"
 
 # Type families.
 TEXT_TYPES = ("char", "nchar", "varchar", "nvarchar")
-NUMERIC_TYPES = ("int", "bigint", "tinyint", "smallint", "numeric", "float", "decimal")
+NUMERIC_TYPES = ("int", "bigint", "tinyint", "smallint", "numeric", "float", "decimal", "double", "real")
+# A column type without a length, and types that go by two names: the first is as good as the second.
+UNBOUNDED_TEXT = "string"
+SAME_TYPES = {"double": "float", "integer": "int", "long": "bigint", "boolean": "bit", "timestamp_ntz": "datetime2"}
 
 KEY_SUFFIX = "_id"
 KEY_CONCEPT = "id"
@@ -41,7 +44,8 @@ NO_LENGTH = -1
 def empty_glossary(columns: DataFrame) -> DataFrame:
     """The glossary of the type 'None': an empty definition for every column name."""
     looked_up = _glossary_key(F.col("column_name"))
-    return columns.select(looked_up.alias("column_name")).distinct().select(
+    names = columns.groupBy(looked_up.alias("column_name"), own_shuffle(looked_up)).agg(F.lit(1))
+    return names.select(
         "column_name",
         F.lit("").alias("name"),
         F.lit("").alias("description"),
@@ -68,13 +72,15 @@ def enrich_catalog(
         "numeric_precision",
         "numeric_scale",
     )
-    concepts = glossary.select(
+    # All keys meet the one concept ``id``: the concepts are shuffled for the join, so that this key can be split.
+    concepts = glossary.groupBy(
         F.col("column_name").alias("_glossary_key"),
         F.col("name").alias("glossary_name"),
         F.col("description").alias("glossary_description"),
         F.col("data_type").alias("glossary_data_type"),
         F.col("max_length").alias("glossary_max_length"),
-    )
+        own_shuffle("column_name"),
+    ).agg(F.lit(1).alias("_one")).drop("_spread", "_one")
     return (
         catalog.join(described, "node_key", "left")
         .join(columns, ["node_key", "column_name"], "left")
@@ -184,10 +190,14 @@ def type_error_message() -> Column:
     wanted = F.lower("glossary_data_type")
     actual = F.coalesce(F.lower("type_name"), F.lit(UNKNOWN_TYPE))
     lengths_differ = ~F.col("glossary_max_length").eqNullSafe(F.col("max_length"))
+    other_name = F.lit(False)
+    for one, two in SAME_TYPES.items():
+        other_name = other_name | ((actual == one) & (wanted == two))
+    unbounded = (actual == UNBOUNDED_TEXT) & wanted.isin(*TEXT_TYPES, "text")
     return F.when(
         _filled("glossary_data_type"),
-        F.when(wanted != actual, F.format_string(TYPE_MESSAGE, wanted, actual)).when(
-            wanted.isin(*TEXT_TYPES) & lengths_differ,
+        F.when((wanted != actual) & ~other_name & ~unbounded, F.format_string(TYPE_MESSAGE, wanted, actual)).when(
+            wanted.isin(*TEXT_TYPES) & ~unbounded & lengths_differ,
             F.format_string(LENGTH_MESSAGE, F.col("glossary_max_length"), F.col("max_length")),
         ),
     )
@@ -221,13 +231,14 @@ RELATION_KEY = ("database_name", "schema_name", "relation_name")
 
 
 def relation_test_coverage(tests: DataFrame) -> DataFrame:
-    """Number of tests per relation. ``tests``: database, schema, relation, and column (NULL for several columns)."""
-    return tests.groupBy(*RELATION_KEY).agg(F.count("*").alias("test_count"))
+    """Number of tests per relation. ``tests``: database, schema, relation, and column (NULL for several columns).
+    Tests without a relation count nowhere."""
+    return tests.filter("relation_name is not null").groupBy(*RELATION_KEY).agg(F.count("*").alias("test_count"))
 
 
 def column_test_coverage(tests: DataFrame) -> DataFrame:
     """Number of tests per column."""
-    single = tests.filter("column_name is not null")
+    single = tests.filter("column_name is not null and relation_name is not null")
     return single.groupBy(*RELATION_KEY, "column_name").agg(F.count("*").alias("test_count"))
 
 
@@ -297,7 +308,7 @@ def length_text() -> Column:
     before = (F.col("numeric_precision") - F.col("numeric_scale")).cast("string")
     return (
         F.when(kind.isNull(), F.lit(METADATA_MISSING))
-        .when(kind.isin(*TEXT_TYPES), F.col("max_length").cast("string"))
+        .when(kind.isin(*TEXT_TYPES, UNBOUNDED_TEXT), F.col("max_length").cast("string"))
         .when(kind.isin(*NUMERIC_TYPES), F.concat(before, F.lit(", "), F.col("numeric_scale").cast("string")))
         .otherwise(F.lit(""))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.common import own_shuffle, percentage
+from ..sources.run_files import MISSING_SQL, UNKNOWN
 
 LEVELS = ("database_name", "schema_name", "relation_name")
 
@@ -97,11 +98,19 @@ def _error_rows(errors: DataFrame) -> DataFrame:
 
 
 def attribute_tests(log: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Check-log entries with the database, schema, relation and query text of their manifest test."""
-    tests = manifest.select(
-        "unique_id", "database_name", "schema_name", "relation_name", "sql_filename", "query_path", "sql"
+    """Check-log entries with the database, schema, relation and query text of their manifest test.
+
+    A test that several manifests hold counts once; an entry without a test stays, in an unknown relation.
+    """
+    fields = ("database_name", "schema_name", "relation_name", "sql_filename", "query_path", "sql")
+    tests = manifest.groupBy("unique_id", own_shuffle("unique_id")).agg(F.min(F.struct(*fields)).alias("test"))
+    joined = log.drop("sql_filename").join(tests.drop("_spread"), "unique_id", "left")
+    unknown = {name: UNKNOWN for name in LEVELS} | {"sql": MISSING_SQL}
+    return joined.select(
+        *log.drop("sql_filename").columns,
+        *[F.coalesce(f"test.{f}", F.lit(unknown[f])).alias(f) if f in unknown else F.col(f"test.{f}").alias(f)
+          for f in fields],
     )
-    return log.drop("sql_filename").join(tests, "unique_id")
 
 
 def attributed_results(attributed: DataFrame) -> DataFrame:

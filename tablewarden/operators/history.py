@@ -163,10 +163,16 @@ def scd2_merge(
     Unchanged keys keep their open version; changed keys give a closed and a new open one; new keys an open one;
     keys gone from the source are closed (or kept open). One full outer join on the key; a key's one or two
     versions are emitted from the joined row, so nothing is shuffled twice. Already closed versions are not needed.
-    Rows without a key are left out, as in the snapshots.
+    Rows without a key are left out, as in the snapshots. A tracked column that the open versions lack is NULL in
+    them, so it makes a new version only where the source has a value.
     """
+    for column in tracked:
+        if column not in current.columns:
+            current = current.withColumn(column, F.lit(None).cast(source.schema[column].dataType))
     hashed = source.filter(F.col(key).isNotNull()).select(F.struct(key, *tracked).alias("s"), F.col(key).alias("_sk"), row_hash(tracked).alias("_sh"))
-    held = current.select(F.struct(key, *tracked, "valid_from", "row_hash").alias("c"), F.col(key).alias("_ck"))
+    held = current.select(
+        F.struct(key, *tracked, "valid_from").alias("c"), F.col(key).alias("_ck"), row_hash(tracked).alias("_ch")
+    )
     joined = held.join(hashed, F.col("_ck") == F.col("_sk"), "full_outer")
 
     def version(row: str, valid_from: Column, valid_to: Column, is_current: bool, digest: Column) -> Column:
@@ -180,14 +186,14 @@ def scd2_merge(
 
     no_date = F.lit(None).cast("date")
     today = F.lit(run_date)
-    kept = version("c", F.col("c.valid_from"), no_date, True, F.col("c.row_hash"))
-    closed = version("c", F.col("c.valid_from"), today, False, F.col("c.row_hash"))
+    kept = version("c", F.col("c.valid_from"), no_date, True, F.col("_ch"))
+    closed = version("c", F.col("c.valid_from"), today, False, F.col("_ch"))
     opened = version("s", today, no_date, True, F.col("_sh"))
     removed = closed if close_removed else kept
     versions = (
         F.when(F.col("c").isNull(), F.array(opened))
         .when(F.col("s").isNull(), F.array(removed))
-        .when(F.col("c.row_hash") == F.col("_sh"), F.array(kept))
+        .when(F.col("_ch") == F.col("_sh"), F.array(kept))
         .otherwise(F.array(closed, opened))
     )
     return joined.select(F.inline(versions))
@@ -212,22 +218,23 @@ def scd2_run(
     if previous is None:
         result = scd2_start(source, key, tracked, run_date)
     else:
-        held = spark.read.parquet(storage.version_path(root, previous)).filter(F.col(PART) == "current").drop(PART)
+        held = storage.read_version(spark, root, previous).filter(F.col(PART) == "current").drop(PART)
         result = scd2_merge(held, source, key, tracked, run_date, close_removed)
     parts = result.withColumn(PART, F.when(F.col("is_current"), "current").otherwise("closed"))
     return storage.write_version(parts, root, run_date, [PART])
 
 
 def scd2_history(spark: SparkSession, root: str, as_of: date | None = None) -> DataFrame:
-    """All versions: those closed by any run, and the open ones of the newest run."""
+    """All versions: those closed by any run, and the open ones of the newest run. Columns that a run did not have
+    are NULL in what it closed."""
     runs = [v for v in storage.versions(spark, root) if as_of is None or v <= as_of]
     if not runs:
         raise ValueError(f"no complete version below {root}")
-    newest = spark.read.parquet(storage.version_path(root, runs[-1])).drop(PART)
-    if not runs[:-1]:
-        return newest
-    older = spark.read.option("basePath", root).parquet(*[storage.version_path(root, v) for v in runs[:-1]])
-    return newest.unionByName(older.filter(F.col(PART) == "closed").select(*newest.columns))
+    newest = storage.read_version(spark, root, runs[-1]).drop(PART)
+    for run in runs[:-1]:
+        closed = storage.read_version(spark, root, run).filter(F.col(PART) == "closed").drop(PART)
+        newest = newest.unionByName(closed, allowMissingColumns=True)
+    return newest
 
 
 def scd2_public_view(
@@ -319,16 +326,14 @@ def unified_dimension_incremental(
 ) -> DataFrame:
     """The unified dimension after the days beyond the target's watermark.
 
-    Only newer partitions of the history are read. Write the result to a new version, never over the target.
+    Only newer partitions of the history are read, once: target and newer days go through one window. Write the result to a new version, never over the target.
     """
-    delta = unified_dimension(
-        history.filter(F.col(date_column) > history_watermark(target, date_column)), key, date_column, tie_break
-    )
+    newer = history.filter(F.col(date_column) > history_watermark(target, date_column))
     if target is None:
-        return delta
-    # Not null-safe: a NULL key never equals itself, as in the NOT EXISTS this stands for.
-    kept = target.join(delta.select(F.col(key).alias("_key")), F.col(key) == F.col("_key"), "left_anti")
-    return kept.unionByName(delta)
+        return unified_dimension(newer, key, date_column, tie_break)
+    # A NULL key never equals itself, as in the NOT EXISTS this stands for: such rows of the target stay as they are.
+    keyed = target.filter(F.col(key).isNotNull()).unionByName(newer)
+    return target.filter(F.col(key).isNull()).unionByName(unified_dimension(keyed, key, date_column, tie_break))
 
 
 # Backfill.

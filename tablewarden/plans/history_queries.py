@@ -23,16 +23,15 @@ def _new_table(t: Tables, label: str) -> tuple[str, str]:
 
 @query(
     "snapshot_rerun",
-    """select date '2024-01-20' as snap_date, c_custkey, segment, nationkey, email from customer_dirty
-       where segment is not null""",
+    "select date '2024-01-20' as snap_date, * from customer_dirty",
     ("customer_dirty",),
 )
 def _(t: Tables):
     table, path = _new_table(t, "snapshot")
-    source = t.customer_dirty.select("c_custkey", "segment", "nationkey", "email")
+    source = t.customer_dirty
     history.snapshot_bootstrap(t.spark, source, table, "snap_date", path)
     for _again in range(2):
-        history.snapshot_append(t.spark, source, table, "segment", "snap_date", DAY_2)
+        history.snapshot_append(t.spark, source, table, "c_custkey", "snap_date", DAY_2)
     return history.snapshot_read(t.spark, table, "snap_date")
 
 
@@ -107,6 +106,45 @@ def _two_loads(t: Tables):
     return history.scd2_history(t.spark, root)
 
 
+def _fresh_root(t: Tables) -> str:
+    return new_shared_path(t.spark, "scd2")
+
+
+@query(
+    "scd2_empty_load",
+    """select c_custkey, segment, cast(d as date) as valid_from, cast(e as date) as valid_to, e is null as is_current
+       from load_1, (values ('2024-01-19', '2024-01-20'), ('2024-01-21', null)) v(d, e)""",
+    ("load_1",),
+)
+def _(t: Tables):
+    """An empty first load, a full one, one that has lost every key, and the full one again."""
+    root = _fresh_root(t)
+    source = t.load_1.select("c_custkey", "segment")
+    loads = (source.filter("c_custkey is null"), source, source.filter("c_custkey is null"), source)
+    for day, load in enumerate(loads, 18):
+        history.scd2_run(t.spark, root, load, "c_custkey", ["segment"], date(2024, 1, day))
+    return history.scd2_history(t.spark, root).drop("row_hash")
+
+
+@query(
+    "scd2_added_column",
+    """with old as (select c_custkey, segment from load_1), new as (
+         select c_custkey, segment, case when c_nationkey < 10 then c_nationkey end as c_nationkey from load_1)
+       select c_custkey, segment, cast(null as int) as c_nationkey, date '2024-01-19' as valid_from, date '2024-01-20' as valid_to,
+         false as is_current from new where c_nationkey is not null
+       union all
+       select c_custkey, segment, c_nationkey, case when c_nationkey is null then date '2024-01-19' else date '2024-01-20' end, null, true
+       from new""",
+    ("load_1",),
+)
+def _(t: Tables):
+    root = _fresh_root(t)
+    wider = t.load_1.selectExpr("c_custkey", "segment", "case when c_nationkey < 10 then c_nationkey end as c_nationkey")
+    history.scd2_run(t.spark, root, wider.drop("c_nationkey"), "c_custkey", ["segment"], DAY_1)
+    history.scd2_run(t.spark, root, wider, "c_custkey", ["segment", "c_nationkey"], DAY_2)
+    return history.scd2_history(t.spark, root).drop("row_hash")
+
+
 @query("scd2_two_loads", SCD2_SQL + "select * from versions", ("load_1", "load_2"))
 def _(t: Tables):
     return _two_loads(t).drop("row_hash")
@@ -188,6 +226,22 @@ def _(t: Tables):
     return history.backfill_before(t.user_state_history, t.late_history, "snap_date", date(2024, 2, 1))
 
 
+UNDATED_SQL = "select * from user_state_history where snap_date not in (select snap_date from gappy_history)"
+UNDATED = """select nullif(snap_date, date '2024-01-12') as snap_date, user_id, event_type, value from {rows}"""
+
+
+@query("backfill_null_day", UNDATED_SQL + " and snap_date <> date '2024-01-12'", ("user_state_history", "gappy_history"))
+def _(t: Tables):
+    """Rows without a day are copied by neither form: each form brings half of the users."""
+    source = t.spark.sql(UNDATED, rows=t.user_state_history)
+    target = t.gappy_history.unionByName(source.filter("snap_date is null"))
+    halves = [
+        history.backfill_missing_days(source.filter(f"user_id % 2 = {half}"), target, "snap_date", partitioned=half == 1)
+        for half in (0, 1)
+    ]
+    return halves[0].unionByName(halves[1])
+
+
 @query(
     "backfill_missing_days",
     """select * from user_state_history

@@ -41,7 +41,7 @@ DERIVED = {
             when c_custkey % 31 = 0 then '12345x7890'
             else lpad(cast((c_custkey * 6700417) % 10000000000 as string), 10, '0') end as national_id
         from {customer}"""),
-    "country_code": Derived((), "select * from (values ('354', 'IS'), ('47', 'NO'), ('1', 'US')) as t(code, alpha2)"),
+    "country_code": Derived((), "select * from (values ('354', 'IS'), ('47', 'NO'), ('1', 'US'), ('99955', 'X1'), ('9995', 'X2')) as t(code, alpha2)"),
     # Daily state of every user that was active on the day.
     "user_state_history": Derived(("events",), """
         select cast(ts as date) as snap_date, user_id, max_by(event_type, event_id) as event_type,
@@ -96,9 +96,10 @@ DERIVED = {
           n.n_name as address
         from {customer} c join {nation} n on n.n_nationkey = c.c_nationkey"""),
     "country": Derived(("nation",), """
-        select 'country-' || lower(code) as id, code as alpha_2_code, name from (
+        select 'country-' || coalesce(code, 'of ' || name) as id, code as alpha_2_code, name from (
           select case n_nationkey when 0 then 'is' when 1 then 'no' when 2 then 'us'
-            else chr(97 + n_nationkey) || 'x' end as code, lower(n_name) as name from {nation}) n"""),
+            when 5 then null when 6 then 'fx' else chr(97 + n_nationkey) || 'x' end as code, lower(n_name) as name from {nation}) n
+        union all select 'country-other', 'fx', 'other name of ' || n_name from {nation} where n_nationkey = 6"""),
     # A catalog of relations whose columns are named after the parts.
     "part_column": Derived(("part",), """
         select 'warehouse' as database_name, schema_name, relation_name, column_name,

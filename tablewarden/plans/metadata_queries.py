@@ -82,8 +82,9 @@ def _(t: Tables):
 # Run files.
 
 LOG_SQL = """
-    select 'check_' || cast(l_partkey as varchar) as test_name, 'test.p.' || cast(l_partkey as varchar) as unique_id,
-      'checks/' || cast(l_partkey as varchar) || '.sql' as sql_filename,
+    select 'check_' || cast(l_partkey as varchar) as test_name,
+      case when l_linenumber = 7 then 'test.gone.' else 'test.p.' end || cast(l_partkey as varchar) as unique_id,
+      'checks/' || case when l_linenumber = 2 then '"}{' else '' end || cast(l_partkey as varchar) || '.sql' as sql_filename,
       case l_returnflag when 'A' then 'pass' when 'N' then 'warn' else 'fail' end as status,
       cast(l_quantity as bigint) as num_failures from lineitem"""
 MANIFEST_SQL = """
@@ -100,6 +101,14 @@ def _(t: Tables):
     return run_files.check_log_results(run_texts.check_log(t))
 
 
+@query(
+    "check_log_corrupt",
+    f"select '{run_texts.CUT_ENTRY}' as entry, count(*) as entry_count from lineitem where l_linenumber = 3 having count(*) > 0",
+)
+def _(t: Tables):
+    return run_files.check_log_corrupt(run_texts.check_log(t))
+
+
 @query(
     "check_log_header",
     """select l_linestatus as version, 'order ' || cast(l_orderkey as varchar) as executed_at,
@@ -116,8 +125,14 @@ def _(t: Tables):
 
 @query(
     "manifest_test_targets",
-    """select 'test.p.' || cast(p_partkey as varchar) as unique_id, 'warehouse' as database_name,
-         cast(null as varchar) as schema_name, cast(null as varchar) as relation_name, p_brand as column_name from part""",
+    f"""with models as (
+          select p_partkey // {run_texts.PARTS_PER_MANIFEST} as doc, p_name, arg_min(p_type, p_partkey) as schema_name
+          from part group by 1, 2)
+        select 'test.p.' || cast(p_partkey as varchar) as unique_id, 'warehouse' as database_name,
+          case when p_size <= 30 then m.schema_name end as schema_name,
+          case when p_size <= 30 then p.p_name when p_size <= 45 then 'p.' || cast(p_partkey as varchar) end as relation_name,
+          p_brand as column_name
+        from part p join models m on m.doc = p_partkey // {run_texts.PARTS_PER_MANIFEST} and m.p_name = p.p_name""",
 )
 def _(t: Tables):
     return run_files.parse_manifest_targets(run_texts.manifest(t))
@@ -157,20 +172,29 @@ def _(t: Tables):
     return glossary.parse_glossary_json(run_texts.glossary_json(t), "p_partkey")
 
 
+SEED_COLUMNS = ("c_custkey", "c_name", "c_acctbal", "segment", "nationkey", "email", "phone", "national_id")
+
+
+def _seed_value(column: str) -> str:
+    return f"coalesce(cast({column} as varchar), '')"
+
+
 @query(
     "seed_export_lines",
-    """select '"' || cast(c_custkey as varchar) || '","' || c_name || '","' || coalesce(segment, '') || '","'
-         || coalesce(cast(nationkey as varchar), '') || '"' as line from customer_dirty""",
+    f"""select '"' || {""" || '","' || """.join(_seed_value(c) for c in SEED_COLUMNS)} || '"' as line from customer_dirty
+        union all select '{','.join(SEED_COLUMNS)}'""",
     ("customer_dirty",),
 )
 def _(t: Tables):
-    return seed.seed_lines(t.customer_dirty.select("c_custkey", "c_name", "segment", "nationkey"))
+    header = t.spark.range(1).select(F.lit(seed.seed_header(t.customer_dirty)).alias("line"))
+    return header.unionByName(seed.seed_lines(t.customer_dirty))
 
 
 ATTRIBUTED_SQL = f"""
     with log as ({LOG_SQL}), tests as ({MANIFEST_SQL}),
-    attributed as (select database_name, schema_name, relation_name, test_name, unique_id, status, num_failures,
-      tests.sql_filename, query_path, sql from log join tests using (unique_id))
+    attributed as (select coalesce(database_name, 'UNKNOWN') as database_name, coalesce(schema_name, 'UNKNOWN') as schema_name,
+      coalesce(relation_name, 'UNKNOWN') as relation_name, test_name, unique_id, status, num_failures,
+      tests.sql_filename, query_path, coalesce(sql, 'Not found!') as sql from log left join tests using (unique_id))
 """
 
 
@@ -389,6 +413,56 @@ def _(t: Tables):
     return definitions.documentation_table(_enriched(t), PUBLIC)
 
 
+# Definition health of the supplied tables themselves, with the types that Spark gives them.
+
+REAL_GLOSSARY = (("doc_id", "bigint", -1), ("text", "varchar", 50), ("o_totalprice", "float", -1), ("c_nationkey", "varchar", 10),
+                 ("id", "bigint", -1), ("lang", "int", -1), ("embedding", "varchar", 9))
+REAL_SQL = f"""
+    with inventory as ({INVENTORY_SQL}),
+    glossary as (select * from (values {', '.join(f"('{n}', '{k}', {m})" for n, k, m in REAL_GLOSSARY)}) g(name, wanted, wanted_length)),
+    joined as (
+      select i.*, g.name as concept, wanted, wanted_length from inventory i
+      left join glossary g on g.name = case when i.column_name like '%\\_id' escape '\\' then 'id' else i.column_name end)
+"""
+
+
+def _real_enriched(t: Tables):
+    inventory_ = _measured(t)
+    rows = [(n, n, f"Concept of {n}", k, m) for n, k, m in REAL_GLOSSARY]
+    concepts = t.spark.createDataFrame(rows, "column_name string, name string, description string, data_type string, max_length int")
+    places = inventory_.select(
+        F.concat_ws(".", F.lit("model"), "schema_name", "relation_name").alias("node_key"),
+        F.lit("warehouse").alias("database_name"), "schema_name", "relation_name", "column_name",
+    )
+    models = places.select("node_key", F.lit("").alias("description")).distinct()
+    columns = places.select("node_key", "column_name", F.lit("").alias("description"))
+    return definitions.enrich_catalog(places, models, columns, inventory_, concepts)
+
+
+@query(
+    "def_type_errors_spark",
+    REAL_SQL + """select schema_name, relation_name, column_name,
+        'Gagnatýpa í skilgreiningu hugtaks: ' || wanted || ' - Gagnatýpa í grunni: ' || data_type as message
+      from joined where wanted is not null and wanted <> data_type
+        and not (data_type = 'string' and wanted = 'varchar') and not (data_type = 'double' and wanted = 'float')""",
+)
+def _(t: Tables):
+    return definitions.type_errors(_real_enriched(t))
+
+
+@query(
+    "doc_table_spark",
+    REAL_SQL + """select schema_name, relation_name, column_name, '' as relation_description, data_type as type_name,
+        case when data_type = 'string' then cast(char_length as varchar)
+          when data_type in ('int', 'bigint', 'double') then cast(numeric_precision as varchar) || ', 0' else '' end as type_length,
+        'Concept of ' || concept as description, case when concept is not null then 'Hugtök' end as origin,
+        cast(concept is null as int) as missing
+      from joined""",
+)
+def _(t: Tables):
+    return definitions.documentation_table(_real_enriched(t), ["public"])
+
+
 # Audit.
 
 

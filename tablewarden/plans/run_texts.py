@@ -11,14 +11,20 @@ def _text(*parts: Column | str) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
+CUT_ENTRY = '{"info": {"name": "LogTestResult", "ts'
+
+
 def check_log(t: Tables) -> DataFrame:
-    """Two entries per line without a separator: a test result of every line item, and a version or start entry."""
+    """Two or three entries per text: a test result of every line item, a version or start entry, and a cut entry
+    after third lines. Names hold braces, and some texts break lines between or inside entries."""
     key = F.col("l_partkey").cast("string")
     result = F.struct(
         F.struct(F.lit("LogTestResult").alias("name"), F.lit("2024-01-01T00:00:00").alias("ts"), F.lit("run-1").alias("invocation_id")).alias("info"),
         F.struct(
             F.struct(
-                _text("check_", key).alias("node_name"), _text("test.p.", key).alias("unique_id"), _text("checks/", key, ".sql").alias("node_path")
+                _text("check_", key).alias("node_name"),
+                F.when(F.col("l_linenumber") == 7, _text("test.gone.", key)).otherwise(_text("test.p.", key)).alias("unique_id"),
+                _text("checks/", F.when(F.col("l_linenumber") == 2, '"}{').otherwise(""), key, ".sql").alias("node_path"),
             ).alias("node_info"),
             F.when(F.col("l_returnflag") == "A", "pass").when(F.col("l_returnflag") == "N", "warn").otherwise("fail").alias("status"),
             F.col("l_quantity").cast("bigint").alias("num_failures"),
@@ -32,21 +38,35 @@ def check_log(t: Tables) -> DataFrame:
         ).alias("info"),
         F.struct(_text("=", F.col("l_linestatus")).alias("version")).alias("data"),
     )
-    return t.lineitem.select(F.concat(F.to_json(result), F.to_json(other)).alias("value"))
+    between = F.when(F.col("l_linenumber") == 4, "\r\n").otherwise("")
+    spread = F.when(F.col("l_linenumber") == 5, F.replace(F.to_json(result), F.lit('"data":'), F.lit('\n  "data":\n')))
+    cut = F.when(F.col("l_linenumber") == 3, CUT_ENTRY).otherwise("")
+    return t.lineitem.select(
+        F.concat(F.coalesce(spread, F.to_json(result)), between, F.to_json(other), cut).alias("value")
+    )
+
+
+PARTS_PER_MANIFEST = 50
 
 
 def manifest(t: Tables) -> DataFrame:
-    """One manifest per part: its model, and a test on it that sometimes has no text or no known parent."""
+    """Manifests of fifty parts: a model per part, and a test on it that sometimes has no text or no known parent, and
+    one, two or no references."""
     key = F.col("p_partkey").cast("string")
     brand = F.regexp_replace("p_brand", "Brand#", "").cast("int")
     model_key, test_key = _text("model.p.part_", key), _text("test.p.", key)
     nothing = F.lit(None).cast("string")
+    no_refs = F.array().cast("array<struct<name:string>>")
+
+    def ref(name: Column) -> Column:
+        return F.struct(name.alias("name"))
+
     model = F.struct(
         F.lit("model").alias("resource_type"), model_key.alias("unique_id"), F.lit("warehouse").alias("database"),
         F.col("p_type").alias("schema"), F.col("p_name").alias("name"), nothing.alias("path"), nothing.alias("compiled_path"),
         nothing.alias("compiled_code"), nothing.alias("file_key_name"),
         F.struct(F.array().cast("array<string>").alias("nodes")).alias("depends_on"),
-        F.array().cast("array<struct<name:string>>").alias("refs"), nothing.alias("column_name"),
+        no_refs.alias("refs"), nothing.alias("column_name"),
     )
     test = F.struct(
         F.lit("test").alias("resource_type"), test_key.alias("unique_id"), F.lit("warehouse").alias("database"),
@@ -55,12 +75,15 @@ def manifest(t: Tables) -> DataFrame:
         F.when(brand > 3, _text("select '", F.col("p_name"), "'")).alias("compiled_code"),
         F.when(brand < 20, _text("models.part_", key)).otherwise("models.other").alias("file_key_name"),
         F.struct(F.array(_text("model.p.missing_part_", key), model_key).alias("nodes")).alias("depends_on"),
-        F.array(F.struct(F.col("p_type").alias("name")), F.struct(F.col("p_name").alias("name"))).alias("refs"),
+        F.when(F.col("p_size") <= 30, F.array(ref(F.col("p_name"))))
+        .when(F.col("p_size") <= 45, F.array(ref(F.col("p_name")), ref(_text("p.", key)))).otherwise(no_refs).alias("refs"),
         F.col("p_brand").alias("column_name"),
     )
-    return t.part.select(
-        F.to_json(F.struct(F.map_from_arrays(F.array(model_key, test_key), F.array(model, test)).alias("nodes"))).alias("value")
-    )
+    entry = F.array(F.struct(model_key.alias("key"), model.alias("value")), F.struct(test_key.alias("key"), test.alias("value")))
+    listed = t.part.select(F.expr(f"p_partkey div {PARTS_PER_MANIFEST}").alias("doc"), "p_partkey", entry.alias("entries"))
+    grouped = listed.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("p_partkey", "entries"))).alias("all"))
+    nodes = F.map_from_entries(F.flatten(F.transform("all", lambda e: e["entries"])))
+    return grouped.select(F.to_json(F.struct(nodes.alias("nodes"))).alias("value"))
 
 
 def catalog(t: Tables) -> DataFrame:

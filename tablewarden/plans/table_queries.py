@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators import compare, dimensions, profile, standardise
 from ..session import new_shared_path
+from .inputs import TABLES
 from .registry import Tables, query
 
 LOADS = ("load_1", "load_2")
@@ -45,23 +46,23 @@ def _(t: Tables):
     return compare.data_difference(t.load_1, t.load_2, ["c_custkey"])
 
 
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                "l_returnflag", "l_linestatus", "l_shipdate")
+CHANGED_LINES = "case when l_shipdate >= timestamp '2001-01-01' then 'X' else l_returnflag end as l_returnflag"
+
+
 @query(
     "row_difference",
-    """with f as (select l_orderkey, l_linenumber, l_returnflag, count(*) as n from lineitem group by all),
-         s as (select l_orderkey, l_linenumber, case when l_shipdate >= timestamp '2001-01-01' then 'X' else l_returnflag end as l_returnflag,
-           count(*) as n from lineitem group by all)
-       select coalesce(f.l_orderkey, s.l_orderkey) as l_orderkey, coalesce(f.l_linenumber, s.l_linenumber) as l_linenumber,
-         coalesce(f.l_returnflag, s.l_returnflag) as l_returnflag, coalesce(f.n, 0) as first_count, coalesce(s.n, 0) as second_count
-       from f full join s on f.l_orderkey = s.l_orderkey and f.l_linenumber = s.l_linenumber and f.l_returnflag = s.l_returnflag
+    f"""with f as (select {', '.join(LINE_COLUMNS)}, count(*) as n from lineitem group by all),
+         s as (select {', '.join(CHANGED_LINES if c == 'l_returnflag' else c for c in LINE_COLUMNS)}, count(*) as n from lineitem group by all)
+       select {', '.join(f'coalesce(f.{c}, s.{c}) as {c}' for c in LINE_COLUMNS)},
+         coalesce(f.n, 0) as first_count, coalesce(s.n, 0) as second_count
+       from f full join s on {' and '.join(f'f.{c} = s.{c}' for c in LINE_COLUMNS)}
        where coalesce(f.n, 0) <> coalesce(s.n, 0)""",
 )
 def _(t: Tables):
-    before = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
-    after = t.lineitem.selectExpr(
-        "l_orderkey", "l_linenumber",
-        "case when l_shipdate >= timestamp_ntz '2001-01-01' then 'X' else l_returnflag end as l_returnflag",
-    )
-    return compare.row_difference(before, after)
+    after = t.lineitem.withColumn("l_returnflag", F.expr(CHANGED_LINES.replace("timestamp", "timestamp_ntz").rpartition(" as ")[0]))
+    return compare.row_difference(t.lineitem, after.select(*t.lineitem.columns))
 
 
 @query(
@@ -117,6 +118,18 @@ def _(t: Tables):
     return profile.distinct_profile(t.orders, approximate=True)
 
 
+@query(
+    "distinct_profile_error",
+    f"select column_name, true as within_bound from ({PROFILE_SQL}) p",
+)
+def _(t: Tables):
+    """The sketches against the exact counts: within four standard errors (5 %) of each column's count."""
+    close = F.abs(F.col("a.distinct_values") - F.col("e.distinct_values")) <= F.greatest(
+        F.lit(1.0), F.col("e.distinct_values") * 0.2)
+    approximate, exact = profile.distinct_profile(t.orders, approximate=True), profile.distinct_profile(t.orders)
+    return approximate.alias("a").join(exact.alias("e"), "column_name").select("column_name", close.alias("within_bound"))
+
+
 @query(
     "storage_order",
     f"""with profile as ({PROFILE_SQL})
@@ -126,27 +139,55 @@ def _(t: Tables):
     return profile.storage_order(profile.distinct_profile(t.orders))
 
 
-@query("clustered_table", "select * from orders")
+@query(
+    "clustered_table",
+    f"""with profile as ({PROFILE_SQL})
+        select (select count(*) from orders) as row_count, 0 as rows_out_of_order,
+          (select string_agg(column_name, ',' order by distinct_values, ordinal) from profile) as sort_order""",
+)
 def _(t: Tables):
+    """The stored order itself: rows that come before their predecessor in the same file."""
     path = new_shared_path(t.spark, "clustered")
-    profile.cluster_by_cardinality(t.orders, path)
-    return t.spark.read.parquet(path)
+    order = profile.cluster_by_cardinality(t.orders, path)
+    stored = t.spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
+        F.struct(*[F.col(f"`{c}`") for c in order]).alias("row"),
+    )
+    before = F.lag("row").over(Window.partitionBy("file").orderBy("at"))
+    checked = stored.withColumn("late", F.col("row") < before)
+    return checked.agg(
+        F.count("*").alias("row_count"), F.count_if("late").cast("int").alias("rows_out_of_order")
+    ).withColumn("sort_order", F.lit(",".join(order)))
 
 
 @query(
     "row_search",
     """select row_text from (
-         select concat_ws('||', cast(p_partkey as varchar), p_name, p_brand, p_type, cast(p_size as varchar)) as row_text from part) p
+         select concat_ws('||', cast(p_partkey as varchar), p_name, p_brand, p_type, cast(p_size as varchar),
+           cast(p_retailprice as varchar)) as row_text from part) p
        where contains(row_text, 'ring||Brand#1')""",
 )
 def _(t: Tables):
-    return profile.row_search(t.part.drop("p_retailprice"), "ring||Brand#1")
+    return profile.row_search(t.part, "ring||Brand#1")
+
+
+FOOTPRINT_MB = 0.02
 
 
 @query("footprint")
 def _(t: Tables):
-    names = ("customer", "documents", "events", "lineitem", "orders", "pages", "part")
-    return profile.footprint({("public", n): getattr(t, n) for n in names}, minimum_mb=0)
+    """Files and megabytes of every table from a threshold on; sizes have no SQL form, rows are in ``footprint_rows``."""
+    return profile.footprint({("public", n): getattr(t, n) for n in TABLES}, minimum_mb=FOOTPRINT_MB)
+
+
+@query(
+    "footprint_rows",
+    "\nunion all\n".join(
+        f"select 'public' as schema_name, '{n}' as relation_name, count(*) as row_count from {n} having count(*) > 0" for n in TABLES),
+)
+def _(t: Tables):
+    tables = {("public", n): getattr(t, n) for n in TABLES}
+    return profile.footprint(tables, minimum_mb=0).select("schema_name", "relation_name", "row_count")
 
 
 # Dimensions over the days and seconds that occur in the tables, with what happened on them.
@@ -342,11 +383,12 @@ def _(t: Tables):
 
 @query(
     "resolve_country",
-    """select p.*, case when length(postal_code) = 3 then (select id from country where alpha_2_code = 'is')
+    """select p.*, case when length(postal_code) = 3 then (select min(id) from country where alpha_2_code = 'is')
          else coalesce(c.id, n.id) end as country_id
        from person_place p
-       left join country c on c.alpha_2_code = lower(substr(coalesce(community_code, '0000'), 3, 2))
-       left join country n on lower(n.name) = lower(p.address)""",
+       left join (select alpha_2_code, min(id) as id from country group by 1) c
+         on c.alpha_2_code = lower(substr(coalesce(community_code, '0000'), 3, 2))
+       left join (select lower(name) as name, min(id) as id from country group by 1) n on n.name = lower(p.address)""",
     ("person_place", "country"),
 )
 def _(t: Tables):

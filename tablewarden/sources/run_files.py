@@ -8,12 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.common import own_shuffle
+
 # Entry names and texts of the run files.
 TEST_RESULT_ENTRY = "LogTestResult"
 VERSION_ENTRY = "MainReportVersion"
 MISSING_SQL = "Not found!"
 UNKNOWN = "UNKNOWN"
 
+CORRUPT = "_corrupt_record"
+# A log entry: strings, other text, and closing braces that no opening one follows, up to one that is followed. All
+# repetitions are possessive, so a text is read once from left to right.
+LOG_ENTRY = r'(?:"(?:[^"\\]++|\\.)*+(?:"|\z)|[^"}]++|\}(?!\s*\{))++(?:\}(?=\s*\{))?|\}'
 LOG_SCHEMA = """
     info struct<name: string, ts: string, invocation_id: string>,
     data struct<
@@ -58,23 +64,37 @@ def _parsed(texts: DataFrame, schema: str, *keep: str) -> DataFrame:
     return texts.select(*keep, F.inline(F.array(F.from_json("value", schema))))
 
 
+def log_entries(texts: DataFrame) -> DataFrame:
+    """The entries of texts of concatenated JSON objects, one per row. Entries may span lines, and braces inside
+    strings divide nothing. A broken entry stays a row of its own where the next one begins behind a brace."""
+    return texts.select(F.explode(F.regexp_extract_all("value", F.lit(LOG_ENTRY), F.lit(0))).alias("value")).filter(
+        F.trim(F.translate("value", "\r\n\t", "   ")) != ""
+    )
+
+
+def _parsed_entries(entries: DataFrame) -> DataFrame:
+    schema = f"{LOG_SCHEMA}, {CORRUPT} string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return entries.select("value", F.inline(F.array(F.from_json("value", schema, options))))
+
+
 def parse_check_log(texts: DataFrame, entry_name: str | None = None) -> DataFrame:
-    """Log entries from texts of concatenated JSON objects (line breaks inside a text do not matter).
+    """Readable log entries. :func:`check_log_corrupt` has the others.
 
     With ``entry_name`` only entries of that name: a text search drops most others before anything is parsed, and
     each remaining entry is parsed once.
     """
-    value, boundary = F.col("value"), "}\u0001{"
-    # Only a text of several lines needs the slower pattern.
-    lines = value.contains("\n") | value.contains("\r")
-    marked = F.when(lines, F.regexp_replace(value, r"\}[\r\n]*\{", boundary)).otherwise(
-        F.replace(value, F.lit("}{"), F.lit(boundary))
-    )
-    entries = texts.select(F.explode(F.split(marked, "\u0001")).alias("value"))
-    if entry_name is None:
-        return _parsed(entries, LOG_SCHEMA)
-    likely = entries.filter(F.col("value").contains(entry_name))
-    return _parsed(likely, LOG_SCHEMA).filter(F.col("info.name") == entry_name)
+    entries = log_entries(texts)
+    if entry_name is not None:
+        entries = entries.filter(F.col("value").contains(entry_name))
+    read = _parsed_entries(entries).filter(F.col(CORRUPT).isNull()).drop("value", CORRUPT)
+    return read if entry_name is None else read.filter(F.col("info.name") == entry_name)
+
+
+def check_log_corrupt(texts: DataFrame) -> DataFrame:
+    """Entries that could not be read, and how often each text occurs: no log is reported without its gaps."""
+    broken = _parsed_entries(log_entries(texts)).filter(F.col(CORRUPT).isNotNull())
+    return broken.groupBy(F.col("value").alias("entry")).agg(F.count("*").alias("entry_count"))
 
 
 def check_log_results(texts: DataFrame) -> DataFrame:
@@ -98,39 +118,47 @@ def check_log_header(texts: DataFrame) -> DataFrame:
 
 
 def manifest_nodes(texts: DataFrame) -> DataFrame:
-    """One row per manifest node: its key and its fields. ``doc`` numbers the manifests if the texts have it."""
-    keep = ["doc"] if "doc" in texts.columns else []
-    return _parsed(texts, MANIFEST_SCHEMA, *keep).select(*keep, F.explode("nodes").alias("node_key", "node"))
+    """One row per manifest node: its place and key in the manifest and its fields. ``doc`` tells the manifests apart;
+    it is a digest of the text unless the texts have it."""
+    if "doc" not in texts.columns:
+        texts = texts.withColumn("doc", F.xxhash64("value"))
+    return _parsed(texts, MANIFEST_SCHEMA, "doc").select("doc", F.posexplode("nodes").alias("place", "node_key", "node"))
 
 
 def parse_manifest_tests(texts: DataFrame) -> DataFrame:
     """Test nodes with the schema and relation of their parent.
 
     The parent is the first dependency that is a node of the same manifest and whose key contains the model name,
-    which is what follows the first dot of ``file_key_name``. It is looked up while the document is still one
-    value, so there is no join and no copy of the node map per test.
+    which is what follows the first dot of ``file_key_name``. Nodes are rows, and dependencies meet nodes in a join
+    on manifest and key, so a manifest of many nodes is spread over tasks.
     """
+    nodes = manifest_nodes(texts)
+    tests = nodes.filter(F.col("node.resource_type") == "test")
+    parents = nodes.groupBy("doc", F.col("node_key").alias("dependency"), own_shuffle("doc", "node_key")).agg(
+        F.min(F.struct("node.schema", "node.name")).alias("parent")
+    ).drop("_spread")
+    file_key = F.col("node.file_key_name")
+    dot = F.instr(file_key, ".")
+    model = F.when(dot > 0, F.substr(file_key, dot + 1)).otherwise(F.lit(""))
+    wanted = tests.select(
+        "doc", "node_key", model.alias("model"), F.posexplode("node.depends_on.nodes").alias("rank", "dependency")
+    ).filter(F.col("dependency").contains(F.col("model")))
+    found = (
+        wanted.join(parents, ["doc", "dependency"])
+        .groupBy("doc", "node_key", own_shuffle("doc", "node_key"))
+        .agg(F.min_by("parent", "rank").alias("parent")).drop("_spread")
+    )
     keep = ["doc"] if "doc" in texts.columns else []
-    nodes = F.col("nodes")
-
-    def test_row(entry):
-        node = entry["value"]
-        dot = F.instr(node["file_key_name"], ".")
-        model = F.when(dot > 0, F.substr(node["file_key_name"], dot + 1)).otherwise(F.lit(""))
-        parents = F.filter(node["depends_on"]["nodes"], lambda d: d.contains(model) & F.map_contains_key(nodes, d))
-        parent = F.try_element_at(nodes, F.try_element_at(parents, F.lit(1)))
-        return F.struct(
-            node["unique_id"].alias("unique_id"),
-            node["database"].alias("database_name"),
-            F.coalesce(parent["schema"], F.lit(UNKNOWN)).alias("schema_name"),
-            F.coalesce(parent["name"], F.lit(UNKNOWN)).alias("relation_name"),
-            node["path"].alias("sql_filename"),
-            node["compiled_path"].alias("query_path"),
-            F.coalesce(node["compiled_code"], F.lit(MISSING_SQL)).alias("sql"),
-        )
-
-    tests = F.filter(F.map_entries(nodes), lambda e: e["value"]["resource_type"] == "test")
-    return _parsed(texts, MANIFEST_SCHEMA, *keep).select(*keep, F.inline(F.transform(tests, test_row)))
+    return tests.join(found, ["doc", "node_key"], "left").select(
+        *keep,
+        F.col("node.unique_id").alias("unique_id"),
+        F.col("node.database").alias("database_name"),
+        F.coalesce("parent.schema", F.lit(UNKNOWN)).alias("schema_name"),
+        F.coalesce("parent.name", F.lit(UNKNOWN)).alias("relation_name"),
+        F.col("node.path").alias("sql_filename"),
+        F.col("node.compiled_path").alias("query_path"),
+        F.coalesce("node.compiled_code", F.lit(MISSING_SQL)).alias("sql"),
+    )
 
 
 def parse_catalog(texts: DataFrame) -> DataFrame:
@@ -159,36 +187,30 @@ def parse_manifest_targets(texts: DataFrame) -> DataFrame:
     The relation is a single reference, or the reference whose name comes first in the test's id; its schema is
     that of the model node of that name in the same manifest. A test without references has neither.
     """
-    nodes = F.col("nodes")
-    entries = F.map_entries(nodes)
-
-    def target(entry):
-        node = entry["value"]
-        named = F.transform(
-            node["refs"], lambda r: F.struct(F.instr(node["unique_id"], r["name"]).alias("at"), r["name"].alias("name"))
-        )
-        found = F.sort_array(F.filter(named, lambda r: r["at"] > 0))
-        relation = F.when(F.size(node["refs"]) == 1, F.try_element_at(node["refs"], F.lit(1))["name"]).otherwise(
-            F.try_element_at(found, F.lit(1))["name"]
-        )
-        models = F.filter(entries, lambda e: (e["value"]["resource_type"] != "test") & (e["value"]["name"] == relation))
-        return F.struct(
-            node["unique_id"].alias("unique_id"),
-            node["database"].alias("database_name"),
-            F.try_element_at(models, F.lit(1))["value"]["schema"].alias("schema_name"),
-            relation.alias("relation_name"),
-            node["column_name"].alias("column_name"),
-        )
-
-    tests = F.filter(entries, lambda e: e["value"]["resource_type"] == "test")
-    return _parsed(texts, MANIFEST_SCHEMA).select(F.inline(F.transform(tests, target)))
-
-
-# Readers of files; a run file is one document, a check log may hold one entry per line.
-
-
-def read_check_log(spark: SparkSession, path: str, whole_files: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Outcomes and headers of the check logs below a path."""
+    nodes = manifest_nodes(texts)
+    refs, unique_id = F.col("node.refs"), F.col("node.unique_id")
+    named = F.transform(refs, lambda r: F.struct(F.instr(unique_id, r["name"]).alias("at"), r["name"].alias("name")))
+    found = F.sort_array(F.filter(named, lambda r: r["at"] > 0))
+    relation = F.when(F.size(refs) == 1, F.try_element_at(refs, F.lit(1))["name"]).otherwise(
+        F.try_element_at(found, F.lit(1))["name"]
+    )
+    tests = nodes.filter(F.col("node.resource_type") == "test").select("doc", "node", relation.alias("relation_name"))
+    models = (
+        nodes.filter(F.col("node.resource_type") != "test")
+        .groupBy("doc", F.col("node.name").alias("relation_name"), own_shuffle("doc", "node.name"))
+        .agg(F.min_by("node.schema", "place").alias("schema_name")).drop("_spread")
+    )
+    return tests.join(models, ["doc", "relation_name"], "left").select(
+        F.col("node.unique_id").alias("unique_id"), F.col("node.database").alias("database_name"),
+        "schema_name", "relation_name", F.col("node.column_name").alias("column_name"),
+    )
+
+
+# Readers of files; a run file is one document.
+
+
+def read_check_log(spark: SparkSession, path: str, whole_files: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Outcomes and headers of the check logs below a path. Read by lines, an entry must not span several."""
     texts = read_texts(spark, path, whole_files)
     return check_log_results(texts), check_log_header(texts)
 

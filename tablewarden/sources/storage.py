@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 VERSION_PREFIX = "run_date="
 
@@ -40,11 +41,34 @@ def newest_before(spark: SparkSession, root: str, run_date: date) -> date | None
     return earlier[-1] if earlier else None
 
 
+def _schema_path(root: str, run_date: date) -> str:
+    return f"{root}/_schemas/{run_date.isoformat()}.json"
+
+
 def write_version(df: DataFrame, root: str, run_date: date, partition_by: list[str] | None = None) -> str:
-    """Write (or rewrite) one version; other versions, also the one being read, stay untouched."""
+    """Write (or rewrite) one version; other versions, also the one being read, stay untouched.
+
+    The schema is written first, beside the versions: a version without rows has no file to read it from.
+    """
+    fs, location = _file_system(df.sparkSession, _schema_path(root, run_date))
+    stream = fs.create(location, True)
+    try:
+        stream.write(bytearray(df.schema.json().encode()))
+    finally:
+        stream.close()
     path = version_path(root, run_date)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
+
+
+def read_version(spark: SparkSession, root: str, run_date: date) -> DataFrame:
+    """One version with the schema it was written with; versions without a stored schema tell it themselves."""
+    path = version_path(root, run_date)
+    fs, location = _file_system(spark, _schema_path(root, run_date))
+    if not fs.exists(location):
+        return spark.read.parquet(path)
+    stored = spark.read.text(_schema_path(root, run_date), wholetext=True).first()[0]
+    return spark.read.schema(T.StructType.fromJson(json.loads(stored))).parquet(path)
