@@ -199,9 +199,9 @@ def relationship_defined(
     keys = to.filter(key.isNotNull()).groupBy(key.alias("_key"), own_shuffle(key)).agg(F.lit(1)).select("_key")
     if existence.upper() != "NOT":
         return df.join(keys, F.col(column) == F.col("_key"), "left_semi")
-    has_null = to.filter(key.isNull()).agg((F.count("*") > 0).alias("x")).scalar()
-    is_empty = to.agg((F.count("*") == 0).alias("x")).scalar()
-    return not_in(df, column, keys, has_null, is_empty)
+    rows = F.count("*")
+    facts = to.agg(F.struct((rows > F.count(key)).alias("has_null"), (rows == 0).alias("is_empty")).alias("x")).scalar()
+    return not_in(df, column, keys, facts["has_null"], facts["is_empty"])
 
 
 def relationship_cardinality(
@@ -216,20 +216,17 @@ def relationship_cardinality(
 ) -> DataFrame:
     """Rows whose key does not have between ``low`` and ``high`` target rows."""
     key = F.col(to_column)
-    counted = to.filter(target_predicate)
-    keys = (
-        counted.filter(key.isNotNull())
-        .groupBy(key.alias("_key"), own_shuffle(key))
-        .agg(F.count("*").alias("_n"))
+    # One grouped scan of the target; its NULL group answers for the rows without a key.
+    sized = (
+        to.filter(target_predicate).groupBy(key.alias("_key"), own_shuffle(key)).agg(F.count("*").alias("_n"))
         .filter(F.col("_n").between(low, high))
-        .select("_key")
     )
+    keys = sized.filter(F.col("_key").isNotNull()).select("_key")
     if existence.upper() != "NOT":
         return df.join(keys, F.col(column) == F.col("_key"), "left_semi")
-    null_rows = counted.filter(key.isNull()).agg(F.count("*").alias("n"))
-    has_null = null_rows.select((F.col("n") > 0) & F.col("n").between(low, high)).scalar()
-    no_keys = keys.agg((F.count("*") == 0).alias("x")).scalar()
-    return not_in(df, column, keys, has_null, no_keys & ~has_null)
+    rows = F.count("*")
+    facts = sized.agg(F.struct((rows > F.count("_key")).alias("has_null"), (rows == 0).alias("is_empty")).alias("x")).scalar()
+    return not_in(df, column, keys, facts["has_null"], facts["is_empty"])
 
 
 def coded_values(values: DataFrame, column: str, codes: DataFrame, code_column: str) -> DataFrame:

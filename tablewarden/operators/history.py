@@ -119,7 +119,8 @@ def take_snapshots(
     a source is its key. An existing view is left alone: it may combine several table versions by hand.
     """
     for schema in (snapshot_schema_name, history_schema_name):
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema)}")
+        where = f" LOCATION '{location}/{schema}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema)}{where}")
     for name, source in sources.items():
         table = f"{snapshot_schema_name}.{name}"
         snapshot_bootstrap(spark, source, table, date_column, f"{location}/{name}" if location else None)
@@ -389,7 +390,8 @@ def backfill_into(spark: SparkSession, rows: DataFrame, table: str) -> None:
 
 
 def backfill_run(
-    spark: SparkSession, source: DataFrame, target: str, date_column: str, log: str, logged_at: Column
+    spark: SparkSession, source: DataFrame, target: str, date_column: str, log: str, logged_at: Column,
+    logged_name: str | None = None,
 ) -> None:
     """Add the missing days to a catalog table and log them, without touching the days it has.
 
@@ -403,7 +405,21 @@ def backfill_run(
     is_new = day.isNotNull() & ~day.isin(present) if present else day.isNotNull()
     backfill_into(spark, source.filter(is_new), target)
     added = spark.table(target).filter(is_new)
-    backfill_log(target, added, date_column, logged_at).write.mode("append").saveAsTable(log)
+    backfill_log(logged_name or target, added, date_column, logged_at).write.mode("append").saveAsTable(log)
+
+
+def backfill_schemas(
+    spark: SparkSession, source_schema: str, target_schema: str, date_column: str, log: str, logged_at: Column
+) -> list[str]:
+    """:func:`backfill_run` for every table that both schemas have; returns the names. The log names the table only."""
+    def names(schema: str) -> set[str]:
+        return {row["tableName"] for row in spark.sql(f"SHOW TABLES IN {_identifier(schema)}").collect()}
+
+    paired = sorted(names(source_schema) & names(target_schema))
+    for name in paired:
+        source, target = spark.table(f"{source_schema}.{name}"), f"{target_schema}.{name}"
+        backfill_run(spark, source, target, date_column, log, logged_at, name)
+    return paired
 
 
 def history_day_reconcile(source: DataFrame, target: DataFrame, date_column: str) -> DataFrame:

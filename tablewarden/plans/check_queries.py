@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from ..operators import checks, health, suite
+from datetime import date
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..operators import checks, health, inventory, suite
+from ..session import new_shared_path
 from ..sources import run_files
-from . import run_texts
+from . import daily_job, run_texts
 from .registry import Tables, query
 
 DIRTY = ("customer_dirty",)
@@ -367,6 +373,44 @@ def _(t: Tables):
     return health.error_list(suite.test_errors(outcomes(t))).drop("sql")
 
 
+@query("suite_violations", OUTCOME_SQL + "select unique_id, rows_on_error as violation_count from outcome", SUITE_INPUTS)
+def _(t: Tables):
+    """The violating rows of every check, counted one check at a time: as many as the fused suite reports."""
+    tables = {r.name: r.df for r in _suite_relations(t)}
+    parts = [
+        check.violations(tables).agg(F.count("*").alias("violation_count")).select(
+            F.lit(check.unique_id).alias("unique_id"), "violation_count")
+        for check in SUITE
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "health_errors_measured",
+    OUTCOME_SQL + """, sizes as (select database_name, schema_name, relation_name, max(rows_in_relation) as n from outcome
+      where relation_name <> 'orders' group by all)
+    select o.database_name, o.schema_name, o.relation_name, test_name, unique_id, unique_id || '.sql' as sql_filename,
+      rows_on_error, round(rows_on_error * 100 / n, 4) as error_percentage, coalesce(n, -1) as rows_in_relation,
+      o.schema_name || '/' || o.relation_name || '/' || unique_id || '.sql' as query_path
+    from outcome o left join sizes s on s.relation_name = o.relation_name where result = 'fail'""",
+    SUITE_INPUTS,
+)
+def _(t: Tables):
+    """Row counts measured apart from the checks; those of one relation are not known."""
+    relations = {(r.database, r.schema, r.name): r.df for r in _suite_relations(t) if r.name != "orders"}
+    sizes = inventory.cardinality(t.spark, relations)
+    return health.error_list(suite.test_errors(outcomes(t)), sizes).drop("sql")
+
+
+@query("daily_run", stats_sql("database_name, schema_name, relation_name"), SUITE_INPUTS)
+def _(t: Tables):
+    """The whole day as a job; its health dataset is read back from the run's folder."""
+    written = daily_job.run_daily(
+        t.spark, _suite_relations(t), SUITE, new_shared_path(t.spark, "daily"), date(2024, 2, 1), keep_violations=False
+    )
+    return t.spark.read.parquet(written["health"]).filter("level = 'relation'").drop("level")
+
+
 @query("health_nested")
 def _(t: Tables):
     return health.health_report(suite.test_results(outcomes(t)))
@@ -394,6 +438,26 @@ def _(t: Tables):
     )
 
 
+@query(
+    "health_document_rows",
+    OUTCOME_SQL + f""", sums as (select database_name, {SUMS} from outcome group by all)
+    select 'warden' as api_name, 'statistics' as part, database_name as name, ok_count, fail_count from sums
+    union all
+    select 'warden', 'error', unique_id, 0, rows_on_error from outcome where result = 'fail'""",
+    SUITE_INPUTS,
+)
+def _(t: Tables):
+    """The document unfolded: a row per database and per failed check."""
+    found = outcomes(t)
+    header = run_files.check_log_header(run_texts.check_log(t))
+    document = health.health_document("warden", suite.test_results(found), suite.test_errors(found), header)
+    statistics = document.selectExpr("api_name", "explode(stats.databases) as d").selectExpr(
+        "api_name", "'statistics' as part", "d.name", "d.summary.ok.count as ok_count", "d.summary.error.count as fail_count")
+    errors = document.selectExpr("api_name", "explode(errors) as e").selectExpr(
+        "api_name", "'error' as part", "e.unique_id as name", "0 as ok_count", "e.rows_on_error as fail_count")
+    return statistics.unionByName(errors)
+
+
 @query("health_document")
 def _(t: Tables):
     found = outcomes(t)

@@ -16,9 +16,17 @@ DAY_1, DAY_2 = date(2024, 1, 19), date(2024, 1, 20)
 NOW = "2024-02-01 00:00:00"
 
 
+_tables: dict[tuple[str, str], str] = {}
+
+
 def _new_table(t: Tables, label: str) -> tuple[str, str]:
-    """A table name and folder of its own for every run."""
-    return f"{label}_{uuid.uuid4().hex}", new_shared_path(t.spark, label)
+    """A table name and folder of its own for every run. The table of the run before, whose result has been read by
+    then, leaves the catalog."""
+    place = (t.spark.sparkContext.applicationId, label)
+    if place in _tables:
+        t.spark.sql(f"DROP TABLE IF EXISTS {_tables[place]}")
+    _tables[place] = f"{label}_{uuid.uuid4().hex}"
+    return _tables[place], new_shared_path(t.spark, label)
 
 
 @query(
@@ -57,7 +65,11 @@ def _(t: Tables):
        union all select 'orders', date '2024-01-20', count(o_orderkey) from orders""",
 )
 def _(t: Tables):
-    run = uuid.uuid4().hex
+    place = (t.spark.sparkContext.applicationId, "schema")
+    if place in _tables:
+        for schema in ("history", "snapshot"):
+            t.spark.sql(f"DROP SCHEMA IF EXISTS {schema}_{_tables[place]} CASCADE")
+    run = _tables[place] = uuid.uuid4().hex
     snapshots, public = f"snapshot_{run}", f"history_{run}"
     sources = {"customer_v1": t.customer, "orders_v12": t.orders}
     history.take_snapshots(t.spark, sources, snapshots, public, "snap_date", DAY_2, new_shared_path(t.spark, "schema"))
@@ -264,6 +276,39 @@ def _(t: Tables):
     return history.backfill_log("user_state", missing, "snap_date", F.to_timestamp_ntz(F.lit(NOW)))
 
 
+@query(
+    "backfill_schema",
+    """select 'user_state' as table_name, snap_date as history_date, count(*) as row_count,
+         timestamp '2024-02-01 00:00:00' as logged_at
+       from user_state_history where snap_date not in (select snap_date from gappy_history) group by snap_date
+       union all
+       select 'early_state', snap_date, count(*), timestamp '2024-02-01 00:00:00' from early_history group by snap_date""",
+    ("user_state_history", "gappy_history", "early_history"),
+)
+def _(t: Tables):
+    """Every table that both schemas have is filled up: one lacks days, one is empty; a third is in one schema only."""
+    place = (t.spark.sparkContext.applicationId, "backfill")
+    if place in _tables:
+        for schema in ("old", "new"):
+            t.spark.sql(f"DROP SCHEMA IF EXISTS {schema}_{_tables[place]} CASCADE")
+    run = _tables[place] = uuid.uuid4().hex
+    folder = new_shared_path(t.spark, "backfill")
+    held = {
+        ("old", "user_state"): t.user_state_history, ("new", "user_state"): t.gappy_history,
+        ("old", "early_state"): t.early_history, ("new", "early_state"): t.early_history.filter("user_id is null"),
+        ("old", "alone"): t.early_history,
+    }
+    for schema in ("old", "new"):
+        t.spark.sql(f"CREATE SCHEMA {schema}_{run} LOCATION '{folder}/{schema}'")
+    for (schema, name), rows in held.items():
+        table = f"{schema}_{run}.{name}"
+        history.snapshot_bootstrap(t.spark, rows.drop("snap_date"), table, "snap_date", f"{folder}/{schema}/{name}")
+        history.backfill_into(t.spark, rows, table)
+    log = f"new_{run}.backfill_log"
+    history.backfill_schemas(t.spark, f"old_{run}", f"new_{run}", "snap_date", log, F.to_timestamp_ntz(F.lit(NOW)))
+    return t.spark.table(log)
+
+
 @query(
     "history_day_reconcile",
     """with s as (select snap_date, count(*) as n from user_state_history group by 1),
