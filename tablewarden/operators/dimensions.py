@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -96,8 +97,8 @@ def days_of(df: DataFrame, column: str) -> DataFrame:
     return span.filter("first is not null").select(F.explode(F.sequence("first", "last")).alias("id"))
 
 
-def date_dimension(days: DataFrame, locale: Locale = ICELANDIC) -> DataFrame:
-    """The calendar attributes of the days in ``id``.
+def date_dimension(days: DataFrame, locale: Locale = ICELANDIC, names: Mapping[str, str] | None = None) -> DataFrame:
+    """The calendar attributes of the days in ``id``; ``names`` renames columns (``DATE_COLUMNS_ICELANDIC`` all).
 
     Month and quarter bounds that depend on neighbours are taken within the given days. Every window is one month
     or one quarter. The 53-week flags look at the week of 31 December (its ISO week may be 1).
@@ -148,11 +149,12 @@ def date_dimension(days: DataFrame, locale: Locale = ICELANDIC) -> DataFrame:
         .withColumn("month_short_name", F.left("month_name", F.lit(3)))
         .withColumn("iso_year", F.col("year") + shift)
     )
-    return full.select(*DATE_COLUMNS_ICELANDIC)
+    return full.select(*DATE_COLUMNS_ICELANDIC).withColumnsRenamed(names or {})
 
 
-def time_dimension(spark: SparkSession) -> DataFrame:
-    """Every second of a day: ``HH:mm:ss``, its parts, and part-of-day flags (morning and daytime overlap)."""
+def time_dimension(spark: SparkSession, names: Mapping[str, str] | None = None) -> DataFrame:
+    """Every second of a day: ``HH:mm:ss``, its parts, and part-of-day flags (morning and daytime overlap).
+    ``names`` renames columns (``TIME_COLUMNS_ICELANDIC`` all)."""
     second = F.col("s").cast("int")
     parts = spark.range(SECONDS_PER_DAY).toDF("s").select(
         F.floor(second / 3600).cast("int").alias("hour"),
@@ -172,4 +174,4 @@ def time_dimension(spark: SparkSession) -> DataFrame:
         flag(0, 5).alias("is_night"),
         flag(6, 9).alias("is_morning"),
         flag(18, 23).alias("is_evening"),
-    )
+    ).withColumnsRenamed(names or {})

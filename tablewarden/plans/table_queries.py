@@ -192,6 +192,7 @@ def _(t: Tables):
 
 # Dimensions over the days and seconds that occur in the tables, with what happened on them.
 
+# Names of months and weekdays.
 MONTHS_SQL = "['Janúar', 'Febrúar', 'Mars', 'Apríl', 'Maí', 'Júní', 'Júlí', 'Ágúst', 'September', 'Október', 'Nóvember', 'Desember']"
 WEEKDAYS_SQL = "['Mánudagur', 'Þriðjudagur', 'Miðvikudagur', 'Fimmtudagur', 'Föstudagur', 'Laugardagur', 'Sunnudagur']"
 
@@ -249,6 +250,7 @@ def _(t: Tables):
 
 # Record standardisation.
 
+# Fixed value: the punctuation that constructed keys replace.
 KEY_SQL = """translate(coalesce(upper({a}), 'NULL') || '_' || coalesce(upper({b}), 'NULL'),
     ' .,:;-/?!()[]*#$%&=@><|^~"', '__________________________')"""
 

@@ -88,6 +88,9 @@ def test_date_dimension(spark):
     assert (d.month_end, d.next_month_start, d.next_month_end) == (date(2024, 2, 29), date(2024, 3, 1), date(2024, 3, 31))
     assert (d.quarter_start, d.quarter_end, d.is_leap_year, d.weekday_of_month) == (date(2024, 1, 1), date(2024, 3, 31), 1, 5)
     assert len(dimensions.DATE_COLUMNS_ICELANDIC) == len(d)
+    named = dimensions.date_dimension(dimensions.days_between(spark, date(2024, 1, 1), date(2024, 1, 1)), names=dimensions.DATE_COLUMNS_ICELANDIC)
+    assert named.columns == list(dimensions.DATE_COLUMNS_ICELANDIC.values())
+    assert dimensions.time_dimension(spark, dimensions.TIME_COLUMNS_ICELANDIC).columns == list(dimensions.TIME_COLUMNS_ICELANDIC.values())
 
 
 def test_time_dimension(spark):
