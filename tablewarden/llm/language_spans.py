@@ -2,7 +2,9 @@
 
 The script of a word's letters leaves the languages that are written in it. Each remaining language scores the word by
 its pairs and triples of letters, with the word's ends, and by the word itself. Viterbi then labels every word of
-the text, paying a penalty for each switch of language, so single words of another language do not break a span.
+the text, paying a penalty for each switch of language, so single words of another language do not break a span. The
+main language is the one the text opens with if it has a fair share of the letters (a long quotation does not change
+it), else the one with most letters.
 
 Training uses a sample of labelled texts bounded by ``rows_per_language``; scoring covers every whole text.
 
@@ -26,6 +28,7 @@ from .sampling import labelled_sample
 UNKNOWN = "und"
 LEAST_SCRIPT_SHARE = 0.01  # of a language's letters, for a script to count as one it is written in
 SMOOTHING = 0.5
+OPENING_SHARE = 0.25  # of the letters, from which on the language a text opens with is its main one
 WORD_LIMIT = 6.0  # most that one word can say for or against a language
 CACHE_WORDS = 400_000
 
@@ -192,8 +195,10 @@ class SpanLabeller:
                 found["spans"].append([])
                 continue
             share = np.bincount(labels, weights=sizes, minlength=len(languages)) / sizes.sum()
-            found["lang_pred"].append(languages[int(share.argmax())])
-            found["score"].append(min(1.0, float(share.max())))
+            opening = int(labels[np.flatnonzero(sizes)[0]])
+            main = opening if share[opening] >= OPENING_SHARE else int(share.argmax())
+            found["lang_pred"].append(languages[main])
+            found["score"].append(min(1.0, float(share[main])))
             cuts = np.flatnonzero(np.diff(labels)) + 1
             edges = [0, *cuts.tolist(), len(labels)]
             found["spans"].append([f"{languages[labels[a]]}:{a}:{b}" for a, b in zip(edges, edges[1:])])
@@ -211,7 +216,7 @@ def label_languages(
     docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
     penalty: float = 8.0,
 ) -> DataFrame:
-    """``keep``, ``lang_pred`` (most letters), ``score`` (its share of the letters) and ``spans`` of words
+    """``keep``, ``lang_pred`` (the main language), ``score`` (its share of the letters) and ``spans`` of words
     (``language:first:end``) for every row."""
     return map_texts(
         docs, keep, text, lambda: SpanLabeller(model, penalty),
