@@ -9,9 +9,10 @@ is exact and finds the connected classes of linked documents. Its steps:
    the counts of those that occur twice or more. A shingle of one document can link nothing, so it only uses up its
    place in the prefix: most documents have a prefix of such shingles and leave the join here.
 3. Groups. Documents with equal sets become one, and sets with equal prefixes and sizes one group. Groups meet in the
-   lists of their prefix shingles, filtered by size and by position.
-4. Members. In every list, and inside every group, all members are verified against one pivot; linked ones form
-   classes. What is left in a list, pairs of members of different classes, is then verified in full. A large group of
+   lists of their prefix shingles, filtered by size and by position; a pair that shares several shingles in a row is
+   taken at the first of them.
+4. Members. In every list, and inside every group, all members are verified against one pivot, the member with the
+   fewest shingles of its own (the text that others are changed copies of has none); linked ones form classes. What is left in a list, pairs of members of different classes, is then verified in full. A large group of
    near copies is so settled by about as many comparisons as it has members, and no link between classes is lost.
 
 Defined results: NULL and wordless texts have an empty set and link with nothing; their component is their own key. A
@@ -35,6 +36,7 @@ from .common import shingle_partitions, written
 from .components import connected_components
 
 BATCH = 1024  # documents that are counted together
+SEEN = 3  # prefix shingles before a shared one that tell whether a pair has met there already
 KIND_DOCUMENT, KIND_COUNT, KIND_SHARED, KIND_RETURNED = 0, 1, 2, 3
 WORD_CACHE = 1_000_000
 
@@ -252,25 +254,26 @@ def jaccard_classes(
         groups.where("size > 1").select("group", "n", F.col("sig").alias("pivot")), ["group", "n"]
     ).where(F.col("sig") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("sig").alias("b"))
 
-    lists = sets.select("sig", "n", "group", F.posexplode("prefix").alias("i", "token"), "alone").select(
-        "token", "sig", "n", "group", (F.col("alone") + F.col("i")).alias("place")
+    lists = sets.select("sig", "n", "group", F.posexplode("prefix").alias("i", "token"), "alone", "prefix").select(
+        "token", "sig", "n", "group", "alone", (F.col("alone") + F.col("i")).alias("place"),
+        F.slice("prefix", F.greatest(F.col("i") - SEEN + 1, F.lit(1)), F.least("i", F.lit(SEEN))).alias("before"),
     )
 
-    def possible(n_1: str, place_1: str, n_2: str, place_2: str):
-        """Size and position filters of a pair that meets at a prefix shingle."""
+    def possible(n_1: str, place_1: str, before_1: str, n_2: str, place_2: str, before_2: str):
+        """Size and position filters of a pair that meets at a prefix shingle, and whether it has met just before."""
         small, large = F.least(n_1, n_2), F.greatest(n_1, n_2)
         # At the first shared shingle of a linked pair nothing before it is shared.
         most = F.least(F.col(n_1) - F.col(place_1), F.col(n_2) - F.col(place_2))
         return (100 * small >= percent * large) & (
             (100 + percent) * most >= percent * (F.col(n_1) + F.col(n_2))
-        )
+        ) & ~F.arrays_overlap(before_1, before_2)
 
     heads = lists.join(groups.select("sig"), "sig", "left_semi")
     pivots = heads.groupBy("token").agg(
-        F.min(F.struct("n", "sig", "place")).alias("pivot"), F.count("*").alias("size")
-    ).where("size > 1").select("token", "pivot.*").withColumnsRenamed({"n": "n_p", "sig": "pivot", "place": "place_p"})
+        F.min(F.struct("alone", "sig", "n", "place", "before")).alias("pivot"), F.count("*").alias("size")
+    ).where("size > 1").select("token", "pivot.*").drop("alone").withColumnsRenamed({"n": "n_p", "sig": "pivot", "place": "place_p", "before": "before_p"})
     across = (
-        heads.join(pivots, "token").where((F.col("sig") != F.col("pivot")) & possible("n", "place", "n_p", "place_p"))
+        heads.join(pivots, "token").where((F.col("sig") != F.col("pivot")) & possible("n", "place", "before", "n_p", "place_p", "before_p"))
         .select(F.col("pivot").alias("a"), F.col("sig").alias("b"))
     )
     links = written(_verified(inside.union(across).distinct(), sets, percent), "links")
@@ -288,11 +291,11 @@ def jaccard_classes(
     open_lists = classed.join(largest, "token")
     other = classed.select(
         "token", F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"),
-        F.col("root").alias("root_b"),
+        F.col("root").alias("root_b"), F.col("before").alias("before_b"),
     )
     rest = (
         open_lists.where(F.col("root") != F.col("main")).withColumnRenamed("sig", "a").join(other, "token")
-        .where((F.col("root") != F.col("root_b")) & possible("n", "place", "n_b", "place_b"))
+        .where((F.col("root") != F.col("root_b")) & possible("n", "place", "before", "n_b", "place_b", "before_b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
     links = written(links.union(_verified(rest, sets, percent)), "links")
