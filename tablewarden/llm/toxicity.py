@@ -31,7 +31,8 @@ from .sampling import labelled_sample
 
 ORDER, DECAY = 3, 0.75
 WINDOW = 24  # letters compared at a time; longer words are compared in overlapping windows
-WITNESSES, COMMON_LANDMARKS = 40, 12
+WITNESSES, COMMON_LANDMARKS, HARD_LANDMARKS = 40, 8, 4
+SAME_LANDMARK = 0.6  # kernel from which on a landmark stands for a word
 LEAST_GAIN = 0.01  # share of the toxic texts that a further witness has to explain
 CACHE_WORDS = 400_000
 
@@ -55,6 +56,9 @@ def plain(chunk: str) -> str:
 
 def readings(chunk: str) -> list[str]:
     """The forms of a text without white space that are compared: all its letters, and its runs of letters."""
+    bare = chunk[:-1] if chunk[-1] in ".,;:!?" else chunk
+    if len(bare) <= WINDOW and bare.isalpha() and bare.isascii():  # most of them; lower() keeps the length
+        return [bare.lower()] if len(bare) >= ORDER else []
     whole = plain(chunk)
     if not whole:
         return []
@@ -74,8 +78,8 @@ def chunks_of(text: str) -> list[str]:
     single: list[str] = []
     joined: list[str] = []
     for piece in pieces:
-        if len(piece) <= 2 and len(plain(piece)) == 1:
-            single.append(plain(piece))
+        if len(piece) <= 2 and (letter := plain(piece)) and len(letter) == 1:
+            single.append(letter)
             continue
         if len(single) >= ORDER:
             joined.append("".join(single))
@@ -87,48 +91,77 @@ def chunks_of(text: str) -> list[str]:
 
 
 def codes(words: list[str], width: int, filler: int) -> np.ndarray:
-    out = np.full((len(words), width), filler, np.int32)
-    for row, word in enumerate(words):
-        out[row, :len(word)] = [ord(c) for c in word]
-    return out
+    """Letters as numbers, one word a row; ``filler`` behind the end."""
+    text = "".join([w.ljust(width, "\0") for w in words])
+    out = np.frombuffer(text.encode("utf-32-le"), np.int32).reshape(len(words), width)
+    return np.where(out == 0, filler, out) if filler else out
 
 
 def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Subsequence kernel of every row of ``left`` with every row of ``right`` (letter codes, fillers differ)."""
-    n, m = left.shape[1], right.shape[1]
-    shape = (left.shape[0], right.shape[0])
-    before = np.ones((m + 1, *shape), np.float32)  # order 0 up to one letter of left, for each prefix of right
-    tails = [np.zeros((m + 1, *shape), np.float32) for _ in range(ORDER - 1)]
-    total = np.zeros(shape, np.float32)
+    """Subsequence kernel of every row of ``left`` with every row of ``right`` (letter codes, fillers 0 and -1).
+
+    Rows of ``right`` are taken longest first, so that the rows that reach a letter position are always the first
+    ones, and all arrays have the words of ``left`` in their last dimension.
+    """
+    lengths = (right >= 0).sum(axis=1)
+    order = np.argsort(-lengths, kind="stable")
+    right, lengths = right[order], lengths[order]
+    words, n, m = left.shape[0], left.shape[1], int(lengths[0])
+    reach = [int((lengths > b).sum()) for b in range(m)]  # rows with a letter at a position
+    edges = np.concatenate(([0], np.cumsum(reach)))
+    letters = np.unique(right[right >= 0])
+    weight = np.zeros((int(edges[-1]), len(letters) + 1), np.float32)  # the last column is for all other letters
+    for b in range(m):
+        place = np.searchsorted(letters, right[:reach[b], b])
+        weight[edges[b] + np.arange(reach[b]), place] = DECAY * DECAY
+    index = np.searchsorted(letters, left)
+    index[index == len(letters)] = 0
+    index = np.where(letters[index] == left, index, len(letters))
+    tails = [np.zeros((m + 1, right.shape[0], words), np.float32) for _ in range(ORDER - 1)]
+    total = np.zeros((right.shape[0], words), np.float32)
+    step, part = np.empty_like(total), np.empty_like(total)
     for a in range(n):
-        same = [(left[:, a, None] == right[None, :, b]).astype(np.float32) * (DECAY * DECAY) for b in range(m)]
-        older = [before, *[t.copy() for t in tails]]
+        same = weight[:, index[:, a]]
         for b in range(m):
-            total += same[b] * older[ORDER - 1][b]
-        for i in range(1, ORDER):
-            step = np.zeros(shape, np.float32)
+            rows = slice(reach[b])
+            np.multiply(same[edges[b]:edges[b + 1]], tails[-1][b, rows], out=part[rows])
+            total[rows] += part[rows]
+        for i in range(ORDER - 1, 0, -1):  # highest order first: each reads the one below as it was
+            step.fill(0.0)
             for b in range(m):
-                step = DECAY * step + same[b] * older[i - 1][b]
-                tails[i - 1][b + 1] = DECAY * older[i][b + 1] + step
-    return total
+                rows, match = slice(reach[b]), same[edges[b]:edges[b + 1]]
+                now = step[rows]
+                now *= DECAY
+                if i == 1:
+                    now += match
+                else:
+                    np.multiply(match, tails[i - 2][b, rows], out=part[rows])
+                    now += part[rows]
+                tail = tails[i - 1][b + 1, rows]
+                tail *= DECAY
+                tail += now
+    out = np.empty((words, right.shape[0]), np.float32)
+    out[:, order] = total.T
+    return out
 
 
 def self_kernel(left: np.ndarray) -> np.ndarray:
     """Kernel of every row of ``left`` with itself."""
-    n = left.shape[1]
-    rows = left.shape[0]
-    before = np.ones((n + 1, rows), np.float32)
+    rows, n = left.shape
     tails = [np.zeros((n + 1, rows), np.float32) for _ in range(ORDER - 1)]
     total = np.zeros(rows, np.float32)
+    turned = np.ascontiguousarray(left.T)
     for a in range(n):
-        same = ((left[:, a, None] == left) & (left > 0)).astype(np.float32).T * (DECAY * DECAY)
-        older = [before, *[t.copy() for t in tails]]
-        total += (same * older[ORDER - 1][:-1]).sum(axis=0)
-        for i in range(1, ORDER):
+        same = ((turned == turned[a]) & (turned > 0)).astype(np.float32) * (DECAY * DECAY)
+        total += (same * tails[-1][:-1]).sum(axis=0)
+        for i in range(ORDER - 1, 0, -1):
+            gained = same if i == 1 else same * tails[i - 2][:-1]
             step = np.zeros(rows, np.float32)
             for b in range(n):
-                step = DECAY * step + same[b] * older[i - 1][b]
-                tails[i - 1][b + 1] = DECAY * older[i][b + 1] + step
+                step *= DECAY
+                step += gained[b]
+                tails[i - 1][b + 1] *= DECAY
+                tails[i - 1][b + 1] += step
     return total
 
 
@@ -149,8 +182,8 @@ class SubsequenceMachine:
         """Normalised kernel of words (at most WINDOW letters) with the landmarks."""
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for at in range(0, len(order), 1024):
-            rows = order[at:at + 1024]
+        for at in range(0, len(order), 512):
+            rows = order[at:at + 512]
             left = codes([words[i] for i in rows], len(words[rows[-1]]), 0)
             out[rows] = kernel(left, self.right) / np.sqrt(np.maximum(np.outer(self_kernel(left), self.own), 1e-12))
         return out
@@ -192,8 +225,9 @@ class ToxicityModel:
                 for sentence in sentences:
                     negative.update(set(sentence))
         common = [w for w, _ in sorted(negative.items(), key=lambda x: (-x[1], x[0]))]
-        spread = common[::max(1, len(common) // COMMON_LANDMARKS)][:COMMON_LANDMARKS]
-        self.machine = SubsequenceMachine([*witnesses, *[w for w in spread if w not in witnesses]])
+        short = [w for w in common if len(w) <= 8]
+        spread = short[::max(1, len(short) // COMMON_LANDMARKS)][:COMMON_LANDMARKS]
+        self.machine = SubsequenceMachine(self._landmarks([*witnesses, *spread]))
         chosen = common[:10_000]
         positive = Counter(w for label, bag in bags if label == 1 for w in bag if w in witnesses)
         spoilt = Counter()  # witnesses with a foreign letter inside count as toxic too, with less weight
@@ -201,18 +235,19 @@ class ToxicityModel:
             for at in range(1, len(word)):
                 spoilt[word[:at] + FOREIGN + word[at:]] += 0.25 * n / len(word)
         every = sorted(set().union(*[bag for _, bag in bags]))
-        for _ in range(2):  # the second time with the clean words that the first machine found toxic
-            toxic_words = {**spoilt, **positive}
+        toxic_words = {**spoilt, **positive}
+        for round_ in range(3):  # clean words that one machine finds near toxic become landmarks of the next
             words = [*toxic_words, *chosen]
             labels = np.array([1] * len(toxic_words) + [0] * len(chosen))
-            counts = np.array([*toxic_words.values()] + [1.0] * len(chosen), np.float64)
+            counts = np.array([*toxic_words.values()] + [1.0 + 0.2 * negative[w] for w in chosen], np.float64)
             self.machine.fit(words, labels, counts)
             value = dict(zip(every, self.machine.margins(every)))
             known = set(chosen)
-            hard = [w for w in common if w not in known and value[w] > -0.25]
-            if not hard:
-                break
-            chosen = chosen + hard[:5_000]
+            chosen = chosen + [w for w in common if w not in known and value[w] > -0.25][:5_000]
+            taken = set(self.machine.landmarks)
+            near = sorted((w for w in common if value[w] > 0.3 and w not in taken), key=lambda w: (-value[w], w))
+            if round_ < 2 and near:
+                self.machine = SubsequenceMachine([*self.machine.landmarks, *self._landmarks(near[:40])[:HARD_LANDMARKS]])
         self.floor = float(np.median([value[w] for w in chosen]))
         tops = np.array([max((value[w] for w in bag), default=self.floor) for _, bag in bags])
         self._calibrate(tops, np.array([label for label, _ in bags]))
@@ -248,6 +283,19 @@ class ToxicityModel:
             weight[list(open_words.pop(word))] *= 0.5
         return found
 
+    @staticmethod
+    def _landmarks(words: list[str]) -> list[str]:
+        """The words, without those that an earlier one stands for."""
+        words = list(dict.fromkeys(words))
+        width = max(map(len, words))
+        own = self_kernel(codes(words, width, 0))
+        near = kernel(codes(words, width, 0), codes(words, width, -1)) / np.sqrt(np.maximum(np.outer(own, own), 1e-12))
+        chosen: list[int] = []
+        for i in range(len(words)):
+            if not chosen or near[i, chosen].max() < SAME_LANDMARK:
+                chosen.append(i)
+        return [words[i] for i in chosen]
+
     def _calibrate(self, tops: np.ndarray, labels: np.ndarray) -> None:
         """The margin of probability one half: where the sample's texts are told apart with the fewest errors, in the
         middle of the widest such gap."""
@@ -273,12 +321,15 @@ class TextScorer:
 
     def __init__(self, model: ToxicityModel):
         self.model = model
-        self.margin: dict[str, float] = {}
+        self.margin: dict[str, float] = {}  # of texts without white space
+        self.value: dict[str, float] = {}  # of their readings
 
     def _learn(self, chunks: set[str]) -> None:
         forms = {c: readings(c) for c in chunks}
-        words = sorted({w for f in forms.values() for w in f})
-        value = dict(zip(words, self.model.machine.margins(words).tolist())) if words else {}
+        value = self.value
+        words = sorted({w for f in forms.values() for w in f}.difference(value))
+        if words:
+            value.update(zip(words, self.model.machine.margins(words).tolist()))
         floor = self.model.floor
         for chunk, found in forms.items():
             self.margin[chunk] = max([value[w] for w in found], default=floor)
@@ -287,7 +338,7 @@ class TextScorer:
         if self.model.machine is None:
             return {"score": [0.0] * len(texts)}
         if len(self.margin) > CACHE_WORDS:
-            self.margin = {}
+            self.margin, self.value = {}, {}
         split = [chunks_of(t or "") for t in texts]
         fresh = set().union(*split).difference(self.margin) if split else set()
         if fresh:
