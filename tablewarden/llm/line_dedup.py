@@ -4,14 +4,15 @@ A line's tokens are its shingles of five words (a shorter line is one token); bl
 removed if an earlier line A (by document key, then place) has a Jaccard similarity of at least ``percent`` / 100 with
 it. Lines are judged on the input, so A may itself be removed.
 
-1. Equal lines become one, held at their first place; the other places are removed.
-2. Tokens are ordered by rarity: a token is as rare as the rarest of its words, by counts of hashed words over the whole
-   corpus (``BUCKETS`` counters, a fixed size; a shared counter only changes the order, which any order may be).
+1. Lines of equal text become one, held at its first place; the other places are removed.
+2. Tokens are ordered by rarity, by counts of hashed tokens over the whole corpus (``COUNTERS`` counters, a fixed size;
+   a shared counter only changes the order, and any order is right).
 3. Prefix filter: of a line with n tokens the first n - ceil(n * percent / 100) + 1 are kept. Tokens that one line alone
    has are counted out; the others form lists of lines. Before rows move, a bit table of fixed size drops most tokens
    that no other line has.
-4. In each list every line is compared with the first line of the list, after the length and positional filters. Lines
-   that match are settled. Those that are left are compared with all earlier lines of their lists. A large group of near
+4. In each list every line is compared with the first line of the list and with the one that has most copies (the text
+   that the others were changed from), if they are earlier, after the length and positional filters. Lines that match
+   are settled. Those that are left are compared with all other earlier lines of their lists. A large group of near
    copies needs about as many comparisons as it has lines.
 5. Verification on the lines' token sets.
 
@@ -28,18 +29,19 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import own_shuffle
 from .common import written
 
 # Fixed value: words are runs without ASCII white space.
 SPACES = r"[\x20\x09-\x0D]+"
-BUCKETS = 1 << 16  # word counters
+COUNTERS = 1 << 18  # token counters
 FILTER_BITS = 1 << 22  # bits of a membership table, held as longs
 RARITY_SHIFT = 58  # the top bits of a token are its rarity class, the lower ones its hash
 LOW = (1 << RARITY_SHIFT) - 1
 
 
 def line_words(line: Column) -> Column:
-    return F.filter(F.split(line, SPACES), lambda w: w != "")
+    return F.array_remove(F.split(line, SPACES), "")
 
 
 def numbers(values: list[int], kind: str) -> Column:
@@ -47,41 +49,56 @@ def numbers(values: list[int], kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), f"array<{kind}>")
 
 
-def rarity_classes(words: DataFrame) -> list[int]:
-    """Class of each hashed word, 0 the rarest: whole powers of two of its counter. ``BUCKETS`` numbers."""
-    counts = (
-        words.select(F.explode("words").alias("word"))
-        .groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
+def rarity_table(tokens: DataFrame) -> list[int]:
+    """Rarity classes of hashed tokens, sixteen of four bits in a number.
+
+    ``COUNTERS`` counters cover all tokens of the corpus. Class 0 is a counter that is no larger than many single tokens
+    make it by chance; each further class is twice as far above that. Counting combines before the shuffle, and what
+    comes to the driver has a fixed size.
+    """
+    counts = written(
+        tokens.select(F.explode("tokens").alias("token")).groupBy(F.pmod("token", F.lit(COUNTERS)).alias("counter"))
+        .agg(F.count("*").alias("n")), "counters",
     )
-    classes = [0] * BUCKETS
-    for row in counts.collect():
-        classes[row["bucket"]] = min(31, row["n"].bit_length())
-    return classes
-
-
-def tokens_of(words: str, classes: list[int] | None, size: int) -> Column:
-    """Sorted different tokens of a line; with ``classes`` in order of rarity."""
-    if classes is None:
-        marked = F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(LOW)))
-    else:
-        table = numbers(classes, "int")
-        marked = F.transform(
-            F.transform(words, lambda w: F.xxhash64(w)),
-            lambda h: F.shiftleft(F.get(table, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), RARITY_SHIFT)
-            .bitwiseOR(h.bitwiseAND(F.lit(LOW))),
-        )
-    # An array in an array, so that the inner expression is evaluated once for a line.
-    def shingled(array: Column) -> Column:
-        def one(i: Column) -> Column:
-            parts = [F.get(array, i + k) for k in range(size)]
-            value = F.xxhash64(*parts).bitwiseAND(F.lit(LOW))
-            return value if classes is None else value.bitwiseOR(F.least(*parts).bitwiseAND(F.lit(~LOW)))
-
-        return F.when(F.size(array) >= size, F.transform(F.sequence(F.lit(0), F.size(array) - size), one)).when(
-            F.size(array) > 0, F.array(F.xxhash64(F.size(array), array).bitwiseAND(F.lit(LOW)))
+    expected = (counts.agg(F.sum("n")).first()[0] or 0) / COUNTERS
+    chance = 4 * max(1.0, expected) ** 0.5
+    above = F.floor(F.log2(F.greatest((F.col("n") - expected) / chance, F.lit(0.5)))) + 1
+    rank = F.least(above, F.lit(15)).cast("long")
+    packed = counts.select(
+        F.expr("counter div 16").cast("int").alias("word"),
+        F.expr("counter % 16").cast("int").alias("at"), rank.alias("rank"),
+    ).where("rank > 0").groupBy("word").agg(F.bit_or(F.expr("shiftleft(rank, 4 * at)")).alias("ranks"))
+    table = [0] * (COUNTERS // 16)
+    for row in packed.collect():
+        table[row["word"]] = row["ranks"]
+    return table
+
+
+def tokens_of(words: Column, size: int, table: list[int] | None = None) -> Column:
+    """Different tokens of a line, hashes of ``size`` words each; with ``table`` in order of rarity, the class in the
+    top bits. The words are hashed inside a one-element array, so that this is done once for a line."""
+
+    def shingled(hashes: Column) -> Column:
+        def one(first: Column, i: Column) -> Column:
+            return F.xxhash64(first, *[F.get(hashes, i + k) for k in range(1, size)]).bitwiseAND(F.lit(LOW))
+
+        whole = F.slice(F.transform(hashes, one), F.lit(1), F.size(hashes) - (size - 1))
+        return F.when(F.size(hashes) >= size, whole).when(
+            F.size(hashes) > 0, F.array(F.xxhash64(F.size(hashes), hashes).bitwiseAND(F.lit(LOW)))
         ).otherwise(F.array().cast("array<bigint>"))
 
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(F.array(marked), shingled))))
+    found = F.array_distinct(F.flatten(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), shingled)))
+    if table is None:
+        return found
+    ranks = numbers(table, "bigint")
+
+    def ranked(token: Column) -> Column:
+        counter = F.pmod(token, F.lit(COUNTERS))
+        rank = F.call_function("shiftrightunsigned", F.get(ranks, F.call_function("shiftright", counter, F.lit(4)).cast("int")),
+                               (counter.bitwiseAND(F.lit(15)) * 4).cast("int")).bitwiseAND(F.lit(15).cast("long"))
+        return F.shiftleft(rank, RARITY_SHIFT).bitwiseOR(token)
+
+    return F.sort_array(F.transform(found, ranked))
 
 
 def bit_table(rows: DataFrame, hash_: Column) -> list[int]:
@@ -111,14 +128,13 @@ def _lines(source: DataFrame) -> DataFrame:
 def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``key``, ``mark`` and ``lines`` (numbers of the removed lines) for documents that lose a line."""
     lines = _lines(source)
-    worded = lines.select("key", "mark", "line", line_words(F.col("content")).alias("words"))
-    classes = rarity_classes(worded)
+    same_line = (F.xxhash64("content").alias("h1"), F.xxhash64(F.lit(1), "content").alias("h2"))
+    table = rarity_table(lines.select(tokens_of(line_words(F.col("content")), shingle).alias("tokens")))
     place = F.struct("key", "mark", "line")
 
     # 1 to 3: different lines with their prefixes.
-    tokened = worded.select(
-        place.alias("at"), F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"),
-        tokens_of("words", classes, shingle).alias("tokens"),
+    tokened = lines.select(
+        place.alias("at"), *same_line, tokens_of(line_words(F.col("content")), shingle, table).alias("tokens"),
     ).withColumn("n", F.size("tokens"))
     kept = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
     different = written(
@@ -127,38 +143,49 @@ def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
                                  F.count("*").alias("copies")),
         "lines",
     )
-    entries = different.select(F.posexplode("prefix").alias("place", "token"), "at", "n")
+    entries = different.select(F.posexplode("prefix").alias("place", "token"), "at", "n", "copies", "prefix").select(
+        "token", "at", "n", "place", F.get("prefix", F.col("place") - 1).alias("seen"), "copies"
+    )
     shared = written(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "tokens")
-    table = bit_table(shared, F.xxhash64("token"))
+    known = bit_table(shared, F.xxhash64("token"))
     lists = written(
-        entries.where(in_table(table, F.xxhash64("token"))).join(shared, "token").select("token", "at", "n", "place"),
+        entries.where(in_table(known, F.xxhash64("token"))).join(shared, "token").select("token", "size", "at", "n", "place", "seen", "copies"),
         "lists",
     )
 
-    def possible(n_1: str, place_1: str, n_2: str, place_2: str) -> Column:
-        """Length and positional filters."""
+    def possible(n_1: str, place_1: str, seen_1: str, n_2: str, place_2: str, seen_2: str) -> Column:
+        """Length and positional filters; a pair that shares several tokens in a row is taken at the first of them."""
         most = F.least(F.col(n_1) - F.col(place_1), F.col(n_2) - F.col(place_2))
         return (100 * F.least(n_1, n_2) >= percent * F.greatest(n_1, n_2)) & (
             (100 + percent) * most >= percent * (F.col(n_1) + F.col(n_2))
-        )
+        ) & F.coalesce(F.col(seen_1) != F.col(seen_2), F.lit(True))
 
     # 4: candidates, first against the first line of a list.
-    heads = lists.groupBy("token").agg(F.min(F.struct("at", "n", "place")).alias("head"))
-    first_pairs = lists.join(heads, "token").where(F.col("at") > F.col("head.at")).select(
-        "at", "n", "place", F.col("head.at").alias("before"), F.col("head.n").alias("n_2"),
-        F.col("head.place").alias("place_2"),
-    ).where(possible("n", "place", "n_2", "place_2")).select("at", "before").distinct()
+    line = F.struct("at", "n", "place", "seen")
+    heads = lists.groupBy("token", own_shuffle("token")).agg(
+        F.min(line).alias("head"), F.max_by(line, F.struct("copies", -F.col("n"))).alias("model")
+    ).drop("_spread")
+    met = lists.join(heads, "token").select(
+        "at", "n", "place", "seen", F.explode(F.array_distinct(F.array("head", "model"))).alias("other")
+    ).where(F.col("at") > F.col("other.at"))
+    first_pairs = met.select(
+        "*", F.col("other.at").alias("before"), F.col("other.n").alias("n_2"), F.col("other.place").alias("place_2"),
+        F.col("other.seen").alias("seen_2"),
+    ).where(possible("n", "place", "seen", "n_2", "place_2", "seen_2")).select("at", "before").distinct()
     first_pairs = written(first_pairs, "pairs")
-    involved = lists.select("at").distinct()
-    marks = bit_table(involved, F.xxhash64("at.key", "at.mark", "at.line"))
-    sets = written(
-        lines.where(in_table(marks, F.xxhash64("key", "mark", "line")))
-        .select(place.alias("at"), tokens_of_content(shingle).alias("tokens")).join(involved, "at").dropDuplicates(["at"]),
-        "line-sets",
-    )
 
-    # 5: verification.
+    # 5: verification, with the token sets of the lines that are in pairs.
+    def identity(column: str) -> Column:
+        return F.xxhash64(f"{column}.key", f"{column}.mark", f"{column}.line")
+
     def matching(pairs: DataFrame) -> DataFrame:
+        """Lines of ``pairs`` that match the line before them. The bit table may let other lines pass, and repeated
+        documents give a line twice; neither changes which lines match."""
+        wanted = bit_table(pairs.select(F.explode(F.array("at", "before")).alias("at")), identity("at"))
+        sets = written(
+            lines.where(in_table(wanted, F.xxhash64("key", "mark", "line")))
+            .select(place.alias("at"), tokens_of(line_words(F.col("content")), shingle).alias("tokens")), "line-sets",
+        )
         two = pairs.join(sets.select("at", F.col("tokens").alias("t_1")), "at").join(
             sets.select(F.col("at").alias("before"), F.col("tokens").alias("t_2")), "before"
         )
@@ -166,40 +193,28 @@ def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
         return two.where(100 * both >= percent * (F.size("t_1") + F.size("t_2") - both)).select("at").distinct()
 
     settled = written(matching(first_pairs), "settled")
-    left = lists.join(settled, "at", "left_anti")
-    earlier = lists.select(
-        "token", F.col("at").alias("before"), F.col("n").alias("n_2"), F.col("place").alias("place_2")
+    # The first line of a list has met all of it, so lists of two are done and others go on without their first line.
+    open_lists = lists.where("size > 2").join(heads.select("token", F.col("head.at").alias("first")), "token").where(
+        F.col("at") != F.col("first")).drop("first", "size")
+    open_lists = written(open_lists, "open-lists")
+    earlier = open_lists.select(
+        "token", F.col("at").alias("before"), F.col("n").alias("n_2"), F.col("place").alias("place_2"),
+        F.col("seen").alias("seen_2"),
     )
     more_pairs = (
-        left.join(earlier, "token").where((F.col("before") < F.col("at")) & possible("n", "place", "n_2", "place_2"))
+        open_lists.join(settled, "at", "left_anti").join(earlier, "token")
+        .where((F.col("before") < F.col("at")) & possible("n", "place", "seen", "n_2", "place_2", "seen_2"))
         .select("at", "before").distinct().join(first_pairs, ["at", "before"], "left_anti")
     )
-    near = settled.union(matching(more_pairs))
-    copied = lines.select(
-        place.alias("at"), F.xxhash64(line_words(F.col("content"))).alias("h1"),
-        F.xxhash64(F.lit(1), line_words(F.col("content"))).alias("h2"),
-    ).join(different.where("copies > 1").select("h1", "h2", F.col("at").alias("first")), ["h1", "h2"]).where(
-        F.col("at") != F.col("first")
-    ).select("at")
+    near = settled.union(matching(written(more_pairs, "more-pairs")))
+    # Later places of equal lines; the bit table keeps most lines without copies from moving.
+    copies = different.where("copies > 1").select("h1", "h2", F.col("at").alias("first"))
+    hashed = lines.select(place.alias("at"), *same_line)
+    copied = hashed.where(in_table(bit_table(copies, F.col("h1")), F.col("h1"))).join(copies, ["h1", "h2"]).where(
+        F.col("at") != F.col("first")).select("at")
     return near.union(copied).select("at.*").groupBy("key", "mark").agg(F.collect_set("line").alias("lines"))
 
 
-def tokens_of_content(shingle: int) -> Column:
-    """Tokens of the column ``content`` without rarity classes: the same sets, for verification."""
-    return F.flatten(F.transform(F.array(line_words(F.col("content"))), lambda w: _plain_tokens(w, shingle)))
-
-
-def _plain_tokens(words: Column, size: int) -> Column:
-    def shingled(array: Column) -> Column:
-        return F.when(
-            F.size(array) >= size,
-            F.transform(F.sequence(F.lit(0), F.size(array) - size),
-                        lambda i: F.xxhash64(*[F.get(array, i + k) for k in range(size)])),
-        ).otherwise(F.array(F.xxhash64(F.size(array), array)))
-
-    return F.array_distinct(F.flatten(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), shingled)))
-
-
 def dedup_lines(
     docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, percent: int = 75,
     carry: tuple[str, ...] = (),
