@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import own_shuffle
 from .common import written
 
 
@@ -25,10 +26,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     before = state(stars)
     while before[0]:
         both = stars.select(F.col("u").alias("x"), F.col("v").alias("y")).union(stars.select("v", "u"))
-        least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+        least = both.groupBy("x", own_shuffle("x")).agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
         large = both.where("y > x").join(least, "x").select(F.col("y").alias("v"), F.col("m").alias("u"))
         large = large.where("u != v").distinct()
-        smallest = large.groupBy("v").agg(F.min("u").alias("m"))
+        smallest = large.groupBy("v", own_shuffle("v")).agg(F.min("u").alias("m")).drop("_spread")
         small = large.join(smallest, "v").select(
             F.explode(F.array(F.struct(F.col("u").alias("v"), F.col("m").alias("u")),
                               F.struct(F.col("v").alias("v"), F.col("m").alias("u")))).alias("s")

@@ -12,8 +12,9 @@ is exact and finds the connected classes of linked documents. Its steps:
    lists of their prefix shingles, filtered by size and by position; a pair that shares several shingles in a row is
    taken at the first of them.
 4. Members. In every list, and inside every group, all members are verified against one pivot, the member with the
-   fewest shingles of its own (the text that others are changed copies of has none); linked ones form classes. What is left in a list, pairs of members of different classes, is then verified in full. A large group of
-   near copies is so settled by about as many comparisons as it has members, and no link between classes is lost.
+   fewest shingles of its own (the text that others are changed copies of has none); linked ones form classes. What is
+   left in a list, pairs of members of different classes, is then verified in full. A large group of near copies is so
+   settled by about as many comparisons as it has members, and no link between classes is lost.
 
 Defined results: NULL and wordless texts have an empty set and link with nothing; their component is their own key. A
 text with fewer words than a shingle is one shingle. The smallest key of a component ignores NULL keys; repeated rows
@@ -29,16 +30,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import own_shuffle
 from .common import shingle_partitions, written
 from .components import connected_components
 
 BATCH = 1024  # documents that are counted together
 SEEN = 3  # prefix shingles before a shared one that tell whether a pair has met there already
 KIND_DOCUMENT, KIND_COUNT, KIND_SHARED, KIND_RETURNED = 0, 1, 2, 3
-WORD_CACHE = 1_000_000
+WORD_CACHE = 300_000
+HASH = np.uint64((1 << 56) - 1)  # a shingle's hash has 56 bits, which go as 7 bytes
+MOST_OFTEN = 255  # count of a shingle in one batch, as a byte; counts only order shingles
 
 
 class WordHashes(dict):
@@ -63,31 +68,41 @@ def shingle_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
     if len(words) < size:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], np.uint64) & HASH
     ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     last = len(words) - size + 1
     value = np.zeros(last, np.uint64)
     for step in range(size):
         value = _mixed(value + ids[step:step + last] + np.uint64(step + 1))
-    return np.unique(value)
+    return np.unique(value & HASH)
+
+
+def _packed(tokens: np.ndarray) -> bytes:
+    return np.ascontiguousarray(tokens, "<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    out = np.zeros((size, 8), np.uint8)
+    out[:, :7] = np.frombuffer(data, np.uint8, 7 * size).reshape(size, 7)
+    return out.view("<u8").ravel()
 
 
 def _spread(df: DataFrame, key: str, text: str, size: int, parts: int) -> DataFrame:
     """Step 1 and the sending half of step 2."""
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    schema = f"kind int, part int, batch bigint, doc int, key {dict(rows.dtypes)['key']}, n bigint, sig binary, data binary"
+    kind = dict(rows.dtypes)["key"]
+    schema = f"kind int, part int, batch bigint, doc int, key {kind}, n bigint, sig binary, data binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        number = 0
+        task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 piece = batch.slice(at, BATCH)
                 sets = [shingle_set(t, size, hashes) for t in piece.column(1).to_pylist()]
                 sigs = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                mark = xxhash.xxh64(b"".join(sigs) + repr(piece.column(0).to_pylist()).encode(), seed=number)
+                name = (task << 32) + number  # the same when a lost task runs again
                 number += 1
-                name = mark.intdigest() >> 1
                 docs = len(sets)
                 tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
                 owner = np.repeat(np.arange(docs, dtype=np.uint16), [len(s) for s in sets])
@@ -97,20 +112,19 @@ def _spread(df: DataFrame, key: str, text: str, size: int, parts: int) -> DataFr
                 first[1:] = tokens[1:] != tokens[:-1]
                 often = np.diff(np.append(np.flatnonzero(first), len(tokens)))
                 many = np.repeat(often > 1, often)
-                shared = tokens[many].tobytes() + owner[many].tobytes()
-                once, who, often = tokens[first], owner[first], np.minimum(often, 65535).astype(np.uint16)
+                shared = _packed(tokens[many]) + owner[many].tobytes()
+                once, who, often = tokens[first], owner[first], np.minimum(often, MOST_OFTEN).astype(np.uint8)
                 part = (once % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 once, who, often = once[order], who[order], often[order]
                 edges = np.searchsorted(part[order], np.arange(parts + 1))
-                blobs = [(p, once[a:b].tobytes() + who[a:b].tobytes() + often[a:b].tobytes())
+                blobs = [(p, _packed(once[a:b]) + who[a:b].tobytes() + often[a:b].tobytes())
                          for p, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
                 kinds = [KIND_DOCUMENT] * docs + [KIND_SHARED] + [KIND_COUNT] * len(blobs)
                 size_ = len(kinds)
-                home = name % parts
                 yield pa.RecordBatch.from_arrays([
                     pa.array(kinds, pa.int32()),
-                    pa.array([home] * (docs + 1) + [p for p, _ in blobs], pa.int32()),
+                    pa.array([(name + i) % parts for i in range(docs + 1)] + [p for p, _ in blobs], pa.int32()),
                     pa.array([name] * size_, pa.int64()),
                     pa.array([*range(docs)] + [None] * (size_ - docs), pa.int32()),
                     pa.concat_arrays([piece.column(0), pa.nulls(size_ - docs, piece.column(0).type)]),
@@ -136,11 +150,11 @@ def _counted(spread: DataFrame, parts: int) -> DataFrame:
                 yield rest
             mine = batch.filter(counting)
             for name, data in zip(mine.column("batch").to_pylist(), mine.column("data").to_pylist()):
-                size = len(data) // 12
+                size = len(data) // 10
                 names.append((name, size))
-                tokens.append(np.frombuffer(data, np.uint64, size))
-                owners.append(np.frombuffer(data, np.uint16, size, 8 * size))
-                counts.append(np.frombuffer(data, np.uint16, size, 10 * size))
+                tokens.append(_unpacked(data, size))
+                owners.append(np.frombuffer(data, np.uint16, size, 7 * size))
+                counts.append(np.frombuffer(data, np.uint8, size, 9 * size))
         if not names:
             return
         every = np.concatenate(tokens)
@@ -153,7 +167,7 @@ def _counted(spread: DataFrame, parts: int) -> DataFrame:
             at += size
             keep = seen > 1
             if keep.any():
-                out.append((name, token[keep].tobytes() + owner[keep].tobytes()
+                out.append((name, _packed(token[keep]) + owner[keep].tobytes()
                             + np.minimum(seen[keep], 2**32 - 1).astype(np.uint32).tobytes()))
         for a in range(0, len(out), 256):
             some = out[a:a + 256]
@@ -182,13 +196,13 @@ def _prefixes(counted: DataFrame, percent: int) -> DataFrame:
         pairs = (np.zeros(0, np.uint64), np.zeros(0, np.uint16))
         for kind, data in zip(group.column("kind").to_pylist(), group.column("data").to_pylist()):
             if kind == KIND_RETURNED:
-                size = len(data) // 14
-                tokens.append(np.frombuffer(data, np.uint64, size))
-                owners.append(np.frombuffer(data, np.uint16, size, 8 * size))
-                counts.append(np.frombuffer(data, np.uint32, size, 10 * size))
+                size = len(data) // 13
+                tokens.append(_unpacked(data, size))
+                owners.append(np.frombuffer(data, np.uint16, size, 7 * size))
+                counts.append(np.frombuffer(data, np.uint32, size, 9 * size))
             elif kind == KIND_SHARED:
-                size = len(data) // 10
-                pairs = (np.frombuffer(data, np.uint64, size), np.frombuffer(data, np.uint16, size, 8 * size))
+                size = len(data) // 9
+                pairs = (_unpacked(data, size), np.frombuffer(data, np.uint16, size, 7 * size))
         token, owner, count = np.concatenate(tokens), np.concatenate(owners), np.concatenate(counts)
         order = np.argsort(token, kind="stable")
         token, owner, count = token[order], owner[order], count[order]
@@ -241,7 +255,7 @@ def jaccard_classes(
     """``key``, ``n_shingles``, ``component`` (smallest key of the connected class) and ``links`` (verified links found
     at the document's set, 0 for most) for every document."""
     spark = docs.sparkSession
-    parts = shingle_partitions(spark)
+    parts = 2 * shingle_partitions(spark)
     rows = written(_prefixes(_counted(_spread(docs, key, text, shingle, 3 * parts), parts), percent), "prefixes")
 
     # Equal sets become one; equal prefixes and sizes one group.
@@ -269,11 +283,14 @@ def jaccard_classes(
         ) & ~F.arrays_overlap(before_1, before_2)
 
     heads = lists.join(groups.select("sig"), "sig", "left_semi")
-    pivots = heads.groupBy("token").agg(
+    pivots = heads.groupBy("token", own_shuffle("token")).agg(
         F.min(F.struct("alone", "sig", "n", "place", "before")).alias("pivot"), F.count("*").alias("size")
-    ).where("size > 1").select("token", "pivot.*").drop("alone").withColumnsRenamed({"n": "n_p", "sig": "pivot", "place": "place_p", "before": "before_p"})
+    ).where("size > 1").select("token", "pivot.*").drop("alone").withColumnsRenamed(
+        {"n": "n_p", "sig": "pivot", "place": "place_p", "before": "before_p"}
+    )
     across = (
-        heads.join(pivots, "token").where((F.col("sig") != F.col("pivot")) & possible("n", "place", "before", "n_p", "place_p", "before_p"))
+        heads.join(pivots, "token").where(F.col("sig") != F.col("pivot"))
+        .where(possible("n", "place", "before", "n_p", "place_p", "before_p"))
         .select(F.col("pivot").alias("a"), F.col("sig").alias("b"))
     )
     links = written(_verified(inside.union(across).distinct(), sets, percent), "links")
@@ -285,7 +302,7 @@ def jaccard_classes(
         "lists",
     )
     sizes = classed.groupBy("token", "root").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("token").agg(
+    largest = sizes.groupBy("token", own_shuffle("token")).agg(
         F.max(F.struct("size", "root")).alias("top"), F.count("*").alias("classes")
     ).where("classes > 1").select("token", F.col("top.root").alias("main"))
     open_lists = classed.join(largest, "token")
@@ -306,7 +323,7 @@ def jaccard_classes(
     every = rows.select("key", "n", "sig").join(roots.withColumnRenamed("node", "sig"), "sig", "left").join(
         degree, "sig", "left"
     ).withColumn("root", F.coalesce("root", "sig"))
-    smallest = every.where("n > 0").groupBy("root").agg(F.min("key").alias("smallest"))
+    smallest = every.where("n > 0").groupBy("root", own_shuffle("root")).agg(F.min("key").alias("smallest")).drop("_spread")
     return every.join(smallest, "root", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("key")).alias("component"),

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontaminate, html_extract, language_spans, line_dedup, ngram_join, quality_rules, repeats, secret_scan, sql, toxicity
+from . import (
+    bpe_codec, decontaminate, html_extract, language_spans, line_dedup, ngram_join, quality_rules, repeats, secret_scan,
+    sql, toxicity,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
