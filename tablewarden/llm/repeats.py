@@ -34,13 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import own_shuffle
 from .common import shingle_partitions, written
 
 GRAM = 32  # bytes of an anchor's hash
 PLACE_BITS = 26  # of a sort key; the others are hash
-CHUNK = 1 << 22  # bytes that are hashed together
+CHUNK = 1 << 20  # bytes that are hashed together
 CROWD = 1000  # different segments of an anchor that share a bucket
-BUCKET_BYTES = 1 << 21
+BUCKET_BYTES = 1 << 20
 FILTER_BITS = 1 << 22  # of the filter that tells which documents are fetched; 512 KB whatever the input
 
 
@@ -301,7 +302,7 @@ def remove_repeats(
         whole = whole.where(~same)
     spans = whole.select("key", "mark", "first", (F.col("last") + length).alias("end"))
 
-    open_anchors = distinct.groupBy("anchor").agg(
+    open_anchors = distinct.groupBy("anchor", own_shuffle("anchor")).agg(
         F.count("*").alias("different"), F.min("times").alias("least")
     ).where((F.col("different") > 1) & (F.lit(keep_first) | (F.col("least") == 1))).select("anchor", "different")
     wanted = written(
@@ -318,9 +319,9 @@ def remove_repeats(
     few = texts.where(F.col("different") <= CROWD).withColumn("bucket", F.pmod("anchor", F.lit(buckets)))
     spans = spans.union(_bucket_matches(few.select("key", "mark", "first", "text", "bucket"), length, keep_first))
     windows = _window_rows(texts.where(F.col("different") > CROWD), length)
-    shared = windows.groupBy("window").agg(
+    shared = windows.groupBy("window", own_shuffle("window")).agg(
         F.count("*").alias("times"), F.min(F.struct("key", "mark", "first")).alias("at")
-    ).where("times > 1")
+    ).where("times > 1").drop("_spread")
     crowd = windows.join(shared, "window")
     if keep_first:
         crowd = crowd.where(~(F.col("key").eqNullSafe(F.col("at.key")) & (F.col("mark") == F.col("at.mark"))
