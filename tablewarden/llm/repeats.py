@@ -36,13 +36,13 @@ from pyspark.sql import functions as F
 
 from ..functions.common import own_shuffle
 from .common import shingle_partitions, written
+from .line_dedup import bit_table, in_table
 
 GRAM = 32  # bytes of an anchor's hash
 PLACE_BITS = 26  # of a sort key; the others are hash
 CHUNK = 1 << 20  # bytes that are hashed together
 CROWD = 1000  # different segments of an anchor that share a bucket
 BUCKET_BYTES = 1 << 20
-FILTER_BITS = 1 << 22  # of the filter that tells which documents are fetched; 512 KB whatever the input
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -213,33 +213,6 @@ def _window_rows(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("key", "mark", "first", "text").mapInArrow(run, schema)
 
 
-def _filter_of(rows: DataFrame) -> bytes:
-    """A bit for each document mark in ``rows``, by its hash; the size is fixed."""
-    words = rows.select(F.pmod("mark", F.lit(FILTER_BITS)).alias("at")).selectExpr(
-        "cast(at div 64 as int) as word", "shiftleft(1L, cast(at % 64 as int)) as bit"
-    )
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for word, value in words.groupBy("word").agg(F.bit_or("bit")).collect():
-        bits[word] = value
-    return np.unpackbits(bits.view(np.uint8), bitorder="little").tobytes()
-
-
-def _in_filter(source: DataFrame, bits: bytes) -> tuple[DataFrame, DataFrame]:
-    """Documents that may be among those of the filter, and those that are not."""
-    flags = source.sparkSession.sparkContext.broadcast(bits)
-
-    def part(wanted: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = np.frombuffer(flags.value, np.uint8)
-            for batch in batches:
-                mark = batch.column("mark").to_numpy()
-                yield batch.filter(pa.array((known[mark % FILTER_BITS] == 1) == wanted))
-
-        return source.mapInArrow(run, source.schema)
-
-    return part(True), part(False)
-
-
 def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     right = right.withColumnsRenamed({"key": "key_2", "mark": "mark_2"})
     return left.join(
@@ -308,7 +281,7 @@ def remove_repeats(
     wanted = written(
         distinct.join(open_anchors, "anchor").select("anchor", "different", "at.*"), "open-segments"
     )
-    holders, _ = _in_filter(source, _filter_of(wanted))
+    holders = source.where(in_table(bit_table(wanted, F.col("mark")), F.col("mark")))
     texts = _joined(holders, wanted, "inner").select(
         "key", "mark", "first", "anchor", "different",
         F.substring(F.encode("text", "UTF-8"), F.col("first") + 1, F.col("last") - F.col("first") + length).alias("text"),
@@ -329,8 +302,12 @@ def remove_repeats(
     spans = spans.union(crowd.select("key", "mark", "first", (F.col("first") + length).alias("end")))
     spans = written(spans.distinct(), "spans")
 
-    touched, untouched = _in_filter(source, _filter_of(spans))
+    marks = bit_table(spans, F.col("mark"))
     by_document = spans.groupBy("key", "mark").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
-    changed = _cut(_joined(touched, by_document, "left"))
-    same = _cut(untouched.withColumn("spans", F.array().cast("array<struct<first:int,end:int>>")))
+    changed = _cut(_joined(source.where(in_table(marks, F.col("mark"))), by_document, "left"))
+    whole_text = F.coalesce("text", F.lit(""))
+    same = source.where(~in_table(marks, F.col("mark"))).select(
+        "key", F.octet_length(whole_text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), F.encode(whole_text, "UTF-8").alias("kept"),
+    )
     return changed.union(same).withColumnRenamed("key", key)
