@@ -74,9 +74,10 @@ def rarity_table(tokens: DataFrame) -> list[int]:
     return table
 
 
-def tokens_of(words: Column, size: int, table: list[int] | None = None) -> Column:
+def tokens_of(words: Column, size: int, table: list[int] | None = None, distinct: bool = True) -> Column:
     """Different tokens of a line, hashes of ``size`` words each; with ``table`` in order of rarity, the class in the
-    top bits. The words are hashed inside a one-element array, so that this is done once for a line."""
+    top bits. Counting takes whole texts and all their tokens instead (``distinct=False``): those that span two lines
+    only change the order. The words are hashed inside a one-element array, so that this is done once for a line."""
 
     def shingled(hashes: Column) -> Column:
         def one(first: Column, i: Column) -> Column:
@@ -87,7 +88,10 @@ def tokens_of(words: Column, size: int, table: list[int] | None = None) -> Colum
             F.size(hashes) > 0, F.array(F.xxhash64(F.size(hashes), hashes).bitwiseAND(F.lit(LOW)))
         ).otherwise(F.array().cast("array<bigint>"))
 
-    found = F.array_distinct(F.flatten(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), shingled)))
+    found = F.flatten(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), shingled))
+    if not distinct:
+        return found
+    found = F.array_distinct(found)
     if table is None:
         return found
     ranks = numbers(table, "bigint")
@@ -129,7 +133,7 @@ def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``key``, ``mark`` and ``lines`` (numbers of the removed lines) for documents that lose a line."""
     lines = _lines(source)
     same_line = (F.xxhash64("content").alias("h1"), F.xxhash64(F.lit(1), "content").alias("h2"))
-    table = rarity_table(lines.select(tokens_of(line_words(F.col("content")), shingle).alias("tokens")))
+    table = rarity_table(source.select(tokens_of(line_words(F.col("text")), shingle, distinct=False).alias("tokens")))
     place = F.struct("key", "mark", "line")
 
     # 1 to 3: different lines with their prefixes.
@@ -149,7 +153,8 @@ def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
     shared = written(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "tokens")
     known = bit_table(shared, F.xxhash64("token"))
     lists = written(
-        entries.where(in_table(known, F.xxhash64("token"))).join(shared, "token").select("token", "size", "at", "n", "place", "seen", "copies"),
+        entries.where(in_table(known, F.xxhash64("token"))).join(shared, "token")
+        .select("token", "size", "at", "n", "place", "seen", "copies"),
         "lists",
     )
 
