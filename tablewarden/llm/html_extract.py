@@ -1,10 +1,13 @@
 """Main text of web pages by two passes of block rules.
 
 A page is cut into blocks at block-level tags. Blocks inside menus, asides, forms, notices, adverts and comments are
-taken out by their markup. Pass one decides the others: where a page marks its article, all of the article but link
-lists is good and the rest bad; elsewhere link density, length and the share of stop words decide. Pass two gives each
-undecided short block the label of its nearest decided neighbour; between a good and a bad one at the same distance,
-bad wins.
+taken out by their markup. Pass one decides the others on every page by link density, length and the share of stop
+words. Marks of an article (article, main, role=main, articleBody) are one more feature: the part of the page with most
+unlinked text, marked or not, is its main part; a block inside a marked main part needs less evidence, one in a part
+with less than half of that text, which does not hold the main part, loses a step (good becomes undecided, undecided
+bad). Pass two gives each undecided block the label of its nearest decided neighbour, inside a marked main part of the
+nearest one that did not lose a step; between a good and a bad one at the same distance, bad wins, and a heading goes
+with what follows it. A marked main part without any good block keeps its undecided ones.
 
 Defined results: NULL, empty and tag-free pages are handled as pages (text without tags is one undecided block, kept
 when no neighbour decides). Entities are decoded once, white space becomes one space. Repeated rows give repeated
@@ -55,14 +58,16 @@ _SPLIT = re.compile(r"[^0-9A-Za-z]+")
 
 GOOD, BAD, UNDECIDED = 1, -1, 0
 MANY_LINKS, SHORT, LONG, FEW_STOPS, MANY_STOPS = 0.5, 70, 200, 0.12, 0.24
+INSIDE, NEUTRAL, OUTSIDE = 1, 0, -1
+COMPARABLE = 0.5  # share of the main part's text from which on another part is not taken for surroundings
 
 
 class Block:
-    __slots__ = ("parts", "linked", "dropped", "article", "heading")
+    __slots__ = ("parts", "linked", "dropped", "marked", "heading")
 
-    def __init__(self, dropped: bool, article: bool, heading: bool):
+    def __init__(self, dropped: bool, marked: tuple[int, ...], heading: bool):
         self.parts: list[str] = []
-        self.linked, self.dropped, self.article, self.heading = 0, dropped, article, heading
+        self.linked, self.dropped, self.marked, self.heading = 0, dropped, marked, heading
 
     @property
     def text(self) -> str:
@@ -94,21 +99,22 @@ def _main_part(tag: str, attrs: str) -> bool:
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, with what their surroundings say."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open block-level tags: dropped, article
+    stack: list[tuple[str, bool, tuple[int, ...]]] = []  # open block-level tags: dropped, marked parts around
+    parts = 0
     current: Block | None = None
     linked = False
     at = 0
 
-    def state() -> tuple[bool, bool]:
-        return (stack[-1][1], stack[-1][2]) if stack else (False, False)
+    def state() -> tuple[bool, tuple[int, ...]]:
+        return (stack[-1][1], stack[-1][2]) if stack else (False, ())
 
     def add(raw: str) -> None:
         nonlocal current
         if not raw:
             return
         if current is None:
-            dropped, article = state()
-            current = Block(dropped, article, bool(stack) and stack[-1][0] in HEADINGS)
+            dropped, marked = state()
+            current = Block(dropped, marked, bool(stack) and stack[-1][0] in HEADINGS)
             blocks.append(current)
         piece = entities.unescape(raw)
         current.parts.append(piece)
@@ -152,56 +158,79 @@ def blocks_of(page: str) -> list[Block]:
                     stack.pop()
                 if tag in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == tag:
                     stack.pop()
-            dropped, article = state()
-            unwanted = _unwanted(tag, attrs, article)
-            stack.append((tag, dropped or unwanted, article or (_main_part(tag, attrs) and not dropped)))
+            dropped, marked = state()
+            unwanted = _unwanted(tag, attrs, bool(marked))
+            if not dropped and _main_part(tag, attrs):
+                parts += 1
+                marked += (parts,)
+            stack.append((tag, dropped or unwanted, marked))
     return blocks
 
 
-def first_pass(block: Block, text: str, has_article: bool) -> int:
+def priors(blocks: list[Block], texts: list[str]) -> list[int]:
+    """What the marks say of each block, by the part of the page (marked or not) with most unlinked text."""
+    running: dict[tuple[int, ...], int] = {}
+    for block, text in zip(blocks, texts):
+        plain = 0 if block.heading or block.linked > MANY_LINKS * len(text) else len(text) - block.linked
+        running[block.marked] = running.get(block.marked, 0) + plain
+    top = max(running, key=lambda part: (running[part], len(part)), default=())
+
+    def prior(part: tuple[int, ...]) -> int:
+        if part == top:
+            return INSIDE if top else NEUTRAL
+        around = part and part == top[:len(part)]  # the main part lies in this one
+        return NEUTRAL if around or running[part] >= COMPARABLE * running[top] else OUTSIDE
+
+    found = {part: prior(part) for part in running}
+    return [found[block.marked] for block in blocks]
+
+
+def first_pass(block: Block, text: str, prior: int) -> int:
     links = block.linked / max(1, len(text))
-    if links > MANY_LINKS:
+    if links > MANY_LINKS or text.startswith("©") or text.startswith("(c) ") and prior != INSIDE:
         return BAD
-    if has_article:
-        if not block.article:
-            return BAD
-        return GOOD
-    if text.startswith(("©", "(c) ")):
-        return BAD
-    if block.heading and links <= 0.2:
-        return UNDECIDED
     words = text.split()
     stops = sum(w.strip(".,;:!?\"'()*#$%&").lower() in STOP_WORDS for w in words) / max(1, len(words))
-    if len(text) < SHORT:
-        return BAD if links > 0.2 else UNDECIDED
-    if stops >= MANY_STOPS and links <= 0.2:
-        return GOOD
-    if stops >= FEW_STOPS or len(text) >= LONG:
-        return GOOD if len(text) >= LONG and links <= 0.2 else UNDECIDED
-    return BAD if links > 0.2 else UNDECIDED
-
-
-def second_pass(labels: list[int]) -> list[bool]:
+    if block.heading:
+        label = UNDECIDED if links <= 0.2 else BAD
+    elif links > 0.2:  # some links: long text with stop words may still be one of the article
+        label = UNDECIDED if len(text) >= SHORT and stops >= FEW_STOPS else BAD
+    elif len(text) < SHORT:
+        label = UNDECIDED
+    else:
+        label = GOOD if stops >= (FEW_STOPS if prior == INSIDE else MANY_STOPS) or len(text) >= LONG else UNDECIDED
+    if prior == INSIDE:
+        return max(label, UNDECIDED)
+    return max(label - 1, BAD) if prior == OUTSIDE else label
+
+
+def second_pass(labels: list[int], said: list[int], headings: list[bool]) -> list[bool]:
     """Undecided blocks take the label of the nearest decided one; without any they stay."""
     size = len(labels)
-    before, after = [(size + 1, 0)] * size, [(size + 1, 0)] * size
-    last = None
-    for i in range(size):
-        if labels[i]:
-            last = i
-        if last is not None:
-            before[i] = (i - last, labels[last])
-    last = None
-    for i in range(size - 1, -1, -1):
-        if labels[i]:
-            last = i
-        if last is not None:
-            after[i] = (last - i, labels[last])
+    some_good = any(label == GOOD and prior == INSIDE for label, prior in zip(labels, said))
+
+    def nearest(order: range) -> list[tuple[int, int]]:
+        found, last, last_inside = [(size + 1, 0)] * size, None, None
+        for i in order:
+            if labels[i]:
+                last = i
+                if said[i] != OUTSIDE:
+                    last_inside = i
+            at = last_inside if said[i] == INSIDE else last
+            if at is not None:
+                found[i] = (abs(i - at), labels[at])
+        return found
+
+    before, after = nearest(range(size)), nearest(range(size - 1, -1, -1))
     kept = []
     for i in range(size):
         (near, one), (far, two) = before[i], after[i]
         label = min(one, two) if near == far else one if near < far else two
-        kept.append((labels[i] or label) >= 0 if not labels[i] else labels[i] == GOOD)
+        if headings[i] and two:
+            label = two
+        if said[i] == INSIDE and not some_good:
+            label = GOOD
+        kept.append((labels[i] or label) >= 0)
     return kept
 
 
@@ -210,8 +239,8 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = [(b, t) for b in blocks_of(page) if not b.dropped and (t := b.text)]
-    has_article = any(b.article for b, _ in found)
-    kept = second_pass([first_pass(b, t, has_article) for b, t in found])
+    said = priors([b for b, _ in found], [t for _, t in found])
+    kept = second_pass([first_pass(b, t, p) for (b, t), p in zip(found, said)], said, [b.heading for b, _ in found])
     return " ".join(t for (_, t), keep in zip(found, kept) if keep)
 
 

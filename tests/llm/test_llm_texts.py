@@ -55,6 +55,30 @@ def test_page_without_a_marked_article():
     assert html_extract.main_text(page) == f"{good} Short one. {good}"
 
 
+GOOD = "The cat sat on the mat and it was the best of the days that a cat can have in the house by the sea."
+TEASER = "<article><h3><a href=1>A story of the other day</a></h3><p>What it was in the end.</p></article>"
+LINKS = "<div><a href=1>one link to a page</a> <a href=2>and one more of them</a></div>"
+
+
+@pytest.mark.parametrize("page,text", [
+    # the body in plain divs, teasers marked as articles
+    (f"<body><div><h1>Head</h1><p>{GOOD}</p><p>Short.</p><p>{GOOD}</p></div>{TEASER * 3}</body>", f"Head {GOOD} Short. {GOOD}"),
+    # the body in the largest article, teasers beside it
+    (f"<main>{TEASER}<article><h1>Head</h1><p>{GOOD}</p><p>Short.</p></article>{TEASER * 2}</main>", f"Head {GOOD} Short."),
+    # unmarked boilerplate in main
+    (f"<main>{LINKS}<p>Menu of the site</p>{LINKS}<h1>Head</h1><p>{GOOD}</p><p>{GOOD}</p>{LINKS}<p>Terms apply.</p>{LINKS}"
+     "<p>© 2020 by the owner of the site</p></main>", f"Head {GOOD} {GOOD}"),
+    # a headline around the marked body, part of the body behind it
+    (f"<article><h1>Head</h1><div itemprop=articleBody><p>{GOOD}</p><p>{GOOD}</p></div></article>", f"Head {GOOD} {GOOD}"),
+    # an article of short lines, nothing good in it, text around
+    ("<p>Our site</p><article><p>One line of verse,</p><p>one more of it</p></article><p>By us</p>",
+     "One line of verse, one more of it"),
+    (f"<article><p>{GOOD}</p></article><article><p>{GOOD}</p></article>", f"{GOOD} {GOOD}"),
+])
+def test_marks_are_one_feature(page, text):
+    assert html_extract.main_text(page) == text
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("just words", "just words"), ("<p>", ""), ("<p>a<p>b", "a b"), ("a &lt;b&gt; c", "a <b> c"),
     ("<article><p>cut off &amp", "cut off &"), ("<article>a<script>x", "a"), ("<article><p>a</p><p>b <a hre", "a b"),
