@@ -1,16 +1,22 @@
 """Toxicity: a support vector machine on a gap-weighted subsequence kernel with Nystroem landmarks.
 
 The kernel of two words sums, over all letter sequences of length three that both contain, the decay to the power of
-the stretches that hold them, so ``idxiot`` and ``i-d-i-o-t`` stay near ``idiot``. A sentence scores as its strongest
-word, a text as its strongest sentence. Training is multiple-instance: the words that explain the toxic texts of the
-sample and no clean ones are witnesses, the sentences of clean texts supply the negative words. The Nystroem map is
-the kernel against the landmark words (witnesses and common words), whitened by the landmarks' own kernel; a linear
-machine is fitted on it and its margin turned into a probability by the widest gap between the sample's texts.
+the stretches that hold them, so ``idxiot`` and ``i-d-i-o-t`` stay near ``idiot``. The kernel of two sentences sums over
+their words, so a sentence scores as the sum of its words' weights and a text as its strongest sentence. The Nystroem
+map is the kernel against landmark words, whitened by the landmarks' own kernel and centred on the words of clean texts.
+
+Training is multiple-instance on sentences: of each toxic text the strongest sentence is toxic with all its words, all
+sentences of clean texts are clean, and so is each of their words alone. The strongest sentence is found by the words'
+share of toxic and clean texts first and by the machine afterwards. Landmarks are the words that explain the toxic texts,
+as many as the sample has; for texts that these leave unexplained, the words of the strongest sentence that lean to toxic
+texts, also those of a single text; some common words; and clean words that the machine takes for toxic ones. The margin
+is turned into a probability by the widest gap between the sample's texts.
 
 Before comparison a word is lower-cased, digits and signs that stand for letters are read as letters, other characters
 inside it are skipped, and runs of three or more single letters are joined to one word.
 
-Training uses a sample of labelled texts bounded by ``rows_per_label``; scoring covers every whole text.
+Training uses a sample of labelled texts bounded by ``rows_per_label``; neither words nor landmarks are bounded besides.
+Scoring covers every whole text; its time grows with the number of landmarks.
 
 Defined results: NULL, empty and wordless texts get the score of a text without a toxic word. Without toxic texts in
 the sample all scores are 0. Repeated rows give repeated results, an empty table an empty result; columns other than
@@ -19,6 +25,8 @@ the named ones are not read.
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -31,9 +39,16 @@ from .sampling import labelled_sample
 
 ORDER, DECAY = 3, 0.75
 WINDOW = 24  # letters compared at a time; longer words are compared in overlapping windows
-WITNESSES, COMMON_LANDMARKS, HARD_LANDMARKS = 40, 8, 4
+COMMON_LANDMARKS, HARD_LANDMARKS = 8, 4
 SAME_LANDMARK = 0.5  # kernel from which on a landmark stands for a word
-LEAST_GAIN = 0.01  # share of the toxic texts that a further witness has to explain
+LEAST_GAIN = 1.2  # toxic texts not yet explained that a further witness has to explain
+EXPLAINED = 0.25  # what a text counts after each of its witnesses
+LEAST_LEAN = 1.0  # logarithm of toxic to clean share from which on a word of an unexplained text is a landmark
+BLOCK = 256  # landmarks compared at a time
+ROUNDS = 3
+HARD_WEIGHT = 4.0  # of the strongest sentences of clean texts, against all of their sentences
+RIDGE = 1e-4
+POWER = 3  # of the normalised kernel, so that many slightly similar words do not add up to a toxic one
 CACHE_WORDS = 400_000
 
 FOREIGN = "\u0294"  # a letter of no word, for training on inserted characters
@@ -72,6 +87,12 @@ def readings(chunk: str) -> list[str]:
     return [w for w in found if len(w) >= ORDER]
 
 
+def sentences_of(text: str) -> list[str]:
+    """The sentences of a text; runs of single letters are read across their ends, as one more sentence each."""
+    pieces = text.split()
+    return _SENTENCE.split(text) + chunks_of(text)[len(pieces):]
+
+
 def chunks_of(text: str) -> list[str]:
     """White-space separated pieces, with runs of single letters joined as one more piece."""
     pieces = text.split()
@@ -173,10 +194,10 @@ class SubsequenceMachine:
         width = max(map(len, landmarks))
         self.right = codes(landmarks, width, -1)
         self.own = self_kernel(codes(landmarks, width, 0))
-        between = kernel(codes(landmarks, width, 0), self.right) / np.sqrt(np.outer(self.own, self.own))
+        between = (kernel(codes(landmarks, width, 0), self.right) / np.sqrt(np.outer(self.own, self.own))) ** POWER
         values, vectors = np.linalg.eigh(between.astype(np.float64) + 1e-6 * np.eye(len(landmarks)))
         self.whitening = (vectors / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-        self.weights, self.bias = np.zeros(len(landmarks)), 0.0
+        self.weights, self.shift, self.bias = np.zeros(len(landmarks)), 0.0, 0.0
 
     def similar(self, words: list[str]) -> np.ndarray:
         """Normalised kernel of words (at most WINDOW letters) with the landmarks."""
@@ -185,27 +206,47 @@ class SubsequenceMachine:
         for at in range(0, len(order), 512):
             rows = order[at:at + 512]
             left = codes([words[i] for i in rows], len(words[rows[-1]]), 0)
-            out[rows] = kernel(left, self.right) / np.sqrt(np.maximum(np.outer(self_kernel(left), self.own), 1e-12))
+            for first in range(0, len(self.landmarks), BLOCK):
+                part = slice(first, first + BLOCK)
+                out[rows, part] = kernel(left, self.right[part])
+            out[rows] = (out[rows] / np.sqrt(np.maximum(np.outer(self_kernel(left), self.own), 1e-12))) ** POWER
         return out
 
-    def fit(self, words: list[str], labels: np.ndarray, counts: np.ndarray, rounds: int = 600) -> None:
-        """Squared-hinge linear machine on the Nystroem features by accelerated gradient steps."""
-        features = self.similar(words).astype(np.float64) @ self.whitening
+    def features(self, words: list[str], counts: np.ndarray) -> np.ndarray:
+        """Nystroem features of words, centred on their mean by ``counts``."""
+        found = self.similar(words).astype(np.float32) @ self.whitening.astype(np.float32)
+        self.centre = (counts @ found) / max(1e-9, counts.sum())
+        return found - self.centre.astype(np.float32)
+
+    def fit(self, rows: np.ndarray, labels: np.ndarray, cost: np.ndarray, rounds: int = 30) -> None:
+        """Squared-hinge linear machine on sentence features by Newton steps."""
+        rows = np.hstack([rows, np.ones((len(rows), 1), np.float32)])
         signs = np.where(labels > 0, 1.0, -1.0)
-        cost = np.where(labels > 0, counts / max(1e-9, counts[labels > 0].sum()),
-                        counts / max(1e-9, counts[labels == 0].sum()))
-        rows = np.hstack([features, np.ones((len(words), 1))])
-        rate = 1.0 / (2 * np.linalg.norm((rows * cost[:, None]).T @ rows, 2) + 2e-4)
-        now = last = np.zeros(rows.shape[1])
-        for k in range(rounds):
-            ahead = now + k / (k + 3) * (now - last)
-            gap = np.maximum(0.0, 1.0 - signs * (rows @ ahead))
-            slope = -2 * (rows * (cost * signs * gap)[:, None]).sum(axis=0) + 1e-4 * np.append(ahead[:-1], 0.0)
-            last, now = now, ahead - rate * slope
-        self.weights, self.bias = self.whitening @ now[:-1], float(now[-1])
+        ridge = np.append(np.full(rows.shape[1] - 1, RIDGE), 1e-9)
+
+        def loss(at: np.ndarray) -> float:
+            return float((cost * np.maximum(0.0, 1.0 - signs * (rows @ at)) ** 2).sum() + (ridge * at * at).sum())
+
+        now = np.zeros(rows.shape[1])
+        value = loss(now)
+        for _ in range(rounds):
+            gap = 1.0 - signs * (rows @ now)
+            active = gap > 0
+            inside = rows[active].astype(np.float64)
+            slope = -(inside * (cost * signs * gap)[active][:, None]).sum(axis=0) + ridge * now
+            bend = (inside * cost[active][:, None]).T @ inside + np.diag(ridge)
+            step, size = np.linalg.solve(bend, slope), 1.0
+            while size > 1e-3 and (after := loss(now - size * step)) > value:
+                size /= 2
+            if size <= 1e-3 or value - after < 1e-7 * value:
+                break
+            now, value = now - size * step, after
+        self.weights = self.whitening @ now[:-1]
+        self.shift, self.bias = float(self.centre @ now[:-1]), float(now[-1])
 
     def margins(self, words: list[str]) -> np.ndarray:
-        return self.similar(words) @ self.weights + self.bias
+        """What each word adds to the score of a sentence, which begins at ``bias``."""
+        return self.similar(words) @ self.weights - self.shift
 
 
 class ToxicityModel:
@@ -213,53 +254,101 @@ class ToxicityModel:
 
     def __init__(self, samples: list[tuple[int, str]]):
         self.machine: SubsequenceMachine | None = None
-        self.slope, self.offset, self.floor = 1.0, 0.0, -1.0
-        texts = [(int(label), [self._words(s) for s in _SENTENCE.split(text)]) for label, text in samples]
-        bags = [(label, set().union(*sentences) if sentences else set()) for label, sentences in texts]
-        witnesses = self._witnesses(bags)
-        if not witnesses:
+        self.slope, self.offset = 1.0, 0.0
+        bags = [(int(label), [set(w) for s in sentences_of(text) if (w := self._words(s))]) for label, text in samples]
+        bags = [(label, sentences) for label, sentences in bags if sentences]
+        texts = [(label, set().union(*sentences)) for label, sentences in bags]
+        toxic = [at for at, (label, _) in enumerate(bags) if label == 1]
+        if not toxic:
             return
-        negative: Counter[str] = Counter()
-        for label, sentences in texts:
-            if label == 0:
-                for sentence in sentences:
-                    negative.update(set(sentence))
-        common = [w for w, _ in sorted(negative.items(), key=lambda x: (-x[1], x[0]))]
+        every = sorted(set().union(*[words for _, words in texts]))
+        number = {w: i for i, w in enumerate(every)}
+        seen = {kind: Counter(w for label, words in texts if label == kind for w in words) for kind in (0, 1)}
+        clean_texts = max(1, len(bags) - len(toxic))
+        least = 0.5 / min(len(toxic), clean_texts)
+        lean = {w: float(np.log((n / len(toxic) + least) / (seen[0][w] / clean_texts + least))) for w, n in seen[1].items()}
+
+        # Sentences as word numbers, text by text.
+        flat, starts, owner = [], [], []
+        for at, (_, sentences) in enumerate(bags):
+            for words in sentences:
+                starts.append(len(flat))
+                flat += sorted(number[w] for w in words)
+                owner.append(at)
+        flat, starts, owner = np.array(flat), np.array(starts), np.array(owner)
+        first = np.searchsorted(owner, np.arange(len(bags) + 1))
+        clean = np.array([label == 0 for label, _ in bags])[owner]
+
+        def strongest(value: np.ndarray, texts: list[int]) -> np.ndarray:
+            """The strongest sentence of each of some texts, when words add ``value``."""
+            sums = np.add.reduceat(value[flat], starts)
+            return np.array([first[at] + int(sums[first[at]:first[at + 1]].argmax()) for at in texts], np.int64)
+
+        chosen = strongest(np.array([max(0.0, lean.get(w, 0.0) - LEAST_LEAN / 2) for w in every]), toxic)
+        rare: list[str] = []
+        witnesses = self._witnesses(texts)
+        common = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0]))]
         short = [w for w in common if len(w) <= 8]
         spread = short[::max(1, len(short) // COMMON_LANDMARKS)][:COMMON_LANDMARKS]
-        self.machine = SubsequenceMachine(self._landmarks([*witnesses, *spread]))
-        chosen = common[:10_000]
-        positive = Counter(w for label, bag in bags if label == 1 for w in bag if w in witnesses)
-        spoilt = Counter()  # witnesses with a foreign letter inside count as toxic too, with less weight
-        for word, n in positive.items():
-            for at in range(1, len(word)):
-                spoilt[word[:at] + FOREIGN + word[at:]] += 0.25 * n / len(word)
-        every = sorted(set().union(*[bag for _, bag in bags]))
-        toxic_words = {**spoilt, **positive}
-        for round_ in range(3):  # clean words that one machine finds near toxic become landmarks of the next
-            words = [*toxic_words, *chosen]
-            labels = np.array([1] * len(toxic_words) + [0] * len(chosen))
-            counts = np.array([*toxic_words.values()] + [1.0 + 0.2 * negative[w] for w in chosen], np.float64)
-            self.machine.fit(words, labels, counts)
-            value = dict(zip(every, self.machine.margins(every)))
-            known = set(chosen)
-            chosen = chosen + [w for w in common if w not in known and value[w] > -0.25][:5_000]
-            taken = set(self.machine.landmarks)
-            near = sorted((w for w in common if value[w] > 0.3 and len(w) <= 10 and w not in taken), key=lambda w: (-value[w], w))
-            if round_ < 2 and near:
-                self.machine = SubsequenceMachine([*self.machine.landmarks, *self._landmarks(near[:40])[:HARD_LANDMARKS]])
-        self.floor = float(np.median([value[w] for w in chosen]))
-        tops = np.array([max((value[w] for w in bag), default=self.floor) for _, bag in bags])
+        landmarks = self._landmarks([*witnesses, *spread])
+        own = list(witnesses)  # words taken for toxic alone
+        hard = np.zeros(0, np.int64)
+        for round_ in range(ROUNDS):
+            spoilt: dict[str, float] = {}  # also with a foreign letter inside
+            for word in own:
+                spoilt[word] = seen[1][word]
+                for at in range(1, len(word)):
+                    spoilt[word[:at] + FOREIGN + word[at:]] = 0.25 * seen[1][word] / len(word)
+            words = [*every, *(w for w in spoilt if w not in number)]
+            place = {w: i for i, w in enumerate(words)}
+            counts = np.array([1.0 * seen[0][w] for w in words])
+            alone = np.array([place[w] for w in common], np.int64)
+            self.machine = SubsequenceMachine(landmarks)
+            features = self.machine.features(words, counts)
+            used = np.concatenate([chosen, np.flatnonzero(clean)])
+            sums = self._sums(features, flat, np.append(starts, len(flat)), used)
+            single = features[[place[w] for w in spoilt]].reshape(len(spoilt), features.shape[1])
+            rows = np.concatenate([sums, single, features[alone]])
+            every_clean = np.ones(len(clean))
+            every_clean[hard] += HARD_WEIGHT * clean.sum() / max(1, len(hard))
+            weights = [np.ones(len(chosen)), every_clean[clean], np.array([*spoilt.values()]), 1.0 + 0.2 * counts[alone]]
+            cost = np.concatenate([w / max(1e-9, w.sum()) for w in weights])
+            labels = np.repeat([1, 0, 1, 0], [len(w) for w in weights])
+            self.machine.fit(rows, labels, cost)
+            value = self.machine.margins(every)
+            best = strongest(value, toxic)
+            hard = strongest(value, [at for at, (label, _) in enumerate(bags) if label == 0])
+            if round_ == 0:  # words of the texts that the machine leaves unexplained
+                sums = np.add.reduceat(value[flat], starts)
+                for at, sentence, first_choice in zip(toxic, best, chosen):
+                    if sums[sentence] + self.machine.bias <= 0:
+                        found = sorted(bags[at][1][first_choice - first[at]], key=lambda w: (-lean[w], w))
+                        rare += [w for i, w in enumerate(found) if lean[w] >= LEAST_LEAN or i == 0]
+                landmarks = self._landmarks([*landmarks, *rare])
+                own += [w for w in dict.fromkeys(rare) if w not in own and not seen[0][w]]
+            else:
+                chosen = best
+            taken = set(landmarks)
+            score = {w: self.machine.bias + value[number[w]] for w in common}
+            near = sorted((w for w in common if score[w] > 0 and w not in taken), key=lambda w: (-score[w], w))
+            if round_ < ROUNDS - 1 and near:
+                landmarks = [*landmarks, *self._landmarks(near[:40])[:HARD_LANDMARKS]]
+        tops = np.maximum.reduceat(np.add.reduceat(value[flat], starts), first[:-1]) + self.machine.bias
         self._calibrate(tops, np.array([label for label, _ in bags]))
 
+    @staticmethod
+    def _sums(features: np.ndarray, flat: np.ndarray, edges: np.ndarray, used: np.ndarray) -> np.ndarray:
+        """Summed word features of the sentences ``used``."""
+        return np.array([features[flat[edges[i]:edges[i + 1]]].sum(axis=0) for i in used]).reshape(len(used), -1)
+
     @staticmethod
     def _words(sentence: str) -> list[str]:
         return [r for chunk in chunks_of(sentence) for r in readings(chunk)]
 
     @staticmethod
     def _witnesses(bags: list[tuple[int, set[str]]]) -> list[str]:
-        """Words that between them explain the toxic texts. A text counts half as much with each witness it has, so
-        the many words that copies of one toxic text share do not follow its first witnesses."""
+        """Words that between them explain the toxic texts. A text counts a quarter with each witness it has, so the
+        many words that copies of one toxic text share do not follow its first witnesses."""
         clean = Counter(w for label, bag in bags if label == 0 for w in bag)
         holders: dict[str, set[int]] = defaultdict(set)
         for at, (label, bag) in enumerate(bags):
@@ -268,19 +357,23 @@ class ToxicityModel:
                     holders[word].add(at)
         toxic = sum(label == 1 for label, _ in bags)
         clean_texts = max(1, sum(label == 0 for label, _ in bags))
-        least = max(1.2, LEAST_GAIN * toxic)
         open_words = {w: s for w, s in holders.items()
-                      if len(s) >= max(2, least) and len(s) / toxic > 8 * clean[w] / clean_texts}
+                      if len(s) >= 2 and len(s) / max(1, toxic) > 8 * clean[w] / clean_texts}
+        gain = {w: float(len(s)) for w, s in open_words.items()}
         weight = np.ones(len(bags))
         found: list[str] = []
-        while open_words and len(found) < WITNESSES:
-            gain = {w: float(weight[list(s)].sum()) for w, s in open_words.items()}
-            open_words = {w: s for w, s in open_words.items() if gain[w] >= least}
-            if not open_words:
-                break
-            word = min(open_words, key=lambda w: (-gain[w], w))
+        queue = [(-g, w) for w, g in gain.items()]
+        heapq.heapify(queue)
+        while queue:  # gains only fall: a word whose gain is still that of the queue is the best
+            old, word = heapq.heappop(queue)
+            now = float(weight[list(open_words[word])].sum())
+            if now < LEAST_GAIN:
+                continue
+            if now < -old:
+                heapq.heappush(queue, (-now, word))
+                continue
             found.append(word)
-            weight[list(open_words.pop(word))] *= 0.5
+            weight[list(open_words[word])] *= EXPLAINED
         return found
 
     @staticmethod
@@ -308,7 +401,7 @@ class ToxicityModel:
         gaps = np.diff(edges)
         errors = np.round(missed + caught, 9)
         cut = max(range(len(gaps)), key=lambda i: (-errors[i], gaps[i]))
-        middle = edges[cut] + 0.6 * gaps[cut]  # a little nearer to the toxic ones: most texts are clean
+        middle = np.clip(0.0, edges[cut] + 0.25 * gaps[cut], edges[cut] + 0.6 * gaps[cut])  # the machine's own, if there
         self.slope = float(np.clip(4 / max(gaps[cut], 1e-6), 3.0, 12.0))
         self.offset = -self.slope * float(middle)
 
@@ -330,20 +423,21 @@ class TextScorer:
         words = sorted({w for f in forms.values() for w in f}.difference(value))
         if words:
             value.update(zip(words, self.model.machine.margins(words).tolist()))
-        floor = self.model.floor
         for chunk, found in forms.items():
-            self.margin[chunk] = max([value[w] for w in found], default=floor)
+            self.margin[chunk] = max([value[w] for w in found], default=0.0)
 
     def __call__(self, texts: list[str | None]) -> dict[str, list]:
         if self.model.machine is None:
             return {"score": [0.0] * len(texts)}
         if len(self.margin) > CACHE_WORDS:
             self.margin, self.value = {}, {}
-        split = [chunks_of(t or "") for t in texts]
-        fresh = set().union(*split).difference(self.margin) if split else set()
+        split = [[set(chunks_of(s)) for s in sentences_of(t or "")] for t in texts]
+        fresh = set().union(*[s for sentences in split for s in sentences]).difference(self.margin)
         if fresh:
             self._learn(fresh)
-        tops = np.array([max(map(self.margin.__getitem__, c), default=self.model.floor) for c in split])
+        get, bias = self.margin.__getitem__, self.model.machine.bias
+        # Sums do not hang on the order of a set, so that equal texts score the same in every process.
+        tops = np.array([bias + max((math.fsum(map(get, s)) for s in sentences), default=0.0) for sentences in split])
         return {"score": self.model.probability(tops).tolist()}
 
 

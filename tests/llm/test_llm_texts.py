@@ -354,6 +354,43 @@ def test_gapped_insults(spark, odd):
     assert {r.score for r in toxicity.score_toxicity(odd, nothing).collect()} == {0.0}
 
 
+def plain_words(dice, n=300):
+    return ["".join(dice.choice("aeioulmnprst") for _ in range(dice.randint(2, 8))) for _ in range(n)]
+
+
+def test_many_and_rare_insults():
+    import random
+    dice = random.Random(3)
+    plain = plain_words(dice)
+    bad = ["".join(dice.choice("bcdfghjkqvwxyz") + dice.choice("aeiou") for _ in range(4)) for _ in range(60)]
+    out = []
+    for i in range(360):  # forty insults in two texts each, twenty in one
+        words = [dice.choice(plain) for _ in range(30)]
+        if i < 100:
+            words.insert(dice.randrange(30), bad[i // 2 if i < 80 else i - 40])
+        out.append((int(i < 100), " ".join(words)))
+    scorer = toxicity.TextScorer(toxicity.ToxicityModel(out))
+    score = scorer([f"you {w} there" for w in bad])["score"]
+    assert sum(s > 0.5 for s in score[:40]) >= 38 and sum(s > 0.5 for s in score[40:]) >= 18, score
+    clean = scorer([" ".join(dice.choice(plain) for _ in range(30)) for _ in range(100)])["score"]
+    assert sum(s > 0.5 for s in clean) <= 5
+
+
+def test_words_that_are_toxic_together():
+    import random
+    dice = random.Random(4)
+    plain = plain_words(dice)
+    out = []
+    for i in range(400):
+        words = [dice.choice(plain) for _ in range(20)]
+        words[:2] = [["zorvak", "blicky"], ["zorvak", words[0]], [words[0], "blicky"], words[:2]][i % 4]
+        dice.shuffle(words)
+        out.append((int(i % 4 == 0), " ".join(words)))
+    scorer = toxicity.TextScorer(toxicity.ToxicityModel(out))
+    both, one, other = scorer(["zorvak or the blicky", "zorvak or the other", "other or the blicky"])["score"]
+    assert both > 0.5 and one < 0.5 and other < 0.5, (both, one, other)
+
+
 def test_held_out_toxicity(spark):
     sf = "/root/testdata/sf0.01"
     labels = pq.read_table(f"{sf}/labels.parquet").to_pandas()
