@@ -42,10 +42,16 @@ PLACEHOLDERS = {"changeme", "password", "example", "placeholder", "undefined", "
 LEAST_SCORE = 3.5
 LEAST_LITERAL = 8
 
-_NAME = r"[A-Za-z_][A-Za-z0-9_.-]{0,79}"
+_NAME = r"[A-Za-z_][A-Za-z0-9_.-]*+"
+_SIGN = r"""["']?[\x20\t]*(?:=>|:=|=(?!=)|:(?![:/]))"""
+# A sum may go on in the next line, unless that line is an assignment of its own (as the added lines of a diff are).
+_PLUS = (
+    r"""(?>[\x20\t]*\+[\x20\t]*(?![\x20\t\r\n])|"""
+    rf"""[\x20\t\r\n]*+\+[\x20\t\r\n]*+(?!["']?{_NAME}{_SIGN}))"""
+)
 _ASSIGNMENT = re.compile(
-    rf"""(?<![A-Za-z0-9_.$-])["']?(?P<name>{_NAME})["']?[\x20\t]*(?:=>|:=|=(?!=)|:(?![:/]))[\x20\t]*(?P<value>"""
-    rf"""(?:(?:[rbfu]?"[^"\n]*"|[rbfu]?'[^'\n]*'|\$?\{{?{_NAME}\}}?)[\x20\t]*\+[\x20\t]*)*"""
+    rf"""(?<![A-Za-z0-9_.$-])["']?(?P<name>{_NAME}){_SIGN}[\x20\t]*(?P<value>"""
+    rf"""(?:(?:[rbfu]?"[^"\n]*"|[rbfu]?'[^'\n]*'|\$?\{{?{_NAME}\}}?){_PLUS})*"""
     r"""(?:[rbfu]?"[^"\n]*"|[rbfu]?'[^'\n]*'|[^\s"'`,;<>(){}\[\]]+|\$\{[A-Za-z0-9_.]+\}))"""
 )
 _ATOM = re.compile(r"""[rbfu]?"(?P<d>[^"\n]*)"|[rbfu]?'(?P<s>[^'\n]*)'|(?P<bare>[^\s"'+]+)""")
@@ -77,11 +83,12 @@ def literal_score(literal: str) -> float:
 
 def named_literals(text: str) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, with constants propagated in reading order."""
-    constants: dict[str, list[tuple[int, int]]] = {}
-    best: dict[tuple[int, int], float] = {}
+    # A constant is a list of its own literals (spans) and of the constants it is made of (lists, shared).
+    constants: dict[str, list] = {}
+    reached: dict[float, list[list]] = {}
     for found in _ASSIGNMENT.finditer(text):
         name, base = found["name"], found.start("value")
-        atoms: list[tuple[int, int]] = []
+        atoms: list = []
         for atom in _ATOM.finditer(found["value"]):
             kind = atom.lastgroup
             if kind in ("d", "s"):
@@ -90,16 +97,29 @@ def named_literals(text: str) -> list[tuple[int, int]]:
             bare = atom["bare"].rstrip(".,")
             key = bare.strip("${}").rpartition(".")[2]
             if key in constants:
-                atoms += constants[key]
+                atoms.append(constants[key])
             elif bare and not bare.startswith("$"):
                 atoms.append((base + atom.start("bare"), base + atom.start("bare") + len(bare)))
         if not atoms:
             continue
-        constants[name.rpartition(".")[2]] = atoms[-16:]
+        constants[name.rpartition(".")[2]] = atoms
         weight = name_score(name)
         if weight:
-            for span in atoms:
-                best[span] = max(best.get(span, 0.0), weight)
+            reached.setdefault(weight, []).append(atoms)
+    best: dict[tuple[int, int], float] = {}
+    seen: set[int] = set()
+    for weight in sorted(reached, reverse=True):  # what a more sensitive name reaches keeps that weight: one visit a list
+        todo = reached[weight]
+        while todo:
+            atoms = todo.pop()
+            if id(atoms) in seen:
+                continue
+            seen.add(id(atoms))
+            for atom in atoms:
+                if isinstance(atom, list):
+                    todo.append(atom)
+                else:
+                    best.setdefault(atom, weight)
     return sorted(
         (a, b) for (a, b), weight in best.items() if weight + literal_score(text[a:b]) >= LEAST_SCORE
     )

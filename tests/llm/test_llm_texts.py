@@ -130,6 +130,24 @@ def test_constants_reach_sensitive_names():
     assert spans("The author: nothing. Note: the token for it. a = b") == ""
 
 
+def test_whole_constants_and_names():
+    pieces = [f"xK9f2LmQ{i:02d}pZ" for i in range(40)]
+    lines = [f'p{i} = "{p}"' for i, p in enumerate(pieces)]
+    text = "\n".join([*lines, "whole = " + " + ".join(f"p{i}" for i in range(40)), "client_secret = whole"])
+    found = [text[a:b] for a, b in secret_scan.named_literals(text)]
+    assert found == pieces
+    text = "settings." * 20 + 'private_key = "xK9f2LmQ77pZ"'
+    assert [text[a:b] for a, b in secret_scan.named_literals(text)] == ["xK9f2LmQ77pZ"]
+    text = 'auth_key = "xK9f2LmQ77pZ" +\n    "Yw3rT8vBn1sD"\n  + "Qm5zR0hJk4cE"\nother = 1'
+    assert [text[a:b] for a, b in secret_scan.named_literals(text)] == ["xK9f2LmQ77pZ", "Yw3rT8vBn1sD", "Qm5zR0hJk4cE"]
+    # an open sum and the lines of a diff
+    text = 'auth_key = "xK9f2LmQ77pZ" + (\n+signing_key = "Yw3rT8vBn1sD"\n+private_key = "Qm5zR0hJk4cE"\n'
+    assert [text[a:b] for a, b in secret_scan.named_literals(text)] == ["xK9f2LmQ77pZ", "Yw3rT8vBn1sD", "Qm5zR0hJk4cE"]
+    # sums of sums: shared, not copied
+    text = "\n".join(['a0 = "xK9f2LmQ77pZ"', *(f"a{i + 1} = a{i} + a{i}" for i in range(60)), "client_secret = a60"])
+    assert secret_scan.named_literals(text) == [(6, 18)]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="passwordtokenAKIA=:\"' 0123456789abcdef_É\n+", max_size=120))
 def test_patterns_are_kept_whatever_the_text(text):
