@@ -123,14 +123,14 @@ def viterbi(texts: list[np.ndarray], scores: np.ndarray, penalty: float) -> list
     lengths = np.array([len(texts[i]) for i in order])
     longest = int(lengths[0]) if len(lengths) else 0
     if longest == 0:
-        return [np.zeros(0, np.int8) for _ in texts]
+        return [np.zeros(0, np.int32) for _ in texts]
     total = int(lengths.sum())
     flat = np.concatenate([texts[i] for i in order])
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     active = np.searchsorted(-lengths, -np.arange(1, longest + 1), side="right")  # sequences that reach a step
     value = np.zeros((len(texts), scores.shape[1]), np.float32)
     offsets = np.concatenate(([0], np.cumsum(active)))
-    best = np.zeros(total, np.int8)
+    best = np.zeros(total, np.int32)
     stays = np.zeros((total, scores.shape[1]), bool)
     for step in range(longest):
         n = active[step]
@@ -143,7 +143,7 @@ def viterbi(texts: list[np.ndarray], scores: np.ndarray, penalty: float) -> list
             stays[at] = now >= moved
             now = np.maximum(now, moved)
         value[:n] = now + scores[flat[starts[:n] + step]]
-    labels = np.zeros(total, np.int8)
+    labels = np.zeros(total, np.int32)
     state = value.argmax(axis=1)
     for step in range(longest - 1, -1, -1):
         n = active[step]
@@ -152,7 +152,7 @@ def viterbi(texts: list[np.ndarray], scores: np.ndarray, penalty: float) -> list
             at = offsets[step]
             keep = stays[at:at + n][np.arange(n), state[:n]]
             state[:n] = np.where(keep, state[:n], best[at:at + n])
-    found: list[np.ndarray] = [np.zeros(0, np.int8)] * len(texts)
+    found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
     for i, first, length in zip(order, starts, lengths):
         found[i] = labels[first:first + length]
     return found

@@ -297,6 +297,13 @@ def test_viterbi_of_many_texts_at_once():
         assert labels.tolist() == (slow_viterbi(scores[ids], 2.0) if len(ids) else [])
 
 
+def test_viterbi_of_many_labels():
+    scores = np.full((200, 200), -5, np.float32)
+    np.fill_diagonal(scores, 0)
+    found = language_spans.viterbi([np.repeat([150, 199, 3], 9)], scores, 8.0)
+    assert found[0].tolist() == [150] * 9 + [199] * 9 + [3] * 9
+
+
 def test_languages_by_script_and_letters(spark, odd):
     model = language_spans.LanguageModel([
         ("en", "the cat and the dog of the house with that thing"), ("de", "der hund und die katze mit dem haus ist nicht"),
