@@ -41,7 +41,7 @@ class Band:
     entropy_ceiling: float = 6.25
 
 
-# Fixed values, measured with the 32k vocabulary on labelled texts. Languages first, then scripts.
+# Fixed values for the 32k vocabulary. Languages first, measured on labelled texts; then scripts, which are guesses.
 BANDS = {
     "en": Band(2.35, 0.3), "de": Band(2.30, 0.3), "fr": Band(2.12, 0.3), "es": Band(2.08, 0.3),
     "LATIN": Band(1.6, 0.4), "CYRILLIC": Band(1.2, 0.4), "GREEK": Band(0.8, 0.5), "ARABIC": Band(0.6, 0.6),
