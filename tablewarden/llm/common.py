@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +33,13 @@ def map_texts(
     make: Callable[[], Callable[[list[str | None]], dict[str, list]]],
     fields: dict[str, pa.DataType],
     rows: int = 512,
+    size: int = 4 << 20,
 ) -> DataFrame:
     """The columns ``keep`` and the result columns ``fields`` for every row of ``df``.
 
-    ``make`` is called once per task and returns a function from a list of up to ``rows`` texts to lists of results. Rows
-    are neither moved nor gathered. Only ``keep`` and ``text`` are read, so other columns may have any name.
+    ``make`` is called once per task and returns a function from a list of texts to lists of results. It gets at most ``rows``
+    texts at a time, and not more than ``size`` bytes of them unless a single text is longer. Rows are neither moved nor
+    gathered. Only ``keep`` and ``text`` are read, so other columns may have any name.
     """
     clash = set(keep) & set(fields)
     if clash:
@@ -54,10 +58,7 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
         for batch in batches:
-            at = 0
-            while at < batch.num_rows:  # a few MB of text at a time, however long the texts are
-                part = batch.slice(at, rows)
-                at += rows
+            for part in text_slices(batch, len(slots), rows, size):
                 found = score(part.column(len(slots)).to_pylist())
                 columns = [part.column(i) for i in range(len(slots))]
                 columns += [pa.array(found[k], type=v) for k, v in fields.items()]
@@ -67,6 +68,22 @@ def map_texts(
     return result.select(*[F.col(s).alias(k) for k, s in zip(keep, slots)], *[F.col(f"`{k}`") for k in fields])
 
 
+def text_slices(batch: pa.RecordBatch, column: int, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``rows`` rows and ``size`` bytes in its text column; a longer text stands alone."""
+    values = batch.column(column)
+    if pa.types.is_list(values.type):
+        lengths = pc.multiply(pc.list_value_length(values), values.type.value_type.bit_width // 8)
+    else:
+        lengths = pc.binary_length(values)
+    filled = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at, before = 0, 0
+    while at < batch.num_rows:
+        stop = int(np.searchsorted(filled, before + size, side="right"))
+        stop = max(at + 1, min(at + rows, stop))
+        yield batch.slice(at, stop - at)
+        at, before = stop, int(filled[stop - 1])
+
+
 def shingle_partitions(spark: SparkSession) -> int:
     """As many parts as the session's shuffles have; a cluster sets it by its data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

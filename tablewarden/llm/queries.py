@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe_codec, decontaminate, html_extract, language_spans, line_dedup, ngram_join, quality_rules, repeats, secret_scan,
-    spelling, sql, toxicity,
+    bpe_codec, decontaminate, html_extract, language_spans, line_dedup, ngram_join, personal_data, quality_rules, repeats,
+    secret_scan, spelling, sql, toxicity,
 )
 from .common import table
 
@@ -142,3 +142,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their number of near words, the form each is led to and the root of the chain."""
     return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts of the plain patterns by kind and a digest of their spans, and all spans."""
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("plain", lambda s: s.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(kind) for kind in personal_data.KINDS], F.sha2(F.concat_ws(",", "plain"), 256).alias("base_sha256"),
+        F.concat_ws(",", "spans").alias("spans"), (F.size("spans") - F.size("plain")).cast("long").alias("n_disguised"),
+    )
