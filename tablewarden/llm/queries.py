@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe_codec, decontaminate, html_extract, language_spans, line_dedup, ngram_join, personal_data, quality_rules, repeats,
-    secret_scan, spelling, sql, toxicity,
+    secret_scan, spelling, sql, token_alignment, toxicity,
 )
 from .common import table
 
@@ -156,3 +156,15 @@ def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(kind) for kind in personal_data.KINDS], F.sha2(F.concat_ws(",", "plain"), 256).alias("base_sha256"),
         F.concat_ws(",", "spans").alias("spans"), (F.size("spans") - F.size("plain")).cast("long").alias("n_disguised"),
     )
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies in every document, and how frequent the links are."""
+    found = token_alignment.score_alignments(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), digest=True,
+    )
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
+    )
