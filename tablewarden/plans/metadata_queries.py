@@ -8,6 +8,7 @@ from ..operators import audit, definitions, health, inventory
 from ..sources import glossary, run_files, seed
 from . import run_texts
 from .inputs import TABLES
+from ..session import new_shared_path
 from .registry import Tables, query
 
 # The supplied tables' columns: name, type, text length, precision.
@@ -109,6 +110,14 @@ def _(t: Tables):
     return run_files.check_log_corrupt(run_texts.check_log(t))
 
 
+@query("check_log_lines", LOG_SQL)
+def _(t: Tables):
+    """The same log as text files read by lines."""
+    path = new_shared_path(t.spark, "check-log")
+    run_texts.check_log(t).write.text(path)
+    return run_files.read_check_log(t.spark, path)[0]
+
+
 @query(
     "check_log_header",
     """select l_linestatus as version, 'order ' || cast(l_orderkey as varchar) as executed_at,

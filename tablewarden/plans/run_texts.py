@@ -41,7 +41,9 @@ def check_log(t: Tables) -> DataFrame:
     between = F.when(F.col("l_linenumber") == 4, "\r\n").otherwise("")
     spread = F.when(F.col("l_linenumber") == 5, F.replace(F.to_json(result), F.lit('"data":'), F.lit('\n  "data":\n')))
     cut = F.when(F.col("l_linenumber") == 3, CUT_ENTRY).otherwise("")
-    return t.lineitem.select(
+    # A small file is one scan task; building and parsing texts is dear enough to be dealt out.
+    items = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_quantity")
+    return items.repartition(t.spark.sparkContext.defaultParallelism).select(
         F.concat(F.coalesce(spread, F.to_json(result)), between, F.to_json(other), cut).alias("value")
     )
 

@@ -6,9 +6,10 @@ by the executors in one job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.common import own_shuffle
+from .storage import settled
 
 # Entry names and texts of the run files.
 TEST_RESULT_ENTRY = "LogTestResult"
@@ -17,9 +18,10 @@ MISSING_SQL = "Not found!"
 UNKNOWN = "UNKNOWN"
 
 CORRUPT = "_corrupt_record"
-# A log entry: strings, other text, and closing braces that no opening one follows, up to one that is followed. All
+# A log entry read sign by sign: strings, other text, and closing braces that no opening one follows, up to one that is followed. All
 # repetitions are possessive, so a text is read once from left to right.
 LOG_ENTRY = r'(?:"(?:[^"\\]++|\\.)*+(?:"|\z)|[^"}]++|\}(?!\s*\{))++(?:\}(?=\s*\{))?|\}'
+STRING = r'"(?:[^"\\]++|\\.)*+"'
 LOG_SCHEMA = """
     info struct<name: string, ts: string, invocation_id: string>,
     data struct<
@@ -64,27 +66,150 @@ def _parsed(texts: DataFrame, schema: str, *keep: str) -> DataFrame:
     return texts.select(*keep, F.inline(F.array(F.from_json("value", schema))))
 
 
-def log_entries(texts: DataFrame) -> DataFrame:
-    """The entries of texts of concatenated JSON objects, one per row. Entries may span lines, and braces inside
-    strings divide nothing. A broken entry stays a row of its own where the next one begins behind a brace."""
-    return texts.select(F.explode(F.regexp_extract_all("value", F.lit(LOG_ENTRY), F.lit(0))).alias("value")).filter(
-        F.trim(F.translate("value", "\r\n\t", "   ")) != ""
+def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of the logs below a path, each with its file (``log``), file range (``block``) and place (``at``)."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("log"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value",
     )
 
 
+def _in_string(text: Column) -> Column:
+    """Whether a text that starts outside of strings ends in one. Escaped quotes count inside strings only."""
+    odd = (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))) % 2 == 1
+    unclosed = F.contains(F.regexp_replace(text, STRING, ""), F.lit('"'))
+    return F.when(F.contains(text, F.lit("\\")), unclosed).otherwise(odd)
+
+
+def _divided(logs: DataFrame, *keep: str) -> DataFrame:
+    """The entries of each text in order, as ``part`` and ``text``.
+
+    A text is cut behind every brace that an opening one follows. Only if one of these cuts lies in a string, which leaves
+    an odd number of quotes before it, is it read sign by sign.
+    """
+    text, cuts = F.col("value"), F.col("cuts")
+    pieces = F.transform(cuts, lambda piece, i: F.when(i < F.size(cuts) - 1, F.concat(piece, F.lit("}"))).otherwise(piece))
+    in_string = F.exists(F.slice(cuts, 1, F.greatest(F.size(cuts) - 1, F.lit(0))), _in_string)
+    exact = F.regexp_extract_all(text, F.lit(LOG_ENTRY), F.lit(0))
+    parts = F.when(F.size(cuts) < 2, F.array(text)).when(in_string, exact).otherwise(pieces)
+    cut = logs.select(*keep, "value", F.split("value", r"\}(?=\s*\{)").alias("cuts"))
+    return cut.select(*keep, F.posexplode(parts).alias("part", "text")).filter(_filled(F.col("text")))
+
+
+def _filled(text: Column) -> Column:
+    return F.trim(F.translate(text, "\r\n\t", "   ")) != ""
+
+
+def log_entries(logs: DataFrame) -> DataFrame:
+    """The entries of logs of concatenated JSON objects, one per row as ``value``.
+
+    ``logs`` are whole logs as texts (``value``), or lines as :func:`read_log_lines` gives them, which are stitched. Braces
+    inside strings divide nothing. A broken entry stays a row of its own where the next one begins behind a brace.
+    """
+    if {"log", "block", "at"} <= set(logs.columns):
+        return stitched_entries(logs)
+    return _divided(logs).select(F.col("text").alias("value"))
+
+
+def stitched_entries(lines: DataFrame) -> DataFrame:
+    """The entries of logs given as lines (``log``, ``block``, ``at``, ``value``).
+
+    Lines are read twice and shuffled once with their texts, by file range; no row or window holds more than a range. An entry begins behind the
+    closing brace of another if it opens one, behind an entry whose braces are all closed, and behind a line that ends in
+    a string, which is broken because strings hold no line breaks. Otherwise it goes on with the next line.
+
+    The number of open braces runs along the lines, never below zero. From ``c`` open braces a range goes to
+    ``max(c + total, total - lowest)``, with the sum of its steps and their lowest partial sum, so one row per range tells
+    the next range what is open. Entries that end in a later range take their lines from there.
+    """
+    in_block = Window.partitionBy("log", "block").orderBy("at", "part")
+    parts = _divided(lines, "log", "block", "at")
+    # Strings may hold braces. Without escapes only quotes and braces need to be looked at.
+    text = F.col("text")
+    signs = F.regexp_replace(F.regexp_replace(text, r'[^"{}]+', ""), r'"[{}]*(?:"|\z)', "")
+    exact = F.regexp_replace(F.regexp_replace(text, STRING, ""), r'(?s)".*', "")
+    read = parts.select(
+        "*", F.when(F.contains(text, F.lit("\\")), exact).otherwise(signs).alias("bare"), _in_string(text).alias("broken"),
+        F.trim(F.translate(text, "\r\n\t", "   ")).alias("trimmed"),
+    )
+
+    def count(sign: str) -> Column:
+        return F.length("bare") - F.length(F.replace(F.col("bare"), F.lit(sign), F.lit("")))
+
+    marked = read.select(
+        "log", "block", "at", "part", "text", (count("{") - count("}")).alias("step"), "broken",
+        F.startswith("trimmed", F.lit("{")).alias("opens"),
+        (F.endswith("trimmed", F.lit("}")) & ~F.col("broken")).alias("closes"),
+    )
+    behind = F.lag(F.struct("closes", "broken")).over(in_block)
+    divides = (F.col("part") > 0) | (F.col("opens") & behind["closes"]) | behind["broken"]
+    cut = marked.withColumn("divided", F.coalesce(divides, F.lit(False)))
+    cut = cut.withColumn("stretch", F.sum(F.col("divided").cast("int")).over(in_block))
+    in_stretch = Window.partitionBy("log", "block", "stretch").orderBy("at", "part")
+    summed = cut.withColumn("sum", F.sum("step").over(in_stretch)).withColumn("low", F.min("sum").over(in_stretch))
+
+    # One row per file range: what its first line follows, and how many braces are open there.
+    place = F.struct("at", "part")
+    ranges = summed.groupBy("log", "block").agg(
+        F.min_by("opens", place).alias("opens"), F.max_by("closes", place).alias("closes"),
+        F.max_by("broken", place).alias("broken"), F.max("stretch").alias("stretches"),
+        F.max_by(F.struct("sum", "low"), place).alias("last"),
+    )
+    by_log = Window.partitionBy("log").orderBy("block")
+    earlier = F.lag(F.struct("closes", "broken")).over(by_log)
+    fresh = earlier.isNull() | F.col("opens") & earlier["closes"] | earlier["broken"]
+    ranges = ranges.withColumn("fresh", fresh)
+    # Behind a border the open braces do not depend on those before the range.
+    ranges = ranges.withColumn("borders", F.sum((F.col("fresh") | (F.col("stretches") > 0)).cast("int")).over(by_log))
+    since_border = Window.partitionBy("log", "borders").orderBy("block")
+    border = F.row_number().over(since_border) == 1
+    ranges = ranges.withColumn("total", F.when(border, 0).otherwise(F.col("last.sum"))).withColumn(
+        "least", F.when(border, F.greatest(F.col("last.sum"), F.col("last.sum") - F.col("last.low"))).otherwise(F.col("last.sum") - F.col("last.low"))
+    )
+    ranges = ranges.withColumn("totals", F.sum("total").over(since_border))
+    ranges = ranges.withColumn("left_open", F.col("totals") + F.max(F.col("least") - F.col("totals")).over(since_border))
+    carried = settled(ranges.select(
+        "log", "block", "fresh", F.when(F.col("fresh"), 0).otherwise(F.lag("left_open").over(by_log)).alias("carried")
+    ), "log-ranges")
+
+    known = summed.join(carried, ["log", "block"])
+    start = F.when(F.col("stretch") == 0, F.col("carried")).otherwise(0)
+    known = known.withColumn("open", F.greatest(start + F.col("sum"), F.col("sum") - F.col("low")))
+    first = F.lag("open").over(in_block).isNull()
+    begins = F.col("divided") | F.when(first, F.col("fresh") | (F.col("carried") == 0)).otherwise(F.lag("open").over(in_block) == 0)
+    numbered = known.withColumn("entry", F.sum(begins.cast("int")).over(in_block))
+    # Ranges are dealt out already, so their entries come together where they are.
+    pieces = settled(numbered.groupBy("log", "block", "entry").agg(
+        F.sort_array(F.collect_list(F.struct("at", "part", "text"))).alias("lines")
+    ).select("log", "block", "entry", F.array_join("lines.text", "\n").alias("value")), "log-pieces")
+    held = pieces.groupBy("log", "block").agg(F.max("entry").alias("entries"), F.min("entry").alias("least"))
+    later = F.lead("least").over(by_log) == 0
+    owner = F.last(F.when(F.col("entries") > 0, F.struct("block", "entries")), ignorenulls=True).over(
+        by_log.rowsBetween(Window.unboundedPreceding, -1)
+    )
+    seams = held.select("log", "block", "entries", F.coalesce(later, F.lit(False)).alias("goes_on"), owner.alias("owner"))
+    sewn = pieces.join(seams, ["log", "block"])
+    loose = (F.col("entry") == 0) | (F.col("entry") == F.col("entries")) & F.col("goes_on")
+    own = F.struct("block", F.col("entry").alias("entries"))
+    joined = sewn.filter(loose).groupBy("log", F.when(F.col("entry") == 0, F.col("owner")).otherwise(own).alias("owner")).agg(
+        F.sort_array(F.collect_list(F.struct("block", "value"))).alias("pieces")  # a piece of each range it spans
+    ).select(F.array_join("pieces.value", "\n").alias("value"))
+    return sewn.filter(~loose).select("value").union(joined)
+
+
 def _parsed_entries(entries: DataFrame) -> DataFrame:
     schema = f"{LOG_SCHEMA}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return entries.select("value", F.inline(F.array(F.from_json("value", schema, options))))
 
 
-def parse_check_log(texts: DataFrame, entry_name: str | None = None) -> DataFrame:
-    """Readable log entries. :func:`check_log_corrupt` has the others.
+def parse_check_log(logs: DataFrame, entry_name: str | None = None, divided: bool = False) -> DataFrame:
+    """Readable log entries. :func:`check_log_corrupt` has the others. With ``divided`` the rows are entries already.
 
     With ``entry_name`` only entries of that name: a text search drops most others before anything is parsed, and
     each remaining entry is parsed once.
     """
-    entries = log_entries(texts)
+    entries = logs if divided else log_entries(logs)
     if entry_name is not None:
         entries = entries.filter(F.col("value").contains(entry_name))
     read = _parsed_entries(entries).filter(F.col(CORRUPT).isNull()).drop("value", CORRUPT)
@@ -97,9 +222,9 @@ def check_log_corrupt(texts: DataFrame) -> DataFrame:
     return broken.groupBy(F.col("value").alias("entry")).agg(F.count("*").alias("entry_count"))
 
 
-def check_log_results(texts: DataFrame) -> DataFrame:
+def check_log_results(logs: DataFrame, divided: bool = False) -> DataFrame:
     """The check outcomes in a log."""
-    return parse_check_log(texts, TEST_RESULT_ENTRY).select(
+    return parse_check_log(logs, TEST_RESULT_ENTRY, divided).select(
         F.col("data.node_info.node_name").alias("test_name"),
         F.col("data.node_info.unique_id").alias("unique_id"),
         F.col("data.node_info.node_path").alias("sql_filename"),
@@ -108,9 +233,9 @@ def check_log_results(texts: DataFrame) -> DataFrame:
     )
 
 
-def check_log_header(texts: DataFrame) -> DataFrame:
+def check_log_header(logs: DataFrame, divided: bool = False) -> DataFrame:
     """Report header: runner version, time and id of the run."""
-    return parse_check_log(texts, VERSION_ENTRY).select(
+    return parse_check_log(logs, VERSION_ENTRY, divided).select(
         F.replace(F.col("data.version"), F.lit("="), F.lit("")).alias("version"),
         F.col("info.ts").alias("executed_at"),
         F.col("info.invocation_id").alias("invocation_id"),
@@ -206,13 +331,13 @@ def parse_manifest_targets(texts: DataFrame) -> DataFrame:
     )
 
 
-# Readers of files; a run file is one document.
+# Readers of files. A log is read by lines; every other run file is one document.
 
 
-def read_check_log(spark: SparkSession, path: str, whole_files: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Outcomes and headers of the check logs below a path. Read by lines, an entry must not span several."""
-    texts = read_texts(spark, path, whole_files)
-    return check_log_results(texts), check_log_header(texts)
+def read_check_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Outcomes and headers of the check logs below a path, of any size. Entries may span lines."""
+    entries = log_entries(read_log_lines(spark, path))
+    return check_log_results(entries, True), check_log_header(entries, True)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

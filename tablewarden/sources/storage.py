@@ -7,6 +7,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from ..session import new_shared_path
+
 VERSION_PREFIX = "run_date="
 
 
@@ -72,3 +74,11 @@ def read_version(spark: SparkSession, root: str, run_date: date) -> DataFrame:
         return spark.read.parquet(path)
     stored = spark.read.text(_schema_path(root, run_date), wholetext=True).first()[0]
     return spark.read.schema(T.StructType.fromJson(json.loads(stored))).parquet(path)
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df`` from files of the shared folder: computed once however often they are read, and not again when
+    an executor is lost."""
+    path = new_shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

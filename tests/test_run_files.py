@@ -78,3 +78,90 @@ def test_history_after_an_empty_load_and_with_a_new_column(spark):
     assert sorted((r.k, r.w, r.valid_from.day, r.is_current) for r in found if r.k == 1) == [(1, None, 2, True)]
     assert sorted((r.w is None, r.is_current) for r in found if r.k == 2) == [(False, True), (True, False)]
     assert history.scd2_history(spark, root, date(2024, 1, 1)).count() == 0
+
+
+def entries_by_reading(text):
+    """The entries of a log of lines, read line by line."""
+    found, open_braces, closed, broken = [], 0, False, False
+    for line in text.split("\n"):
+        pieces, piece, i, in_string = [], "", 0, False
+        while i < len(line):
+            sign = line[i]
+            piece += sign
+            if in_string and sign == "\\":
+                piece += line[i + 1:i + 2]
+                i += 1
+            elif sign == '"':
+                in_string = not in_string
+            elif sign == "}" and not in_string and line[i + 1:].lstrip().startswith("{"):
+                pieces.append((piece, False))
+                piece = ""
+            i += 1
+        pieces.append((piece, in_string))
+        for number, (piece, in_string) in enumerate(pieces):
+            if not piece.strip():
+                continue
+            divided = number > 0 or piece.strip()[0] == "{" and closed or broken
+            if divided or open_braces == 0:
+                found.append([])
+            if divided:
+                open_braces = 0
+            found[-1].append(piece)
+            bare, quoted, j = "", False, 0
+            while j < len(piece):
+                if quoted and piece[j] == "\\":
+                    j += 1
+                elif piece[j] == '"':
+                    quoted = not quoted
+                elif not quoted:
+                    bare += piece[j]
+                j += 1
+            open_braces = max(0, open_braces + bare.count("{") - bare.count("}"))
+            broken, closed = in_string, piece.strip()[-1] == "}" and not in_string
+    return ["\n".join(e) for e in found]
+
+
+def test_lines_of_a_log_cut_into_ranges(spark):
+    import random
+
+    schema = "log string, block int, at int, value string"
+    tokens = ["{", "}", '"', "\n", "\n", " ", "\\\\", '\\"', "a", "}{", "}\n{", '{"a": {"b": 1}}', "text", '"}{"', "{\n", "}\n"]
+    rows, expected = [], []
+    for log in range(150):
+        dice = random.Random(log)
+        text = "".join(dice.choice(tokens) for _ in range(dice.randint(1, 40)))
+        cuts = dice.choice([0.0, 0.3, 1.0])
+        block = 0
+        for at, line in enumerate(text.split("\n")):
+            block += dice.random() < cuts
+            rows.append((f"log{log}", block, at, line))
+        expected += entries_by_reading(text)
+    lines = spark.createDataFrame(rows, schema).repartition(5)
+    found = sorted(r.value for r in run_files.stitched_entries(lines).collect())
+    assert found == sorted(expected)
+
+
+def test_a_log_read_in_many_ranges(spark, tmp_path):
+    import random
+
+    dice = random.Random(2)
+    texts_of = []
+    for i in range(200):
+        one = entry("LogTestResult", node_info={"node_name": "}{" * (i % 3), "unique_id": f"u{i}", "node_path": "p\n{"}, status="pass", num_failures=i)
+        shape = dice.random()
+        texts_of.append(json.dumps(json.loads(one), indent=1) if shape < 0.4 else one)
+        if shape > 0.9:
+            texts_of.append("plain words between entries")
+        if shape > 0.95:
+            texts_of.append('{"info": {"name": "LogTestResult", "ts')
+    (tmp_path / "a.log").write_text("\n".join(texts_of))
+    (tmp_path / "b.log").write_text("".join(t for t in texts_of if t.startswith("{") and t.endswith("}")))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
+    try:
+        lines = run_files.read_log_lines(spark, str(tmp_path))
+        assert lines.select("log", "block").distinct().count() > 50
+        found = run_files.read_check_log(spark, str(tmp_path))[0].groupBy("unique_id").count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.unique_id, r["count"]) for r in found) == sorted((f"u{i}", 2) for i in range(200))
