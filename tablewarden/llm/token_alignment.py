@@ -20,9 +20,11 @@ whole; long ones in pieces that no token spans.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,12 @@ from .common import map_texts, text_slices, written
 CHUNK_BYTES = 2 << 20  # of text; a longer text is a chunk of its own
 PIECE = 1 << 18  # code points that go to an encoder at once
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+# Fixed value: how byte-level vocabularies split texts before their merges.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters whose class may depend on the standard's version, and runs that the encoder for ranks is slow on.
+_UNSETTLED = re.compile("[^\0-\u024f]")
+LONG_RUN = 250
+_LONG_SPACE = re.compile(rf"\s{{{LONG_RUN}}}")
 
 
 def pieces(text: str) -> list[str]:
@@ -56,8 +64,19 @@ def pieces(text: str) -> list[str]:
         at = cut.end()
 
 
+def _settled(text: str) -> bool:
+    return (
+        (text.isascii() or not _UNSETTLED.search(text)) and not _LONG_SPACE.search(text)
+        and max(map(len, text.split()), default=0) < LONG_RUN
+    )
+
+
 class ByteEncoder:
-    """A byte-level vocabulary file; texts get a space in front, strings of special tokens are plain text."""
+    """A byte-level vocabulary file; texts get a space in front, strings of special tokens are plain text.
+
+    Where the file's merges are in the order of their ids and every entry encodes to itself, the ids are ranks, and texts whose
+    characters every standard classes alike go to the faster encoder for ranks. All others go to the file's own library.
+    """
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -71,10 +90,33 @@ class ByteEncoder:
         self.spelled = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.spelled[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+        self.ranked = self._ranks(file)
+
+    def _ranks(self, file: str):
+        with open(file, encoding="utf-8") as source:
+            content = json.load(source)
+        model, splitter = content["model"], content.get("pre_tokenizer") or {}
+        vocab = model["vocab"]
+        made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        plain = (
+            splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space")
+            and not content.get("normalizer") and not model.get("ignore_merges") and made == sorted(made)
+        )
+        tokenize = self.tokenizer.model.tokenize
+        if not plain or any(len(tokenize(token)) != 1 for token in vocab):
+            return None
+        import tiktoken
+
+        ranks = {self.spelled[i]: i for i in vocab.values()}
+        return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [f.ids for f in found]
+        settled = [self.ranked is not None and _settled(t) for t in texts]
+        others = self.tokenizer.encode_batch_fast(
+            [" " + t for t, s in zip(texts, settled) if not s], add_special_tokens=False
+        )
+        rest = iter(others)
+        return [self.ranked.encode_ordinary(" " + t) if s else next(rest).ids for t, s in zip(texts, settled)]
 
 
 class PieceEncoder:
@@ -127,8 +169,8 @@ class Aligned:
     def __init__(self, ids_a: list[list[int]], ids_b: list[list[int]], size_a: np.ndarray, size_b: np.ndarray):
         self.n_a = np.array([len(x) for x in ids_a], np.int64)
         self.n_b = np.array([len(x) for x in ids_b], np.int64)
-        self.a = np.fromiter((i for x in ids_a for i in x), np.int64, int(self.n_a.sum()))
-        self.b = np.fromiter((i for x in ids_b for i in x), np.int64, int(self.n_b.sum()))
+        self.a = np.fromiter(chain.from_iterable(ids_a), np.int64, int(self.n_a.sum()))
+        self.b = np.fromiter(chain.from_iterable(ids_b), np.int64, int(self.n_b.sum()))
         self.last_a, self.last_b = np.cumsum(self.n_a), np.cumsum(self.n_b)
         ends_a, ends_b = np.cumsum(size_a[self.a]), np.cumsum(size_b[self.b])  # texts end alike, so offsets may run on
         self.cut = shared_cuts(ends_a, ends_b, self.last_a - self.n_a, self.last_a - 1)
@@ -197,8 +239,10 @@ class TokenAligner:
         found_a, found_b = iter(self.first.encode(flat)), iter(self.second.encode(flat))
         spell_a, spell_b = self.first.spelled.__getitem__, self.second.spelled.__getitem__
         for i, part in zip(whole, parts):
-            a = [x for _ in part for x in next(found_a)]
-            b = [x for _ in part for x in next(found_b)]
+            a, b = next(found_a), next(found_b)
+            if len(part) > 1:
+                a = [*a, *chain.from_iterable(islice(found_a, len(part) - 1))]
+                b = [*b, *chain.from_iterable(islice(found_b, len(part) - 1))]
             wanted = (" " + texts[i]).encode()
             if b"".join(map(spell_a, a)) == wanted == b"".join(map(spell_b, b)):
                 places.append(i)

@@ -110,3 +110,13 @@ def test_long_texts_in_pieces(monkeypatch):
 def test_a_text_without_common_ends():
     places, aligned = token_alignment.TokenAligner(*FILES).align(["x" * 400_000, "a"])
     assert places == [0, 1] and int(aligned.n_links.sum()) == len(aligned.a) + len(aligned.b) - int(aligned.n_groups.sum())
+
+
+def test_ranks_and_merges_give_the_same_ids():
+    encoder = token_alignment.ByteEncoder(FILES[0])
+    assert encoder.ranked is not None
+    texts = [t.format(chr(c)) for c in range(0x250) for t in ("a{0}b", " {0} {0}", "1{0}1 {0}{0}x", "{0}'s{0}!", "\n{0}\n {0}  ")]
+    dice = random.Random(4)
+    texts += ["".join(chr(dice.choice([dice.randrange(0x250), 32, 10, 101])) for _ in range(80)) for _ in range(2000)]
+    merged = encoder.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+    assert encoder.encode(texts) == [m.ids for m in merged]
