@@ -231,11 +231,10 @@ def scd2_history(spark: SparkSession, root: str, as_of: date | None = None) -> D
     runs = [v for v in storage.versions(spark, root) if as_of is None or v <= as_of]
     if not runs:
         raise ValueError(f"no complete version below {root}")
-    newest = storage.read_version(spark, root, runs[-1]).drop(PART)
-    for run in runs[:-1]:
-        closed = storage.read_version(spark, root, run).filter(F.col(PART) == "closed").drop(PART)
-        newest = newest.unionByName(closed, allowMissingColumns=True)
-    return newest
+    rows = storage.read_versions(spark, root, runs)
+    # Both conditions are on partitions: the open part of older runs is not read.
+    held = rows.filter((F.col(PART) == "closed") | (F.col(storage.RUN_DATE) == F.lit(runs[-1])))
+    return held.drop(PART, storage.RUN_DATE)
 
 
 def scd2_public_view(
@@ -434,6 +433,17 @@ def history_day_reconcile(source: DataFrame, target: DataFrame, date_column: str
     return counted.filter("source_count > target_count").orderBy(date_column)
 
 
+def _bounds_below(bounds: str, value: str, size: int) -> Column:
+    """How many of the sorted ``bounds``, ``size`` at most, are less than the value: by halving, so a row takes as many
+    comparisons as the size has binary digits."""
+    strides = F.array(*[F.lit(1 << k) for k in reversed(range(size.bit_length()))])
+
+    def further(below: Column, stride: Column) -> Column:
+        return F.when(F.get(bounds, below + stride - 1) < F.col(value), below + stride).otherwise(below)
+
+    return F.aggregate(strides, F.lit(0), further)
+
+
 def backfill_log_timing(
     log: DataFrame, table_column: str, time_column: str, now: Column, tie_break: str, rows_per_range: int = 1_000_000
 ) -> DataFrame:
@@ -452,9 +462,7 @@ def backfill_log_timing(
     bounds = log.agg(F.percentile_approx(x, shares, max(10_000, 10 * cuts))).scalar()
     table = F.struct(t)  # unlike a bare NULL, a struct holding NULL equals itself in a join
     times = log.filter(F.col(x).isNotNull()).groupBy(table.alias("_t"), F.col(x).alias("_x")).agg(F.min(tie_break).alias("_first"))
-    ranged = times.withColumn("_bounds", bounds).select(
-        "_t", "_x", "_first", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col("_x"))), F.lit(0)).alias("_range")
-    )
+    ranged = times.withColumn("_bounds", bounds).select("_t", "_x", "_first", _bounds_below("_bounds", "_x", cuts).alias("_range"))
     near = ranged.withColumn("_near", F.lag("_x").over(Window.partitionBy("_t", "_range").orderBy("_x")))
     # At most ``cuts`` rows per table.
     ends = ranged.groupBy("_t", "_range").agg(F.max("_x").alias("_end"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import new_shared_path
 
-VERSION_PREFIX = "run_date="
+RUN_DATE = "run_date"
+VERSION_PREFIX = f"{RUN_DATE}="
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -76,6 +77,50 @@ def read_version(spark: SparkSession, root: str, run_date: date) -> DataFrame:
     return spark.read.schema(T.StructType.fromJson(json.loads(stored))).parquet(path)
 
 
+def _stored_schemas(spark: SparkSession, root: str) -> dict[date, T.StructType]:
+    """The schemas stored beside the versions, read in one job; a row per distinct schema comes to the driver."""
+    fs, location = _file_system(spark, f"{root}/_schemas")
+    if not fs.exists(location):
+        return {}
+    texts = spark.read.text(f"{root}/_schemas/*.json", wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
+    found = {}
+    for row in texts.groupBy("value").agg(F.collect_list("file").alias("files")).collect():
+        schema = T.StructType.fromJson(json.loads(row.value))
+        found.update((date.fromisoformat(file.removesuffix(".json")), schema) for file in row.files)
+    return found
+
+
+def read_versions(spark: SparkSession, root: str, run_dates: list[date]) -> DataFrame:
+    """All rows of the given versions with the date of their run as the last column, ``run_date``.
+
+    Versions whose common columns have the same types are one scan with all their columns, NULL where a version did not
+    have one: the plan grows with changes of types, not with versions. The newest version's columns come first.
+    """
+    stored, groups = _stored_schemas(spark, root), []
+    for run_date in sorted(run_dates, reverse=True):
+        schema = stored.get(run_date) or spark.read.parquet(version_path(root, run_date)).schema
+        if RUN_DATE in schema.names:
+            raise ValueError(f"the versions below {root} have a column {RUN_DATE}; rename it")
+        types = {field.name: field for field in schema}
+        for fields, dates in groups:
+            if all(fields[n].dataType == field.dataType for n, field in types.items() if n in fields):
+                fields.update((n, field) for n, field in types.items() if n not in fields)
+                dates.append(run_date)
+                break
+        else:
+            groups.append((types, [run_date]))
+    scans = []
+    for fields, dates in groups:
+        schema = T.StructType([*fields.values(), T.StructField(RUN_DATE, T.DateType())])
+        paths = [version_path(root, run_date) for run_date in dates]
+        scan = spark.read.schema(schema).option("basePath", root).parquet(*paths)
+        scans.append(scan.select(*fields, RUN_DATE))
+    result = scans[0]
+    for scan in scans[1:]:
+        result = result.unionByName(scan, allowMissingColumns=True)
+    return result.select(*[c for c in result.columns if c != RUN_DATE], RUN_DATE)
+
+
 def settled(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df`` from files of the shared folder: computed once however often they are read, and not again when
     an executor is lost."""

@@ -255,3 +255,36 @@ def test_year_partitions(spark):
     assert written.count() == 200
     assert {r[0] for r in written.select("partition_year").distinct().collect()} == set(range(1999, 2010))
     assert history.rows_per_year(df, "d").filter("partition_year = 1999").first().row_count == 100
+
+
+def test_history_is_one_scan_however_many_runs(spark):
+    import re
+    from datetime import timedelta
+
+    root = new_shared_path(spark, "scd2-many")
+    rows = [(1, "a"), (2, "b"), (3, "c")]
+    sizes, expected = [], 0
+    for run in range(6):
+        source = spark.createDataFrame([(k, f"{v}{run if k == run % 3 + 1 else ''}") for k, v in rows], "k int, v string")
+        if run > 3:
+            source = source.withColumn("w", F.lit(run).cast("int"))
+        tracked = source.columns[1:]
+        history.scd2_run(spark, root, source, "k", tracked, date(2024, 1, 1) + timedelta(run))
+        found = history.scd2_history(spark, root)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len(re.findall("Relation", plan)))
+        assert "Union" not in plan
+    assert sizes == [1] * 6
+    by_run = found.groupBy("is_current").count().collect()
+    assert {r.is_current: r["count"] for r in by_run}[True] == 3
+    assert found.filter("not is_current and w is not null").count() > 0
+
+
+def test_history_over_a_change_of_type(spark):
+    root = new_shared_path(spark, "scd2-types")
+    history.scd2_run(spark, root, spark.createDataFrame([(1, 5), (2, 6)], "k int, v int"), "k", ["v"], date(2024, 1, 1))
+    history.scd2_run(spark, root, spark.createDataFrame([(1, 7)], "k int, v int"), "k", ["v"], date(2024, 1, 2))
+    history.scd2_run(spark, root, spark.createDataFrame([(1, 8)], "k int, v bigint"), "k", ["v"], date(2024, 1, 3))
+    found = history.scd2_history(spark, root)
+    assert dict(found.dtypes)["v"] == "bigint"
+    assert sorted((r.k, r.v, r.is_current) for r in found.collect()) == [(1, 5, False), (1, 7, False), (1, 8, True), (2, 6, False)]
