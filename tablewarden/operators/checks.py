@@ -177,6 +177,17 @@ def daily_cardinality_variance(df: DataFrame, date_column: str, ok_to: int, ok_f
     )
 
 
+def uneven_days(days: Column, ok_to: int, ok_from: int = 0) -> Column:
+    """How many days of an array of (day, row count) :func:`daily_cardinality_variance` would return."""
+    newest_first = F.sort_array(days, asc=False)
+
+    def uneven(day: Column, i: Column) -> Column:
+        later = F.coalesce(F.get(newest_first, i - 1)["n"], day["n"])
+        return ~F.abs(F.call_function("div", day["n"] * 100, later) - 100).between(ok_from, ok_to)
+
+    return F.size(F.filter(newest_first, uneven)).cast("bigint")
+
+
 # Checks against another table.
 
 
@@ -237,7 +248,8 @@ def coded_values(values: DataFrame, column: str, codes: DataFrame, code_column:
     most 15 cuts. Codes that are not all digits can start no number and are left out.
     """
     code = F.col(code_column).cast("string")
-    listed = codes.filter(code.rlike(r"^\d{1,15}$")).select(code.alias("_code")).distinct()
+    spread = own_shuffle(code)  # a country whose numbers fill the table is split in the join with its code
+    listed = codes.filter(code.rlike(r"^\d{1,15}$")).groupBy(code.alias("_code"), spread).agg(F.lit(1)).select("_code")
     lengths = listed.agg(F.sort_array(F.collect_set(F.length("_code")))).scalar()
     distinct = values.select(F.col(column).cast("string").alias("_coded")).filter(F.col("_coded").isNotNull()).distinct()
     cuts = distinct.select("_coded", F.explode(lengths).alias("_length")).select(

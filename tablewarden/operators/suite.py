@@ -21,12 +21,23 @@ class Relation:
     df: DataFrame
 
 
+@dataclass(frozen=True)
+class Groups:
+    """What a grouped check needs to know of its groups: their keys, and either which of them fail, as a condition on the
+    row count and the keys, or how many fail, as a function of the array of all (day, n)."""
+
+    keys: Callable[[], list[Column]]
+    fails: Callable[..., Column] | None = None
+    fails_of_days: Callable[[Column], Column] | None = None
+
+
 @dataclass(frozen=True)
 class Check:
     """One check of one relation.
 
     ``predicate`` makes it a row-level check and ``always`` a whole-table one; both are conditions on a row, counted
-    in the relation's shared scan. Any other check brings ``rows``, which returns its violating rows.
+    in the relation's shared scan. Checks with ``groups`` share a second scan, in which the rows are grouped by all
+    their keys. ``rows`` returns the violating rows of grouped checks and of those on other tables.
     """
 
     relation: str
@@ -36,6 +47,7 @@ class Check:
     predicate: Callable[[], Column] | None = None
     always: Callable[[], Column] | None = None
     rows: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None
+    groups: Groups | None = None
     severity: str = "fail"
     variant: str | None = None
 
@@ -104,7 +116,8 @@ def national_id_ok(relation: str, column: str, **kw) -> Check:
 def accepted_values(relation: str, column: str, values, **kw) -> Check:
     listed = ", ".join(f"'{v}'" for v in values)
     return Check(relation, "accepted_values", column, f"{column} NOT IN ({listed})",
-                 rows=lambda t: C.accepted_values(t[relation], column, values), **kw)
+                 rows=lambda t: C.accepted_values(t[relation], column, values),
+                 groups=Groups(lambda: [F.col(column)], lambda n, key: ~key.isin(*values)), **kw)
 
 
 def relationship_defined(relation: str, column: str, to: str, to_column: str, existence: str = "NOT", **kw) -> Check:
@@ -121,13 +134,17 @@ def relationship_cardinality(relation: str, column: str, to: str, to_column: str
 
 
 def unique_combination(relation: str, columns, date_column: str | None = None, days_back: int = 0, **kw) -> Check:
+    every = Groups(lambda: [F.col(c) for c in columns], lambda n, *keys: n > 1) if days_back <= 0 else None
     return Check(relation, "unique_combination", None, f"more than one row per ({', '.join(columns)})",
-                 rows=lambda t: C.unique_combination_recent(t[relation], columns, date_column, days_back), **kw)
+                 rows=lambda t: C.unique_combination_recent(t[relation], columns, date_column, days_back),
+                 groups=every, **kw)
 
 
 def daily_cardinality_variance(relation: str, date_column: str, ok_to: int, ok_from: int = 0, **kw) -> Check:
     return Check(relation, "daily_cardinality_variance", date_column, f"daily change outside {ok_from} to {ok_to} %",
-                 rows=lambda t: C.daily_cardinality_variance(t[relation], date_column, ok_to, ok_from), **kw)
+                 rows=lambda t: C.daily_cardinality_variance(t[relation], date_column, ok_to, ok_from),
+                 groups=Groups(lambda: [F.to_date(date_column)], fails_of_days=lambda days: C.uneven_days(days, ok_to, ok_from)),
+                 **kw)
 
 
 def phone_ok(relation: str, column: str, codes: str, code_column: str, **kw) -> Check:
@@ -141,11 +158,55 @@ DESCRIPTION_SCHEMA = (
 )
 
 
+def _grouped_counts(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+    """Failing groups of all checks in one row, a column per number of a check.
+
+    One scan: the rows are grouped by the keys of every check, each row once per check, and summed before the shuffle. An
+    array of days has one entry per calendar day.
+    """
+    keys = {i: [key.alias(f"key_{i}_{j}") for j, key in enumerate(check.groups.keys())] for i, check in checks}
+    names = {i: [f"key_{i}_{j}" for j in range(len(columns))] for i, columns in keys.items()}
+    every = [name for own in names.values() for name in own]
+    rows = df.select(*[column for columns in keys.values() for column in columns])
+    grouped = rows.groupingSets([[F.col(name) for name in own] for own in names.values()], *every).agg(
+        F.count("*").alias("n"), F.grouping_id().alias("left_out")
+    )
+    counts, shown = [], []
+    for i, check in checks:
+        # A bit for each key column that does not belong to the set, the first column's the highest.
+        own = F.col("left_out") == sum(1 << (len(every) - 1 - at) for at, name in enumerate(every) if name not in names[i])
+        if check.groups.fails is not None:
+            counts.append(F.count_if(own & check.groups.fails(F.col("n"), *map(F.col, names[i]))).alias(str(i)))
+            shown.append(F.col(f"`{i}`"))
+        else:
+            day = F.struct(F.col(names[i][0]).alias("day"), "n")
+            counts.append(F.collect_list(F.when(own, day)).alias(str(i)))
+            shown.append(check.groups.fails_of_days(F.col(f"`{i}`")).alias(str(i)))
+    return grouped.agg(*counts).select(*shown)
+
+
+GROUPED_KEYS = 60  # key columns of one grouped scan: their sets are told apart by the bits of a number
+
+
+def _shared_scans(checks: list[tuple[int, Check]]) -> list[list[tuple[int, Check]]]:
+    """The grouped checks in as few scans as their key columns allow."""
+    scans, held = [], GROUPED_KEYS
+    for i, check in checks:
+        size = len(check.groups.keys())
+        if held + size > GROUPED_KEYS:
+            scans.append([])
+            held = 0
+        scans[-1].append((i, check))
+        held += size
+    return scans
+
+
 def run_suite(relations: Iterable[Relation], suite: Iterable[Check]) -> DataFrame:
     """One row per check: how many violating rows, out of how many rows in the relation, and the outcome.
 
     All row-level and whole-table checks of a relation, and its row count, come from one aggregate over one scan
-    that reads only the columns the checks name. Each grouped or joining check adds one plan.
+    that reads only the columns the checks name. All checks that group the relation alone come from a second scan. Each
+    check against another table adds one plan.
     """
     by_name = {r.name: r for r in relations}
     tables = {name: r.df for name, r in by_name.items()}
@@ -169,11 +230,14 @@ def run_suite(relations: Iterable[Relation], suite: Iterable[Check]) -> DataFram
                 counters.append(F.count_if(check.predicate()).alias(str(i)))
             elif check.always is not None:
                 counters.append((F.count_if(check.always()) == F.count("*")).cast("bigint").alias(str(i)))
-            else:
+            elif check.groups is None:
                 failing = check.rows(tables).agg(F.count("*").alias("rows_on_error"))
                 counted.append(failing.select(F.lit(str(i)).alias("_check"), "rows_on_error"))
         counts = relation.df.agg(*counters)
         counted.append(counts.unpivot([], [f"`{c}`" for c in counts.columns], "_check", "rows_on_error"))
+        for scan in _shared_scans([(i, c) for i, c in own if c.groups is not None]):
+            failing = _grouped_counts(relation.df, scan)
+            counted.append(failing.unpivot([], [f"`{c}`" for c in failing.columns], "_check", "rows_on_error"))
         place = (relation.database, relation.schema, relation.name)
         described.append((size, *place, None, None, None, None, None))
         described += [(i, *place, c.test, c.column, c.unique_id, c.severity, c.text) for i, c in own]

@@ -223,3 +223,31 @@ def test_daily_job_is_repeatable(spark):
         assert spark.read.parquet(paths[f"violations/{row.unique_id}"]).count() == row.rows_on_error
     assert spark.table("daily_history.nation").count() == 25
     assert spark.read.parquet(paths["health"]).filter("level = 'overall'").first().total_count == len(picked)
+
+
+def test_grouped_checks_share_a_scan(spark):
+    import random
+
+    dice = random.Random(6)
+    rows = [(dice.randint(1, 30), dice.choice([None, "a", "b", "c"]), dice.choice([None, 1, 2, 3]),
+             f"2024-01-{dice.randint(1, 9):02}" if dice.random() < 0.95 else None) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k int, c string, v int, d string").withColumn("d", F.col("d").cast("date"))
+    checks = [
+        suite.accepted_values("r", "c", ["a", "b"]), suite.accepted_values("r", "c", ["c"], variant="two"),
+        suite.accepted_values("r", "v", [1, 2]), suite.unique_combination("r", ["k"]), suite.unique_combination("r", ["c", "v"], variant="cv"),
+        suite.unique_combination("r", ["k", "c", "v", "d"], variant="all"), suite.daily_cardinality_variance("r", "d", 10),
+        suite.daily_cardinality_variance("r", "d", 50, 5, variant="narrow"),
+    ]
+    for frame in (df, df.limit(0), df.filter("k = 1"), df.filter("d is null")):
+        outcomes = suite.run_suite([suite.Relation("d", "s", "r", frame)], checks)
+        counted = {r.unique_id: r.rows_on_error for r in outcomes.collect()}
+        assert counted == {c.unique_id: c.violations({"r": frame}).count() for c in checks}
+    plan = suite.run_suite([suite.Relation("d", "s", "r", df)], checks)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 3 and plan.count("Expand") == 3  # two scans and the list of checks; two unpivots
+
+
+def test_grouped_checks_with_many_keys_take_more_scans(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "a int, b int")
+    checks = [suite.unique_combination("r", ["a", "b"][:1 + i % 2], variant=str(i)) for i in range(50)]
+    outcomes = suite.run_suite([suite.Relation("d", "s", "r", df)], checks).collect()
+    assert sorted(r.rows_on_error for r in outcomes) == [0] * 25 + [1] * 25
