@@ -33,13 +33,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the smallest id, and of rows that share this id the
-    first by text. Rows without an id can't be named by a verdict and stay."""
-    found = ngram_join.jaccard_classes(docs)
-    first = found.where(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").groupBy("doc_id").agg(  # already dealt out by doc_id
+    """One document of each class of near duplicates: the one with the smallest id, and of texts that share this id the
+    one with the smallest hash. Rows with one id and unrelated texts are different documents. Rows without an id can't be
+    named by a verdict and stay."""
+    mark = F.struct("doc_id", F.xxhash64("text").alias("mark"))
+    marked = docs.withColumn("row_key", F.when(F.col("doc_id").isNotNull(), mark))
+    found = ngram_join.jaccard_classes(marked, key="row_key")
+    first = found.where(F.col("row_key") == F.col("component")).select("row_key").distinct()
+    kept = marked.join(first, "row_key", "left_semi").groupBy("row_key").agg(  # already dealt out by the key
         F.min(F.struct("text", "lang", "source", "n_chars")).alias("row")
-    ).select("doc_id", "row.*")
+    ).select("row_key.doc_id", "row.*")
     return kept.select(*COLUMNS).union(docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
 
 
