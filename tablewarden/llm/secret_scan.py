@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -137,11 +138,14 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
         spans += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LEAST]
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
     if "=" in text or ":" in text:
-        covered = [(a, b) for _, a, b in spans]
-        spans += [
-            ("literal", a, b) for a, b in named_literals(text)
-            if not any(a >= x and b <= y for x, y in covered)
-        ]
+        starts, reach = [], []  # of the spans so far, and how far those that start no later reach
+        for _, a, b in sorted(spans, key=lambda s: s[1]):
+            starts.append(a)
+            reach.append(max(b, reach[-1] if reach else 0))
+        for a, b in named_literals(text):
+            before = bisect_right(starts, a)
+            if not before or reach[before - 1] < b:
+                spans.append(("literal", a, b))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
