@@ -290,7 +290,9 @@ class ToxicityModel:
         common = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0]))]
         short = [w for w in common if len(w) <= 8]
         spread = short[::max(1, len(short) // COMMON_LANDMARKS)][:COMMON_LANDMARKS]
-        landmarks = self._landmarks([*witnesses, *spread])
+        # Without shared toxic words and short clean ones, the words of the toxic texts themselves.
+        first_words = [*witnesses, *spread] or sorted(seen[1], key=lambda w: (-lean[w], w))
+        landmarks = self._landmarks(first_words)
         own = list(witnesses)  # words taken for toxic alone
         hard = np.zeros(0, np.int64)
         for round_ in range(ROUNDS):
