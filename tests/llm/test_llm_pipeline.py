@@ -79,3 +79,14 @@ def test_empty_documents(spark, folder, tmp_path):
     spark.read.parquet(f"{path}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{path}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_unrelated_texts_under_one_id_stay(spark):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[i:i + 40]) for i in (0, 40, 80, 120)]
+    near = texts[0] + " more"
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (2, near), (3, texts[1]), (3, texts[1]), (None, texts[0]), (4, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(
+        [(1, texts[0]), (1, texts[1]), (2, texts[2]), (4, None), (None, texts[0])], key=str)

@@ -1,6 +1,7 @@
 """Operators that read one text at a time: literal cases, reference tokenizers, odd rows, learned labels."""
 
 import os
+import random
 import re
 import sys
 import zlib
@@ -423,3 +424,71 @@ def test_held_out_toxicity(spark):
     assert (found.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in found.doc_id]).all()
     held = found.merge(labels, on="doc_id").query("held_out")
     assert (held.predicted == held.toxic).mean() > 0.9
+
+
+PROSE = "The house that is on the hill was built by a man who had come to the town with his family in the spring. " * 4
+
+
+@pytest.mark.parametrize("words", [
+    "content no-sidebar", "has-sidebar layout", "post comments-open", "article-search", "social-science", "header-fixed page",
+    "page-header",
+])
+def test_a_word_in_the_class_of_the_whole_page_drops_nothing(words):
+    inner = f"<p>{PROSE}</p>" * 3
+    around = f'<div class="site-footer"><p>{PROSE}</p></div><div class="comments"><p>{PROSE}</p></div>'
+    expected = " ".join([PROSE.strip()] * 3)
+    for part in (inner, f"<article>{inner}</article>"):
+        assert html_extract.main_text(f'<body><nav><a href=x>Home</a></nav><div class="{words}">{part}</div>{around}</body>') == expected
+    assert html_extract.main_text(
+        f'<div class="comment-list"><p>{PROSE * 9}</p></div><article>{inner}</article>{around}') == expected
+
+
+def test_formulas_stay():
+    assert "x=2" in html_extract.main_text(f"<article><p>{PROSE} <math><mi>x</mi>=<mn>2</mn></math> is {PROSE}</p></article>")
+
+
+def test_tags_without_an_end_take_linear_time():
+    import time
+
+    for part in ('<a "x ', "<a ", "<a '\" ", "<a x='", "< ", "<b \"'"):
+        started = time.time()
+        html_extract.main_text(part * 150_000)
+        assert time.time() - started < 10, part
+    assert html_extract.main_text(f'<p>a <b {PROSE}</p><p title="1 > 0">{PROSE}</p>').endswith(PROSE.strip())
+
+
+def test_many_assignments_take_linear_time():
+    import time
+
+    started = time.time()
+    found = secret_scan.scan("".join(f'password = "hunter{i}Abc!x"\n' for i in range(30_000)))
+    assert time.time() - started < 10 and len(found) >= 30_000
+
+
+def test_literals_are_covered_like_by_comparing_all():
+    dice = random.Random(11)
+    parts = ['password = "', 'token: ', "AKIA" + "A" * 14, "0123456789abcdef" * 2, '"', "x9Kq!pLm2", "\n", "secret=", " ", "+", "key = "]
+    for _ in range(400):
+        text = "".join(dice.choice(parts) for _ in range(dice.randint(1, 25)))
+        spans = secret_scan.scan(text)
+        base = [(a, b) for kind, a, b in spans if kind != "literal"]
+        told = [(a, b) for kind, a, b in spans if kind == "literal"]
+        assert told == sorted((a, b) for a, b in secret_scan.named_literals(text) if not any(x <= a and b <= y for x, y in base))
+
+
+def test_toxicity_without_shared_or_clean_words():
+    for samples, learned in (([(1, "you idiot")], True), ([(1, "you idiot"), (0, "extraordinarily")], True), ([(0, "x")], False), ([], False)):
+        assert (toxicity.ToxicityModel(samples).machine is not None) == learned
+
+
+def test_slices_of_texts_by_bytes():
+    import pyarrow as pa
+
+    from tablewarden.llm.common import text_slices
+
+    texts = ["a" * 10, None, "b" * 500, "é" * 30, "", "c" * 90] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])
+    parts = [p.column(0).to_pylist() for p in text_slices(batch, 0, 4, 100)]
+    assert sum(parts, []) == texts
+    assert all(len(p) == 1 or len(p) <= 4 and sum(len((t or "").encode()) for t in p) <= 100 for p in parts)
+    assert len(parts) < len(texts)
