@@ -1,4 +1,7 @@
-"""Suffix-array dedup: passages of at least ``length`` bytes that occur again, in the same document or another.
+"""Passages of at least ``length`` bytes that occur again, in the same document or another.
+
+No array of longest previous factors is computed. A span only needs to know whether the longest previous factor of a place
+reaches ``length`` bytes, which is so exactly if the same string of ``length`` bytes starts at an earlier place.
 
 Comparing all suffixes of a corpus in one order would sort every byte of it. Equal strings are therefore brought
 together first, by anchors: of the 32-byte hashes inside each window of ``length`` bytes the smallest is the window's
@@ -8,9 +11,8 @@ text of less than twice ``length`` bytes.
 1. Segments of all documents, as (anchor, content digest, place): one scan, a row for some 185 bytes of text.
 2. Segments that occur twice as a whole are repeats. Only anchors with different segments stay open.
 3. The different segments of open anchors are fetched as text and dealt into buckets by anchor. In a bucket, suffixes
-   are sorted by their first ``length`` bytes (prefix doubling) and then by position, so the previous and the next
-   smaller position in suffix order of a suffix are its neighbours of equal rank. The previous one is its earlier match
-   (a longest previous factor of at least ``length`` bytes), the next one a later copy.
+   are ranked by their first ``length`` bytes (prefix doubling). Among suffixes of equal rank, sorted by position, the one
+   before is an earlier match and the one behind a later copy.
 4. Anchors with more than ``CROWD`` different segments would overfill a bucket (a passage in a third of all documents).
    For these each window goes by its own 128-bit digest through an aggregate that combines before the shuffle.
 
