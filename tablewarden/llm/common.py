@@ -17,15 +17,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, passing: list[str] | None = None) -> DataFrame:
     """The rows of ``df`` as files of the shared folder, read back: lineage ends here and a lost executor loses
-    nothing."""
+    nothing. The path is added to ``passing``, for :func:`delete_steps`.
+
+    Shuffles below this step are not read again. Spark deletes their files when the driver collects garbage, which a
+    driver with room to spare does every half an hour; asked for here, the executors' disks hold one step at a time."""
     spark = df.sparkSession
     path = new_shared_path(spark, label)
     df.write.parquet(path)
+    if passing is not None:
+        passing.append(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_steps(spark: SparkSession, passing: list[str]) -> None:
+    """Delete written steps. Only for steps whose every reader has been written itself."""
+    context = spark.sparkContext
+    for path in passing:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    passing.clear()
+
+
 def map_texts(
     df: DataFrame,
     keep: tuple[str, ...],

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import own_shuffle
-from .common import written
+from .common import delete_steps, written
 
 # Fixed value: words are runs without ASCII white space.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -49,7 +49,7 @@ def numbers(values: list[int], kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), f"array<{kind}>")
 
 
-def rarity_table(tokens: DataFrame) -> list[int]:
+def rarity_table(tokens: DataFrame, passing: list[str] | None = None) -> list[int]:
     """Rarity classes of hashed tokens, sixteen of four bits in a number.
 
     ``COUNTERS`` counters cover all tokens of the corpus. Class 0 is a counter that is no larger than many single tokens
@@ -58,7 +58,7 @@ def rarity_table(tokens: DataFrame) -> list[int]:
     """
     counts = written(
         tokens.select(F.explode("tokens").alias("token")).groupBy(F.pmod("token", F.lit(COUNTERS)).alias("counter"))
-        .agg(F.count("*").alias("n")), "counters",
+        .agg(F.count("*").alias("n")), "counters", passing,
     )
     expected = (counts.agg(F.sum("n")).first()[0] or 0) / COUNTERS
     chance = 4 * max(1.0, expected) ** 0.5
@@ -129,11 +129,14 @@ def _lines(source: DataFrame) -> DataFrame:
     )
 
 
-def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``key``, ``mark`` and ``lines`` (numbers of the removed lines) for documents that lose a line."""
+def removed_lines(
+    source: DataFrame, shingle: int, percent: int, passing: list[str] | None = None
+) -> DataFrame:
+    """``key``, ``mark`` and ``lines`` (numbers of the removed lines) for documents that lose a line. The paths of the
+    steps that the result reads are added to ``passing``."""
     lines = _lines(source)
     same_line = (F.xxhash64("content").alias("h1"), F.xxhash64(F.lit(1), "content").alias("h2"))
-    table = rarity_table(source.select(tokens_of(line_words(F.col("text")), shingle, distinct=False).alias("tokens")))
+    table = rarity_table(source.select(tokens_of(line_words(F.col("text")), shingle, distinct=False).alias("tokens")), passing)
     place = F.struct("key", "mark", "line")
 
     # 1 to 3: different lines with their prefixes.
@@ -145,17 +148,17 @@ def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
         tokened.select("at", "h1", "h2", "n", F.slice("tokens", F.lit(1), kept).alias("prefix"))
         .groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
                                  F.count("*").alias("copies")),
-        "lines",
+        "lines", passing,
     )
     entries = different.select(F.posexplode("prefix").alias("place", "token"), "at", "n", "copies", "prefix").select(
         "token", "at", "n", "place", F.get("prefix", F.col("place") - 1).alias("seen"), "copies"
     )
-    shared = written(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "tokens")
+    shared = written(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "tokens", passing)
     known = bit_table(shared, F.xxhash64("token"))
     lists = written(
         entries.where(in_table(known, F.xxhash64("token"))).join(shared, "token")
         .select("token", "size", "at", "n", "place", "seen", "copies"),
-        "lists",
+        "lists", passing,
     )
 
     def possible(n_1: str, place_1: str, seen_1: str, n_2: str, place_2: str, seen_2: str) -> Column:
@@ -177,7 +180,7 @@ def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
         "*", F.col("other.at").alias("before"), F.col("other.n").alias("n_2"), F.col("other.place").alias("place_2"),
         F.col("other.seen").alias("seen_2"),
     ).where(possible("n", "place", "seen", "n_2", "place_2", "seen_2")).select("at", "before").distinct()
-    first_pairs = written(first_pairs, "pairs")
+    first_pairs = written(first_pairs, "pairs", passing)
 
     # 5: verification, with the token sets of the lines that are in pairs.
     def identity(column: str) -> Column:
@@ -189,7 +192,7 @@ def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
         wanted = bit_table(pairs.select(F.explode(F.array("at", "before")).alias("at")), identity("at"))
         sets = written(
             lines.where(in_table(wanted, F.xxhash64("key", "mark", "line")))
-            .select(place.alias("at"), tokens_of(line_words(F.col("content")), shingle).alias("tokens")), "line-sets",
+            .select(place.alias("at"), tokens_of(line_words(F.col("content")), shingle).alias("tokens")), "line-sets", passing,
         )
         two = pairs.join(sets.select("at", F.col("tokens").alias("t_1")), "at").join(
             sets.select(F.col("at").alias("before"), F.col("tokens").alias("t_2")), "before"
@@ -197,11 +200,11 @@ def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
         both = F.size(F.array_intersect("t_1", "t_2"))
         return two.where(100 * both >= percent * (F.size("t_1") + F.size("t_2") - both)).select("at").distinct()
 
-    settled = written(matching(first_pairs), "settled")
+    settled = written(matching(first_pairs), "settled", passing)
     # The first line of a list has met all of it, so lists of two are done and others go on without their first line.
     open_lists = lists.where("size > 2").join(heads.select("token", F.col("head.at").alias("first")), "token").where(
         F.col("at") != F.col("first")).drop("first", "size")
-    open_lists = written(open_lists, "open-lists")
+    open_lists = written(open_lists, "open-lists", passing)
     earlier = open_lists.select(
         "token", F.col("at").alias("before"), F.col("n").alias("n_2"), F.col("place").alias("place_2"),
         F.col("seen").alias("seen_2"),
@@ -211,7 +214,7 @@ def removed_lines(source: DataFrame, shingle: int, percent: int) -> DataFrame:
         .where((F.col("before") < F.col("at")) & possible("n", "place", "seen", "n_2", "place_2", "seen_2"))
         .select("at", "before").distinct().join(first_pairs, ["at", "before"], "left_anti")
     )
-    near = settled.union(matching(written(more_pairs, "more-pairs")))
+    near = settled.union(matching(written(more_pairs, "more-pairs", passing)))
     # Later places of equal lines; the bit table keeps most lines without copies from moving.
     copies = different.where("copies > 1").select("h1", "h2", F.col("at").alias("first"))
     hashed = lines.select(place.alias("at"), *same_line)
@@ -233,7 +236,9 @@ def dedup_lines(
         F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.col(f"`{text}`").alias("text"),
         *[F.col(f"`{c}`").alias(f"carried_{i}") for i, c in enumerate(carry)],
     )
-    gone = written(removed_lines(source.select("key", "mark", "text"), shingle, percent), "removed")
+    passing: list[str] = []
+    gone = written(removed_lines(source.select("key", "mark", "text"), shingle, percent, passing), "removed")
+    delete_steps(docs.sparkSession, passing)
     marks = bit_table(gone, F.xxhash64("key", "mark"))
     touched = in_table(marks, F.xxhash64("key", "mark"))
     right = gone.withColumnsRenamed({"key": "key_2", "mark": "mark_2"})

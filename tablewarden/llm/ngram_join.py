@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import own_shuffle
-from .common import shingle_partitions, written
+from .common import delete_steps, shingle_partitions, written
 from .components import connected_components
 
 BATCH = 1024  # documents that are counted together
@@ -262,7 +262,8 @@ def jaccard_classes(
     members = rows.where(F.size("prefix") > 0).select(
         "sig", "n", "alone", "prefix", "shared", F.xxhash64("n", "alone", "prefix").alias("group")
     )
-    sets = written(members.dropDuplicates(["sig"]), "sets")
+    passing: list[str] = []  # steps that only the links are made from
+    sets = written(members.dropDuplicates(["sig"]), "sets", passing)
     groups = sets.groupBy("group", "n", "alone").agg(F.min("sig").alias("sig"), F.count("*").alias("size"))
     inside = sets.select("group", "n", "sig").join(
         groups.where("size > 1").select("group", "n", F.col("sig").alias("pivot")), ["group", "n"]
@@ -293,13 +294,13 @@ def jaccard_classes(
         .where(possible("n", "place", "before", "n_p", "place_p", "before_p"))
         .select(F.col("pivot").alias("a"), F.col("sig").alias("b"))
     )
-    links = written(_verified(inside.union(across).distinct(), sets, percent), "links")
+    links = written(_verified(inside.union(across).distinct(), sets, percent), "links", passing)
 
     # Pairs of different classes that are left in a list: the smaller classes of the list against all of it.
     known = connected_components(links)
     classed = written(
         lists.join(known.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")),
-        "lists",
+        "lists", passing,
     )
     sizes = classed.groupBy("token", "root").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("token", own_shuffle("token")).agg(
@@ -316,6 +317,7 @@ def jaccard_classes(
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
     links = written(links.union(_verified(rest, sets, percent)), "links")
+    delete_steps(spark, passing)
     roots = connected_components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("sig")).groupBy("sig").agg(F.count("*").alias("links"))
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import own_shuffle
-from .common import shingle_partitions, written
+from .common import delete_steps, shingle_partitions, written
 from .line_dedup import bit_table, in_table
 
 GRAM = 32  # bytes of an anchor's hash
@@ -261,13 +261,14 @@ def remove_repeats(
     source = docs.select(
         F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.col(f"`{text}`").alias("text")
     )
-    found = written(_segment_rows(source, length), "segments")
+    passing: list[str] = []  # steps that only the spans are made from
+    found = written(_segment_rows(source, length), "segments", passing)
     if keep_first:
         found = found.distinct()
     distinct = written(
         found.groupBy("anchor", "digest").agg(
             F.count("*").alias("times"), F.min(F.struct("key", "mark", "first", "last")).alias("at")
-        ), "distinct-segments",
+        ), "distinct-segments", passing,
     )
     again = distinct.where("times > 1").select("anchor", "digest", F.col("at").alias("at"))
     whole = found.join(again, ["anchor", "digest"])
@@ -281,14 +282,14 @@ def remove_repeats(
         F.count("*").alias("different"), F.min("times").alias("least")
     ).where((F.col("different") > 1) & (F.lit(keep_first) | (F.col("least") == 1))).select("anchor", "different")
     wanted = written(
-        distinct.join(open_anchors, "anchor").select("anchor", "different", "at.*"), "open-segments"
+        distinct.join(open_anchors, "anchor").select("anchor", "different", "at.*"), "open-segments", passing
     )
     holders = source.where(in_table(bit_table(wanted, F.col("mark")), F.col("mark")))
     texts = _joined(holders, wanted, "inner").select(
         "key", "mark", "first", "anchor", "different",
         F.substring(F.encode("text", "UTF-8"), F.col("first") + 1, F.col("last") - F.col("first") + length).alias("text"),
     )
-    texts = written(texts, "open-texts")
+    texts = written(texts, "open-texts", passing)
     total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(parts, total // BUCKET_BYTES + 1)
     few = texts.where(F.col("different") <= CROWD).withColumn("bucket", F.pmod("anchor", F.lit(buckets)))
@@ -303,6 +304,7 @@ def remove_repeats(
                               & (F.col("first") == F.col("at.first"))))
     spans = spans.union(crowd.select("key", "mark", "first", (F.col("first") + length).alias("end")))
     spans = written(spans.distinct(), "spans")
+    delete_steps(docs.sparkSession, passing)
 
     marks = bit_table(spans, F.col("mark"))
     by_document = spans.groupBy("key", "mark").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
