@@ -35,10 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import own_shuffle
-from .common import delete_steps, shingle_partitions, written
+from .common import delete_steps, shingle_partitions, text_slices, written
 from .components import connected_components
 
-BATCH = 1024  # documents that are counted together
+BATCH, BATCH_BYTES = 1024, 4 << 20  # documents that are counted together, and bytes of their texts
 SEEN = 3  # prefix shingles before a shared one that tell whether a pair has met there already
 KIND_DOCUMENT, KIND_COUNT, KIND_SHARED, KIND_RETURNED = 0, 1, 2, 3
 WORD_CACHE = 300_000
@@ -97,8 +97,7 @@ def _spread(df: DataFrame, key: str, text: str, size: int, parts: int) -> DataFr
         hashes = WordHashes()
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH):
-                piece = batch.slice(at, BATCH)
+            for piece in text_slices(batch, 1, BATCH, BATCH_BYTES):
                 sets = [shingle_set(t, size, hashes) for t in piece.column(1).to_pylist()]
                 sigs = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
                 name = (task << 32) + number  # the same when a lost task runs again
