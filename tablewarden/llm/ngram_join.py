@@ -255,7 +255,11 @@ def jaccard_classes(
     at the document's set, 0 for most) for every document."""
     spark = docs.sparkSession
     parts = 2 * shingle_partitions(spark)
-    rows = written(_prefixes(_counted(_spread(docs, key, text, shingle, 3 * parts), parts), percent), "prefixes")
+    # Counts are written before they go back to their batches, so that the shuffle they come from is free by then.
+    sent: list[str] = []
+    counted = written(_counted(_spread(docs, key, text, shingle, 3 * parts), parts), "counts", sent)
+    rows = written(_prefixes(counted, percent), "prefixes")
+    delete_steps(spark, sent)
 
     # Equal sets become one; equal prefixes and sizes one group.
     members = rows.where(F.size("prefix") > 0).select(
