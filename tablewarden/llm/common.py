@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..session import new_shared_path
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,14 +23,21 @@ def written(df: DataFrame, label: str, passing: list[str] | None = None) -> Data
     """The rows of ``df`` as files of the shared folder, read back: lineage ends here and a lost executor loses
     nothing. The path is added to ``passing``, for :func:`delete_steps`.
 
-    Shuffles below this step are not read again. Spark deletes their files when the driver collects garbage, which a
-    driver with room to spare does every half an hour; asked for here, the executors' disks hold one step at a time."""
+    Shuffles below this step are not read again. Their files go with the end of the write; left to Spark's cleaner they
+    would stay on the executors' disks until the driver collects garbage."""
     spark = df.sparkSession
     path = new_shared_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
     if passing is not None:
         passing.append(path)
-    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
