@@ -139,24 +139,24 @@ def resolve_country(
 
 
 def fuzzy_match(
-    left: DataFrame, left_column: str, right: DataFrame, right_column: str, maximum: int, fold_case: bool = True
+    left: DataFrame, left_column: str, right: DataFrame, right_column: str, maximum: int, fold_case: bool = True,
+    blocks: Sequence[str] = (),
 ) -> DataFrame:
     """Pairs of distinct values within ``maximum`` edits, with their distance and how many rows carry each.
 
-    Copies of a value are one candidate, however many there are. A value is cut into ``maximum`` + 1 pieces of even
+    With ``blocks``, columns of both sides, only values of one block are matched, and rows with a NULL in them match
+    nothing. Copies of a value are one candidate, however many there are. A value is cut into ``maximum`` + 1 pieces of even
     length. Of two values within the limit one piece of the one stands unchanged in the other, moved by at most
     ``maximum`` characters, so pieces are joined with the other side's texts at those places, for the lengths that
     the other value may have. A value gives some 2 * ``maximum`` rows per piece and length, however long it is. The
     distance is checked on the texts.
     """
     if maximum is None or maximum < 0:
-        raise ValueError("matching needs a maximum distance; edit_distance takes any pair")
+        raise ValueError("matching needs a maximum distance; fuzzy_match_blocked also takes all pairs of a block")
+    block = [f"block_{i}" for i in range(len(blocks))]
 
     def values(df: DataFrame, column: str, prefix: str) -> DataFrame:
-        value: Column = F.lower(column) if fold_case else F.col(column)
-        return df.filter(F.col(column).isNotNull()).groupBy(value.alias(f"{prefix}_value")).agg(
-            F.count("*").alias(f"{prefix}_rows")
-        ).withColumn("size", F.length(f"{prefix}_value"))
+        return _distinct_values(df, column, prefix, fold_case, blocks).withColumn("size", F.length(f"{prefix}_value"))
 
     pieces = maximum + 1
 
@@ -171,7 +171,7 @@ def fuzzy_match(
     numbers = F.sequence(F.lit(0), F.lit(maximum))
     start, length = cut("size", "number")
     whole = values(left, left_column, "left").select("*", F.explode(numbers).alias("number")).select(
-        "left_value", "left_rows", "size", "number",
+        *block, "left_value", "left_rows", "size", "number",
         F.xxhash64(F.substr("left_value", start + 1, length)).alias("piece"),
     )
     lengths = F.sequence(F.greatest(F.col("own_size") - maximum, F.lit(0)), F.col("own_size") + maximum)
@@ -182,14 +182,74 @@ def fuzzy_match(
     first = F.greatest(start - maximum, F.lit(0))
     last = F.least(start + maximum, F.col("own_size") - length)
     shifts = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    moved = other.select("right_value", "right_rows", "size", "number", length.alias("length"), F.explode(shifts).alias("at")).select(
-        "right_value", "right_rows", "size", "number",
+    moved = other.select(
+        *block, "right_value", "right_rows", "size", "number", length.alias("length"), F.explode(shifts).alias("at")
+    ).select(
+        *block, "right_value", "right_rows", "size", "number",
         F.xxhash64(F.substr("right_value", F.col("at") + 1, F.col("length"))).alias("piece"),
     ).distinct()
     distance = edit_distance("left_value", "right_value", maximum, fold_case=False)
     return (
-        whole.join(moved.hint("merge"), ["size", "number", "piece"])
-        .select("left_value", "right_value", distance.alias("distance"), "left_rows", "right_rows")
+        whole.join(moved.hint("merge"), [*block, "size", "number", "piece"])
+        .select(
+            *[F.col(b).alias(name) for b, name in zip(block, blocks)],
+            "left_value", "right_value", distance.alias("distance"), "left_rows", "right_rows",
+        )
         .filter("distance is not null")
         .distinct()
     )
+
+
+def _distinct_values(df: DataFrame, column: str, prefix: str, fold_case: bool, blocks: Sequence[str]) -> DataFrame:
+    """The values of each block with the number of rows that carry them."""
+    value: Column = F.lower(column) if fold_case else F.col(column)
+    known = df.dropna(subset=[column, *blocks])
+    return known.groupBy(
+        *[F.col(b).alias(f"block_{i}") for i, b in enumerate(blocks)], value.alias(f"{prefix}_value")
+    ).agg(F.count("*").alias(f"{prefix}_rows"))
+
+
+def fuzzy_match_blocked(
+    left: DataFrame,
+    left_column: str,
+    right: DataFrame,
+    right_column: str,
+    blocks: Sequence[str],
+    maximum: int | None = None,
+    fold_case: bool = True,
+    chunk: int = 1000,
+) -> DataFrame:
+    """Pairs of distinct values of one block with their distance; without a ``maximum`` all pairs of a block.
+
+    With a maximum this is :func:`fuzzy_match` inside blocks. Without one every pair is a result, and a hot block would
+    be one task. So a block's values are dealt by hash into chunks of some ``chunk`` values on each side, and every
+    pair of chunks is a key of its own: a task compares about ``chunk`` times ``chunk`` values, however the block grows,
+    and a value is sent once per chunk of the other side, 1 / ``chunk`` of the pairs that it gives. Rows with a NULL in
+    a block column or without a value match nothing.
+    """
+    if not blocks:
+        raise ValueError("name the columns that make a block")
+    if maximum is not None:
+        return fuzzy_match(left, left_column, right, right_column, maximum, fold_case, blocks)
+    block = [f"block_{i}" for i in range(len(blocks))]
+    mine = _distinct_values(left, left_column, "left", fold_case, blocks)
+    theirs = _distinct_values(right, right_column, "right", fold_case, blocks)
+
+    def chunks(values: DataFrame, name: str) -> DataFrame:
+        count = F.ceil(F.count("*") / chunk).cast("int").alias(name)
+        return values.groupBy(*block, own_shuffle(*block)).agg(count).drop("_spread")
+
+    cuts = chunks(mine, "left_chunks").join(chunks(theirs, "right_chunks"), block)
+
+    def dealt(values: DataFrame, side: str, other: str) -> DataFrame:
+        own = F.pmod(F.xxhash64(f"{side}_value"), F.col(f"{side}_chunks")).cast("int")
+        return values.join(cuts, block).select(
+            *block, f"{side}_value", f"{side}_rows", own.alias(f"{side}_chunk"),
+            F.explode(F.sequence(F.lit(0), F.col(f"{other}_chunks") - 1)).alias(f"{other}_chunk"),
+        )
+
+    pairs = dealt(mine, "left", "right").join(dealt(theirs, "right", "left"), [*block, "left_chunk", "right_chunk"])
+    return pairs.select(
+        *[F.col(b).alias(name) for b, name in zip(block, blocks)], "left_value", "right_value",
+        edit_distance("left_value", "right_value", None, fold_case=False).alias("distance"), "left_rows", "right_rows",
+    )

@@ -409,6 +409,28 @@ def _(t: Tables):
     return standardise.fuzzy_match(t.part, "p_name", squeezed, "word", 2)
 
 
+def _blocked_sql(blocks: str, limit: str = "") -> str:
+    return f"""with names as (select {blocks}, lower(p_name) as v, count(*) as n from part group by all),
+         types as (select {blocks}, lower(p_type) as v, count(*) as n from part group by all)
+       select {blocks}, a.v as left_value, b.v as right_value, cast(levenshtein(a.v, b.v) as int) as distance,
+         a.n as left_rows, b.n as right_rows
+       from names a join types b using ({blocks}) {limit}"""
+
+
+@query("fuzzy_match_blocked", _blocked_sql("p_brand, p_size"))
+def _(t: Tables):
+    return standardise.fuzzy_match_blocked(t.part, "p_name", t.part, "p_type", ["p_brand", "p_size"], chunk=4)
+
+
+@query(
+    "fuzzy_match_blocked_limit",
+    _blocked_sql("p_brand", "where levenshtein(a.v, b.v) <= 2").replace("p_type", "replace(p_name, ' ', '')"),
+)
+def _(t: Tables):
+    squeezed = t.part.select("p_brand", F.replace("p_name", F.lit(" "), F.lit("")).alias("word"))
+    return standardise.fuzzy_match_blocked(t.part, "p_name", squeezed, "word", ["p_brand"], 2)
+
+
 @query(
     "quarantine_counts",
     """select case when raw is null then 'missing' when raw = '1201' then 'too short' when raw = '31021999' then 'invalid' else 'ok' end as reason,

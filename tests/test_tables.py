@@ -167,6 +167,30 @@ def test_fuzzy_match_finds_every_pair(spark, maximum):
     assert {(r.left_value, r.right_value, r.distance) for r in found.collect()} == expected
 
 
+@pytest.mark.parametrize("maximum", [None, 0, 2])
+def test_fuzzy_match_inside_blocks(spark, maximum):
+    left = [("hot", f"name {i % 40}") for i in range(60)] + [("b", "Anna"), ("b", None), (None, "name 1"), ("left", "x")]
+    right = [("hot", f"nam {i}") for i in range(25)] + [("b", "anna"), ("b", ""), (None, "name 1"), ("right", "x")]
+    a, b = (spark.createDataFrame(rows, "area string, v string") for rows in (left, right))
+    found = standardise.fuzzy_match_blocked(a, "v", b, "v", ["area"], maximum, chunk=7)
+    brute = spark.sql(
+        """with a as (select area, lower(v) as v, count(*) as n from {a} group by all),
+                b as (select area, lower(v) as v, count(*) as n from {b} group by all)
+           select area, a.v, b.v, levenshtein(a.v, b.v), a.n, b.n from a join b using (area)
+           where a.v is not null and b.v is not null""",
+        a=a, b=b,
+    )
+    expected = [tuple(r) for r in brute.collect() if maximum is None or r[3] <= maximum]
+    assert found.columns == ["area", "left_value", "right_value", "distance", "left_rows", "right_rows"]
+    assert sorted(map(tuple, found.collect())) == sorted(expected) and expected
+    plan = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    empty = standardise.fuzzy_match_blocked(a.where("false"), "v", b, "v", ["area"], maximum)
+    assert empty.count() == 0
+    with pytest.raises(ValueError):
+        standardise.fuzzy_match_blocked(a, "v", b, "v", [], maximum)
+
+
 def test_best_match_ranks(spark):
     concepts = spark.sql("""select * from values ('Name', 'd', 'name', 'VARCHAR', 50), ('Ten', 'd', 'ten', 'INT', -1),
         ('Id', 'd', 'id', 'BIGINT', -1), ('N me', 'd', 'n_me', 'INT', -1) as t(concept_name, description, column_name, type_id, max_length)""")
