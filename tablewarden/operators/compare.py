@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.common import own_shuffle
 
@@ -53,33 +53,88 @@ def _common(first: DataFrame, second: DataFrame, ignore: Sequence[str]) -> list[
     return [c for c in first.columns if c in second.columns and c not in ignore]
 
 
+# Rows of one key that one task may put in order; a key with more is cut at digits of its rows' digests.
+ROWS_IN_ORDER = 65_536
+
+
+def _back(column: Column, kind: T.DataType) -> Column:
+    return column.cast(kind) if isinstance(kind, T.AtomicType) else column
+
+
+def _surplus(rows: DataFrame, keys: Sequence[str], used: Sequence[str]) -> DataFrame:
+    """Rows that one side holds more often, where both sides hold the key, with their position among such rows.
+
+    Positions follow the digest of the row. They count on from part to part of a key, so a key that owns most rows is
+    ordered by many tasks.
+    """
+    counted = rows.groupBy(*used).agg(F.sum("_first").alias("_f"), F.sum(1 - F.col("_first")).alias("_s"))
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    held = rows.groupBy(*named, own_shuffle(*keys)).agg(F.sum("_first").alias("_n"), F.sum(1 - F.col("_first")).alias("_m"))
+    parts = F.floor(F.greatest("_n", "_m") / ROWS_IN_ORDER)
+    held = held.filter("_n > 0 and _m > 0").select(
+        *[f"_k{i}" for i in range(len(keys))], F.when(parts > 0, F.length(F.hex(parts))).otherwise(0).alias("_digits")
+    )
+    same = _all([F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
+    texts = [F.coalesce(F.concat(F.lit(":"), F.col(c).cast("string")), F.lit("")) for c in used]
+    left = (
+        counted.filter("_f <> _s")
+        .join(held, same)
+        .withColumn("_mark", F.md5(F.concat_ws("|", *texts)))
+        .select(
+            *used, "_mark", (F.col("_f") > F.col("_s")).alias("_of_first"), F.abs(F.col("_f") - F.col("_s")).alias("_copies"),
+            F.expr("substring(_mark, 1, _digits)").alias("_part"),
+        )
+    )
+    group = [*keys, "_of_first"]
+    sizes = left.groupBy(*group, "_part").agg(F.sum("_copies").alias("_size"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*group, "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*group, "_part").orderBy("_mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = left.withColumn("_last", F.sum("_copies").over(inside)).join(offsets, [*group, "_part"])
+    last = F.col("_offset") + F.col("_last")
+    return placed.select(*used, "_of_first", F.explode(F.sequence(last - F.col("_copies") + 1, last)).alias("_at"))
+
+
 def data_difference(
     first: DataFrame, second: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()
 ) -> DataFrame:
     """Rows with equal keys whose common columns differ: names of the differing columns and both values.
 
-    Comparison is null-safe; columns of different types are compared as text. The key must identify a row on each
-    side: where it does not, every row meets every row of its key, and :func:`row_difference` is the better tool.
+    Comparison is null-safe; columns of different types are compared as text. Rows without a key are left out, as are
+    keys of one side. Where a key names several rows, rows that are equal on both sides cancel out first, copy by copy.
+    The rest of both sides is matched one to one in the order of the rows' MD5 digests; rows left over have NULL in all
+    columns of the other side, its key included, and name every compared column. So n and m rows of one key give at
+    most max(n, m) rows, never n times m.
     """
-    theirs, mine = dict(second.dtypes), dict(first.dtypes)
+    theirs, mine = {f.name: f.dataType for f in second.schema}, {f.name: f.dataType for f in first.schema}
     common = _common(first, second, ignore)
     used = list(dict.fromkeys([*keys, *common]))
+    compared = [c for c in common if c not in keys]
 
-    def side(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in used])
+    def as_text(column: str) -> bool:
+        both = mine[column], theirs[column]
+        return both[0] != both[1] and not (column in keys and all(isinstance(t, T.NumericType) for t in both))
 
-    def differs(column: str) -> Column:
-        a, b = F.col(f"f_{column}"), F.col(f"s_{column}")
-        if mine[column] != theirs[column]:
-            a, b = a.cast("string"), b.cast("string")
-        return ~a.eqNullSafe(b)
+    def side(df: DataFrame, in_first: int) -> DataFrame:
+        columns = [F.col(c).cast("string").alias(c) if as_text(c) else F.col(c) for c in used]
+        return df.select(*columns, F.lit(in_first).alias("_first")).filter(_all([F.col(k).isNotNull() for k in keys]))
 
-    compared = [c for c in common if c not in keys]
-    names = F.concat_ws(" ", *[F.when(differs(c), F.lit(c)) for c in compared]) if compared else F.lit("")
-    same = _all([F.col(f"f_{k}") == F.col(f"s_{k}") for k in keys])
-    pairs = side(first, "f").join(side(second, "s"), same).withColumn("differing_columns", names)
-    shown = [F.col(f"{p}_{c}") for c in common for p in ("f", "s")]
-    return pairs.filter("differing_columns <> ''").select("differing_columns", *shown)
+    rows = side(first, 1).unionByName(side(second, 0))
+    row = F.struct(*used)
+    pairs = _surplus(rows, keys, used).groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_at").agg(
+        F.first(F.when(F.col("_of_first"), row), ignorenulls=True).alias("_f"),
+        F.first(F.when(~F.col("_of_first"), row), ignorenulls=True).alias("_s"),
+    )
+    alone = F.col("_f").isNull() | F.col("_s").isNull()
+    names = [F.when(alone | ~F.col(f"_f.{c}").eqNullSafe(F.col(f"_s.{c}")), F.lit(c)) for c in compared]
+    shown = [
+        _back(F.col(f"_{p}.{c}"), types[c]).alias(f"{p}_{c}") for c in common for p, types in (("f", mine), ("s", theirs))
+    ]
+    return (
+        pairs.withColumn("differing_columns", F.concat_ws(" ", *names) if names else F.lit(""))
+        .filter("differing_columns <> ''")
+        .select("differing_columns", *shown)
+    )
 
 
 def row_difference(first: DataFrame, second: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:

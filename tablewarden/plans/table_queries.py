@@ -50,6 +50,8 @@ LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quant
                 "l_returnflag", "l_linestatus", "l_shipdate")
 CHANGED_LINES = "case when l_shipdate >= timestamp '2001-01-01' then 'X' else l_returnflag end as l_returnflag"
 
+LINE_MARK = "md5(concat_ws('|', ':' || l_orderkey, ':' || l_partkey, ':' || l_returnflag))"
+
 
 @query(
     "row_difference",
@@ -65,6 +67,28 @@ def _(t: Tables):
     return compare.row_difference(t.lineitem, after.select(*t.lineitem.columns))
 
 
+@query(
+    "data_difference_repeated",
+    f"""with f as (select l_orderkey, l_partkey, l_returnflag from lineitem),
+         s as (select l_orderkey, l_partkey, {CHANGED_LINES} from lineitem where l_linenumber <> 3),
+         held as (select l_orderkey from f intersect select l_orderkey from s),
+         fo as (select * from f except all select * from s), so as (select * from s except all select * from f),
+         fp as (select *, row_number() over (partition by l_orderkey order by {LINE_MARK}) as at from fo where l_orderkey in (from held)),
+         sp as (select *, row_number() over (partition by l_orderkey order by {LINE_MARK}) as at from so where l_orderkey in (from held))
+       select concat_ws(' ', case when fp.l_partkey is distinct from sp.l_partkey then 'l_partkey' end,
+           case when fp.l_returnflag is distinct from sp.l_returnflag then 'l_returnflag' end) as differing_columns,
+         fp.l_orderkey as f_l_orderkey, sp.l_orderkey as s_l_orderkey, fp.l_partkey as f_l_partkey, sp.l_partkey as s_l_partkey,
+         fp.l_returnflag as f_l_returnflag, sp.l_returnflag as s_l_returnflag
+       from fp full join sp on sp.l_orderkey = fp.l_orderkey and sp.at = fp.at""",
+)
+def _(t: Tables):
+    """A key that names several rows on both sides: every order's lines, some changed and one line missing."""
+    after = t.lineitem.withColumn("l_returnflag", F.expr(CHANGED_LINES.replace("timestamp", "timestamp_ntz").rpartition(" as ")[0]))
+    kept = ["l_orderkey", "l_partkey", "l_returnflag"]
+    return compare.data_difference(
+        t.lineitem.select(*kept), after.filter("l_linenumber <> 3").select(*kept), ["l_orderkey"])
+
+
 @query(
     "version_difference",
     """select 'segment' as differing_columns, f.c_custkey as f_c_custkey, s.c_custkey as s_c_custkey,

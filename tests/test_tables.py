@@ -30,6 +30,32 @@ def test_data_difference_is_null_safe(spark):
     assert compare.version_difference(a, b, ["k"], ignore=["n"]).columns == ["differing_columns", "f_k", "s_k", "f_v", "s_v"]
 
 
+def test_data_difference_matches_repeated_keys_one_to_one(spark):
+    a = spark.sql("select * from values (1, 'x'), (1, 'x'), (1, 'y'), (2, 'a'), (3, 'q'), (null, 'n') as t(k, v)")
+    b = spark.sql("select * from values (1, 'x'), (1, 'z'), (2, 'a'), (2, 'b'), (4, 'q'), (null, 'm') as t(k, v)")
+    rows = [tuple(r) for r in compare.data_difference(a, b, ["k"]).collect()]
+    # Key 1 keeps x and y against z; key 2 keeps only b; keys of one side and NULL keys are left out.
+    assert sorted((r[1] or r[2]) for r in rows) == [1, 1, 2]
+    assert all(r[0] == "v" for r in rows)
+    assert sorted(r[3] for r in rows if r[1] == 1) == ["x", "y"] and [r[4] for r in rows if r[2] == 1] == ["z"]
+    assert [r[1:] for r in rows if r[2] == 2] == [(None, 2, None, "b")]
+    assert compare.data_difference(a, a, ["k"]).count() == 0
+    assert compare.data_difference(a.limit(0), b, ["k"]).count() == 0
+    assert compare.data_difference(a, b, ["k", "v"]).count() == 0
+
+
+def test_data_difference_cuts_a_hot_key_into_parts(spark, monkeypatch):
+    a = spark.range(3000).selectExpr("id % 2 as k", "id as v", "cast(id as int) as n")
+    b = spark.range(3000).selectExpr("id % 2 as k", "id + 3000 as v", "cast(id as string) as n").filter("v < 5900")
+    whole = sorted(map(str, compare.data_difference(a, b, ["k"]).collect()))
+    monkeypatch.setattr(compare, "ROWS_IN_ORDER", 7)
+    cut = compare.data_difference(a, b, ["k"])
+    assert sorted(map(str, cut.collect())) == whole and len(whole) == 3000
+    assert cut.filter("f_k = s_k").count() == 2900
+    assert dict(cut.dtypes)["f_n"] == "int" and dict(cut.dtypes)["s_n"] == "string"
+    assert cut.select("f_v").distinct().count() == 3000 and cut.filter("s_v is not null").select("s_v").distinct().count() == 2900
+
+
 def test_row_difference_counts_copies(spark):
     a = spark.sql("select * from values (1, 'x'), (1, 'x'), (2, null), (3, 'z') as t(k, v)")
     b = spark.sql("select * from values (1, 'x'), (2, null), (3, 'y') as t(k, v)")
