@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.common import own_shuffle, percentage
 from ..sources.run_files import MISSING_SQL, UNKNOWN
@@ -184,3 +186,41 @@ def health_document(api_name: str, results: DataFrame, errors: DataFrame, header
         F.struct(_summary().alias("summary"), "databases").alias("stats"),
         listed.alias("errors"),
     )
+
+
+# The columns of the report's files, for readers that must not guess them.
+REPORT_SCHEMAS = {
+    "header": "api_name string, version string, executed_at string, invocation_id string",
+    "statistics": "level string, database_name string, schema_name string, relation_name string, ok_count bigint, "
+    "ok_percentage double, warning_count bigint, warning_percentage double, fail_count bigint, fail_percentage double, "
+    "total_count bigint",
+    "errors": "test_name string, unique_id string, sql_filename string, rows_on_error bigint, error_percentage double, "
+    "rows_in_relation bigint, query_path string, sql string, database_name string, schema_name string, "
+    "relation_name string",
+}
+
+
+def write_report(api_name: str, results: DataFrame, errors: DataFrame, header: DataFrame, root: str) -> dict[str, str]:
+    """The report of :func:`health_document` as JSON lines below ``root``; returns the folder of each part.
+
+    ``header`` holds one row, ``statistics`` one per relation, schema and database and one for all, ``errors`` one per
+    failed check in a folder per relation. Executors write them; no row holds a list, so a report may have any number of
+    failed checks. A repeated run replaces the folders.
+    """
+    newest = F.max_by(F.struct("version", "executed_at", "invocation_id"), F.struct("executed_at", "invocation_id"))
+    run = header.agg(newest.alias("run")).select(F.lit(api_name).alias("api_name"), "run.*")
+    parts = {
+        "header": run.withColumn("executed_at", F.col("executed_at").cast("string")).write,
+        "statistics": health_rollup(results).write,
+        "errors": _error_rows(errors).hint("rebalance", *LEVELS).write.partitionBy(*LEVELS),
+    }
+    paths = {}
+    for name, writer in parts.items():
+        paths[name] = f"{root}/{name}"
+        writer.mode("overwrite").json(paths[name])
+    return paths
+
+
+def read_report(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+    """The parts of a written report. Only the folders of a relation are opened where its names are given."""
+    return {name: spark.read.schema(REPORT_SCHEMAS[name]).json(path) for name, path in paths.items()}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import checks, health, inventory, suite
 from ..session import new_shared_path
-from ..sources import run_files
+from ..sources import run_files, storage
 from . import daily_job, run_texts
 from .registry import Tables, query
 
@@ -411,6 +411,22 @@ def _(t: Tables):
     return t.spark.read.parquet(written["health"]).filter("level = 'relation'").drop("level")
 
 
+@query(
+    "daily_run_violations",
+    OUTCOME_SQL + "select unique_id, rows_on_error as violation_count from outcome where result = 'fail'",
+    SUITE_INPUTS,
+)
+def _(t: Tables):
+    """The day with its last step: the violating rows of each failed check are written, then counted in their files."""
+    written = daily_job.run_daily(t.spark, _suite_relations(t), SUITE, new_shared_path(t.spark, "daily"), date(2024, 2, 1))
+    parts = [
+        t.spark.read.parquet(path).agg(F.count("*").alias("violation_count")).select(
+            F.lit(name.partition("/")[2]).alias("unique_id"), "violation_count")
+        for name, path in written.items() if name.startswith("violations/")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("health_nested")
 def _(t: Tables):
     return health.health_report(suite.test_results(outcomes(t)))
@@ -438,14 +454,13 @@ def _(t: Tables):
     )
 
 
-@query(
-    "health_document_rows",
-    OUTCOME_SQL + f""", sums as (select database_name, {SUMS} from outcome group by all)
+DOCUMENT_SQL = OUTCOME_SQL + f""", sums as (select database_name, {SUMS} from outcome group by all)
     select 'warden' as api_name, 'statistics' as part, database_name as name, ok_count, fail_count from sums
     union all
-    select 'warden', 'error', unique_id, 0, rows_on_error from outcome where result = 'fail'""",
-    SUITE_INPUTS,
-)
+    select 'warden', 'error', unique_id, 0, rows_on_error from outcome where result = 'fail'"""
+
+
+@query("health_document_rows", DOCUMENT_SQL, SUITE_INPUTS)
 def _(t: Tables):
     """The document unfolded: a row per database and per failed check."""
     found = outcomes(t)
@@ -458,6 +473,22 @@ def _(t: Tables):
     return statistics.unionByName(errors)
 
 
+@query("health_report_files", DOCUMENT_SQL, SUITE_INPUTS)
+def _(t: Tables):
+    """The report as files, read back: a row per database and per failed check, with the name from the header. The suite
+    runs once; its outcome is written and both parts read that."""
+    found = storage.settled(outcomes(t), "outcome")
+    header = run_files.check_log_header(run_texts.check_log(t))
+    paths = health.write_report(
+        "warden", suite.test_results(found), suite.test_errors(found), header, new_shared_path(t.spark, "report"))
+    parts = health.read_report(t.spark, paths)
+    statistics = parts["statistics"].filter("level = 'database'").selectExpr(
+        "'statistics' as part", "database_name as name", "ok_count", "fail_count")
+    errors = parts["errors"].selectExpr("'error' as part", "unique_id as name", "0L as ok_count", "rows_on_error as fail_count")
+    api_name = parts["header"].select("api_name").scalar()
+    return statistics.unionByName(errors).select(api_name.alias("api_name"), "*")
+
+
 @query("health_document")
 def _(t: Tables):
     found = outcomes(t)

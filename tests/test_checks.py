@@ -201,6 +201,28 @@ def test_error_list_without_row_count(spark):
     assert [r.error_percentage for r in health.error_list(errors, sizes).collect()] == [10.0, 10.0]
 
 
+def test_report_files_hold_a_row_per_failed_check(results, spark):
+    from tablewarden.session import new_shared_path
+
+    columns = "database_name string, schema_name string, relation_name string, test_name string, unique_id string, " \
+        "sql_filename string, rows_on_error bigint, rows_in_relation bigint, query_path string, sql string"
+    errors = spark.createDataFrame(
+        [("007", "s/1", "r=x", "t", f"u{i}", "f", i, 50 if i else -1, "p", "select\n1") for i in range(40)]
+        + [(None, None, None, "t", "lost", None, 1, 0, None, None)], columns)
+    header = spark.sql("select * from values ('1.7', '2024-01-01', 'b'), ('1.8', '2024-01-02', 'a') as t(version, executed_at, invocation_id)")
+    root = new_shared_path(spark, "report")
+    for _ in range(2):
+        paths = health.write_report("api", results, errors, header, root)
+    parts = health.read_report(spark, paths)
+    assert [tuple(r) for r in parts["header"].collect()] == [("api", "1.8", "2024-01-02", "a")]
+    rolled = health.health_rollup(results)
+    assert sorted(map(str, parts["statistics"].select(*rolled.columns).collect())) == sorted(map(str, rolled.collect()))
+    expected = health.error_list(errors)
+    assert sorted(map(str, parts["errors"].select(*expected.columns).collect())) == sorted(map(str, expected.collect()))
+    empty = health.read_report(spark, health.write_report("api", results.limit(0), errors.limit(0), header.limit(0), root))
+    assert empty["errors"].count() == 0 and empty["header"].first().version is None
+
+
 def test_daily_job_is_repeatable(spark):
     from datetime import date
 
