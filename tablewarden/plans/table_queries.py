@@ -154,6 +154,31 @@ def _(t: Tables):
     return approximate.alias("a").join(exact.alias("e"), "column_name").select("column_name", close.alias("within_bound"))
 
 
+EVENT_DAYS = (date(2024, 1, 5), date(2024, 1, 20))
+EVENT_COLUMNS = ("event_id", "user_id", "event_type", "value")
+
+
+@query(
+    "profile_over_days",
+    "\nunion all\n".join(
+        f"select '{c}' as column_name, {i} as ordinal, count(*) as row_count, count({c}) as filled_rows, true as within_bound "
+        f"from events where cast(ts as date) between date '{EVENT_DAYS[0]}' and date '{EVENT_DAYS[1]}' having count(*) > 0"
+        for i, c in enumerate(EVENT_COLUMNS, 1)),
+)
+def _(t: Tables):
+    """Sketches of all days stored once, a range of days merged from them, and its estimates held against exact counts:
+    within five standard errors (8 %)."""
+    path = new_shared_path(t.spark, "profile")
+    events = t.events.select("ts", *EVENT_COLUMNS)
+    profile.store_profile(events, "ts", path)
+    merged = profile.profile_of_days(t.spark.read.parquet(path), *EVENT_DAYS)
+    exact = profile.distinct_profile(events.filter(F.to_date("ts").between(*EVENT_DAYS)).select(*EVENT_COLUMNS))
+    close = F.abs(F.col("m.distinct_values") - F.col("e.distinct_values")) <= F.greatest(
+        F.lit(1.0), F.col("e.distinct_values") * 0.08)
+    return merged.alias("m").join(exact.alias("e"), "column_name").select(
+        "column_name", "m.ordinal", "row_count", "filled_rows", close.alias("within_bound"))
+
+
 @query(
     "storage_order",
     f"""with profile as ({PROFILE_SQL})

@@ -85,6 +85,31 @@ def test_inventory_types(spark):
     ]
 
 
+def test_profiles_of_days_merge_without_the_table(spark):
+    df = spark.sql(
+        "select case when id < 900 then date'2024-01-01' + cast(id % 9 as int) end as d, id as v, "
+        "case id % 4 when 0 then null when 1 then '' else 'x' end as few, cast(null as string) as `none.at all` from range(1000)")
+    path = new_shared_path(spark, "profile")
+    profile.store_profile(df, "d", path)
+    profile.store_profile(df.filter("d >= date'2024-01-08'"), "d", path)  # a repeated day is replaced
+
+    def read(*days):
+        rows = profile.profile_of_days(spark.read.parquet(path), *days).collect()
+        return [(r.column_name, r.distinct_values, r.row_count, r.filled_rows) for r in rows]
+
+    def close(found, exact):
+        return abs(found - exact) <= 0.08 * exact
+
+    three = read(date(2024, 1, 2), date(2024, 1, 4))
+    assert [r[0] for r in three] == ["none.at all", "few", "v"] and [r[2] for r in three] == [300] * 3
+    assert three[0][1:] == (0, 300, 0) and three[1][1] == 2 and three[1][3] == 225 and close(three[2][1], 300)
+    everything = read()
+    assert [r[2] for r in everything] == [1000] * 3 and close(everything[2][1], 1000)
+    assert read(date(2030, 1, 1)) == []
+    plan = profile.profile_of_days(spark.read.parquet(path), date(2024, 1, 2), date(2024, 1, 4))
+    assert "PartitionFilters: [isnotnull(day" in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_distinct_profile_and_clustering(spark):
     df = spark.range(100).selectExpr("id", "id % 3 as few", "if(id % 2 = 0, null, 'x') as one", "id % 10 as some")
     assert [(r.column_name, r.distinct_values) for r in profile.distinct_profile(df).collect()] == [
