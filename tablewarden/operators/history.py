@@ -336,6 +336,69 @@ def unified_dimension_incremental(
     return target.filter(F.col(key).isNull()).unionByName(unified_dimension(keyed, key, date_column, tie_break))
 
 
+# The unified dimension as a bucketed table: a load moves only what is new and writes only the buckets it changes.
+
+BUCKET = "_bucket"
+BUCKETS_PROPERTY, WATERMARK_PROPERTY = "dimension.buckets", "dimension.watermark"
+
+
+def _table_property(spark: SparkSession, table: str, name: str) -> str | None:
+    found = spark.sql(f"show tblproperties {_identifier(table)}").filter(F.col("key") == name).first()
+    return found.value if found else None
+
+
+def _set_property(spark: SparkSession, table: str, name: str, value: str) -> None:
+    spark.sql(f"alter table {_identifier(table)} set tblproperties ('{name}' = '{value}')")
+
+
+def refresh_dimension_table(
+    spark: SparkSession, table: str, history: DataFrame, key: str, date_column: str, tie_break: Sequence[str] = (),
+    buckets: int | None = None, path: str | None = None,
+) -> list[int]:
+    """Bring the stored unified dimension up to date with the days of ``history`` beyond its watermark; returns the
+    buckets that were written.
+
+    The table is bucketed by the key and has a folder per bucket, so the merge reads the touched buckets as they lie:
+    newest rows of the new days, one per key, are shuffled to them, and the table's side has no exchange. Other folders
+    are neither read nor written. The watermark is a property of the table, set after the rows: a load that broke off
+    is repeated as a whole and gives the same rows. Rows without a key stay beside those of later loads, since NULL
+    never equals itself; those beyond the watermark are of a load that broke off and are replaced.
+
+    ``buckets`` counts for the first load only. It should be at least ``spark.sql.shuffle.partitions``, which is the
+    default: where buckets are fewer, Spark may shuffle both sides. ``path`` is the folder of a first load, if not the
+    warehouse's own. The columns of the first load stay those of the table.
+    """
+    if not spark.catalog.tableExists(table):
+        empty = history.limit(0).withColumn(BUCKET, F.lit(0))
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = empty.write.format("parquet").partitionBy(BUCKET).bucketBy(buckets, key)
+        (writer.option("path", path) if path else writer).saveAsTable(table)
+        _set_property(spark, table, BUCKETS_PROPERTY, str(buckets))
+    buckets = int(_table_property(spark, table, BUCKETS_PROPERTY) or buckets)
+    watermark = F.lit(_table_property(spark, table, WATERMARK_PROPERTY) or NO_TARGET_WATERMARK.isoformat()).cast("date")
+    newer = unified_dimension(history.filter(F.col(date_column) > watermark), key, date_column, tie_break)
+    bucket = F.pmod(F.hash(F.col(key)), F.lit(buckets)).alias(BUCKET)
+    newest = storage.settled(newer.select("*", bucket), "newest")
+    seen = newest.agg(F.max(date_column).cast("string").alias("day"), F.collect_set(BUCKET).alias("touched")).first()
+    touched = sorted(seen.touched)  # at most one number per bucket
+    if touched:
+        stored = spark.table(table).filter(F.col(BUCKET).isin(touched))
+        settled = stored.filter(F.col(key).isNotNull() | (F.col(date_column) <= watermark))
+        with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            merge_dimension(settled, newest, key).write.insertInto(table, overwrite=True)
+        _set_property(spark, table, WATERMARK_PROPERTY, seen.day)
+    return touched
+
+
+def merge_dimension(target: DataFrame, newest: DataFrame, key: str) -> DataFrame:
+    """The target's rows, replaced by the newer row of the same key where there is one, and the rows of new keys."""
+    row = F.struct(*target.columns)
+    old = target.select(F.col(key).alias("_key"), row.alias("_old"))
+    new = newest.select(F.col(key).alias("_new_key"), row.alias("_new"))
+    joined = old.join(new, F.col("_key") == F.col("_new_key"), "full_outer")
+    return joined.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
+
+
 # Backfill.
 
 

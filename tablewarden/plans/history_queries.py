@@ -214,6 +214,15 @@ def _(t: Tables):
     return history.unified_dimension_incremental(target, t.user_state_history, "user_id", "snap_date")
 
 
+@query("unified_dimension_stored", UNIFIED_SQL, HISTORY)
+def _(t: Tables):
+    """The dimension as a bucketed table after two loads: the early days, then the rest."""
+    table, path = _new_table(t, "dimension")
+    history.refresh_dimension_table(t.spark, table, t.early_history, "user_id", "snap_date", path=path)
+    history.refresh_dimension_table(t.spark, table, t.user_state_history, "user_id", "snap_date")
+    return t.spark.table(table).drop(history.BUCKET)
+
+
 @query(
     "history_watermark",
     """select date '1900-01-01' as without_target, date '1950-01-01' as with_empty_target, max(snap_date) as with_target

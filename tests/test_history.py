@@ -170,6 +170,41 @@ def test_unified_dimension_null_key_and_tie_break(spark):
     assert {(r.k, r.v) for r in history.unified_dimension(df, "k", "d", ["v"]).collect()} == {(None, 2), (7, 9)}
 
 
+def test_stored_dimension_writes_only_touched_buckets(spark):
+    from tablewarden.session import new_shared_path
+
+    df = spark.sql(
+        "select explode(sequence(date'2024-01-01', date'2024-01-03')) as d, id as k, id * 10 as v from range(40)").withColumn(
+        "v", F.col("v") + F.dayofmonth("d")).filter("d < date'2024-01-03' or k in (3, 5)")
+    nulls = spark.sql("select * from values (date'2024-01-01', cast(null as bigint), -1L), (date'2024-01-03', null, -3L) as t(d, k, v)")
+    df = df.unionByName(nulls)
+    first = df.filter("d <= date'2024-01-02'")
+    spark.sql("drop table if exists stored_dimension")
+    path = new_shared_path(spark, "dimension")
+    load = lambda rows: history.refresh_dimension_table(spark, "stored_dimension", rows, "k", "d", buckets=8, path=path)
+    rows = lambda: sorted(str(r) for r in spark.table("stored_dimension").drop(history.BUCKET).collect())
+    files = lambda: {p for p, in spark.table("stored_dimension").select(F.col("_metadata.file_path")).distinct().collect()}
+    assert load(df.limit(0)) == [] and rows() == []
+    load(first)
+    assert rows() == sorted(str(r) for r in history.unified_dimension(first, "k", "d").collect())
+    before = files()
+    touched = load(df)
+    expected = history.unified_dimension_incremental(history.unified_dimension(first, "k", "d"), df, "k", "d")
+    assert rows() == sorted(str(r) for r in expected.collect())
+    assert 0 < len(touched) <= 3 and len(before & files()) == len(before) - len(touched)
+    assert load(df) == []
+    # A load that broke off after its rows and before its watermark is repeated.
+    spark.sql(f"alter table stored_dimension set tblproperties ('{history.WATERMARK_PROPERTY}' = '2024-01-02')")
+    assert load(df) == touched and rows() == sorted(str(r) for r in expected.collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        newest = df.withColumn(history.BUCKET, F.lit(0))
+        plan = history.merge_dimension(spark.table("stored_dimension"), newest, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+
+
 def test_backfill(spark):
     source = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-06')) as day, 1 as x")
     target = source.filter("day in (date'2024-01-02', date'2024-01-04')")
