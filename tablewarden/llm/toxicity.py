@@ -44,7 +44,7 @@ SAME_LANDMARK = 0.5  # kernel from which on a landmark stands for a word
 LEAST_GAIN = 1.2  # toxic texts not yet explained that a further witness has to explain
 EXPLAINED = 0.25  # what a text counts after each of its witnesses
 LEAST_LEAN = 1.0  # logarithm of toxic to clean share from which on a word of an unexplained text is a landmark
-BLOCK = 256  # landmarks compared at a time
+BLOCK = 64  # landmarks compared at a time
 ROUNDS = 3
 HARD_WEIGHT = 4.0  # of the strongest sentences of clean texts, against all of their sentences
 RIDGE = 1e-4
@@ -122,7 +122,8 @@ def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Subsequence kernel of every row of ``left`` with every row of ``right`` (letter codes, fillers 0 and -1).
 
     Rows of ``right`` are taken longest first, so that the rows that reach a letter position are always the first
-    ones, and all arrays have the words of ``left`` in their last dimension.
+    ones, and all arrays have the words of ``left`` in their last dimension. What a subsequence loses hangs on the places
+    of its first and last letters only, so both weigh in once and the sums between them need no decay.
     """
     lengths = (right >= 0).sum(axis=1)
     order = np.argsort(-lengths, kind="stable")
@@ -134,7 +135,7 @@ def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     weight = np.zeros((int(edges[-1]), len(letters) + 1), np.float32)  # the last column is for all other letters
     for b in range(m):
         place = np.searchsorted(letters, right[:reach[b], b])
-        weight[edges[b] + np.arange(reach[b]), place] = DECAY * DECAY
+        weight[edges[b] + np.arange(reach[b]), place] = 1.0
     index = np.searchsorted(letters, left)
     index[index == len(letters)] = 0
     index = np.where(letters[index] == left, index, len(letters))
@@ -146,21 +147,16 @@ def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         for b in range(m):
             rows = slice(reach[b])
             np.multiply(same[edges[b]:edges[b + 1]], tails[-1][b, rows], out=part[rows])
+            part[rows] *= DECAY ** (a + b + 2)
             total[rows] += part[rows]
         for i in range(ORDER - 1, 0, -1):  # highest order first: each reads the one below as it was
             step.fill(0.0)
             for b in range(m):
                 rows, match = slice(reach[b]), same[edges[b]:edges[b + 1]]
                 now = step[rows]
-                now *= DECAY
-                if i == 1:
-                    now += match
-                else:
-                    np.multiply(match, tails[i - 2][b, rows], out=part[rows])
-                    now += part[rows]
-                tail = tails[i - 1][b + 1, rows]
-                tail *= DECAY
-                tail += now
+                np.multiply(match, DECAY ** -(a + b) if i == 1 else tails[i - 2][b, rows], out=part[rows])
+                now += part[rows]
+                tails[i - 1][b + 1, rows] += now
     out = np.empty((words, right.shape[0]), np.float32)
     out[:, order] = total.T
     return out
