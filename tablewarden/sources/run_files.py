@@ -6,6 +6,11 @@ by the executors in one job.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.common import own_shuffle
@@ -111,9 +116,61 @@ def log_entries(logs: DataFrame) -> DataFrame:
     return _divided(logs).select(F.col("text").alias("value"))
 
 
+def _with_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines with ``border``, whether they surely begin an entry, and ``lone``, whether the next line of their range surely
+    does, too. A border is sure behind a closing brace if the line opens one, and behind an odd number of quotes without
+    escapes. Only a line that is the next of its range after the one before is judged, so any order of rows is right."""
+    held, before = None, (None, None, None, False, False)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        log, block, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        text = batch.column(3)
+        bare = pc.ascii_trim(text, " \r\n\t")
+
+        def known(flags: pa.Array) -> np.ndarray:
+            return pc.fill_null(flags, False).to_numpy(zero_copy_only=False)
+
+        opens, ends = known(pc.starts_with(bare, "{")), known(pc.ends_with(bare, "}"))
+        odd = pc.equal(pc.bit_wise_and(pc.count_substring(text, '"'), 1), 1)
+        broken = known(pc.and_(odd, pc.invert(pc.match_substring(text, "\\"))))
+        border = np.zeros(len(at), bool)
+        near = (log[1:] == log[:-1]) & (block[1:] == block[:-1]) & (at[1:] == at[:-1] + 1)
+        border[1:] = near & (opens[1:] & ends[:-1] | broken[:-1])
+        if held is not None and (log[0], block[0], at[0] - 1) == before[:3]:
+            border[0] = opens[0] and before[3] or before[4]
+        if held is not None:
+            yield _marked_lines(*held, np.array([held[1][0] and border[0]]))
+        yield _marked_lines(batch.slice(0, len(at) - 1), border[:-1], border[:-1] & border[1:])
+        held, before = (batch.slice(len(at) - 1), border[-1:]), (log[-1], block[-1], at[-1], ends[-1], broken[-1])
+    if held is not None:
+        yield _marked_lines(*held, np.zeros(1, bool))
+
+
+def _marked_lines(lines: pa.RecordBatch, border: np.ndarray, lone: np.ndarray) -> pa.RecordBatch:
+    names = ["log", "block", "at", "value", "border", "lone"]
+    return pa.RecordBatch.from_arrays([*lines.columns, pa.array(border), pa.array(lone)], names=names)
+
+
 def stitched_entries(lines: DataFrame) -> DataFrame:
     """The entries of logs given as lines (``log``, ``block``, ``at``, ``value``).
 
+    A line between two sure borders holds whole entries and is divided where it is read. Only the others, which hold a part of
+    an entry or stand at the ends of a range, are written and shuffled. Without the lines between them they keep their
+    borders, which they bring along, and each range its first and last line.
+    """
+    named = lines.select(
+        F.xxhash64("log").alias("log"), F.col("block").cast("bigint").alias("block"), F.col("at").cast("bigint").alias("at"), "value"
+    )
+    marked = named.mapInArrow(_with_borders, "log bigint, block bigint, at bigint, value string, border boolean, lone boolean")
+    open_lines = settled(marked.filter(~F.col("lone")).drop("lone"), "log-lines")
+    whole = _divided(marked.filter("lone")).select(F.col("text").alias("value"))
+    return whole.union(_sewn_entries(open_lines))
+
+
+def _sewn_entries(lines: DataFrame) -> DataFrame:
+    """The entries of lines that may hold parts of entries; ``border`` tells where one begins for sure.
+
     Lines are read twice and shuffled once with their texts, by file range; no row or window holds more than a range. An entry begins behind the
     closing brace of another if it opens one, behind an entry whose braces are all closed, and behind a line that ends in
     a string, which is broken because strings hold no line breaks. Otherwise it goes on with the next line.
@@ -123,7 +180,7 @@ def stitched_entries(lines: DataFrame) -> DataFrame:
     the next range what is open. Entries that end in a later range take their lines from there.
     """
     in_block = Window.partitionBy("log", "block").orderBy("at", "part")
-    parts = _divided(lines, "log", "block", "at")
+    parts = _divided(lines, "log", "block", "at", "border")
     # Strings may hold braces. Without escapes only quotes and braces need to be looked at.
     text = F.col("text")
     signs = F.regexp_replace(F.regexp_replace(text, r'[^"{}]+', ""), r'"[{}]*(?:"|\z)', "")
@@ -137,12 +194,12 @@ def stitched_entries(lines: DataFrame) -> DataFrame:
         return F.length("bare") - F.length(F.replace(F.col("bare"), F.lit(sign), F.lit("")))
 
     marked = read.select(
-        "log", "block", "at", "part", "text", (count("{") - count("}")).alias("step"), "broken",
+        "log", "block", "at", "part", "text", "border", (count("{") - count("}")).alias("step"), "broken",
         F.startswith("trimmed", F.lit("{")).alias("opens"),
         (F.endswith("trimmed", F.lit("}")) & ~F.col("broken")).alias("closes"),
     )
     behind = F.lag(F.struct("closes", "broken")).over(in_block)
-    divides = (F.col("part") > 0) | (F.col("opens") & behind["closes"]) | behind["broken"]
+    divides = F.col("border") | (F.col("part") > 0) | (F.col("opens") & behind["closes"]) | behind["broken"]
     cut = marked.withColumn("divided", F.coalesce(divides, F.lit(False)))
     cut = cut.withColumn("stretch", F.sum(F.col("divided").cast("int")).over(in_block))
     in_stretch = Window.partitionBy("log", "block", "stretch").orderBy("at", "part")

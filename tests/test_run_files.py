@@ -165,3 +165,42 @@ def test_a_log_read_in_many_ranges(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sorted((r.unique_id, r["count"]) for r in found) == sorted((f"u{i}", 2) for i in range(200))
+
+
+def test_lines_in_order_cut_into_ranges(spark):
+    import random
+
+    tokens = ["{", "}", '"', "\n", "\n", " ", "\\\\", '\\"', "a", "}\n{", '{"a": {"b": 1}}\n', '{"a": 1}{"b": 2}\n', '"}{"', "}\n", '{"cut\n']
+    rows, expected = [], []
+    for log in range(300):
+        dice = random.Random(log)
+        text = "".join(dice.choice(tokens) for _ in range(dice.randint(1, 60)))
+        cuts = dice.choice([0.0, 0.1, 0.4])
+        block = 0
+        for at, line in enumerate(text.split("\n")):
+            block += dice.random() < cuts
+            rows.append((f"log{log:03}", block, at, line))
+        expected += entries_by_reading(text)
+    lines = spark.createDataFrame(rows, "log string, block int, at int, value string").repartition(3, "log").sortWithinPartitions("log", "at")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = sorted(r.value for r in run_files.stitched_entries(lines).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert found == sorted(expected)
+
+
+def test_lines_of_whole_entries_are_not_moved(spark, tmp_path):
+    """Of a log of whole lines only the ends of its ranges and the one spread entry are written again."""
+    import glob
+
+    one = [entry("LogTestResult", node_info={"unique_id": f"u{i}"}, status="pass") for i in range(2000)]
+    one[700] = one[700].replace('"data"', '\n"data"')
+    one[900] = '{"info": {"name": "LogTestResult", "ts'
+    (tmp_path / "a.log").write_text("\n".join(one))
+    pieces = f"{spark.conf.get('spark.checkpoint.dir')}/tablewarden/log-pieces-*"
+    before = set(glob.glob(pieces))
+    assert run_files.read_check_log(spark, str(tmp_path))[0].count() == 1999
+    new = set(glob.glob(pieces)) - before
+    assert len(new) == 1 and spark.read.parquet(*new).count() < 50
