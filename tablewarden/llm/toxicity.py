@@ -26,6 +26,7 @@ the named ones are not read.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
@@ -45,6 +46,7 @@ LEAST_GAIN = 1.2  # toxic texts not yet explained that a further witness has to
 EXPLAINED = 0.25  # what a text counts after each of its witnesses
 LEAST_LEAN = 1.0  # logarithm of toxic to clean share from which on a word of an unexplained text is a landmark
 BLOCK = 64  # landmarks compared at a time
+LOOKUP = 1 << 18  # letter triples, up to which a table holds them all
 ROUNDS = 3
 HARD_WEIGHT = 4.0  # of the strongest sentences of clean texts, against all of their sentences
 RIDGE = 1e-4
@@ -57,6 +59,9 @@ FOREIGN = "\u0294"  # a letter of no word, for training on inserted characters
 LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
 _SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)|\n")
 _RUN = re.compile(r"[^\W\d_]{3,}")
+# Every run of three single letters: three pieces of one or two characters that do not begin with two plain letters, the last
+# one maybe at the end of a sentence.
+_SPACED = re.compile(r"(?<!\S)(?:(?![A-Za-z]{2})\S{1,2}\s+){2}(?![A-Za-z]{2})\S{1,2}[.!?]*(?!\S)")
 
 
 def plain(chunk: str) -> str:
@@ -111,6 +116,13 @@ def chunks_of(text: str) -> list[str]:
     return pieces + joined
 
 
+def sentence_chunks(text: str) -> list[set[str]]:
+    """The different chunks of each of :func:`sentences_of`; without a run of single letters they are its pieces."""
+    if _SPACED.search(text):
+        return [set(chunks_of(s)) for s in sentences_of(text)]
+    return [set(s.split()) for s in _SENTENCE.split(text)]
+
+
 def codes(words: list[str], width: int, filler: int) -> np.ndarray:
     """Letters as numbers, one word a row; ``filler`` behind the end."""
     text = "".join([w.ljust(width, "\0") for w in words])
@@ -182,6 +194,66 @@ def self_kernel(left: np.ndarray) -> np.ndarray:
     return total
 
 
+class TripleTable:
+    """The same kernel of words with landmarks as a sum over the landmarks' letter triples, for many words.
+
+    A landmark is the sum of its triples of letters, each with the decay of its stretch. A word's triples are looked up, and only
+    those that a landmark has are added up: few letters of two words are the same.
+    """
+
+    def __init__(self, landmarks: list[str]):
+        self.landmarks = landmarks
+        self.letters = np.array(sorted({ord(c) for w in landmarks for c in w}), np.int64)
+        self.base = len(self.letters) + 1  # the last one is for all other letters
+        self.places: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.blocks = [self._block(landmarks[i:i + BLOCK]) for i in range(0, len(landmarks), BLOCK)]
+
+    def _of_width(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all triples in a word and their decay."""
+        if width not in self.places:
+            at = np.array(list(itertools.combinations(range(width), ORDER)), np.int64)
+            self.places[width] = at, (DECAY ** (at[:, -1] - at[:, 0] + 1)).astype(np.float32)
+        return self.places[width]
+
+    def _numbers(self, left: np.ndarray) -> np.ndarray:
+        """The triples of every row of letter codes, as numbers."""
+        place = np.minimum(np.searchsorted(self.letters, left), self.base - 2)
+        place = np.where(self.letters[place] == left, place, self.base - 1)
+        at, _ = self._of_width(left.shape[1])
+        return (place[:, at[:, 0]] * self.base + place[:, at[:, 1]]) * self.base + place[:, at[:, 2]]
+
+    def _block(self, landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted triples of some landmarks, and what each adds to each of them."""
+        found = [(self._numbers(codes([w], len(w), 0))[0], self._of_width(len(w))[1]) for w in landmarks]
+        triples = np.unique(np.concatenate([numbers for numbers, _ in found]))
+        values = np.zeros((len(landmarks), len(triples)), np.float32)
+        for i, (numbers, decay) in enumerate(found):
+            np.add.at(values[i], np.searchsorted(triples, numbers), decay)
+        return triples, values
+
+    def kernel(self, left: np.ndarray) -> np.ndarray:
+        """Kernel of every row of ``left`` (letter codes, filler 0) with every landmark."""
+        numbers, (_, decay) = self._numbers(left), self._of_width(left.shape[1])
+        out = np.zeros((len(left), len(self.landmarks)), np.float32)
+        for i, (triples, values) in enumerate(self.blocks):
+            part = slice(i * BLOCK, i * BLOCK + len(values))
+            if self.base ** ORDER <= LOOKUP:  # a table of all triples, else a search among those that are there
+                row = np.full(self.base ** ORDER, -1, np.int32)
+                row[triples] = np.arange(len(triples))
+                row = row[numbers]
+            else:
+                row = np.minimum(np.searchsorted(triples, numbers), len(triples) - 1)
+                row = np.where(triples[row] == numbers, row, -1)
+            word, place = np.nonzero(row >= 0)
+            if not len(word):
+                continue
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            added = np.take(values, row[word, place], axis=1)
+            added *= decay[place]
+            out[word[first], part] = np.add.reduceat(added, first, axis=1).T
+        return out
+
+
 class SubsequenceMachine:
     """Word scores: landmarks, whitening and weights in one vector of landmark weights."""
 
@@ -195,16 +267,19 @@ class SubsequenceMachine:
         self.whitening = (vectors / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
         self.weights, self.shift, self.bias = np.zeros(len(landmarks)), 0.0, 0.0
 
-    def similar(self, words: list[str]) -> np.ndarray:
-        """Normalised kernel of words (at most WINDOW letters) with the landmarks."""
+    def similar(self, words: list[str], triples: TripleTable | None = None) -> np.ndarray:
+        """Normalised kernel of words (at most WINDOW letters) with the landmarks; with their table, if there is one."""
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
         for at in range(0, len(order), 512):
             rows = order[at:at + 512]
             left = codes([words[i] for i in rows], len(words[rows[-1]]), 0)
-            for first in range(0, len(self.landmarks), BLOCK):
-                part = slice(first, first + BLOCK)
-                out[rows, part] = kernel(left, self.right[part])
+            if triples is not None:
+                out[rows] = triples.kernel(left)
+            else:
+                for first in range(0, len(self.landmarks), BLOCK):
+                    part = slice(first, first + BLOCK)
+                    out[rows, part] = kernel(left, self.right[part])
             out[rows] = (out[rows] / np.sqrt(np.maximum(np.outer(self_kernel(left), self.own), 1e-12))) ** POWER
         return out
 
@@ -240,9 +315,9 @@ class SubsequenceMachine:
         self.weights = self.whitening @ now[:-1]
         self.shift, self.bias = float(self.centre @ now[:-1]), float(now[-1])
 
-    def margins(self, words: list[str]) -> np.ndarray:
+    def margins(self, words: list[str], triples: TripleTable | None = None) -> np.ndarray:
         """What each word adds to the score of a sentence, which begins at ``bias``."""
-        return self.similar(words) @ self.weights - self.shift
+        return self.similar(words, triples) @ self.weights - self.shift
 
 
 class ToxicityModel:
@@ -412,6 +487,7 @@ class TextScorer:
 
     def __init__(self, model: ToxicityModel):
         self.model = model
+        self.triples = TripleTable(model.machine.landmarks) if model.machine is not None else None
         self.margin: dict[str, float] = {}  # of texts without white space
         self.value: dict[str, float] = {}  # of their readings
 
@@ -420,7 +496,7 @@ class TextScorer:
         value = self.value
         words = sorted({w for f in forms.values() for w in f}.difference(value))
         if words:
-            value.update(zip(words, self.model.machine.margins(words).tolist()))
+            value.update(zip(words, self.model.machine.margins(words, self.triples).tolist()))
         for chunk, found in forms.items():
             self.margin[chunk] = max([value[w] for w in found], default=0.0)
 
@@ -429,7 +505,7 @@ class TextScorer:
             return {"score": [0.0] * len(texts)}
         if len(self.margin) > CACHE_WORDS:
             self.margin, self.value = {}, {}
-        split = [[set(chunks_of(s)) for s in sentences_of(t or "")] for t in texts]
+        split = [sentence_chunks(t or "") for t in texts]
         fresh = set().union(*[s for sentences in split for s in sentences]).difference(self.margin)
         if fresh:
             self._learn(fresh)
