@@ -1,6 +1,7 @@
 """The joins over documents against plain Python, on corpora with copies, ties and odd rows."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -132,3 +133,32 @@ def test_empty_tables(spark):
     assert line_dedup.dedup_lines(none).count() == 0
     assert repeats.remove_repeats(none).count() == 0
     assert decontaminate.find_contamination(none, bench).count() == 0
+
+
+def test_line_dedup_counts_in_compiled_code_and_drops_steps_once_read(spark, monkeypatch):
+    steps, left, plans = {}, [], {}
+
+    def watched(df, label, passing=None, write=line_dedup.written):
+        if label == "removed":
+            left.extend(name for name, path in steps.items() if os.path.exists(path.removeprefix("file:")))
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        found = write(df, label, passing)
+        if passing:
+            steps[label] = passing[-1]
+        return found
+
+    monkeypatch.setattr(line_dedup, "written", watched)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base[: i % 50], f"x{i}", *base[i % 50:]])) for i in range(40)]
+    found = line_dedup.dedup_lines(frame(spark, rows, extra=False))
+    assert collected(found, "doc_id", "n_lines", "n_removed", "text") == order(brute.dedup_lines(rows))
+    assert "lambda" not in plans["counters"]
+    assert {"lines", "lists", "line-sets"} <= set(steps)
+    assert not {"counters", "lines", "tokens", "lists", "open-lists", "line-sets"} & set(left)
+
+
+def test_words_of_a_line(spark):
+    lines = ["", " ", "a", " a", "a ", "a  b", "a b", "a\tb", "a\u00a0b c", "a\r", "\x0ba b", "a b\x0c c", "\u2028x y"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    found = df.select("line", line_dedup.line_words(df["line"]).alias("words")).collect()
+    assert {r.line: r.words for r in found} == {x: [w for w in re.split(r"[\x20\x09-\x0D]+", x) if w] for x in lines}
