@@ -162,3 +162,41 @@ def test_words_of_a_line(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     found = df.select("line", line_dedup.line_words(df["line"]).alias("words")).collect()
     assert {r.line: r.words for r in found} == {x: [w for w in re.split(r"[\x20\x09-\x0D]+", x) if w] for x in lines}
+
+
+def test_line_dedup_moves_few_rows_when_bit_tables_are_full(spark, monkeypatch):
+    """Full tables let everything pass and counters tell nothing, as on a large corpus: only lines of pairs get token
+    sets, and lines that share a passage without being similar make no pairs."""
+    counted = {}
+
+    def watched(df, label, passing=None, write=line_dedup.written):
+        found = write(df, label, passing)
+        if label in ("lists", "pairs", "more-pairs", "line-sets"):
+            counted[label] = counted.get(label, 0) + found.count()
+        return found
+
+    monkeypatch.setattr(line_dedup, "written", watched)
+    monkeypatch.setattr(line_dedup, "FILTER_BITS", 64)
+    monkeypatch.setattr(line_dedup, "COUNTERS", 16)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join([*(f"a{i}x{j}" for j in range(i % 20)), *passage, *(f"b{i}x{j}" for j in range(20 - i % 20))]))
+            for i in range(60)]
+    rows += [(100 + i, " ".join(f"c{i}x{j}" for j in range(40))) for i in range(60)]
+    rows += [(200, " ".join(f"c{7}x{j}" if j != 39 else "z" for j in range(40)))]
+    found = line_dedup.dedup_lines(frame(spark, rows, extra=False))
+    assert collected(found, "doc_id", "n_lines", "n_removed", "text") == order(brute.dedup_lines(rows))
+    assert counted["lists"] > 100
+    assert counted["pairs"] + counted["more-pairs"] == 1
+    assert counted["line-sets"] == 2
+
+
+def test_parity_bits_are_no_more_than_different_tokens(spark):
+    sets = [[], [5], [5, 5 + 128, 6], [-1, 2**57], list(range(-300, 300, 7)), list(range(-300, 307, 7)), list(range(500))]
+    df = spark.createDataFrame([(t,) for t in sets], "tokens array<bigint>")
+    found = [tuple(r) for r in df.select("tokens", *line_dedup.parity_bits(df["tokens"])).collect()]
+    assert {x for _, *bits in found for x in bits} != {0}
+    for t_1, *bits_1 in found:
+        for t_2, *bits_2 in found:
+            bits = sum(((a ^ b) % 2**64).bit_count() for a, b in zip(bits_1, bits_2))
+            assert bits <= len(set(t_1) ^ set(t_2))
+            assert bits % 2 == len(set(t_1) ^ set(t_2)) % 2
